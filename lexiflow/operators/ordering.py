@@ -3,54 +3,77 @@
 ``row_number() over (partition by g order by k)`` puts every row of a group in
 one task; a group that holds a third of the data (the ``train`` split, a hot
 run) then lands on one executor.  ``row_index`` gives the same 0-based
-positions with range partitioning instead, so a hot group is cut into many
-tasks:
-
-1. range-partition on ``(g, k)`` and sort inside each partition;
-2. tag rows with the partition id and ``monotonically_increasing_id`` (which
-   counts rows inside a partition in sort order);
-3. aggregate ``(partition, g) -> (first id, row count)`` — at most
-   #partitions + #groups rows — and prefix-sum the counts per group over the
-   partition order;
-4. join the offsets back (AQE broadcasts them when they are small).
-
-The range exchange feeds both steps 2 and 3 and is reused, so the data is
-shuffled once; ``(g, k)`` must be unique so a recomputed task sorts the same
-way (always end the order with a unique id).
+positions while cutting every group into buckets:
+
+1. each row gets a bucket that never decreases along the order inside a
+   group — the leading bits of an md5 order key, or the position of a
+   numeric key between its minimum and maximum (two scalar subqueries);
+2. ``row_number`` runs per (group, bucket), so a hot group spreads over many
+   tasks;
+3. the rows per (group, bucket) are counted (map-side combined) and
+   prefix-summed over the bucket order — at most groups × buckets rows —
+   and joined back as offsets (AQE broadcasts them when small).
+
+Everything is a deterministic expression of the row, so a lost executor's
+tasks recompute the same positions (no sampled range bounds, no
+nondeterministic ids).  The order columns must be unique inside a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexiflow.session import shuffle_partitions
 
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def md5_bucket(hex_col, buckets: int) -> Column:
+    """Bucket of a hex md5 string from its first 8 hex digits (uniform, monotone)."""
+    top = F.conv(F.substring(hex_col, 1, 8), 16, 10).cast("long")
+    return F.floor(top.cast("double") * F.lit(float(buckets)) / F.lit(4294967296.0)).cast("int")
+
+
+def range_bucket(df: DataFrame, col: str, buckets: int) -> Column:
+    """Bucket of a numeric column from its position between min and max."""
+    stats = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
+    lo = stats.select("lo").scalar()
+    hi = stats.select("hi").scalar()
+    span = hi - lo + F.lit(1.0)
+    b = F.floor((F.col(col).cast("double") - lo) * F.lit(float(buckets)) / span).cast("int")
+    return F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))
+
 
 def row_index(
     df: DataFrame,
     order_cols: Sequence,
     group_cols: Sequence[str] = (),
     name: str = "pos",
-    num_partitions: int | None = None,
+    bucket: Column | None = None,
+    num_buckets: int | None = None,
 ) -> DataFrame:
     """Add ``name``: 0-based position of each row inside its ``group_cols`` group
-    in ``order_cols`` order (ascending; pass Column objects for descending)."""
+    in ``order_cols`` order (ascending, nulls first).  ``bucket`` must be
+    non-decreasing along that order within a group; by default it is derived
+    from the first order column when it is numeric (else one bucket)."""
     group_cols = list(group_cols)
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    keys = [F.col(c) for c in group_cols] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    tagged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    counts = tagged.groupBy("_pid", *group_cols).agg(F.min("_mid").alias("_base"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_pid", *group_cols, "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
-    )
-    joined = tagged.join(offsets, on=["_pid", *group_cols], how="inner")
-    return joined.withColumn(name, F.col("_mid") - F.col("_base") + F.col("_off")).drop("_pid", "_mid", "_base", "_off")
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    nb = num_buckets or 4 * shuffle_partitions(df.sparkSession)
+    if bucket is None:
+        first = order_cols[0]
+        if isinstance(first, str) and isinstance(df.schema[first].dataType, _NUMERIC):
+            bucket = range_bucket(df, first, nb)
+        else:
+            bucket = F.lit(0)
+    x = df.withColumn("_b", bucket)
+    w = Window.partitionBy(*group_cols, "_b").orderBy(*order)
+    ranked = x.withColumn("_r", F.row_number().over(w) - F.lit(1))
+    counts = x.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group_cols, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    joined = ranked.join(offsets, on=[*group_cols, "_b"], how="inner")
+    return joined.withColumn(name, (F.col("_r") + F.col("_off")).cast("long")).drop("_b", "_r", "_off")

@@ -170,7 +170,7 @@ def rouge_all(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequ
     pt, rt = rouge_tokens(col_(pred)), rouge_tokens(col_(ref))
     ps = F.transform(rouge_sentences(col_(pred)), lambda s: rouge_tokens(s))
     rs = F.transform(rouge_sentences(col_(ref)), lambda s: rouge_tokens(s))
-    x = keyed.select(*id_cols, pt.alias("_p"), rt.alias("_r"), ps.alias("_ps"), rs.alias("_rs"))
+    x = keyed.select(*id_cols, pt.alias("_p"), rt.alias("_r"), ps.alias("_ps"), rs.alias("_rs"))  # carry comes from rn
     x = x.select(
         *id_cols,
         _f(lcs.lcs_length(F.col("_p"), F.col("_r")), F.size("_p"), F.size("_r")).alias("rougeL"),

@@ -1,15 +1,25 @@
 """Query catalogue: one Spark builder and (where SQL can say it) one DuckDB twin per query.
 
-Every builder takes ``(spark, sf_dir)`` and reads the whole driver tables.
+Every builder takes ``(spark, sf_dir)``, reads the whole driver tables and
+returns a DataFrame; arrays are emitted as space-joined strings and metrics
+rounded to 6 decimals so both engines print the same values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lexiflow.functions.text import PY_WHITESPACE
+from lexiflow.operators import batching as bt
+from lexiflow.operators import losses as ls
 from lexiflow.operators import overlap as ov
+from lexiflow.operators import prep
+from lexiflow.operators import runs as rn
+from lexiflow.operators.ordering import row_index
+from lexiflow.plans import jobs
 from lexiflow.plans import oracle as o
 from lexiflow.sources import fixtures as fx
 
@@ -28,10 +38,594 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# --- overlap metrics -----------------------------------------------------------
+def ids_str(c) -> Column:
+    return F.array_join((F.col(c) if isinstance(c, str) else c).cast("array<string>"), " ")
+
+
+def r6(c) -> Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def n_(c) -> Column:
+    return F.size(c).cast("long")
+
+
+# Run configurations (fixed values of the two reference runs)
+SUM_MAX_IN, SUM_MAX_OUT, SUM_BATCH = 512, 256, 4       # summarisation
+TR_MAX_SRC, TR_MAX_TGT, TR_BATCH = 170, 170, 8        # translation
+SMOOTHING = 0.1
+WORLD = 4
+
+
+# =============================================================================
+# Spark-side building blocks
+# =============================================================================
+
+def encoded_records(spark, sf_dir, truncate: bool = True) -> DataFrame:
+    r = fx.records(spark, sf_dir)
+    v = fx.vocab(spark, sf_dir)
+    e = prep.encode(r, {"document": "input_ids", "summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], vocab_rows=fx.VOCAB_SIZE)
+    if truncate:
+        e = prep.truncate_ids(e, "input_ids", SUM_MAX_IN)
+        e = prep.truncate_ids(e, "output_ids", SUM_MAX_OUT)
+    return e
+
+
+def summarisation_batches(spark, sf_dir) -> DataFrame:
+    e = encoded_records(spark, sf_dir)
+    e = bt.shuffle_rows(e, key="row_id", group_cols=["split"])
+    e = bt.assign_batches(e, SUM_BATCH)
+    e = prep.mask_from_length(e, "input_ids", "input_mask")
+    return bt.pad_batch(e, {"input_ids": fx.PAD_ID, "output_ids": fx.PAD_ID, "input_mask": 0})
+
+
+def encoded_pairs(spark, sf_dir) -> DataFrame:
+    p = fx.pairs(spark, sf_dir)
+    v = fx.vocab(spark, sf_dir)
+    return prep.encode(p, {"src": "src_ids", "tgt": "tgt_ids"}, v, key_cols=["line_no"], carry=["split"], vocab_rows=fx.VOCAB_SIZE, strip=True)
+
+
+def pair_rank_order(spark, sf_dir) -> DataFrame:
+    """Pairs in line order with a batch of 4 (evaluation order, no shuffle)."""
+    p = fx.pairs(spark, sf_dir)
+    p = row_index(p, ["line_no"], group_cols=[], name="pos")
+    return bt.assign_batches(p, SUM_BATCH)
+
+
+# =============================================================================
+# SQL-side building blocks
+# =============================================================================
+
+ENC_RECORDS = o.encode_sql(o.RECORDS, "row_id", ["split"], {"document": "input_ids", "summary": "output_ids"})
+ENC_RECORDS_T = f"""SELECT row_id, split, {o.truncate_sql('input_ids', SUM_MAX_IN)} AS input_ids,
+       {o.truncate_sql('output_ids', SUM_MAX_OUT)} AS output_ids FROM {ENC_RECORDS}"""
+SHUFFLED = f"""SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('{fx.SEED}:' || CAST(row_id AS VARCHAR)), row_id) - 1 AS pos
+FROM ({ENC_RECORDS_T})"""
+BATCHED = f"""SELECT *, pos // {SUM_BATCH} AS batch_id, list_transform(input_ids, lambda x: 1) AS input_mask FROM ({SHUFFLED})"""
+PADDED = f"""SELECT split, row_id, pos, batch_id,
+  list_resize(input_ids, max(len(input_ids)) OVER (PARTITION BY split, batch_id), {fx.PAD_ID}) AS input_ids,
+  list_resize(output_ids, max(len(output_ids)) OVER (PARTITION BY split, batch_id), {fx.PAD_ID}) AS output_ids,
+  list_resize(input_mask, max(len(input_mask)) OVER (PARTITION BY split, batch_id), 0) AS input_mask
+FROM ({BATCHED})"""
+ENC_PAIRS = o.encode_sql(o.PAIRS, "line_no", ["split"], {"src": "src_ids", "tgt": "tgt_ids"}, strip_text=True)
+
+
+# =============================================================================
+# Sources, projections, filters (SRC-2/3, AGG-1/2, PRJ-1..8, FLT-1, JN-1)
+# =============================================================================
+
+@register("read_split_counts", f"""
+SELECT split, n_rows, round(CAST(n_rows AS DOUBLE) * 1.0 / 1.0 / 1.0 / {SUM_BATCH}.0, 6) AS run_steps FROM (
+  SELECT split, count(*) AS n_rows FROM ({o.RECORDS}) GROUP BY split
+  UNION ALL
+  SELECT 'train+validation' AS split, count(*) FILTER (WHERE split IN ('train', 'validation')) AS n_rows FROM ({o.RECORDS}))""")
+def q_read_split_counts(spark, sf_dir):
+    """SRC-2/3 + AGG-1/2: rows per split, and the train+validation size that sizes the run."""
+    r = fx.records(spark, sf_dir)
+    per = prep.dataset_size(r)
+    both = prep.dataset_size(r, splits=["train", "validation"]).select(F.lit("train+validation").alias("split"), "n_rows")
+    out = per.unionByName(both)
+    return out.select("split", "n_rows", r6(prep.run_steps_expr("n_rows", 1, 1, 1, SUM_BATCH)).alias("run_steps"))
+
+
+_PAD_WS = "\t \n　\x1c"
+
+
+@register("strip_text", f"""
+SELECT row_id, CAST(length(s) AS BIGINT) AS n_chars, md5(s) AS text_md5, CAST(s = document AS BOOLEAN) AS unchanged
+FROM (SELECT row_id, document, {o.strip(f"({o.q(_PAD_WS)} || document || {o.q(_PAD_WS[::-1])})")} AS s FROM ({o.RECORDS}))""")
+def q_strip_text(spark, sf_dir):
+    """PRJ-1: documents wrapped in Unicode whitespace, then stripped."""
+    r = fx.records(spark, sf_dir)
+    w = r.select("row_id", "document", F.concat(F.lit(_PAD_WS), "document", F.lit(_PAD_WS[::-1])).alias("padded"))
+    s = prep.strip_text(w, ["padded"])
+    return s.select("row_id", F.length("padded").cast("long").alias("n_chars"), F.md5("padded").alias("text_md5"),
+                    (F.col("padded") == F.col("document")).alias("unchanged"))
+
+
+@register("pair_sides", f"""
+SELECT u.split, u.line_no, u.src, a.tgt
+FROM (SELECT {o.split_of('conv_id')} AS split, conv_id * 100 + turn AS line_no, text AS src FROM conversations WHERE role = 'user') u
+JOIN (SELECT {o.split_of('conv_id')} AS split, conv_id * 100 + turn - 1 AS line_no, text AS tgt FROM conversations WHERE role = 'assistant') a
+  ON a.split = u.split AND a.line_no = u.line_no""")
+def q_pair_sides(spark, sf_dir):
+    """JN-1: source lines and target lines keyed by (split, line_no), paired by an equi join."""
+    conv = fx.table(spark, sf_dir, "conversations")
+    src = conv.where(F.col("role") == "user").select(fx.split_of("conv_id").alias("split"), (F.col("conv_id") * 100 + F.col("turn")).alias("line_no"), F.col("text").alias("src"))
+    tgt = conv.where(F.col("role") == "assistant").select(fx.split_of("conv_id").alias("split"), (F.col("conv_id") * 100 + F.col("turn") - 1).alias("line_no"), F.col("text").alias("tgt"))
+    return prep.pair_sides(src, tgt)
+
+
+@register("encode_ids", f"""
+SELECT row_id, split, len(input_ids) AS n_input, {o.ids_str('input_ids')} AS input_ids,
+       len(output_ids) AS n_output, {o.ids_str('output_ids')} AS output_ids FROM {ENC_RECORDS}""")
+def q_encode_ids(spark, sf_dir):
+    """PRJ-2 + JN-3: whole documents and summaries to id arrays (begin/end ids, unknown id)."""
+    e = encoded_records(spark, sf_dir, truncate=False)
+    return e.select("row_id", "split", n_("input_ids").alias("n_input"), ids_str("input_ids").alias("input_ids"),
+                    n_("output_ids").alias("n_output"), ids_str("output_ids").alias("output_ids"))
+
+
+@register("truncate_ids", f"""
+SELECT row_id, split, len(input_ids) AS n_input, {o.ids_str('input_ids')} AS input_ids,
+       len(output_ids) AS n_output, {o.ids_str('output_ids')} AS output_ids FROM ({ENC_RECORDS_T})""")
+def q_truncate_ids(spark, sf_dir):
+    """PRJ-3: encoding with truncation to 512 / 256 ids (special ids included)."""
+    e = encoded_records(spark, sf_dir, truncate=True)
+    return e.select("row_id", "split", n_("input_ids").alias("n_input"), ids_str("input_ids").alias("input_ids"),
+                    n_("output_ids").alias("n_output"), ids_str("output_ids").alias("output_ids"))
+
+
+_ENC_NO_BOS = o.encode_sql(o.RECORDS, "row_id", ["split"], {"summary": "output_ids"}, prefix=())
+
+
+@register("prepend_start", f"""
+SELECT row_id, split, len(ids) AS n_output, {o.ids_str('ids')} AS output_ids FROM (
+  SELECT row_id, split, list_concat([{fx.PAD_ID}]::INTEGER[], {o.truncate_sql('output_ids', SUM_MAX_OUT, 0, 1)}) AS ids FROM {_ENC_NO_BOS})""")
+def q_prepend_start(spark, sf_dir):
+    """PRJ-4: a tokenizer without a begin id: truncate, then put the pad id in front (length may be max + 1)."""
+    r = fx.records(spark, sf_dir)
+    v = fx.vocab(spark, sf_dir)
+    e = prep.encode(r, {"summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], prefix_ids=(), vocab_rows=fx.VOCAB_SIZE)
+    e = prep.truncate_ids(e, "output_ids", SUM_MAX_OUT, n_prefix=0, n_suffix=1)
+    e = prep.prepend_start(e, "output_ids", bos_id=None, pad_id=fx.PAD_ID)
+    return e.select("row_id", "split", n_("output_ids").alias("n_output"), ids_str("output_ids").alias("output_ids"))
+
+
+@register("length_filter", f"""
+SELECT split, line_no, len(src_ids) AS n_src, len(tgt_ids) AS n_tgt FROM {ENC_PAIRS}
+WHERE len(src_ids) <= {TR_MAX_SRC} AND len(tgt_ids) <= {TR_MAX_TGT}""")
+def q_length_filter(spark, sf_dir):
+    """FLT-1: keep a pair only if both encoded sides are within 170 ids (inclusive)."""
+    e = encoded_pairs(spark, sf_dir)
+    e = prep.filter_by_length(e, {"src_ids": TR_MAX_SRC, "tgt_ids": TR_MAX_TGT})
+    return e.select("split", "line_no", n_("src_ids").alias("n_src"), n_("tgt_ids").alias("n_tgt"))
+
+
+@register("masks", f"""
+SELECT split, row_id, {o.ids_str('input_mask')} AS input_mask,
+  {o.ids_str(f"list_transform(input_ids, lambda x: CASE WHEN x <> {fx.PAD_ID} THEN 1 ELSE 0 END)")} AS input_pad_mask,
+  {o.ids_str(f"list_transform(output_ids[1:len(output_ids) - 1], lambda x: CASE WHEN x <> {fx.PAD_ID} THEN 'true' ELSE 'false' END)")} AS decoder_mask
+FROM ({PADDED})""")
+def q_masks(spark, sf_dir):
+    """PRJ-5/6: mask from length (padded with 0), mask from the pad id (int), decoder mask (boolean)."""
+    b = summarisation_batches(spark, sf_dir)
+    b = prep.mask_from_pad(b, "input_ids", "input_pad_mask")
+    b = prep.shift_targets(b, "output_ids")
+    b = prep.mask_from_pad(b, "decoder_ids", "decoder_mask", as_bool=True)
+    return b.select("split", "row_id", ids_str("input_mask").alias("input_mask"), ids_str("input_pad_mask").alias("input_pad_mask"),
+                    ids_str("decoder_mask").alias("decoder_mask"))
+
+
+@register("shift_targets", f"""
+SELECT split, row_id, {o.ids_str('output_ids[1:len(output_ids) - 1]')} AS decoder_ids,
+       {o.ids_str('output_ids[2:len(output_ids)]')} AS labels FROM ({PADDED})""")
+def q_shift_targets(spark, sf_dir):
+    """PRJ-7: decoder input and labels from the padded target rows."""
+    b = prep.shift_targets(summarisation_batches(spark, sf_dir), "output_ids")
+    return b.select("split", "row_id", ids_str("decoder_ids").alias("decoder_ids"), ids_str("labels").alias("labels"))
+
+
+@register("decode_text", f"""
+SELECT row_id, split, text FROM {o.decode_sql(ENC_RECORDS, 'row_id', 'output_ids', 'text', ('split',))}""")
+def q_decode_text(spark, sf_dir):
+    """PRJ-8 + FLT-3: encoded summaries back to text, special and unknown ids skipped."""
+    e = encoded_records(spark, sf_dir, truncate=False)
+    return prep.decode(e, "output_ids", fx.vocab(spark, sf_dir), key_cols=["row_id"], out="text", vocab_rows=fx.VOCAB_SIZE, carry=["split"])
+
+
+# =============================================================================
+# Ordering, batching (WIN-1..4, SET-2, CHK-3, AGG-14, TOP-2)
+# =============================================================================
+
+@register("shuffle_order", f"SELECT split, row_id, pos FROM ({SHUFFLED})")
+def q_shuffle_order(spark, sf_dir):
+    """WIN-3: seeded shuffle of every split (md5 order), as positions inside the split."""
+    r = fx.records(spark, sf_dir)
+    return bt.shuffle_rows(r, key="row_id", group_cols=["split"]).select("split", "row_id", "pos")
+
+
+_PAIR_POS = f"""SELECT split, line_no, row_number() OVER (PARTITION BY split ORDER BY
+    CASE WHEN split = 'train' THEN md5('{fx.SEED}:' || CAST(line_no AS VARCHAR)) END NULLS FIRST, line_no) - 1 AS pos
+FROM ({o.PAIRS})"""
+
+
+@register("batches", f"SELECT split, line_no, pos, pos // {TR_BATCH} AS batch_id FROM ({_PAIR_POS})")
+def q_batches(spark, sf_dir):
+    """WIN-1: translation loader order — train shuffled, other splits in line order — in batches of 8."""
+    p = fx.pairs(spark, sf_dir)
+    p = bt.shuffle_rows(p, key="line_no", group_cols=["split"], splits=["train"])
+    return bt.assign_batches(p, TR_BATCH).select("split", "line_no", "pos", "batch_id")
+
+
+@register("rank_shards", f"""
+SELECT split, line_no, copy, CAST((pos + copy * n) % {WORLD} AS INTEGER) AS rank, (pos + copy * n) // {WORLD} AS local_pos
+FROM (SELECT *, unnest(generate_series(0, (CAST(ceil(n / {WORLD}.0) AS BIGINT) * {WORLD} - 1 - pos) // n)) AS copy
+      FROM (SELECT *, count(*) OVER (PARTITION BY split) AS n FROM ({_PAIR_POS})))""")
+def q_rank_shards(spark, sf_dir):
+    """WIN-4 + SET-2: distributed-sampler shards over 4 ranks, head rows repeated to even out."""
+    p = fx.pairs(spark, sf_dir)
+    p = bt.shuffle_rows(p, key="line_no", group_cols=["split"], splits=["train"])
+    s = bt.shard_rows(p, WORLD)
+    return s.select("split", "line_no", "copy", "rank", "local_pos")
+
+
+@register("padded_batches", f"""
+SELECT split, row_id, batch_id, {o.ids_str('input_ids')} AS input_ids, {o.ids_str('output_ids')} AS output_ids,
+       {o.ids_str('input_mask')} AS input_mask FROM ({PADDED})""")
+def q_padded_batches(spark, sf_dir):
+    """WIN-2: ids padded with the pad id and masks with 0 to the longest row of each batch."""
+    b = summarisation_batches(spark, sf_dir)
+    return b.select("split", "row_id", "batch_id", ids_str("input_ids").alias("input_ids"),
+                    ids_str("output_ids").alias("output_ids"), ids_str("input_mask").alias("input_mask"))
+
+
+@register("pad_id_inferred", f"""
+SELECT split, batch_id, CAST(CASE WHEN last_id = 2 THEN 1 WHEN last_id = 1 THEN 0 END AS INTEGER) AS pad_id
+FROM (SELECT split, batch_id, arg_min(input_ids[len(input_ids)], pos) AS last_id FROM ({BATCHED}) GROUP BY split, batch_id)""")
+def q_pad_id_inferred(spark, sf_dir):
+    """CHK-3: pad id guessed from the last id of each batch's first row (before padding)."""
+    e = encoded_records(spark, sf_dir)
+    e = bt.assign_batches(bt.shuffle_rows(e, key="row_id", group_cols=["split"]), SUM_BATCH)
+    return bt.infer_pad_id(e, "input_ids")
+
+
+@register("batch_volume", f"""
+SELECT split, batch_id, count(*) AS n_rows,
+  count(*) * max(len(input_ids)) AS input_ids_volume,
+  round(1.0 - sum(len(input_ids)) / (count(*) * max(len(input_ids)))::DOUBLE, 6) AS input_ids_pad_share,
+  count(*) * max(len(output_ids)) AS output_ids_volume,
+  round(1.0 - sum(len(output_ids)) / (count(*) * max(len(output_ids)))::DOUBLE, 6) AS output_ids_pad_share
+FROM ({BATCHED}) GROUP BY split, batch_id""")
+def q_batch_volume(spark, sf_dir):
+    """AGG-14: padded elements per batch and column, and the padding share."""
+    e = encoded_records(spark, sf_dir)
+    e = bt.assign_batches(bt.shuffle_rows(e, key="row_id", group_cols=["split"]), SUM_BATCH)
+    v = bt.batch_volume(e, ["input_ids", "output_ids"])
+    return v.select("split", "batch_id", "n_rows", "input_ids_volume", r6("input_ids_pad_share").alias("input_ids_pad_share"),
+                    "output_ids_volume", r6("output_ids_pad_share").alias("output_ids_pad_share"))
+
+
+@register("first_batches", f"SELECT split, row_id, batch_id FROM ({BATCHED}) WHERE batch_id < 2")
+def q_first_batches(spark, sf_dir):
+    """TOP-2: the two sanity-check batches of each split."""
+    e = bt.assign_batches(bt.shuffle_rows(fx.records(spark, sf_dir), key="row_id", group_cols=["split"]), SUM_BATCH)
+    return bt.limit_batches(e, 2).select("split", "row_id", "batch_id")
+
+
+# =============================================================================
+# Scores and losses (PRJ-9..11, FLT-2, AGG-3..7)
+# =============================================================================
+
+_LSE = "(list_max(scores) + ln(list_sum(list_transform(scores, lambda v: exp(v - list_max(scores))))))"
+_SC = f"SELECT *, {_LSE} AS lse FROM ({o.SCORES})"
+
+
+@register("argmax_class", f"""
+SELECT example, CAST(list_position(scores, list_max(scores)) - 1 AS INTEGER) AS pred, label FROM ({o.SCORES})""")
+def q_argmax_class(spark, sf_dir):
+    """PRJ-9: predicted class per position (first index on ties)."""
+    return ls.argmax_class(fx.scores(spark, sf_dir)).select("example", "pred", "label")
+
+
+@register("log_softmax_label", f"""
+SELECT example, round(lse, 6) AS lse, round(scores[label + 1] - lse, 6) AS lp_label,
+       round(list_sum(list_transform(scores, lambda v: exp(v - lse))), 6) AS prob_sum FROM ({_SC})""")
+def q_log_softmax_label(spark, sf_dir):
+    """PRJ-10/11: log-sum-exp, log p(label), and the probabilities summing to one."""
+    s = ls.log_softmax(fx.scores(spark, sf_dir))
+    lp = ls.log_softmax_expr("scores")
+    return s.select("example", r6("lse").alias("lse"), r6("lp_label").alias("lp_label"),
+                    r6(F.aggregate(lp, F.lit(0.0), lambda a, v: a + F.exp(v))).alias("prob_sum"))
+
+
+@register("token_accuracy", f"""
+SELECT batch_id, round(avg(CAST(list_position(scores, list_max(scores)) - 1 = label AS DOUBLE)), 6) AS accuracy
+FROM ({o.SCORES}) GROUP BY batch_id""")
+def q_token_accuracy(spark, sf_dir):
+    """AGG-3: per-batch accuracy, padding positions counted."""
+    a = ls.token_accuracy(fx.scores(spark, sf_dir))
+    return a.select("batch_id", r6("accuracy").alias("accuracy"))
+
+
+@register("cross_entropy", f"""
+SELECT batch_id, round(sum(lse - scores[label + 1]) FILTER (WHERE label <> {fx.PAD_ID}) / count(*) FILTER (WHERE label <> {fx.PAD_ID}), 6) AS loss
+FROM ({_SC}) GROUP BY batch_id""")
+def q_cross_entropy(spark, sf_dir):
+    """AGG-4 + FLT-2: per-batch cross-entropy, positions labelled with the pad id ignored."""
+    c = ls.cross_entropy(fx.scores(spark, sf_dir), ignore=fx.PAD_ID)
+    return c.select("batch_id", r6("loss").alias("loss"))
+
+
+_LS = f"""SELECT batch_id, rank,
+  sum(lse - scores[label + 1]) FILTER (WHERE label <> {fx.PAD_ID}) / count(*) FILTER (WHERE label <> {fx.PAD_ID}) AS nll,
+  sum(len(scores) * lse - list_sum(scores)) FILTER (WHERE label <> {fx.PAD_ID}) / count(*) FILTER (WHERE label <> {fx.PAD_ID}) AS smooth,
+  max(len(scores)) AS v, avg(CAST(list_position(scores, list_max(scores)) - 1 = label AS DOUBLE)) AS accuracy
+FROM ({_SC}) GROUP BY batch_id, rank"""
+_LS_LOSS = f"SELECT batch_id, rank, (1.0 - {SMOOTHING}) * nll + ({SMOOTHING} / v) * smooth AS loss, nll AS nll_loss, accuracy FROM ({_LS})"
+
+
+@register("label_smoothed", f"SELECT batch_id, round(loss, 6) AS loss, round(nll_loss, 6) AS nll_loss FROM ({_LS_LOSS})")
+def q_label_smoothed(spark, sf_dir):
+    """AGG-5: label-smoothed loss (ε = 0.1) and its NLL part per batch."""
+    s = ls.label_smoothed_nll(fx.scores(spark, sf_dir), SMOOTHING, ignore=fx.PAD_ID)
+    return s.select("batch_id", r6("loss").alias("loss"), r6("nll_loss").alias("nll_loss"))
+
+
+def _batch_table(spark, sf_dir) -> DataFrame:
+    s = fx.scores(spark, sf_dir)
+    loss = ls.label_smoothed_nll(s, SMOOTHING, by=["batch_id", "rank"], ignore=fx.PAD_ID).drop("nll_loss")
+    acc = ls.token_accuracy(s, by=["batch_id", "rank"])
+    return loss.join(acc, on=["batch_id", "rank"])
+
+
+@register("batch_mean_loss", f"""
+SELECT round(avg(loss), 6) AS vloss, round(avg(accuracy), 6) AS vaccuracy, count(*) AS n_batches FROM ({_LS_LOSS})""")
+def q_batch_mean_loss(spark, sf_dir):
+    """AGG-6: epoch loss/accuracy as the unweighted mean of batch values."""
+    b = _batch_table(spark, sf_dir)
+    m = ls.mean_of_batches(b, ["loss", "accuracy"])
+    n = b.agg(F.count(F.lit(1)).alias("n_batches"))
+    return m.select(r6("loss").alias("vloss"), r6("accuracy").alias("vaccuracy"), n.scalar().alias("n_batches"))
+
+
+@register("rank_mean_loss", f"""
+SELECT round(avg(loss), 6) AS vloss, round(avg(accuracy), 6) AS vaccuracy
+FROM (SELECT rank, avg(loss) AS loss, avg(accuracy) AS accuracy FROM ({_LS_LOSS}) GROUP BY rank)""")
+def q_rank_mean_loss(spark, sf_dir):
+    """AGG-7: per-rank batch means, then the mean over ranks (sum ÷ world)."""
+    m = ls.mean_of_batches(_batch_table(spark, sf_dir), ["loss", "accuracy"], rank_col="rank")
+    return m.select(r6("loss").alias("vloss"), r6("accuracy").alias("vaccuracy"))
+
+
+# =============================================================================
+# Overlap metrics (AGG-8..13, JN-2, JN-4, SET-1)
+# =============================================================================
 
 @register("corpus_bleu", o.bleu_sql(o.PAIRS, "line_no", "src", "tgt"))
 def q_corpus_bleu(spark, sf_dir):
     """AGG-8 + JN-4: corpus BLEU of user turns (prediction) against the next assistant turn (reference)."""
     p = fx.pairs(spark, sf_dir)
     return ov.corpus_bleu(p, pred="src", ref="tgt", id_cols=["line_no"])
+
+
+@register("bleu_by_split", o.bleu_sql(o.PAIRS, "line_no", "src", "tgt", by="split"))
+def q_bleu_by_split(spark, sf_dir):
+    """AGG-8 grouped: one corpus BLEU per split."""
+    p = fx.pairs(spark, sf_dir)
+    return ov.corpus_bleu(p, pred="src", ref="tgt", id_cols=["line_no"], by=["split"])
+
+
+@register("rouge_n", f"SELECT line_no, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM {o.rouge_n_sql(o.PAIRS, 'line_no', 'src', 'tgt')}")
+def q_rouge_n(spark, sf_dir):
+    """AGG-9: ROUGE-1 and ROUGE-2 F per conversation pair (whole turns)."""
+    r = ov.rouge_n(fx.pairs(spark, sf_dir), pred="src", ref="tgt", id_cols=["line_no"])
+    return r.select("line_no", r6("rouge1").alias("rouge1"), r6("rouge2").alias("rouge2"))
+
+
+@register("rouge_n_docs", f"SELECT pair_id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM {o.rouge_n_sql(o.DOC_PAIRS, 'pair_id', 'pred', 'ref')}")
+def q_rouge_n_docs(spark, sf_dir):
+    """AGG-9 on whole documents: document i scored against document i+1."""
+    r = ov.rouge_n(fx.doc_pairs(spark, sf_dir), id_cols=["pair_id"])
+    return r.select("pair_id", r6("rouge1").alias("rouge1"), r6("rouge2").alias("rouge2"))
+
+
+_LCS_PAIRS = o.lcs_sql(f"SELECT line_no, src, tgt FROM ({o.PAIRS})", "line_no", o.rouge_tok("src"), o.rouge_tok("tgt"))
+
+
+@register("rouge_l", f"SELECT line_no, round({o.f_measure('lcs', 'na', 'nb')}, 6) AS rougeL FROM {_LCS_PAIRS}")
+def q_rouge_l(spark, sf_dir):
+    """AGG-10: ROUGE-L F per conversation pair (bit-parallel LCS in an Arrow UDF)."""
+    r = ov.rouge_l(fx.pairs(spark, sf_dir), pred="src", ref="tgt", id_cols=["line_no"])
+    return r.select("line_no", r6("rougeL").alias("rougeL"))
+
+
+@register("rouge_l_docs")
+def q_rouge_l_docs(spark, sf_dir):
+    """AGG-10 on whole documents (no SQL twin: a DP table per document pair is
+    too slow in SQL; pytest checks it against a plain dynamic programme)."""
+    r = ov.rouge_l(fx.doc_pairs(spark, sf_dir), id_cols=["pair_id"])
+    return r.select("pair_id", r6("rougeL").alias("rougeL"))
+
+
+@register("rouge_lsum")
+def q_rouge_lsum(spark, sf_dir):
+    """AGG-11: summary-level ROUGE-L (newline sentences, union LCS) per pair; pytest-checked."""
+    r = ov.rouge_lsum(fx.pairs(spark, sf_dir), pred="src", ref="tgt", id_cols=["line_no"])
+    return r.select("line_no", r6("rougeLsum").alias("rougeLsum"))
+
+
+@register("rouge_epoch")
+def q_rouge_epoch(spark, sf_dir):
+    """AGG-12: batch means (4 pairs per batch, line order) of the four ROUGE scores, then their mean."""
+    p = pair_rank_order(spark, sf_dir)
+    scores = ov.rouge_all(p, pred="src", ref="tgt", id_cols=["line_no"])
+    per = scores.join(p.select("line_no", "batch_id"), on="line_no")
+    e = ov.rouge_epoch(per)
+    return e.select(*[r6(c).alias(c) for c in ov.ROUGE_COLS])
+
+
+_R12 = o.rouge_n_sql(o.PAIRS, "line_no", "src", "tgt")
+_AVG_ROUGE = f"""
+WITH b AS (SELECT line_no, (row_number() OVER (ORDER BY line_no) - 1) // {SUM_BATCH} AS batch_id FROM ({o.PAIRS})),
+s AS (SELECT b.batch_id, r.rouge1, r.rouge2, {o.f_measure('l.lcs', 'l.na', 'l.nb')} AS rougeL
+      FROM b JOIN {_R12} r ON r.line_no = b.line_no JOIN {_LCS_PAIRS} l ON l.line_no = b.line_no),
+m AS (SELECT avg(rouge1) AS rouge1, avg(rouge2) AS rouge2, avg(rougeL) AS rougeL
+      FROM (SELECT batch_id, avg(rouge1) AS rouge1, avg(rouge2) AS rouge2, avg(rougeL) AS rougeL FROM s GROUP BY batch_id))
+SELECT round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, round(rougeL, 6) AS rougeL,
+       round((rouge1 + rouge2 + rougeL) / 3.0, 6) AS average_rouge FROM m"""
+
+
+@register("average_rouge", _AVG_ROUGE)
+def q_average_rouge(spark, sf_dir):
+    """AGG-13: (ROUGE-1 + ROUGE-2 + ROUGE-L) / 3 of the epoch means (Lsum left out)."""
+    p = pair_rank_order(spark, sf_dir)
+    r12 = ov.rouge_n(p, pred="src", ref="tgt", id_cols=["line_no"], carry=["batch_id"])
+    rl = ov.rouge_l(p, pred="src", ref="tgt", id_cols=["line_no"])
+    per = r12.join(rl, on="line_no")
+    e = ov.rouge_epoch(per, cols=["rouge1", "rouge2", "rougeL"])
+    a = ov.average_rouge(e)
+    return a.select(*[r6(c).alias(c) for c in ("rouge1", "rouge2", "rougeL", "average_rouge")])
+
+
+@register("concat_outputs", f"SELECT split, line_no, tgt AS ref, src AS pred FROM ({o.PAIRS})")
+def q_concat_outputs(spark, sf_dir):
+    """SET-1 + JN-2: per split, references paired with predictions by id, then all splits appended."""
+    p = fx.pairs(spark, sf_dir)
+    parts = []
+    for split in ("train", "validation", "test"):
+        s = p.where(F.col("split") == split)
+        parts.append(ov.pair_predictions(s.select("split", "line_no", F.col("tgt").alias("ref")),
+                                         s.select("split", "line_no", F.col("src").alias("pred")), keys=["split", "line_no"]))
+    return ov.concat_outputs(*parts)
+
+
+# =============================================================================
+# Run analytics (TOP-1, AGG-15, PRJ-12, PRJ-13)
+# =============================================================================
+
+METRICS = ["click", "error", "purchase", "signup", "view"]
+
+
+def _best_sql(metric: str, mode: str, k: int) -> str:
+    order = "value DESC" if mode == "max" else "value ASC"
+    return f"""
+SELECT run, CAST(rk AS INTEGER) AS rank, epoch, value FROM (
+  SELECT run, epoch, value, row_number() OVER (PARTITION BY run ORDER BY {order}, epoch) AS rk
+  FROM ({o.RUN_METRICS}) WHERE metric = '{metric}' AND value IS NOT NULL) WHERE rk <= {k}"""
+
+
+@register("best_checkpoint_max", _best_sql("purchase", "max", 1))
+def q_best_checkpoint_max(spark, sf_dir):
+    """TOP-1, mode max (a score such as BLEU): best epoch per run, earliest on ties."""
+    return rn.best_checkpoint(fx.run_metrics(spark, sf_dir), "purchase", "max")
+
+
+@register("best_checkpoint_min", _best_sql("error", "min", 1))
+def q_best_checkpoint_min(spark, sf_dir):
+    """TOP-1, mode min (a loss)."""
+    return rn.best_checkpoint(fx.run_metrics(spark, sf_dir), "error", "min")
+
+
+@register("best_checkpoint_top3", _best_sql("click", "max", 3))
+def q_best_checkpoint_top3(spark, sf_dir):
+    """TOP-1 with k = 3 (two-level top-k)."""
+    return rn.best_checkpoint(fx.run_metrics(spark, sf_dir), "click", "max", k=3)
+
+
+_PIVOT = ", ".join(f"max(value) FILTER (WHERE metric = '{m}') AS {m}" for m in METRICS)
+_COMPARE = f"""SELECT run, {_PIVOT} FROM ({o.RUN_METRICS}) GROUP BY run"""
+
+
+@register("compare_runs", f"""
+SELECT run, {', '.join(METRICS)}, view * (CAST(1 AS DOUBLE) / 60) AS view_minutes, click * CAST(1e-6 AS DOUBLE) AS click_millions,
+       purchase * CAST(100 AS DOUBLE) AS purchase_pct FROM ({_COMPARE})""")
+def q_compare_runs(spark, sf_dir):
+    """AGG-15 + PRJ-13: one row per run, one column per metric, plus unit-scaled columns."""
+    w = rn.compare_runs(fx.run_metrics(spark, sf_dir), METRICS)
+    w = rn.scale_units(w, {"view_minutes": ("view", 1 / 60), "click_millions": ("click", 1e-6), "purchase_pct": ("purchase", 100.0)})
+    return w.select("run", *METRICS, "view_minutes", "click_millions", "purchase_pct")  # exact IEEE products, no rounding
+
+
+@register("metric_long", f"""
+SELECT run, metric, value FROM (
+  SELECT run, unnest(['click', 'error', 'purchase', 'signup', 'view']) AS metric,
+         unnest([{', '.join(METRICS)}]) AS value FROM ({_COMPARE}))""")
+def q_metric_long(spark, sf_dir):
+    """PRJ-12: the wide comparison row back to (name, value) rows, shortest list wins."""
+    w = rn.compare_runs(fx.run_metrics(spark, sf_dir), METRICS)
+    return rn.metric_long(w, METRICS)
+
+
+# =============================================================================
+# Inference and jobs (UDF-1/2, JOB-1..3)
+# =============================================================================
+
+_LAST_ID = f"(SELECT max(id) FROM ({o.VOCAB}))"
+
+
+def _stub_text_sql(rel_with_ids: str, key: str, ids_col: str, max_len: int, carry=()) -> str:
+    """SQL of the stub generator + decode: non-special ids -> next vocabulary id, first max_len-2 kept."""
+    succ = f"list_transform(list_filter({ids_col}, lambda i: NOT list_contains({o.int_list(fx.SPECIAL_IDS)}, i))[1:{max_len - 2}], lambda i: CASE WHEN i >= {_LAST_ID} THEN {fx.FIRST_TOKEN_ID} ELSE i + 1 END)"
+    carry_sel = "".join(f"{c}, " for c in carry)
+    gen = f"SELECT {key}, {carry_sel}list_concat([0]::INTEGER[], {succ}, [{fx.EOS_ID}]::INTEGER[]) AS gen FROM ({rel_with_ids})"
+    return o.decode_sql(gen, key, "gen", "text", tuple(carry))
+
+
+@register("infer_text", f"SELECT row_id, split, text FROM {_stub_text_sql(ENC_RECORDS_T, 'row_id', 'input_ids', SUM_MAX_OUT, ('split',))}")
+def q_infer_text(spark, sf_dir):
+    """UDF-2: truncate/encode -> mask -> stub generate (mapInPandas) -> decode, for every document."""
+    v = fx.vocab(spark, sf_dir)
+    r = fx.records(spark, sf_dir).select("row_id", "split", "document")
+    return jobs.infer_text(r, "document", v, jobs.stub_factory(v), key_cols=["row_id"], carry=["split"],
+                           max_input=SUM_MAX_IN, max_len=SUM_MAX_OUT, vocab_rows=fx.VOCAB_SIZE).select("row_id", "split", "text")
+
+
+_TR_KEPT = f"SELECT * FROM {ENC_PAIRS} WHERE len(src_ids) <= {TR_MAX_SRC} AND len(tgt_ids) <= {TR_MAX_TGT}"
+_TR_TEXT = f"""SELECT g.line_no, g.split, g.text AS pred, r.text AS ref
+FROM {_stub_text_sql(_TR_KEPT, 'line_no', 'src_ids', TR_MAX_TGT, ('split',))} g
+JOIN {o.decode_sql(_TR_KEPT, 'line_no', 'tgt_ids', 'text')} r ON r.line_no = g.line_no"""
+
+
+@register("evaluate_translation", f"""
+SELECT b.*, l.vloss, l.vaccuracy FROM ({o.bleu_sql(_TR_TEXT, 'line_no', 'pred', 'ref')}) b,
+  (SELECT round(avg(loss), 6) AS vloss, round(avg(accuracy), 6) AS vaccuracy FROM ({_LS_LOSS})) l""")
+def q_evaluate_translation(spark, sf_dir):
+    """JOB-1: translation evaluation — filtered pairs, stub generation, decoded references and
+    predictions, corpus BLEU, with loss/accuracy means from the fixed class scores."""
+    v = fx.vocab(spark, sf_dir)
+    return jobs.evaluate_translation(fx.pairs(spark, sf_dir), v, jobs.stub_factory(v), fx.scores(spark, sf_dir),
+                                     max_src=TR_MAX_SRC, max_tgt=TR_MAX_TGT, epsilon=SMOOTHING, vocab_rows=fx.VOCAB_SIZE)
+
+
+@register("evaluate_summaries")
+def q_evaluate_summaries(spark, sf_dir):
+    """JOB-2: summarisation evaluation — truncated documents, stub generation, four ROUGE
+    scores per pair against the decoded summaries, batch means, average ROUGE, loss."""
+    v = fx.vocab(spark, sf_dir)
+    return jobs.evaluate_summaries(fx.records(spark, sf_dir), v, jobs.stub_factory(v), fx.scores(spark, sf_dir),
+                                   max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH, vocab_rows=fx.VOCAB_SIZE)
+
+
+_PREP = f"""
+WITH k AS ({_TR_KEPT}),
+s AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY
+        CASE WHEN split = 'train' THEN md5('{fx.SEED}:' || CAST(line_no AS VARCHAR)) END NULLS FIRST, line_no) - 1 AS pos FROM k),
+b AS (SELECT *, pos // {TR_BATCH} AS batch_id FROM s)
+SELECT split, batch_id, line_no,
+  {o.ids_str(f"list_resize(src_ids, max(len(src_ids)) OVER (PARTITION BY split, batch_id), {fx.PAD_ID})")} AS src_ids,
+  {o.ids_str("list_resize(list_transform(src_ids, lambda x: 1), max(len(src_ids)) OVER (PARTITION BY split, batch_id), 0)")} AS src_mask,
+  {o.ids_str(f"list_resize(tgt_ids, max(len(tgt_ids)) OVER (PARTITION BY split, batch_id), {fx.PAD_ID})")} AS tgt_ids,
+  {o.ids_str("list_resize(list_transform(tgt_ids, lambda x: 1), max(len(tgt_ids)) OVER (PARTITION BY split, batch_id), 0)")} AS tgt_mask
+FROM b"""
+
+
+@register("prepare_corpus", _PREP)
+def q_prepare_corpus(spark, sf_dir):
+    """JOB-3: raw pairs -> strip -> encode -> length filter -> shuffle (train) -> batches of 8 -> padded ids and masks."""
+    out = jobs.prepare_corpus(fx.pairs(spark, sf_dir), fx.vocab(spark, sf_dir), max_src=TR_MAX_SRC, max_tgt=TR_MAX_TGT,
+                              batch_size=TR_BATCH, shuffle_splits=["train"], vocab_rows=fx.VOCAB_SIZE)
+    return out.select("split", "batch_id", "line_no", *[ids_str(c).alias(c) for c in ("src_ids", "src_mask", "tgt_ids", "tgt_mask")])
+
+
+_ = PY_WHITESPACE  # re-exported for callers building their own strip queries

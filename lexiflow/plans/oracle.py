@@ -135,3 +135,91 @@ c AS (SELECT {keys}, n, gram, sum(h) AS ch, sum(1 - h) AS cr FROM g GROUP BY ALL
 s AS (SELECT {sel_by}{stats} FROM c {grp})
 SELECT {sel_by}round({bleu_formula(m, t, 'sys_len', 'ref_len')}, 6) AS bleu, {', '.join(m + t)}, sys_len, ref_len
 FROM s"""
+
+
+# --- encoding / decoding twins ---------------------------------------------------
+
+def ids_str(x: str) -> str:
+    return f"array_to_string({x}, ' ')"
+
+
+def int_list(ids) -> str:
+    return "[" + ", ".join(str(int(i)) for i in ids) + "]::INTEGER[]"
+
+
+def encode_sql(rel: str, key: str, carry: list[str], cols: dict[str, str], prefix=(fx.BOS_ID,), suffix=(fx.EOS_ID,), strip_text: bool = False) -> str:
+    """Relation (key, carry…, out…) with id lists, like ``prep.encode``."""
+    sides = " UNION ALL ".join(
+        f"SELECT {key}, {i} AS side, {split_ws(strip(c) if strip_text else c)} AS t FROM src"
+        for i, c in enumerate(cols)
+    )
+    outs = ", ".join(
+        f"list_concat({int_list(prefix)}, coalesce(l{i}.body, []::INTEGER[]), {int_list(suffix)}) AS {o}"
+        for i, o in enumerate(cols.values())
+    )
+    joins = " ".join(f"LEFT JOIN lists l{i} ON l{i}.{key} = src.{key} AND l{i}.side = {i}" for i in range(len(cols)))
+    carry_sel = "".join(f"src.{c}, " for c in carry)
+    return f"""(WITH src AS ({rel}), voc AS ({VOCAB}),
+toks AS (SELECT {key}, side, unnest(t) AS tok, unnest(generate_series(1, len(t))) AS pos FROM ({sides})),
+ids AS (SELECT toks.{key}, side, pos, coalesce(voc.id, {fx.UNK_ID}) AS id FROM toks LEFT JOIN voc ON voc.token = toks.tok),
+lists AS (SELECT {key}, side, list(id ORDER BY pos) AS body FROM ids GROUP BY {key}, side)
+SELECT src.{key}, {carry_sel}{outs} FROM src {joins})"""
+
+
+def truncate_sql(x: str, max_len: int, n_prefix: int = 1, n_suffix: int = 1) -> str:
+    keep = max(max_len - n_prefix - n_suffix, 0)
+    head = f"{x}[1:{n_prefix}]" if n_prefix else "[]::INTEGER[]"
+    tail = f"{x}[len({x}) - {n_suffix - 1}:len({x})]" if n_suffix else "[]::INTEGER[]"
+    body = f"{x}[{n_prefix + 1}:least(len({x}) - {n_suffix}, {n_prefix + keep})]"
+    return f"list_concat({head}, {body}, {tail})"
+
+
+def decode_sql(rel: str, key: str, col: str, out: str = "text", carry: tuple = ()) -> str:
+    """Relation (key, carry…, out) with ids decoded to text (specials skipped)."""
+    specials = int_list(fx.SPECIAL_IDS)
+    carry_sel = "".join(f"src.{c}, " for c in carry)
+    return f"""(WITH src AS ({rel}), voc AS ({VOCAB}),
+e AS (SELECT {key}, unnest(f) AS id, unnest(generate_series(1, len(f))) AS pos
+      FROM (SELECT {key}, list_filter({col}, lambda i: NOT list_contains({specials}, i)) AS f FROM src)),
+w AS (SELECT e.{key}, list(voc.token ORDER BY e.pos) FILTER (WHERE voc.token IS NOT NULL) AS toks
+      FROM e LEFT JOIN voc ON voc.id = e.id GROUP BY e.{key})
+SELECT src.{key}, {carry_sel}coalesce(array_to_string(w.toks, ' '), '') AS {out}
+FROM src LEFT JOIN w ON w.{key} = src.{key})"""
+
+
+def lcs_sql(rel: str, key: str, a: str, b: str) -> str:
+    """Relation (key, na, nb, lcs): LCS length of two token lists by a recursive
+    CTE over the rows of the DP table (prefix-max form of the recurrence)."""
+    return f"""(WITH RECURSIVE p AS (SELECT {key}, {a} AS a, {b} AS b FROM ({rel})),
+cells AS (SELECT {key}, unnest(generate_series(0, len(b))) AS j FROM p),
+dp({key}, i, j, v) AS (
+  SELECT {key}, 0::BIGINT, j, 0::BIGINT FROM cells
+  UNION ALL
+  SELECT {key}, i, j, max(c) OVER (PARTITION BY {key} ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  FROM (SELECT d.{key}, d.i + 1 AS i, d.j,
+               CASE WHEN d.j = 0 THEN 0 ELSE greatest(d.v, coalesce(lag(d.v) OVER (PARTITION BY d.{key} ORDER BY d.j), 0)
+                    + CASE WHEN p.a[d.i + 1] = p.b[d.j] THEN 1 ELSE 0 END) END AS c
+        FROM dp d JOIN p ON p.{key} = d.{key}
+        WHERE d.i < len(p.a)) s
+)
+SELECT p.{key}, len(p.a) AS na, len(p.b) AS nb, d.v AS lcs
+FROM p JOIN dp d ON d.{key} = p.{key} AND d.i = len(p.a) AND d.j = len(p.b))"""
+
+
+def f_measure(m: str, p: str, r: str) -> str:
+    return f"CASE WHEN {m} > 0 THEN 2.0 * {m} / ({p} + {r}) ELSE 0.0 END"
+
+
+def rouge_n_sql(rel: str, key: str, pred: str, ref: str, orders=(1, 2)) -> str:
+    """Relation (key, rouge{n}…) per pair."""
+    max_n = max(orders)
+    cols = ", ".join(
+        f"{f_measure(f'coalesce(sum(CASE WHEN n = {n} THEN least(ch, cr) END), 0)', f'coalesce(sum(CASE WHEN n = {n} THEN ch END), 0)', f'coalesce(sum(CASE WHEN n = {n} THEN cr END), 0)')} AS rouge{n}"
+        for n in orders
+    )
+    return f"""(WITH src AS ({rel}),
+tok AS (SELECT {key}, 1 AS h, {rouge_tok(pred)} AS t FROM src UNION ALL SELECT {key}, 0 AS h, {rouge_tok(ref)} AS t FROM src),
+g AS ({ngrams_sql('tok', max_n, key)}),
+c AS (SELECT {key}, n, gram, sum(h) AS ch, sum(1 - h) AS cr FROM g GROUP BY ALL)
+SELECT src.{key}, {cols}
+FROM src LEFT JOIN c ON c.{key} = src.{key} GROUP BY src.{key})"""
