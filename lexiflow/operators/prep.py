@@ -159,8 +159,9 @@ def filter_by_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
 # --- JN-1 / CHK-1 ---------------------------------------------------------------
 
 def check_aligned(src: DataFrame, tgt: DataFrame, keys: Sequence[str] = ("split", "line_no")) -> DataFrame:
-    """CHK-1: one report row per split (n_src, n_tgt, first_bad) that raises when
-    the two sides do not have the same lines.  Lazy: evaluating it fails."""
+    """CHK-1: one report row per split (n_src, n_tgt, first_bad, aligned); the
+    ``aligned`` column raises when the two sides do not have the same lines
+    (lazy: evaluating it fails)."""
     keys = list(keys)
     group = [k for k in keys if k != "line_no"]
     s = src.select(*keys, F.lit(1).alias("_s"))
@@ -173,7 +174,7 @@ def check_aligned(src: DataFrame, tgt: DataFrame, keys: Sequence[str] = ("split"
     )
     msg = F.concat(F.lit("sides not aligned: "), F.col("n_src").cast("string"), F.lit(" vs "),
                    F.col("n_tgt").cast("string"), F.lit(" lines, first bad line "), F.col("first_bad").cast("string"))
-    return rep.withColumn("_ok", F.when(F.col("first_bad").isNotNull(), F.raise_error(msg)).otherwise(F.lit(True))).drop("_ok")
+    return rep.withColumn("aligned", F.when(F.col("first_bad").isNotNull(), F.raise_error(msg)).otherwise(F.lit(True)))
 
 
 def pair_sides(src: DataFrame, tgt: DataFrame, keys: Sequence[str] = ("split", "line_no"), src_col: str = "src", tgt_col: str = "tgt") -> DataFrame:

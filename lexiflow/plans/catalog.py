@@ -561,14 +561,14 @@ def q_metric_long(spark, sf_dir):
 # Inference and jobs (UDF-1/2, JOB-1..3)
 # =============================================================================
 
-_LAST_ID = f"(SELECT max(id) FROM ({o.VOCAB}))"
+_LAST_ID = f"(SELECT max(id) AS last_id FROM ({o.VOCAB}))"
 
 
 def _stub_text_sql(rel_with_ids: str, key: str, ids_col: str, max_len: int, carry=()) -> str:
     """SQL of the stub generator + decode: non-special ids -> next vocabulary id, first max_len-2 kept."""
-    succ = f"list_transform(list_filter({ids_col}, lambda i: NOT list_contains({o.int_list(fx.SPECIAL_IDS)}, i))[1:{max_len - 2}], lambda i: CASE WHEN i >= {_LAST_ID} THEN {fx.FIRST_TOKEN_ID} ELSE i + 1 END)"
-    carry_sel = "".join(f"{c}, " for c in carry)
-    gen = f"SELECT {key}, {carry_sel}list_concat([0]::INTEGER[], {succ}, [{fx.EOS_ID}]::INTEGER[]) AS gen FROM ({rel_with_ids})"
+    succ = f"list_transform(list_filter({ids_col}, lambda i: NOT list_contains({o.int_list(fx.SPECIAL_IDS)}, i))[1:{max_len - 2}], lambda i: CASE WHEN i >= lv.last_id THEN {fx.FIRST_TOKEN_ID} ELSE i + 1 END)"
+    carry_sel = "".join(f"r.{c}, " for c in carry)
+    gen = f"SELECT r.{key}, {carry_sel}list_concat([0]::INTEGER[], {succ}, [{fx.EOS_ID}]::INTEGER[]) AS gen FROM ({rel_with_ids}) r, {_LAST_ID} lv"
     return o.decode_sql(gen, key, "gen", "text", tuple(carry))
 
 
