@@ -56,9 +56,9 @@ def log_softmax(df: DataFrame, scores: str = "scores", label: str = "label") ->
 def check_width(df: DataFrame, vocab_size: int, scores: str = "scores") -> DataFrame:
     """CHK-2: fail when a score row is not as wide as the vocabulary."""
     bad = F.size(scores) != F.lit(vocab_size)
-    return df.withColumn(
-        "_w", F.when(bad, F.raise_error(F.concat(F.lit("score width differs from vocabulary size "), F.lit(str(vocab_size))))).otherwise(F.lit(0))
-    ).drop("_w")
+    err = F.raise_error(F.lit(f"score width differs from vocabulary size {vocab_size}"))
+    # a predicate, so the optimizer cannot prune the check away
+    return df.where(F.when(bad, err).otherwise(F.lit(True)))
 
 
 def drop_ignored(df: DataFrame, ignore: int | None, label: str = "label") -> DataFrame:

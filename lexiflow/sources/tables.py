@@ -32,7 +32,7 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType = RECORD_S
     bad = F.lit(False)
     for c in text_cols:
         bad = bad | F.col(c).isNull()
-    return df.withColumn("_chk", F.when(bad, F.raise_error(F.lit("null text in record"))).otherwise(F.lit(0))).drop("_chk")
+    return df.where(F.when(bad, F.raise_error(F.lit("null text in record"))).otherwise(F.lit(True)))
 
 
 def read_split(df: DataFrame, name: str, col: str = "split") -> DataFrame:
