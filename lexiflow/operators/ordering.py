@@ -3,16 +3,18 @@
 ``row_number() over (partition by g order by k)`` puts every row of a group in
 one task; a group that holds a third of the data (the ``train`` split, a hot
 run) then lands on one executor.  ``row_index`` gives the same 0-based
-positions while cutting every group into buckets:
+positions while cutting hot groups into buckets:
 
-1. each row gets a bucket that never decreases along the order inside a
-   group — the leading bits of an md5 order key, or the position of a
-   numeric key between its minimum and maximum (two scalar subqueries);
-2. ``row_number`` runs per (group, bucket), so a hot group spreads over many
-   tasks;
-3. the rows per (group, bucket) are counted (map-side combined) and
-   prefix-summed over the bucket order — at most groups × buckets rows —
-   and joined back as offsets (AQE broadcasts them when small).
+1. group sizes are counted (map-side combined); a group is *hot* when it
+   holds more than total ÷ partitions rows — so there are at most
+   ``partitions`` hot groups, a proven bound;
+2. rows of hot groups get a bucket that never decreases along the order —
+   the leading bits of an md5 order key, or the position of a numeric key
+   between its minimum and maximum (scalar subqueries); other rows get 0;
+3. ``row_number`` runs per (group, bucket), so a hot group spreads over
+   many tasks and a small group stays whole;
+4. rows per (hot group, bucket) are counted and prefix-summed over the bucket
+   order — at most partitions × buckets rows — and broadcast back as offsets.
 
 Everything is a deterministic expression of the row, so a lost executor's
 tasks recompute the same positions (no sampled range bounds, no
@@ -55,6 +57,7 @@ def row_index(
     name: str = "pos",
     bucket: Column | None = None,
     num_buckets: int | None = None,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``name``: 0-based position of each row inside its ``group_cols`` group
     in ``order_cols`` order (ascending, nulls first).  ``bucket`` must be
@@ -62,18 +65,33 @@ def row_index(
     from the first order column when it is numeric (else one bucket)."""
     group_cols = list(group_cols)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    nb = num_buckets or 4 * shuffle_partitions(df.sparkSession)
+    parts = num_partitions or shuffle_partitions(df.sparkSession)
+    nb = num_buckets or 4 * parts
     if bucket is None:
         first = order_cols[0]
         if isinstance(first, str) and isinstance(df.schema[first].dataType, _NUMERIC):
             bucket = range_bucket(df, first, nb)
         else:
             bucket = F.lit(0)
-    x = df.withColumn("_b", bucket)
+
+    if group_cols:
+        sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_size"))
+        total = sizes.agg(F.sum("_size")).scalar()
+        hot = sizes.where(F.col("_size") > total / F.lit(float(parts))).select(*group_cols, F.lit(True).alias("_hot"))
+        # at most `parts` groups can be hot: a proven bound for the broadcast
+        x = df.join(F.broadcast(hot), on=group_cols, how="left")
+        x = x.withColumn("_b", F.when(F.col("_hot"), bucket).otherwise(F.lit(0))).drop("_hot")
+        hot_rows = x.join(F.broadcast(hot), on=group_cols, how="left_semi")
+    else:
+        x = df.withColumn("_b", bucket)
+        hot_rows = x
+
     w = Window.partitionBy(*group_cols, "_b").orderBy(*order)
     ranked = x.withColumn("_r", F.row_number().over(w) - F.lit(1))
-    counts = x.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    counts = hot_rows.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group_cols, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    joined = ranked.join(offsets, on=[*group_cols, "_b"], how="inner")
-    return joined.withColumn(name, (F.col("_r") + F.col("_off")).cast("long")).drop("_b", "_r", "_off")
+    # offsets: at most (hot groups) × buckets rows
+    joined = ranked.join(F.broadcast(offsets), on=[*group_cols, "_b"], how="left")
+    pos = F.col("_r") + F.coalesce(F.col("_off"), F.lit(0))
+    return joined.withColumn(name, pos.cast("long")).drop("_b", "_r", "_off")
