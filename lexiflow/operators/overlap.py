@@ -27,16 +27,22 @@ BLEU_MAX_ORDER = 4
 
 
 def _side_grams(df: DataFrame, keys: list[str], hyp: Column, ref: Column, max_n: int, sentinel: bool) -> DataFrame:
-    """(keys…, n, gram, h) rows: h = 1 for a hypothesis gram, 0 for a reference gram.
-    With ``sentinel`` every pair also yields one (n=0, gram=null) row so a pair
-    without any token still reaches the aggregate."""
-    sides = F.array(F.struct(F.lit(1).alias("h"), hyp.alias("t")), F.struct(F.lit(0).alias("h"), ref.alias("t")))
-    x = df.select(*keys, F.inline(sides))
-    x = x.select(*keys, "h", F.explode(shifted_slices(F.col("t"), max_n)).alias("z"))
-    x = x.select(*keys, "h", F.inline(ngram_structs(F.col("z"), max_n))).where(F.col("gram").isNotNull())
+    """(keys…, h, n, gram) rows: h = 1 for a hypothesis gram, 0 for a reference gram.
+    With ``sentinel`` every pair also yields one (h=2, n=0, gram=null) row, so a
+    pair without any token still reaches the aggregate — produced inside the
+    same generator, so the input is read once (no union of two branches)."""
+    parts = [F.struct(F.lit(1).alias("h"), hyp.alias("t")), F.struct(F.lit(0).alias("h"), ref.alias("t"))]
     if sentinel:
-        base = df.select(*keys, F.lit(0).alias("h"), F.lit(0).alias("n"), F.lit(None).cast("string").alias("gram"))
-        x = x.unionByName(base)
+        parts.append(F.struct(F.lit(2).alias("h"), F.array().cast("array<string>").alias("t")))
+    x = df.select(*keys, F.inline(F.array(*parts)))
+    gen = F.explode_outer if sentinel else F.explode
+    x = x.select(*keys, "h", gen(shifted_slices(F.col("t"), max_n)).alias("z"))
+    x = x.select(*keys, "h", F.inline(ngram_structs(F.col("z"), max_n)))
+    if sentinel:
+        x = x.where(F.col("gram").isNotNull() | ((F.col("h") == 2) & (F.col("n") == 1)))
+        x = x.withColumn("n", F.when(F.col("h") == 2, F.lit(0)).otherwise(F.col("n")))
+    else:
+        x = x.where(F.col("gram").isNotNull())
     return x
 
 
@@ -52,13 +58,17 @@ def gram_counts(
     """Per (id, n, gram): ``ch`` hypothesis count, ``cr`` reference count.
 
     JN-4: the multiset intersection needs no join — both sides meet in one
-    grouping and ``least(ch, cr)`` is the clipped match.
+    grouping and ``least(ch, cr)`` is the clipped match.  ``carry`` columns
+    (constant per id, e.g. per-pair scores computed before the explode) ride
+    along as grouping keys, so nothing needs a join back.
     """
-    keys = [*carry, *id_cols]
-    part = df.repartition(*[F.col(c) for c in id_cols]).select(*keys, hyp.alias("_hyp"), ref.alias("_ref"))
-    grams = _side_grams(part, keys, F.col("_hyp"), F.col("_ref"), max_n, sentinel)
+    part = df.repartition(*[F.col(c) for c in id_cols])
+    sel = part.select(*carry, *id_cols, hyp.alias("_hyp"), ref.alias("_ref"))
+    keys = [c for c in sel.columns if c not in ("_hyp", "_ref")]
+    grams = _side_grams(sel, keys, F.col("_hyp"), F.col("_ref"), max_n, sentinel)
     return grams.groupBy(*keys, "n", "gram").agg(
-        F.sum("h").alias("ch"), F.sum(F.lit(1) - F.col("h")).alias("cr")
+        F.sum(F.when(F.col("h") == 1, F.lit(1)).otherwise(F.lit(0))).alias("ch"),
+        F.sum(F.when(F.col("h") == 0, F.lit(1)).otherwise(F.lit(0))).alias("cr"),
     )
 
 
@@ -122,63 +132,71 @@ def _f(m: Column, p: Column, r: Column) -> Column:
     return F.when(m > 0, F.lit(2.0) * m / (p + r)).otherwise(F.lit(0.0))
 
 
-def rouge_n(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), orders: Sequence[int] = (1, 2), carry: Sequence[str] = ()) -> DataFrame:
-    """AGG-9: per pair, ROUGE-n F-measure for each n in ``orders`` (columns ``rouge{n}``)."""
-    max_n = max(orders)
-    counts = gram_counts(df, id_cols, rouge_tokens(col_(pred)), rouge_tokens(col_(ref)), max_n, carry=carry, sentinel=True)
+def rouge_scores(
+    df: DataFrame,
+    pred: str = "pred",
+    ref: str = "ref",
+    id_cols: Sequence[str] = ("pair_id",),
+    carry: Sequence[str] = (),
+    kinds: Sequence[str] = ("rouge1", "rouge2", "rougeL", "rougeLsum"),
+) -> DataFrame:
+    """Per pair, the requested ROUGE F-measures in one linear pass: the
+    LCS-based scores (Arrow UDF) are computed per row, the rows are
+    hash-partitioned on the id once, and the scores ride as grouping keys
+    through the n-gram aggregate — nothing is joined back and the input is
+    read once."""
+    kinds = list(kinds)
+    orders = sorted(int(k[len("rouge"):]) for k in kinds if k[len("rouge"):].isdigit())
+    pt, rt = rouge_tokens(col_(pred)), rouge_tokens(col_(ref))
+    # per-row work (tokens, LCS) first; ``gram_counts`` then hash-partitions once on the id
+    x = df.select(*carry, *id_cols, pt.alias("_p"), rt.alias("_r"), col_(pred).alias("_pt"), col_(ref).alias("_rt"))
+    lcs_cols = []
+    if "rougeL" in kinds:
+        lcs_cols.append(_f(lcs.lcs_length(F.col("_p"), F.col("_r")), F.size("_p"), F.size("_r")).alias("rougeL"))
+    if "rougeLsum" in kinds:
+        ps = F.transform(rouge_sentences(F.col("_pt")), lambda s: rouge_tokens(s))
+        rs = F.transform(rouge_sentences(F.col("_rt")), lambda s: rouge_tokens(s))
+        x = x.withColumn("_ps", ps).withColumn("_rs", rs)
+        lcs_cols.append(
+            _f(lcs.summary_lcs_hits(F.col("_rs"), F.col("_ps")),
+               F.aggregate("_ps", F.lit(0), lambda a, s: a + F.size(s)),
+               F.aggregate("_rs", F.lit(0), lambda a, s: a + F.size(s))).alias("rougeLsum")
+        )
+    x = x.select(*carry, *id_cols, "_p", "_r", *lcs_cols)
+    lcs_names = [c for c in ("rougeL", "rougeLsum") if c in kinds]
+    if not orders:
+        return x.select(*carry, *id_cols, *lcs_names)
+    counts = gram_counts(x, id_cols, F.col("_p"), F.col("_r"), max(orders), carry=[*carry, *lcs_names], sentinel=True)
     aggs = []
     for n in orders:
         m = F.sum(F.when(F.col("n") == n, F.least("ch", "cr")))
         p = F.sum(F.when(F.col("n") == n, F.col("ch")))
         r = F.sum(F.when(F.col("n") == n, F.col("cr")))
         aggs.append(_f(_nz(m), _nz(p), _nz(r)).alias(f"rouge{n}"))
-    return counts.groupBy(*carry, *id_cols).agg(*aggs)
+    out = counts.groupBy(*carry, *lcs_names, *id_cols).agg(*aggs)
+    return out.select(*carry, *id_cols, *[k for k in kinds])
+
+
+def rouge_n(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), orders: Sequence[int] = (1, 2), carry: Sequence[str] = ()) -> DataFrame:
+    """AGG-9: per pair, ROUGE-n F-measure for each n in ``orders`` (columns ``rouge{n}``)."""
+    return rouge_scores(df, pred, ref, id_cols, carry, [f"rouge{n}" for n in orders])
 
 
 def rouge_l(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), carry: Sequence[str] = ()) -> DataFrame:
     """AGG-10: per pair, ROUGE-L F-measure from the token LCS (bit-parallel, Arrow UDF)."""
-    pt, rt = rouge_tokens(col_(pred)), rouge_tokens(col_(ref))
-    x = df.select(*carry, *id_cols, pt.alias("_p"), rt.alias("_r"))
-    x = x.select(*carry, *id_cols, lcs.lcs_length(F.col("_p"), F.col("_r")).alias("_l"), F.size("_p").alias("_np"), F.size("_r").alias("_nr"))
-    return x.select(*carry, *id_cols, _f(F.col("_l"), F.col("_np"), F.col("_nr")).alias("rougeL"))
+    return rouge_scores(df, pred, ref, id_cols, carry, ["rougeL"])
 
 
 def rouge_lsum(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), carry: Sequence[str] = ()) -> DataFrame:
     """AGG-11: per pair, summary-level ROUGE-L: texts split on newlines, union
     LCS of each reference sentence against all prediction sentences, with
     per-token clipping (Arrow UDF)."""
-    ps = F.transform(rouge_sentences(col_(pred)), lambda s: rouge_tokens(s))
-    rs = F.transform(rouge_sentences(col_(ref)), lambda s: rouge_tokens(s))
-    x = df.select(*carry, *id_cols, ps.alias("_p"), rs.alias("_r"))
-    x = x.select(
-        *carry,
-        *id_cols,
-        lcs.summary_lcs_hits(F.col("_r"), F.col("_p")).alias("_h"),
-        F.aggregate("_p", F.lit(0), lambda a, s: a + F.size(s)).alias("_np"),
-        F.aggregate("_r", F.lit(0), lambda a, s: a + F.size(s)).alias("_nr"),
-    )
-    return x.select(*carry, *id_cols, _f(F.col("_h"), F.col("_np"), F.col("_nr")).alias("rougeLsum"))
+    return rouge_scores(df, pred, ref, id_cols, carry, ["rougeLsum"])
 
 
 def rouge_all(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), carry: Sequence[str] = ()) -> DataFrame:
-    """Per pair: rouge1, rouge2, rougeL, rougeLsum (validation-step scores).
-
-    The n-gram part and the LCS part are computed from the same partitioned
-    input and joined on the pair id (both sides keep the id hashing)."""
-    keyed = df.repartition(*[F.col(c) for c in id_cols])
-    rn = rouge_n(keyed, pred, ref, id_cols, (1, 2), carry)
-    pt, rt = rouge_tokens(col_(pred)), rouge_tokens(col_(ref))
-    ps = F.transform(rouge_sentences(col_(pred)), lambda s: rouge_tokens(s))
-    rs = F.transform(rouge_sentences(col_(ref)), lambda s: rouge_tokens(s))
-    x = keyed.select(*id_cols, pt.alias("_p"), rt.alias("_r"), ps.alias("_ps"), rs.alias("_rs"))  # carry comes from rn
-    x = x.select(
-        *id_cols,
-        _f(lcs.lcs_length(F.col("_p"), F.col("_r")), F.size("_p"), F.size("_r")).alias("rougeL"),
-        _f(lcs.summary_lcs_hits(F.col("_rs"), F.col("_ps")),
-           F.aggregate("_ps", F.lit(0), lambda a, s: a + F.size(s)),
-           F.aggregate("_rs", F.lit(0), lambda a, s: a + F.size(s))).alias("rougeLsum"),
-    )
-    return rn.join(x, on=list(id_cols), how="inner")
+    """Per pair: rouge1, rouge2, rougeL, rougeLsum (the validation-step scores)."""
+    return rouge_scores(df, pred, ref, id_cols, carry)
 
 
 ROUGE_COLS = ("rouge1", "rouge2", "rougeL", "rougeLsum")

@@ -61,9 +61,9 @@ WORLD = 4
 # Spark-side building blocks
 # =============================================================================
 
-def encoded_records(spark, sf_dir, truncate: bool = True) -> DataFrame:
+def encoded_records(spark, sf_dir, truncate: bool = True, vocab: DataFrame | None = None) -> DataFrame:
     r = fx.records(spark, sf_dir)
-    v = fx.vocab(spark, sf_dir)
+    v = vocab if vocab is not None else fx.vocab(spark, sf_dir)
     e = prep.encode(r, {"document": "input_ids", "summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], vocab_rows=fx.VOCAB_SIZE)
     if truncate:
         e = prep.truncate_ids(e, "input_ids", SUM_MAX_IN)
@@ -230,8 +230,9 @@ def q_shift_targets(spark, sf_dir):
 SELECT row_id, split, text FROM {o.decode_sql(ENC_RECORDS, 'row_id', 'output_ids', 'text', ('split',))}""")
 def q_decode_text(spark, sf_dir):
     """PRJ-8 + FLT-3: encoded summaries back to text, special and unknown ids skipped."""
-    e = encoded_records(spark, sf_dir, truncate=False)
-    return prep.decode(e, "output_ids", fx.vocab(spark, sf_dir), key_cols=["row_id"], out="text", vocab_rows=fx.VOCAB_SIZE, carry=["split"])
+    v = fx.vocab(spark, sf_dir)
+    e = encoded_records(spark, sf_dir, truncate=False, vocab=v)
+    return prep.decode(e, "output_ids", v, key_cols=["row_id"], out="text", vocab_rows=fx.VOCAB_SIZE, carry=["split"])
 
 
 # =============================================================================

@@ -20,6 +20,7 @@ from lexiflow.operators import losses as ls
 from lexiflow.operators import overlap as ov
 from lexiflow.operators import prep
 from lexiflow.sources import fixtures as fx
+from lexiflow.session import materialize
 from lexiflow.sources.tables import write_encoded
 
 
@@ -109,6 +110,7 @@ def evaluate_summaries(
     e = prep.encode(records, {"document": "input_ids", "summary": "output_ids"}, vocab, key_cols=["row_id"], carry=["split"], vocab_rows=vocab_rows)
     e = prep.truncate_ids(e, "input_ids", max_in)
     e = prep.truncate_ids(e, "output_ids", max_out)
+    e = materialize(e, "encoded")  # SNK-1: encode once; the position passes read the files
     e = bt.assign_batches(bt.shuffle_rows(e, key="row_id", group_cols=["split"]), batch_size)
     e = prep.mask_from_pad(e, "input_ids", "attention_mask")
     g = infer.generate_batches(e, make_model, "input_ids", "attention_mask", "gen_ids", max_len=max_out, start_id=start_id)
@@ -138,6 +140,7 @@ def prepare_corpus(
     id, masks with 0.  With ``out_path`` the result is also written (SNK-1)."""
     e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True, vocab_rows=vocab_rows)
     e = prep.filter_by_length(e, {"src_ids": max_src, "tgt_ids": max_tgt})
+    e = materialize(e, "encoded")  # SNK-1: encode once; the position passes read the files
     e = bt.shuffle_rows(e, key="line_no", seed=seed, group_cols=["split"], splits=list(shuffle_splits) if shuffle_splits is not None else None)
     batch_cols = ["split", "batch_id"]
     if world:

@@ -49,3 +49,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` as parquet into the shared checkpoint folder
+    (``spark.checkpoint.dir``) and read it back.  Used where a costly
+    upstream (encoding) would otherwise be recomputed by several passes;
+    the files survive executor loss, unlike cached blocks."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/lexiflow-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lexiflow.functions.text import split_ws
 from lexiflow.operators.ordering import row_index
+from lexiflow.session import ensure_checkpoint_dir
 from lexiflow.sources.tables import table
 
 # Special ids of the stand-in vocabulary.
@@ -78,16 +79,24 @@ def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, on="pair_id", how="inner").select(split_of("pair_id").alias("split"), "pair_id", "pred", "ref")
 
 
-def vocab(spark: SparkSession, sf_dir: str, size: int = VOCAB_SIZE) -> DataFrame:
+def vocab(spark: SparkSession, sf_dir: str, size: int = VOCAB_SIZE, materialize: bool = True) -> DataFrame:
     """``size`` most frequent whitespace tokens (count desc, token asc in binary
     order) with ids from FIRST_TOKEN_ID on.  The count is a map-side combined
     aggregate; the ordering is a top-k (TakeOrderedAndProject), so the result
-    is bounded by ``size`` rows and safe to broadcast."""
+    is bounded by ``size`` rows and safe to broadcast.
+
+    With ``materialize`` the (small, bounded) result is checkpointed once to
+    the session's shared checkpoint folder, so a job that encodes, generates
+    and decodes reads it instead of re-scanning the documents each time."""
     docs = table(spark, sf_dir, "documents")
     counts = docs.select(F.explode(split_ws("text")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.col("n").desc(), F.col("token").asc()).limit(size)
     w = Window.orderBy(F.col("n").desc(), F.col("token").asc())  # over <= size rows
-    return top.select("token", (F.row_number().over(w) + F.lit(FIRST_TOKEN_ID - 1)).cast("int").alias("id"))
+    out = top.select("token", (F.row_number().over(w) + F.lit(FIRST_TOKEN_ID - 1)).cast("int").alias("id"))
+    if materialize:
+        ensure_checkpoint_dir(spark)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,9 +16,34 @@ RECORD_SCHEMA = T.StructType(
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Key columns of the driver tables (a skewed conversation is still spread by turn).
+TABLE_KEYS: dict[str, list[str]] = {
+    "documents": ["doc_id"],
+    "conversations": ["conv_id", "turn"],
+    "events": ["event_id"],
+    "embeddings": ["vec_id"],
+    "pages": ["page_id"],
+    "benchmark": ["item_id"],
+    "labels": ["doc_id"],
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """One driver table (``{sf_dir}/{name}.parquet``).
+
+    A scan with fewer partitions than the cluster has cores (one large row
+    group, one file) would run every per-row step before the first shuffle in
+    a handful of tasks; such a scan is hash-spread on the table key.  On a
+    real corpus (many files / row groups) the scan is already parallel and
+    nothing is added.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    keys = TABLE_KEYS.get(name)
+    if spread and keys:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores, *keys)
+    return df
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType = RECORD_SCHEMA, fmt: str = "parquet") -> DataFrame:
