@@ -21,6 +21,7 @@ from lexiflow.operators import runs as rn
 from lexiflow.operators.ordering import row_index
 from lexiflow.plans import jobs
 from lexiflow.plans import oracle as o
+from lexiflow.session import materialize
 from lexiflow.sources import fixtures as fx
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -61,18 +62,20 @@ WORLD = 4
 # Spark-side building blocks
 # =============================================================================
 
-def encoded_records(spark, sf_dir, truncate: bool = True, vocab: DataFrame | None = None) -> DataFrame:
+def encoded_records(spark, sf_dir, truncate: bool = True, vocab: DataFrame | None = None, materialized: bool = False) -> DataFrame:
+    """records -> (row_id, split, input_ids, output_ids).  ``materialized`` writes
+    the encoded table once (SNK-1) before position passes read it several times."""
     r = fx.records(spark, sf_dir)
     v = vocab if vocab is not None else fx.vocab(spark, sf_dir)
     e = prep.encode(r, {"document": "input_ids", "summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], vocab_rows=fx.VOCAB_SIZE)
     if truncate:
         e = prep.truncate_ids(e, "input_ids", SUM_MAX_IN)
         e = prep.truncate_ids(e, "output_ids", SUM_MAX_OUT)
-    return e
+    return materialize(e, "encoded") if materialized else e
 
 
 def summarisation_batches(spark, sf_dir) -> DataFrame:
-    e = encoded_records(spark, sf_dir)
+    e = encoded_records(spark, sf_dir, materialized=True)
     e = bt.shuffle_rows(e, key="row_id", group_cols=["split"])
     e = bt.assign_batches(e, SUM_BATCH)
     e = prep.mask_from_length(e, "input_ids", "input_mask")
@@ -286,7 +289,7 @@ SELECT split, batch_id, CAST(CASE WHEN last_id = 2 THEN 1 WHEN last_id = 1 THEN
 FROM (SELECT split, batch_id, arg_min(input_ids[len(input_ids)], pos) AS last_id FROM ({BATCHED}) GROUP BY split, batch_id)""")
 def q_pad_id_inferred(spark, sf_dir):
     """CHK-3: pad id guessed from the last id of each batch's first row (before padding)."""
-    e = encoded_records(spark, sf_dir)
+    e = encoded_records(spark, sf_dir, materialized=True)
     e = bt.assign_batches(bt.shuffle_rows(e, key="row_id", group_cols=["split"]), SUM_BATCH)
     return bt.infer_pad_id(e, "input_ids")
 
@@ -300,7 +303,7 @@ SELECT split, batch_id, count(*) AS n_rows,
 FROM ({BATCHED}) GROUP BY split, batch_id""")
 def q_batch_volume(spark, sf_dir):
     """AGG-14: padded elements per batch and column, and the padding share."""
-    e = encoded_records(spark, sf_dir)
+    e = encoded_records(spark, sf_dir, materialized=True)
     e = bt.assign_batches(bt.shuffle_rows(e, key="row_id", group_cols=["split"]), SUM_BATCH)
     v = bt.batch_volume(e, ["input_ids", "output_ids"])
     return v.select("split", "batch_id", "n_rows", "input_ids_volume", r6("input_ids_pad_share").alias("input_ids_pad_share"),

@@ -19,6 +19,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # local runs move only a few MB per shuffle; without this AQE would merge
+        # them into 1-2 tasks before CPU-heavy steps (explode, LCS).  Irrelevant
+        # at cluster scale, where partitions are far above this size.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
@@ -36,14 +40,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when it is unset (local tests) a fresh scratch folder is
     created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the conf carries the folder
+        sc = None
+    current = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
     path = tempfile.mkdtemp(prefix="lexiflow-ckpt-", dir=os.environ.get("LEXIFLOW_SCRATCH", "/tmp"))
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
+    else:
+        spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
