@@ -42,9 +42,9 @@ def md5_bucket(hex_col, buckets: int) -> Column:
 
 def range_bucket(df: DataFrame, col: str, buckets: int) -> Column:
     """Bucket of a numeric column from its position between min and max."""
-    stats = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    stats = df.agg(F.struct(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi")).alias("s"))
+    s = stats.scalar()  # one scalar subquery for both bounds
+    lo, hi = s["lo"], s["hi"]
     span = hi - lo + F.lit(1.0)
     b = F.floor((F.col(col).cast("double") - lo) * F.lit(float(buckets)) / span).cast("int")
     return F.least(F.greatest(b, F.lit(0)), F.lit(buckets - 1))

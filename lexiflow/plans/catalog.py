@@ -463,8 +463,7 @@ def q_rouge_lsum(spark, sf_dir):
 def q_rouge_epoch(spark, sf_dir):
     """AGG-12: batch means (4 pairs per batch, line order) of the four ROUGE scores, then their mean."""
     p = pair_rank_order(spark, sf_dir)
-    scores = ov.rouge_all(p, pred="src", ref="tgt", id_cols=["line_no"])
-    per = scores.join(p.select("line_no", "batch_id"), on="line_no")
+    per = ov.rouge_all(p, pred="src", ref="tgt", id_cols=["line_no"], carry=["batch_id"])
     e = ov.rouge_epoch(per)
     return e.select(*[r6(c).alias(c) for c in ov.ROUGE_COLS])
 
@@ -484,9 +483,7 @@ SELECT round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, round(rougeL, 6)
 def q_average_rouge(spark, sf_dir):
     """AGG-13: (ROUGE-1 + ROUGE-2 + ROUGE-L) / 3 of the epoch means (Lsum left out)."""
     p = pair_rank_order(spark, sf_dir)
-    r12 = ov.rouge_n(p, pred="src", ref="tgt", id_cols=["line_no"], carry=["batch_id"])
-    rl = ov.rouge_l(p, pred="src", ref="tgt", id_cols=["line_no"])
-    per = r12.join(rl, on="line_no")
+    per = ov.rouge_scores(p, pred="src", ref="tgt", id_cols=["line_no"], carry=["batch_id"], kinds=["rouge1", "rouge2", "rougeL"])
     e = ov.rouge_epoch(per, cols=["rouge1", "rouge2", "rougeL"])
     a = ov.average_rouge(e)
     return a.select(*[r6(c).alias(c) for c in ("rouge1", "rouge2", "rougeL", "average_rouge")])
