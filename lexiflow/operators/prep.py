@@ -84,7 +84,7 @@ def encode(
     g = x.groupBy(*keys, *carry).agg(*aggs)
     outs = []
     for i, (_, out) in enumerate(items):
-        body = F.transform(F.array_sort(F.col(f"_l{i}")), lambda s: s["_id"])
+        body = F.transform(F.sort_array(F.col(f"_l{i}")), lambda s: s["_id"])
         outs.append(F.concat(_ids_literal(prefix_ids), body, _ids_literal(suffix_ids)).alias(out))
     return g.select(*keys, *carry, *outs)
 
@@ -214,7 +214,7 @@ def decode_columns(
         for i in range(len(items))
     ]
     g = x.groupBy(*keys, *carry).agg(*aggs)
-    outs = [F.array_join(F.transform(F.array_sort(f"_l{i}"), lambda s: s["_tok"]), " ").alias(out) for i, (_, out) in enumerate(items)]
+    outs = [F.array_join(F.transform(F.sort_array(f"_l{i}"), lambda s: s["_tok"]), " ").alias(out) for i, (_, out) in enumerate(items)]
     return g.select(*keys, *carry, *outs)
 
 

@@ -427,6 +427,20 @@ def q_rouge_n(spark, sf_dir):
     return r.select("line_no", r6("rouge1").alias("rouge1"), r6("rouge2").alias("rouge2"))
 
 
+@register("rouge1", f"SELECT line_no, round(rouge1, 6) AS rouge1 FROM {o.rouge_n_sql(o.PAIRS, 'line_no', 'src', 'tgt', (1,))}")
+def q_rouge1(spark, sf_dir):
+    """AGG-9, n = 1: ROUGE-1 F per conversation pair."""
+    r = ov.rouge_n(fx.pairs(spark, sf_dir), pred="src", ref="tgt", id_cols=["line_no"], orders=(1,))
+    return r.select("line_no", r6("rouge1").alias("rouge1"))
+
+
+@register("rouge2", f"SELECT line_no, round(rouge2, 6) AS rouge2 FROM {o.rouge_n_sql(o.PAIRS, 'line_no', 'src', 'tgt', (2,))}")
+def q_rouge2(spark, sf_dir):
+    """AGG-9, n = 2: ROUGE-2 F per conversation pair."""
+    r = ov.rouge_n(fx.pairs(spark, sf_dir), pred="src", ref="tgt", id_cols=["line_no"], orders=(2,))
+    return r.select("line_no", r6("rouge2").alias("rouge2"))
+
+
 @register("rouge_n_docs", f"SELECT pair_id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM {o.rouge_n_sql(o.DOC_PAIRS, 'pair_id', 'pred', 'ref')}")
 def q_rouge_n_docs(spark, sf_dir):
     """AGG-9 on whole documents: document i scored against document i+1."""
