@@ -58,3 +58,9 @@ def test_batches_volume_and_limit(spark):
     v = {r.batch_id: r for r in bt.batch_volume(b, ["ids"]).collect()}
     assert v[2].n_rows == 2 and v[0].ids_volume == 4 * 3
     assert sorted(r.pos for r in bt.limit_batches(b, 1).collect()) == [0, 1, 2, 3]
+
+
+def test_pad_batch_equal_lengths_unchanged(spark):
+    df = spark.createDataFrame([(0, [5, 6, 2]), (0, [7, 8, 2])], "batch_id long, ids array<int>").withColumn("split", F.lit("s"))
+    got = sorted(list(r.ids) for r in bt.pad_batch(df, {"ids": 1}).collect())
+    assert got == [[5, 6, 2], [7, 8, 2]]

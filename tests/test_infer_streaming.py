@@ -37,3 +37,15 @@ def test_running_best_stream_equals_batch(spark, tmp_path):
     full = spark.createDataFrame([("r",) + r for r in rows], "run string, epoch int, metric string, value double")
     exp = [(r.epoch, r.value) for r in runs.best_checkpoint(full, "bleu", "max").collect()]
     assert got == exp == [(4, 11.0)]
+
+
+def test_streaming_metric_log_sink(spark, tmp_path):
+    src = str(tmp_path / "incoming")
+    out = str(tmp_path / "log")
+    rows = spark.createDataFrame([(0, "bleu", 1.0, "r", 0), (1, "bleu", 2.0, "r", 0)], sm.METRIC_SCHEMA)
+    rows.write.parquet(src)
+    q = sm.start_metric_log(sm.read_metric_stream(spark, src), out, name=f"log-{tmp_path.name}", trigger_once=True)
+    q.awaitTermination(120)
+    back = spark.read.parquet(out)
+    assert sorted((r.epoch, r.value) for r in back.collect()) == [(0, 1.0), (1, 2.0)]
+    assert "run" in back.columns

@@ -77,3 +77,9 @@ def test_mean_of_batches_and_ranks(spark):
     rows = spark.createDataFrame([(0, 1.0), (0, 0.0), (0, 1.0), (1, 0.0)], "batch_id long, loss double")
     assert ls.mean_of_batches(rows, ["loss"]).first().loss == pytest.approx((2 / 3 + 0) / 2)  # short last batch
     assert ls.mean_of_batches(rows, ["loss"], weighted=True).first().loss == pytest.approx(0.5)
+
+
+def test_rank_mean_with_an_empty_rank(spark):
+    # world of 3 ranks, rank 2 produced no batch: the mean runs over the ranks that report
+    per = spark.createDataFrame([(0, 0, 1.0), (1, 1, 3.0)], "batch_id long, rank int, loss double")
+    assert ls.mean_of_batches(per, ["loss"], rank_col="rank").first().loss == pytest.approx(2.0)
