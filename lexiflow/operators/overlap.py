@@ -132,7 +132,7 @@ def _f(m: Column, p: Column, r: Column) -> Column:
     return F.when(m > 0, F.lit(2.0) * m / (p + r)).otherwise(F.lit(0.0))
 
 
-def rouge_scores(
+def rouge_pair_scores(
     df: DataFrame,
     pred: str = "pred",
     ref: str = "ref",
@@ -179,24 +179,24 @@ def rouge_scores(
 
 def rouge_n(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), orders: Sequence[int] = (1, 2), carry: Sequence[str] = ()) -> DataFrame:
     """AGG-9: per pair, ROUGE-n F-measure for each n in ``orders`` (columns ``rouge{n}``)."""
-    return rouge_scores(df, pred, ref, id_cols, carry, [f"rouge{n}" for n in orders])
+    return rouge_pair_scores(df, pred, ref, id_cols, carry, [f"rouge{n}" for n in orders])
 
 
 def rouge_l(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), carry: Sequence[str] = ()) -> DataFrame:
     """AGG-10: per pair, ROUGE-L F-measure from the token LCS (bit-parallel, Arrow UDF)."""
-    return rouge_scores(df, pred, ref, id_cols, carry, ["rougeL"])
+    return rouge_pair_scores(df, pred, ref, id_cols, carry, ["rougeL"])
 
 
 def rouge_lsum(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), carry: Sequence[str] = ()) -> DataFrame:
     """AGG-11: per pair, summary-level ROUGE-L: texts split on newlines, union
     LCS of each reference sentence against all prediction sentences, with
     per-token clipping (Arrow UDF)."""
-    return rouge_scores(df, pred, ref, id_cols, carry, ["rougeLsum"])
+    return rouge_pair_scores(df, pred, ref, id_cols, carry, ["rougeLsum"])
 
 
 def rouge_all(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), carry: Sequence[str] = ()) -> DataFrame:
     """Per pair: rouge1, rouge2, rougeL, rougeLsum (the validation-step scores)."""
-    return rouge_scores(df, pred, ref, id_cols, carry)
+    return rouge_pair_scores(df, pred, ref, id_cols, carry)
 
 
 ROUGE_COLS = ("rouge1", "rouge2", "rougeL", "rougeLsum")

@@ -497,7 +497,7 @@ SELECT round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, round(rougeL, 6)
 def q_average_rouge(spark, sf_dir):
     """AGG-13: (ROUGE-1 + ROUGE-2 + ROUGE-L) / 3 of the epoch means (Lsum left out)."""
     p = pair_rank_order(spark, sf_dir)
-    per = ov.rouge_scores(p, pred="src", ref="tgt", id_cols=["line_no"], carry=["batch_id"], kinds=["rouge1", "rouge2", "rougeL"])
+    per = ov.rouge_pair_scores(p, pred="src", ref="tgt", id_cols=["line_no"], carry=["batch_id"], kinds=["rouge1", "rouge2", "rougeL"])
     e = ov.rouge_epoch(per, cols=["rouge1", "rouge2", "rougeL"])
     a = ov.average_rouge(e)
     return a.select(*[r6(c).alias(c) for c in ("rouge1", "rouge2", "rougeL", "average_rouge")])

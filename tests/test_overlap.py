@@ -67,7 +67,7 @@ def _texts(rng, n):
     return out
 
 
-def test_rouge_scores_against_plain(spark):
+def test_rouge_pair_scores_against_plain(spark):
     rng = random.Random(11)
     preds, refs = _texts(rng, 120), _texts(rng, 120)
     preds += ["", "same text", "x"]
