@@ -18,7 +18,6 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiflow.sources.fixtures import EOS_ID, FIRST_TOKEN_ID, SPECIAL_IDS

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.functions.text import PY_WHITESPACE
 from lexiflow.operators import batching as bt
 from lexiflow.operators import losses as ls
 from lexiflow.operators import overlap as ov
@@ -642,5 +641,3 @@ def q_prepare_corpus(spark, sf_dir):
                               batch_size=TR_BATCH, shuffle_splits=["train"], vocab_rows=fx.VOCAB_SIZE)
     return out.select("split", "batch_id", "line_no", *[ids_str(c).alias(c) for c in ("src_ids", "src_mask", "tgt_ids", "tgt_mask")])
 
-
-_ = PY_WHITESPACE  # re-exported for callers building their own strip queries
