@@ -37,8 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared (HDFS/object-store) folder and is
-    used as is.  Only when it is unset (local tests) a fresh scratch folder is
-    created and registered.
+    used as is; a cluster session without it is an error.  Only a local
+    session (tests, bench) without the setting gets a fresh scratch folder.
     """
     try:
         sc = spark.sparkContext
@@ -49,6 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+    if not master.startswith("local"):
+        # a machine-local folder is not shared by the executors of a cluster
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/object store) for checkpoints")
     path = tempfile.mkdtemp(prefix="lexiflow-ckpt-", dir=os.environ.get("LEXIFLOW_SCRATCH", "/tmp"))
     if sc is not None:
         sc.setCheckpointDir(path)

@@ -71,3 +71,11 @@ def test_fixture_shapes(spark):
     assert ids[0] == fx.FIRST_TOKEN_ID and ids == list(range(fx.FIRST_TOKEN_ID, fx.FIRST_TOKEN_ID + len(ids)))
     rm = fx.run_metrics(spark, SF_SMALL)
     assert rm.where(F.col("epoch") < 0).count() == 0
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from lexiflow.session import ensure_checkpoint_dir
+
+    path = ensure_checkpoint_dir(spark)
+    assert path and spark.sparkContext.getCheckpointDir()
+    assert ensure_checkpoint_dir(spark) == path  # set once, then read back
