@@ -56,6 +56,8 @@ def encode(
     unk_id: int = UNK_ID,
     vocab_rows: int | None = None,
     strip: bool = False,
+    max_lens: Mapping[str, int] | None = None,
+    drop_over: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """PRJ-2: text columns -> ``array<int>`` id columns (``cols``: text -> ids name).
 
@@ -63,17 +65,38 @@ def encode(
     get ``unk_id``; ``prefix_ids``/``suffix_ids`` wrap the body (begin/end ids
     or a language code).  Returns ``key_cols + carry + ids`` columns; carried
     columns must be constant per key (e.g. the split).
+
+    The encoded length is the token count plus the special ids, known before
+    any lookup, so both limits act before the regrouping:
+
+    * ``max_lens`` {ids column: limit} — PRJ-3 truncation: only the first
+      limit − specials tokens are looked up and collected (same result as
+      truncating the full array; a huge text never becomes a huge list);
+    * ``drop_over`` {ids column: limit} — FLT-1: rows whose encoded length
+      exceeds the limit are dropped before the explode.
     """
     keys = list(key_cols)
     carry = list(carry)
     items = list(cols.items())
+    n_special = len(prefix_ids) + len(suffix_ids)
     keyed = df.repartition(*[F.col(k) for k in keys])
-    sides = F.array(*[
-        F.struct(F.lit(i).alias("_side"), split_ws(strip_expr(c) if strip else F.col(c)).alias("_toks"))
-        for i, (c, _) in enumerate(items)
-    ])
-    x = keyed.select(*keys, *carry, F.inline(sides))
+    toks = [split_ws(strip_expr(c) if strip else F.col(c)).alias(f"_t{i}") for i, (c, _) in enumerate(items)]
+    x = keyed.select(*keys, *carry, *toks)
+    if drop_over:
+        cond = F.lit(True)
+        for i, (_, out) in enumerate(items):
+            if out in drop_over:
+                cond = cond & (F.size(f"_t{i}") + F.lit(n_special) <= F.lit(drop_over[out]))
+        x = x.where(cond)
+    sides = F.array(*[F.struct(F.lit(i).alias("_side"), F.col(f"_t{i}").alias("_toks")) for i in range(len(items))])
+    x = x.select(*keys, *carry, F.inline(sides))
     x = x.select(*keys, *carry, "_side", F.posexplode_outer("_toks").alias("_p", "_tok"))
+    if max_lens:
+        limit = F.lit(None).cast("int")
+        for i, (_, out) in enumerate(items):
+            if out in max_lens:
+                limit = F.when(F.col("_side") == i, F.lit(max(max_lens[out] - n_special, 0))).otherwise(limit)
+        x = x.where(F.col("_p").isNull() | limit.isNull() | (F.col("_p") < limit))
     v = _vocab_side(vocab, vocab_rows, "token", "id", "_tok", "_id")
     x = x.join(v, on="_tok", how="left")
     aggs = []

@@ -66,8 +66,10 @@ def encoded_records(spark, sf_dir, truncate: bool = True, vocab: DataFrame | Non
     the encoded table once (SNK-1) before position passes read it several times."""
     r = fx.records(spark, sf_dir)
     v = vocab if vocab is not None else fx.vocab(spark, sf_dir)
-    e = prep.encode(r, {"document": "input_ids", "summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], vocab_rows=fx.VOCAB_SIZE)
-    if truncate:
+    limits = {"input_ids": SUM_MAX_IN, "output_ids": SUM_MAX_OUT} if truncate else None
+    e = prep.encode(r, {"document": "input_ids", "summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"],
+                    vocab_rows=fx.VOCAB_SIZE, max_lens=limits)
+    if truncate:  # PRJ-3 (already applied inside encode; idempotent here)
         e = prep.truncate_ids(e, "input_ids", SUM_MAX_IN)
         e = prep.truncate_ids(e, "output_ids", SUM_MAX_OUT)
     return materialize(e, "encoded") if materialized else e
@@ -84,7 +86,8 @@ def summarisation_batches(spark, sf_dir) -> DataFrame:
 def encoded_pairs(spark, sf_dir) -> DataFrame:
     p = fx.pairs(spark, sf_dir)
     v = fx.vocab(spark, sf_dir)
-    return prep.encode(p, {"src": "src_ids", "tgt": "tgt_ids"}, v, key_cols=["line_no"], carry=["split"], vocab_rows=fx.VOCAB_SIZE, strip=True)
+    return prep.encode(p, {"src": "src_ids", "tgt": "tgt_ids"}, v, key_cols=["line_no"], carry=["split"], vocab_rows=fx.VOCAB_SIZE, strip=True,
+                       drop_over={"src_ids": TR_MAX_SRC, "tgt_ids": TR_MAX_TGT})
 
 
 def pair_rank_order(spark, sf_dir) -> DataFrame:
@@ -188,7 +191,8 @@ def q_prepend_start(spark, sf_dir):
     """PRJ-4: a tokenizer without a begin id: truncate, then put the pad id in front (length may be max + 1)."""
     r = fx.records(spark, sf_dir)
     v = fx.vocab(spark, sf_dir)
-    e = prep.encode(r, {"summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], prefix_ids=(), vocab_rows=fx.VOCAB_SIZE)
+    e = prep.encode(r, {"summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], prefix_ids=(), vocab_rows=fx.VOCAB_SIZE,
+                    max_lens={"output_ids": SUM_MAX_OUT})
     e = prep.truncate_ids(e, "output_ids", SUM_MAX_OUT, n_prefix=0, n_suffix=1)
     e = prep.prepend_start(e, "output_ids", bos_id=None, pad_id=fx.PAD_ID)
     return e.select("row_id", "split", n_("output_ids").alias("n_output"), ids_str("output_ids").alias("output_ids"))

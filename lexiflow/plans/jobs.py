@@ -45,7 +45,8 @@ def infer_text(
 ) -> DataFrame:
     """UDF-2: strip (translation) or truncate (summarisation) -> encode -> mask ->
     generate -> decode.  Returns key, carry, ``text``."""
-    e = prep.encode(df, {text_col: "input_ids"}, vocab, key_cols=key_cols, carry=carry, strip=strip, vocab_rows=vocab_rows)
+    e = prep.encode(df, {text_col: "input_ids"}, vocab, key_cols=key_cols, carry=carry, strip=strip, vocab_rows=vocab_rows,
+                    max_lens={"input_ids": max_input} if max_input is not None else None)
     if max_input is not None:
         e = prep.truncate_ids(e, "input_ids", max_input)
     e = prep.mask_from_length(e, "input_ids", "attention_mask")
@@ -77,8 +78,10 @@ def evaluate_translation(
     """JOB-1: one metric row — corpus BLEU (with statistics) of generated against
     decoded reference ids, and the epoch loss/accuracy means of the class scores.
     BLEU is global, not rank-local (decision Q6)."""
-    e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True, vocab_rows=vocab_rows)
-    kept = prep.filter_by_length(e, {"src_ids": max_src, "tgt_ids": max_tgt})
+    limits = {"src_ids": max_src, "tgt_ids": max_tgt}
+    e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True,
+                    vocab_rows=vocab_rows, drop_over=limits)
+    kept = prep.filter_by_length(e, limits)
     kept = prep.mask_from_length(kept, "src_ids", "src_mask")
     g = infer.generate_batches(kept, make_model, "src_ids", "src_mask", "gen_ids", max_len=max_tgt, start_id=start_id)
     text = prep.decode_columns(g, {"gen_ids": "pred", "tgt_ids": "ref"}, vocab, key_cols=["line_no"], vocab_rows=vocab_rows)
@@ -107,7 +110,8 @@ def evaluate_summaries(
     """JOB-2: per split — ROUGE-1/2/L/Lsum as means of batch means (batches in
     the shuffled loader order), average ROUGE, and the epoch loss of the
     class scores.  References are the decoded truncated summaries."""
-    e = prep.encode(records, {"document": "input_ids", "summary": "output_ids"}, vocab, key_cols=["row_id"], carry=["split"], vocab_rows=vocab_rows)
+    e = prep.encode(records, {"document": "input_ids", "summary": "output_ids"}, vocab, key_cols=["row_id"], carry=["split"],
+                    vocab_rows=vocab_rows, max_lens={"input_ids": max_in, "output_ids": max_out})
     e = prep.truncate_ids(e, "input_ids", max_in)
     e = prep.truncate_ids(e, "output_ids", max_out)
     e = materialize(e, "encoded")  # SNK-1: encode once; the position passes read the files
@@ -138,8 +142,10 @@ def prepare_corpus(
     """JOB-3: pairs (split, line_no, src, tgt) -> strip -> encode -> length filter ->
     shuffle -> (shard over ``world`` ranks) -> batches -> ids padded with the pad
     id, masks with 0.  With ``out_path`` the result is also written (SNK-1)."""
-    e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True, vocab_rows=vocab_rows)
-    e = prep.filter_by_length(e, {"src_ids": max_src, "tgt_ids": max_tgt})
+    limits = {"src_ids": max_src, "tgt_ids": max_tgt}
+    e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True,
+                    vocab_rows=vocab_rows, drop_over=limits)
+    e = prep.filter_by_length(e, limits)
     e = materialize(e, "encoded")  # SNK-1: encode once; the position passes read the files
     e = bt.shuffle_rows(e, key="line_no", seed=seed, group_cols=["split"], splits=list(shuffle_splits) if shuffle_splits is not None else None)
     batch_cols = ["split", "batch_id"]

@@ -76,3 +76,15 @@ def test_dataset_size_and_steps(spark):
     assert both == 13
     steps = spark.range(1).select(prep.run_steps_expr(F.lit(both), epochs=1, devices=1, accum=1, batch_size=4)).first()[0]
     assert steps == pytest.approx(13 / 4)
+
+
+def test_limits_inside_encode_equal_limits_after(spark, vocab):
+    texts = ["a b c d a b", "a", "", "z z z z z z z"]
+    df = spark.createDataFrame([(i, t, t[::-1]) for i, t in enumerate(texts)], "row_id long, s string, t string")
+    full = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab, vocab_rows=4)
+    cut = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab, vocab_rows=4, max_lens={"a_ids": 4})
+    exp = {r.row_id: (list(r.a_ids), list(r.b_ids)) for r in prep.truncate_ids(full, "a_ids", 4).collect()}
+    assert {r.row_id: (list(r.a_ids), list(r.b_ids)) for r in cut.collect()} == exp
+    kept = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab, vocab_rows=4, drop_over={"a_ids": 4, "b_ids": 8})
+    exp2 = {r.row_id for r in prep.filter_by_length(full, {"a_ids": 4, "b_ids": 8}).collect()}
+    assert {r.row_id for r in kept.collect()} == exp2
