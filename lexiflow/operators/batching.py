@@ -44,7 +44,9 @@ def shuffle_rows(
         # unshuffled splits keep key order: bucket by the key's range instead
         bucket = F.when(F.col("_ord").isNull(), range_bucket(df, key, nb)).otherwise(bucket)
     tmp = df.withColumn("_ord", o)
-    return row_index(tmp, ["_ord", key], group_cols=group_cols, name=out, bucket=bucket, num_buckets=nb).drop("_ord")
+    few = list(group_cols) == ["split"]  # train / validation / test: a fixed enumeration
+    return row_index(tmp, ["_ord", key], group_cols=group_cols, name=out, bucket=bucket, num_buckets=nb,
+                     enumerated_groups=few).drop("_ord")
 
 
 def assign_batches(df: DataFrame, batch_size: int, pos_col: str = "pos", out: str = "batch_id") -> DataFrame:

@@ -58,11 +58,16 @@ def row_index(
     bucket: Column | None = None,
     num_buckets: int | None = None,
     num_partitions: int | None = None,
+    enumerated_groups: bool = False,
 ) -> DataFrame:
     """Add ``name``: 0-based position of each row inside its ``group_cols`` group
     in ``order_cols`` order (ascending, nulls first).  ``bucket`` must be
     non-decreasing along that order within a group; by default it is derived
-    from the first order column when it is numeric (else one bucket)."""
+    from the first order column when it is numeric (else one bucket).
+
+    ``enumerated_groups=True`` declares that the groups are a small fixed
+    enumeration (dataset splits): every group is bucketed, the hot-group pass
+    is skipped, and the offsets stay bounded by groups × buckets."""
     group_cols = list(group_cols)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     parts = num_partitions or shuffle_partitions(df.sparkSession)
@@ -74,7 +79,7 @@ def row_index(
         else:
             bucket = F.lit(0)
 
-    if group_cols:
+    if group_cols and not enumerated_groups:
         sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_size"))
         total = sizes.agg(F.sum("_size")).scalar()
         hot = sizes.where(F.col("_size") > total / F.lit(float(parts))).select(*group_cols, F.lit(True).alias("_hot"))

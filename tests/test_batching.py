@@ -64,3 +64,11 @@ def test_pad_batch_equal_lengths_unchanged(spark):
     df = spark.createDataFrame([(0, [5, 6, 2]), (0, [7, 8, 2])], "batch_id long, ids array<int>").withColumn("split", F.lit("s"))
     got = sorted(list(r.ids) for r in bt.pad_batch(df, {"ids": 1}).collect())
     assert got == [[5, 6, 2], [7, 8, 2]]
+
+
+def test_row_index_enumerated_groups(spark):
+    df = spark.range(0, 2000).select(F.when(F.col("id") % 10 == 0, "test").otherwise("train").alias("split"),
+                                     ((F.col("id") * 7919) % 2003).alias("k"))
+    got = row_index(df, ["k"], group_cols=["split"], enumerated_groups=True, num_buckets=8)
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("split").orderBy("k")) - 1)
+    assert sorted(map(tuple, got.select("split", "k", "pos").collect())) == sorted(map(tuple, exp.collect()))
