@@ -79,3 +79,14 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     path = ensure_checkpoint_dir(spark)
     assert path and spark.sparkContext.getCheckpointDir()
     assert ensure_checkpoint_dir(spark) == path  # set once, then read back
+
+
+def test_read_records_json_with_schema(spark, tmp_path):
+    recs = fx.records(spark, SF_SMALL)
+    path = str(tmp_path / "records_json")
+    recs.write.json(path)
+    back = read_records(spark, path, fmt="json")
+    assert back.schema.names == ["split", "row_id", "document", "summary"]
+    assert back.count() == recs.count()
+    assert sorted(r.row_id for r in back.where("split = 'validation'").collect()) == sorted(
+        r.row_id for r in recs.where("split = 'validation'").collect())
