@@ -625,6 +625,36 @@ def q_evaluate_summaries(spark, sf_dir):
                                    max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH, vocab_rows=fx.VOCAB_SIZE)
 
 
+_SUM_BASE = f"SELECT row_id, split, pos // {SUM_BATCH} AS batch_id, input_ids, output_ids FROM ({SHUFFLED})"
+_SUM_TEXT = f"""SELECT p.row_id, p.split, p.batch_id, p.text AS pred, r.text AS ref
+FROM {_stub_text_sql(_SUM_BASE, 'row_id', 'input_ids', SUM_MAX_OUT, ('split', 'batch_id'))} p
+JOIN {o.decode_sql(_SUM_BASE, 'row_id', 'output_ids', 'text')} r ON r.row_id = p.row_id"""
+_SUM_LCS = o.lcs_sql(f"SELECT row_id, pred, ref FROM ({_SUM_TEXT})", "row_id", o.rouge_tok("pred"), o.rouge_tok("ref"))
+_CE_BATCH = f"""SELECT batch_id, sum(lse - scores[label + 1]) FILTER (WHERE label <> {fx.PAD_ID})
+  / count(*) FILTER (WHERE label <> {fx.PAD_ID}) AS loss FROM ({_SC}) GROUP BY batch_id"""
+_EVAL_SUM_CORE = f"""
+WITH t AS ({_SUM_TEXT}),
+s AS (SELECT t.split, t.batch_id, r.rouge1, r.rouge2, {o.f_measure('l.lcs', 'l.na', 'l.nb')} AS rougeL
+      FROM t JOIN {o.rouge_n_sql(_SUM_TEXT, 'row_id', 'pred', 'ref')} r ON r.row_id = t.row_id
+             JOIN {_SUM_LCS} l ON l.row_id = t.row_id),
+b AS (SELECT split, batch_id, avg(rouge1) AS r1, avg(rouge2) AS r2, avg(rougeL) AS rl FROM s GROUP BY split, batch_id),
+e AS (SELECT split, avg(r1) AS rouge1, avg(r2) AS rouge2, avg(rl) AS rougeL FROM b GROUP BY split),
+v AS (SELECT avg(loss) AS vloss FROM ({_CE_BATCH}))
+SELECT split, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, round(rougeL, 6) AS rougeL,
+       round((rouge1 + rouge2 + rougeL) / 3.0, 6) AS average_rouge, round(vloss, 6) AS vloss FROM e, v"""
+
+
+@register("evaluate_summaries_core", _EVAL_SUM_CORE)
+def q_evaluate_summaries_core(spark, sf_dir):
+    """JOB-2 without ROUGE-Lsum, so SQL can repeat every step: truncated documents,
+    shuffled batches of 4, stub generation, decoded references, ROUGE-1/2/L
+    batch means per split, average ROUGE and the epoch cross-entropy."""
+    v = fx.vocab(spark, sf_dir)
+    return jobs.evaluate_summaries(fx.records(spark, sf_dir), v, jobs.stub_factory(v), fx.scores(spark, sf_dir),
+                                   max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH, vocab_rows=fx.VOCAB_SIZE,
+                                   kinds=("rouge1", "rouge2", "rougeL"))
+
+
 _PREP = f"""
 WITH k AS ({_TR_KEPT}),
 s AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY

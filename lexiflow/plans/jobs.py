@@ -106,10 +106,11 @@ def evaluate_summaries(
     ignore: int | None = fx.PAD_ID,
     start_id: int = fx.BOS_ID,
     vocab_rows: int | None = None,
+    kinds: Sequence[str] = ov.ROUGE_COLS,
 ) -> DataFrame:
-    """JOB-2: per split — ROUGE-1/2/L/Lsum as means of batch means (batches in
-    the shuffled loader order), average ROUGE, and the epoch loss of the
-    class scores.  References are the decoded truncated summaries."""
+    """JOB-2: per split — ROUGE-1/2/L/Lsum (``kinds``) as means of batch means
+    (batches in the shuffled loader order), average ROUGE, and the epoch loss
+    of the class scores.  References are the decoded truncated summaries."""
     e = prep.encode(records, {"document": "input_ids", "summary": "output_ids"}, vocab, key_cols=["row_id"], carry=["split"],
                     vocab_rows=vocab_rows, max_lens={"input_ids": max_in, "output_ids": max_out})
     e = prep.truncate_ids(e, "input_ids", max_in)
@@ -119,10 +120,11 @@ def evaluate_summaries(
     e = prep.mask_from_pad(e, "input_ids", "attention_mask")
     g = infer.generate_batches(e, make_model, "input_ids", "attention_mask", "gen_ids", max_len=max_out, start_id=start_id)
     text = prep.decode_columns(g, {"gen_ids": "pred", "output_ids": "ref"}, vocab, key_cols=["row_id"], carry=["split", "batch_id"], vocab_rows=vocab_rows)
-    per_pair = ov.rouge_all(text, pred="pred", ref="ref", id_cols=["row_id"], carry=["split", "batch_id"])
-    epoch = ov.average_rouge(ov.rouge_epoch(per_pair, by=["split"]), by=["split"])
+    kinds = list(kinds)
+    per_pair = ov.rouge_pair_scores(text, pred="pred", ref="ref", id_cols=["row_id"], carry=["split", "batch_id"], kinds=kinds)
+    epoch = ov.average_rouge(ov.rouge_epoch(per_pair, cols=kinds, by=["split"]), by=["split"])
     means = _loss_means(scores, epsilon, ignore)
-    cols = [*ov.ROUGE_COLS, "average_rouge"]
+    cols = [*kinds, "average_rouge"]
     return epoch.select("split", *[F.round(c, 6).alias(c) for c in cols], F.round(means.select("loss").scalar(), 6).alias("vloss"))
 
 
