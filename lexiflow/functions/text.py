@@ -74,7 +74,8 @@ def rstrip_text(c) -> Column:
 
 def split_ws(c) -> Column:
     """Python ``str.split()``: whitespace runs separate tokens, no empty tokens."""
-    return F.filter(F.split(col_(c), WS_RUN_JAVA), lambda t: t != F.lit(""))
+    # array_remove is a native expression (a filter lambda would be interpreted per element)
+    return F.array_remove(F.split(col_(c), WS_RUN_JAVA), "")
 
 
 def tokenize_13a(c) -> Column:
@@ -95,7 +96,7 @@ def rouge_tokens(c) -> Column:
 
 def rouge_sentences(c) -> Column:
     """Newline-separated sentences of a text, empty strings removed (ROUGE-Lsum)."""
-    return F.filter(F.split(col_(c), "\n"), lambda s: F.length(s) > 0)
+    return F.array_remove(F.split(col_(c), "\n"), "")
 
 
 def shifted_slices(tokens: Column, max_n: int) -> Column:

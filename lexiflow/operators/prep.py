@@ -107,7 +107,7 @@ def encode(
     g = x.groupBy(*keys, *carry).agg(*aggs)
     outs = []
     for i, (_, out) in enumerate(items):
-        body = F.transform(F.sort_array(F.col(f"_l{i}")), lambda s: s["_id"])
+        body = F.sort_array(F.col(f"_l{i}"))["_id"]  # field of an array of structs: native, no lambda
         outs.append(F.concat(_ids_literal(prefix_ids), body, _ids_literal(suffix_ids)).alias(out))
     return g.select(*keys, *carry, *outs)
 
@@ -222,10 +222,16 @@ def decode_columns(
     keys = list(key_cols)
     carry = list(carry)
     items = list(cols.items())
-    spec = _ids_literal(specials)
     keyed = df.repartition(*[F.col(k) for k in keys])
+
+    def without_specials(c):
+        out = F.col(c)
+        for sp in specials:
+            out = F.array_remove(out, int(sp))
+        return out
+
     sides = F.array(*[
-        F.struct(F.lit(i).alias("_side"), F.filter(F.col(c), lambda x: ~F.array_contains(spec, x)).alias("_ids"))
+        F.struct(F.lit(i).alias("_side"), without_specials(c).alias("_ids"))
         for i, (c, _) in enumerate(items)
     ])
     x = keyed.select(*keys, *carry, F.inline(sides))
@@ -237,7 +243,7 @@ def decode_columns(
         for i in range(len(items))
     ]
     g = x.groupBy(*keys, *carry).agg(*aggs)
-    outs = [F.array_join(F.transform(F.sort_array(f"_l{i}"), lambda s: s["_tok"]), " ").alias(out) for i, (_, out) in enumerate(items)]
+    outs = [F.array_join(F.sort_array(f"_l{i}")["_tok"], " ").alias(out) for i, (_, out) in enumerate(items)]
     return g.select(*keys, *carry, *outs)
 
 
