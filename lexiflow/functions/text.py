@@ -109,12 +109,17 @@ def shifted_slices(tokens: Column, max_n: int) -> Column:
     return F.arrays_zip(*parts)
 
 
-def ngram_structs(z: Column, max_n: int, min_n: int = 1) -> Column:
+def ngram_structs(z: Column, max_n: int, min_n: int = 1, hashed: bool = False) -> Column:
     """From one ``shifted_slices`` struct, the array of (n, gram) for the grams
-    that start there; grams running past the end are null and dropped later."""
+    that start there; grams running past the end are null and dropped later.
+
+    ``hashed`` keys a gram by ``xxhash64`` of its tokens instead of the joined
+    string (smaller keys, faster aggregation; a false match needs a 64-bit
+    collision between two different n-grams of the same pair)."""
     out = []
     for n in range(min_n, max_n + 1):
         fields = [z[f"g{k}"] for k in range(1, n + 1)]
-        gram = fields[0] if n == 1 else F.when(fields[-1].isNotNull(), F.concat_ws(" ", *fields))
+        value = F.xxhash64(*fields) if hashed else (fields[0] if n == 1 else F.concat_ws(" ", *fields))
+        gram = F.when(fields[-1].isNotNull(), value)
         out.append(F.struct(F.lit(n).alias("n"), gram.alias("gram")))
     return F.array(*out)

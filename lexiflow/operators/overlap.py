@@ -26,7 +26,7 @@ from lexiflow.functions.text import col_, ngram_structs, rouge_sentences, rouge_
 BLEU_MAX_ORDER = 4
 
 
-def _side_grams(df: DataFrame, keys: list[str], hyp: Column, ref: Column, max_n: int, sentinel: bool) -> DataFrame:
+def _side_grams(df: DataFrame, keys: list[str], hyp: Column, ref: Column, max_n: int, sentinel: bool, hashed: bool = False) -> DataFrame:
     """(keys…, h, n, gram) rows: h = 1 for a hypothesis gram, 0 for a reference gram.
     With ``sentinel`` every pair also yields one (h=2, n=0, gram=null) row, so a
     pair without any token still reaches the aggregate — produced inside the
@@ -37,7 +37,7 @@ def _side_grams(df: DataFrame, keys: list[str], hyp: Column, ref: Column, max_n:
     x = df.select(*keys, F.inline(F.array(*parts)))
     gen = F.explode_outer if sentinel else F.explode
     x = x.select(*keys, "h", gen(shifted_slices(F.col("t"), max_n)).alias("z"))
-    x = x.select(*keys, "h", F.inline(ngram_structs(F.col("z"), max_n)))
+    x = x.select(*keys, "h", F.inline(ngram_structs(F.col("z"), max_n, hashed=hashed)))
     if sentinel:
         x = x.where(F.col("gram").isNotNull() | ((F.col("h") == 2) & (F.col("n") == 1)))
         x = x.withColumn("n", F.when(F.col("h") == 2, F.lit(0)).otherwise(F.col("n")))
@@ -54,8 +54,10 @@ def gram_counts(
     max_n: int,
     carry: Sequence[str] = (),
     sentinel: bool = False,
+    hashed: bool = False,
 ) -> DataFrame:
-    """Per (id, n, gram): ``ch`` hypothesis count, ``cr`` reference count.
+    """Per (id, n, gram): ``ch`` hypothesis count, ``cr`` reference count
+    (``hashed``: grams keyed by a 64-bit hash, see ``ngram_structs``).
 
     JN-4: the multiset intersection needs no join — both sides meet in one
     grouping and ``least(ch, cr)`` is the clipped match.  ``carry`` columns
@@ -65,7 +67,7 @@ def gram_counts(
     part = df.repartition(*[F.col(c) for c in id_cols])
     sel = part.select(*carry, *id_cols, hyp.alias("_hyp"), ref.alias("_ref"))
     keys = [c for c in sel.columns if c not in ("_hyp", "_ref")]
-    grams = _side_grams(sel, keys, F.col("_hyp"), F.col("_ref"), max_n, sentinel)
+    grams = _side_grams(sel, keys, F.col("_hyp"), F.col("_ref"), max_n, sentinel, hashed)
     return grams.groupBy(*keys, "n", "gram").agg(
         F.sum(F.when(F.col("h") == 1, F.lit(1)).otherwise(F.lit(0))).alias("ch"),
         F.sum(F.when(F.col("h") == 0, F.lit(1)).otherwise(F.lit(0))).alias("cr"),
@@ -76,9 +78,9 @@ def _nz(c: Column) -> Column:
     return F.coalesce(c, F.lit(0)).cast("long")
 
 
-def bleu_stats(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), by: Sequence[str] = ()) -> DataFrame:
+def bleu_stats(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), by: Sequence[str] = (), hashed: bool = False) -> DataFrame:
     """Corpus statistics: matches m1..m4, totals t1..t4, sys_len, ref_len (per ``by`` group)."""
-    counts = gram_counts(df, id_cols, tokenize_13a(col_(pred)), tokenize_13a(col_(ref)), BLEU_MAX_ORDER, carry=by)
+    counts = gram_counts(df, id_cols, tokenize_13a(col_(pred)), tokenize_13a(col_(ref)), BLEU_MAX_ORDER, carry=by, hashed=hashed)
     aggs = []
     for n in range(1, BLEU_MAX_ORDER + 1):
         aggs.append(_nz(F.sum(F.when(F.col("n") == n, F.least("ch", "cr")))).alias(f"m{n}"))
@@ -112,10 +114,10 @@ def bleu_score(m: list[Column], t: list[Column], sys_len: Column, ref_len: Colum
     return F.when(degenerate, F.lit(0.0)).otherwise(bp * geo)
 
 
-def corpus_bleu(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), by: Sequence[str] = (), digits: int = 6) -> DataFrame:
+def corpus_bleu(df: DataFrame, pred: str = "pred", ref: str = "ref", id_cols: Sequence[str] = ("pair_id",), by: Sequence[str] = (), digits: int = 6, hashed: bool = False) -> DataFrame:
     """AGG-8: one row per ``by`` group (one row overall by default) with
     ``bleu`` and its integer statistics.  One reference per prediction."""
-    st = bleu_stats(df, pred, ref, id_cols, by)
+    st = bleu_stats(df, pred, ref, id_cols, by, hashed)
     m = [F.col(f"m{n}") for n in range(1, BLEU_MAX_ORDER + 1)]
     t = [F.col(f"t{n}") for n in range(1, BLEU_MAX_ORDER + 1)]
     score = bleu_score(m, t, F.col("sys_len"), F.col("ref_len"))
@@ -139,6 +141,7 @@ def rouge_pair_scores(
     id_cols: Sequence[str] = ("pair_id",),
     carry: Sequence[str] = (),
     kinds: Sequence[str] = ("rouge1", "rouge2", "rougeL", "rougeLsum"),
+    hashed: bool = False,
 ) -> DataFrame:
     """Per pair, the requested ROUGE F-measures in one linear pass: the
     LCS-based scores (Arrow UDF) are computed per row, the rows are
@@ -166,7 +169,7 @@ def rouge_pair_scores(
     lcs_names = [c for c in ("rougeL", "rougeLsum") if c in kinds]
     if not orders:
         return x.select(*carry, *id_cols, *lcs_names)
-    counts = gram_counts(x, id_cols, F.col("_p"), F.col("_r"), max(orders), carry=[*carry, *lcs_names], sentinel=True)
+    counts = gram_counts(x, id_cols, F.col("_p"), F.col("_r"), max(orders), carry=[*carry, *lcs_names], sentinel=True, hashed=hashed)
     aggs = []
     for n in orders:
         m = F.sum(F.when(F.col("n") == n, F.least("ch", "cr")))

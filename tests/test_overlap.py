@@ -122,3 +122,14 @@ def test_bleu_plan_single_pair_shuffle(spark):
     plan = ov.bleu_stats(df)._jdf.queryExecution().executedPlan().toString()
     # one exchange on the pair id, one to the single final partition, no join
     assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_hashed_grams_equal_exact(spark):
+    p = fx.pairs(spark, SF_SMALL)
+    exact = ov.corpus_bleu(p, pred="src", ref="tgt", id_cols=["line_no"]).first()
+    hashed = ov.corpus_bleu(p, pred="src", ref="tgt", id_cols=["line_no"], hashed=True).first()
+    assert tuple(exact) == tuple(hashed)
+    d = fx.doc_pairs(spark, SF_SMALL)
+    e = sorted(map(tuple, ov.rouge_pair_scores(d, id_cols=["pair_id"], kinds=["rouge1", "rouge2"]).collect()))
+    h = sorted(map(tuple, ov.rouge_pair_scores(d, id_cols=["pair_id"], kinds=["rouge1", "rouge2"], hashed=True).collect()))
+    assert e == h
