@@ -85,8 +85,9 @@ def row_index(
         hot = sizes.where(F.col("_size") > total / F.lit(float(parts))).select(*group_cols, F.lit(True).alias("_hot"))
         # at most `parts` groups can be hot: a proven bound for the broadcast
         x = df.join(F.broadcast(hot), on=group_cols, how="left")
-        x = x.withColumn("_b", F.when(F.col("_hot"), bucket).otherwise(F.lit(0))).drop("_hot")
-        hot_rows = x.join(F.broadcast(hot), on=group_cols, how="left_semi")
+        x = x.withColumn("_b", F.when(F.col("_hot"), bucket).otherwise(F.lit(0)))
+        hot_rows = x.where(F.col("_hot"))
+        x = x.drop("_hot")
     else:
         x = df.withColumn("_b", bucket)
         hot_rows = x
