@@ -49,3 +49,18 @@ def test_streaming_metric_log_sink(spark, tmp_path):
     back = spark.read.parquet(out)
     assert sorted((r.epoch, r.value) for r in back.collect()) == [(0, 1.0), (1, 2.0)]
     assert "run" in back.columns
+
+
+def test_running_best_min_mode(spark, tmp_path):
+    log = str(tmp_path / "loss_log")
+    rows = spark.createDataFrame([(0, "loss", 2.0), (1, "loss", 1.0), (2, "loss", 1.0), (3, "loss", None)],
+                                 "epoch int, metric string, value double")
+    runs.append_metrics(rows, log, run="r", version=0)
+    q = sm.running_best(sm.read_metric_stream(spark, log), "loss", "min").writeStream.outputMode("complete") \
+        .format("memory").queryName("best_loss").start()
+    try:
+        q.processAllAvailable()
+        got = [(r.epoch, r.value) for r in spark.sql("select * from best_loss").collect()]
+    finally:
+        q.stop()
+    assert got == [(1, 1.0)]  # tie keeps the earlier epoch; null never wins
