@@ -28,18 +28,35 @@ TABLE_KEYS: dict[str, list[str]] = {
 }
 
 
+SPREAD_MIN_BYTES = 8 << 20  # below this a scan is cheap even in one task
+
+
+def _local_size(path: str) -> int | None:
+    """Bytes under a local path (None for remote storage, where sizes are not looked up)."""
+    import os
+
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if "://" in local or not os.path.exists(local):
+        return None
+    if os.path.isfile(local):
+        return os.path.getsize(local)
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(local) for f in fs)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """One driver table (``{sf_dir}/{name}.parquet``).
 
     A scan with fewer partitions than the cluster has cores (one large row
     group, one file) would run every per-row step before the first shuffle in
-    a handful of tasks; such a scan is hash-spread on the table key.  On a
-    real corpus (many files / row groups) the scan is already parallel and
-    nothing is added.
+    a handful of tasks; such a scan — when it is not tiny — is hash-spread on
+    the table key.  On a real corpus (many files / row groups) the scan is
+    already parallel and nothing is added.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     keys = TABLE_KEYS.get(name)
-    if spread and keys:
+    size = _local_size(path)
+    if spread and keys and (size is None or size >= SPREAD_MIN_BYTES):
         try:
             cores = spark.sparkContext.defaultParallelism
             parts = df.rdd.getNumPartitions()
