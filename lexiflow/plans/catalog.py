@@ -125,7 +125,8 @@ SELECT split, n_rows, round(CAST(n_rows AS DOUBLE) * 1.0 / 1.0 / 1.0 / {SUM_BATC
   UNION ALL
   SELECT 'train+validation' AS split, count(*) FILTER (WHERE split IN ('train', 'validation')) AS n_rows FROM ({o.RECORDS}))""")
 def q_read_split_counts(spark, sf_dir):
-    """SRC-2/3 + AGG-1/2: rows per split, and the train+validation size that sizes the run."""
+    """AGG-1/2: rows per split, and the train+validation size that sizes the run
+    (SRC-2/3 reading and split pruning are checked in pytest)."""
     r = fx.records(spark, sf_dir)
     per = prep.dataset_size(r)
     both = prep.dataset_size(r, splits=["train", "validation"]).select(F.lit("train+validation").alias("split"), "n_rows")
