@@ -479,7 +479,9 @@ def q_rouge_lsum(spark, sf_dir):
 
 @register("rouge_epoch")
 def q_rouge_epoch(spark, sf_dir):
-    """AGG-12: batch means (4 pairs per batch, line order) of the four ROUGE scores, then their mean."""
+    """AGG-12: batch means (4 pairs per batch, line order) of the four ROUGE scores, then their mean
+    (per-pair scores and the mean of batch means are pytest-checked; the Lsum-free
+    epoch means have a SQL twin in ``average_rouge``)."""
     p = pair_rank_order(spark, sf_dir)
     per = ov.rouge_all(p, pred="src", ref="tgt", id_cols=["line_no"], carry=["batch_id"])
     e = ov.rouge_epoch(per)
@@ -620,7 +622,8 @@ def q_evaluate_translation(spark, sf_dir):
 @register("evaluate_summaries")
 def q_evaluate_summaries(spark, sf_dir):
     """JOB-2: summarisation evaluation — truncated documents, stub generation, four ROUGE
-    scores per pair against the decoded summaries, batch means, average ROUGE, loss."""
+    scores per pair against the decoded summaries, batch means, average ROUGE, loss
+    (``evaluate_summaries_core`` repeats it without Lsum with a SQL twin)."""
     v = fx.vocab(spark, sf_dir)
     return jobs.evaluate_summaries(fx.records(spark, sf_dir), v, jobs.stub_factory(v), fx.scores(spark, sf_dir),
                                    max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH, vocab_rows=fx.VOCAB_SIZE)
