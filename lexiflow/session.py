@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -78,3 +79,34 @@ def materialize(df, name: str = "stage"):
     path = f"{base}/lexiflow-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lexiflow`` importable in the Python workers (Arrow UDFs,
+    mapInPandas) wherever the driver runs from: the package is zipped once and
+    added with ``addPyFile`` (``addArtifacts`` on Spark Connect), which Spark
+    distributes to every executor."""
+    import zipfile
+
+    try:
+        key = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        key = getattr(spark, "session_id", "connect")
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="lexiflow-pkg-"), "lexiflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    try:
+        spark.sparkContext.addPyFile(out)
+    except Exception:
+        spark.addArtifacts(out, pyfile=True)
+    _SHIPPED.add(key)
