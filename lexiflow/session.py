@@ -107,6 +107,13 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     try:
         spark.sparkContext.addPyFile(out)
-    except Exception:
-        spark.addArtifacts(out, pyfile=True)
+    except Exception as classic_error:
+        if "already registered" in str(classic_error):
+            pass  # shipped earlier in this application (e.g. after a module reload)
+        else:
+            try:
+                spark.addArtifacts(out, pyfile=True)
+            except Exception as connect_error:
+                if "already" not in str(connect_error):
+                    raise
     _SHIPPED.add(key)
