@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiflow.llm import credentials, prefix_bpe
+from lexiflow.llm import credentials, order_minhash, prefix_bpe
 from lexiflow.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return credentials.digest(credentials.find_secrets(docs))
@@ -24,6 +28,7 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_credentials": op2_credentials,
     "op5_piece_codec": op5_piece_codec,
 }
