@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiflow.llm import credentials, order_minhash, prefix_bpe
+from lexiflow.llm import credentials, decontaminate, order_minhash, prefix_bpe, pu_quality
 from lexiflow.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -22,15 +22,25 @@ def op2_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digest(credentials.find_secrets(docs))
 
 
+def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return prefix_bpe.tokenize(docs, PIECE_MODEL, emit=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_credentials": op2_credentials,
+    "op4_templates": op4_templates,
     "op5_piece_codec": op5_piece_codec,
+    "op6_pu_quality": op6_pu_quality,
 }
 
 ORACLE: dict[str, str] = {}
