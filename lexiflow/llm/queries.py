@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiflow.llm import credentials, decontaminate, order_minhash, prefix_bpe, pu_quality
+from lexiflow.llm import credentials, decontaminate, feistel, order_minhash, prefix_bpe, preference, pu_quality
 from lexiflow.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+#: The queries' key; a caller of the operator passes a secret of their own.
+PSEUDONYM_KEY = "query key"
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,12 +37,26 @@ def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = preference.conversations(table(spark, sf_dir, "conversations"))
+    return preference.format_pairs(preference.swapped_replies(chats))
+
+
+def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return feistel.pseudonymise(docs, PSEUDONYM_KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_credentials": op2_credentials,
     "op4_templates": op4_templates,
     "op5_piece_codec": op5_piece_codec,
     "op6_pu_quality": op6_pu_quality,
+    "op7_preference": op7_preference,
+    "op10_feistel": op10_feistel,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_preference": preference.ORACLE,
+}
