@@ -121,15 +121,15 @@ e as (
          replace(s.text, '<|', '<\|') || '<|end|>' || chr(10) as body
   from s join k on k.conv_id = s.conv_id),
 p as (
-  select *, coalesce(sum(length(head) + length(body)) over (partition by conv_id, side, after order by i rows between unbounded preceding and 1 preceding), 0) as at
+  select *, coalesce(sum(length(head) + length(body)) over (partition by conv_id, side, after order by i rows between unbounded preceding and 1 preceding), 0) as head_at
   from e)
 select k.conv_id, cast(k.k as int) as prompt_turns,
   coalesce(string_agg(head || body, '' order by i) filter (where side = 'c' and not after), '') as prompt,
   coalesce(string_agg(head || body, '' order by i) filter (where side = 'c' and after), '') as chosen,
-  coalesce(string_agg(cast(at + length(head) as bigint) || ':' || cast(at + length(head) + length(body) as bigint), ',' order by i)
+  coalesce(string_agg(cast(head_at + length(head) as bigint) || ':' || cast(head_at + length(head) + length(body) as bigint), ',' order by i)
     filter (where side = 'c' and after and role = 'assistant'), '') as chosen_spans,
   coalesce(string_agg(head || body, '' order by i) filter (where side = 'r' and after), '') as rejected,
-  coalesce(string_agg(cast(at + length(head) as bigint) || ':' || cast(at + length(head) + length(body) as bigint), ',' order by i)
+  coalesce(string_agg(cast(head_at + length(head) as bigint) || ':' || cast(head_at + length(head) + length(body) as bigint), ',' order by i)
     filter (where side = 'r' and after and role = 'assistant'), '') as rejected_spans
 from k left join p on p.conv_id = k.conv_id
 group by k.conv_id, k.k
