@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiflow.llm import credentials, decontaminate, feistel, order_minhash, prefix_bpe, preference, pu_quality
+from lexiflow.llm import credentials, decontaminate, feistel, order_minhash, prefix_bpe, preference, pu_quality, warc_zstd
 from lexiflow.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -42,6 +42,11 @@ def op7_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_pairs(preference.swapped_replies(chats))
 
 
+def op9_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_zstd.round_trip(spark, table(spark, sf_dir, "pages"), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return feistel.pseudonymise(docs, PSEUDONYM_KEY)
@@ -54,9 +59,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_piece_codec": op5_piece_codec,
     "op6_pu_quality": op6_pu_quality,
     "op7_preference": op7_preference,
+    "op9_warc_zstd": op9_warc_zstd,
     "op10_feistel": op10_feistel,
 }
 
 ORACLE: dict[str, str] = {
     "op7_preference": preference.ORACLE,
+    "op9_warc_zstd": warc_zstd.ORACLE,
 }
