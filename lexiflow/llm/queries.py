@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexiflow.llm import credentials, decontaminate, feistel, order_minhash, prefix_bpe, preference, pu_quality, warc_zstd
+from lexiflow.llm import credentials, decontaminate, dom_extract, feistel, order_minhash, prefix_bpe, preference, pu_quality, warc_zstd
 from lexiflow.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -42,6 +43,11 @@ def op7_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_pairs(preference.swapped_replies(chats))
 
 
+def op8_dom_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return dom_extract.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op9_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc_zstd.round_trip(spark, table(spark, sf_dir, "pages"), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_piece_codec": op5_piece_codec,
     "op6_pu_quality": op6_pu_quality,
     "op7_preference": op7_preference,
+    "op8_dom_trees": op8_dom_trees,
     "op9_warc_zstd": op9_warc_zstd,
     "op10_feistel": op10_feistel,
 }
