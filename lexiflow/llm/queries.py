@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.llm import credentials, decontaminate, dom_extract, feistel, order_minhash, prefix_bpe, preference, pu_quality, warc_zstd
+from lexiflow.llm import credentials, decontaminate, dom_extract, feistel, multi_index, order_minhash, prefix_bpe, preference, pu_quality, warc_zstd
 from lexiflow.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -25,6 +25,10 @@ def op2_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digest(credentials.find_secrets(docs))
 
 
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,6 +65,7 @@ def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_credentials": op2_credentials,
+    "op3_multi_index": op3_multi_index,
     "op4_templates": op4_templates,
     "op5_piece_codec": op5_piece_codec,
     "op6_pu_quality": op6_pu_quality,
