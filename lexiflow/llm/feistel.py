@@ -3,7 +3,7 @@
 Numbers and dates that pass their own validation are permuted within their format:
 
 * payment cards (Luhn): length, separators and first digit stay, the check digit is made anew;
-* telephone numbers (+1 plan) and social security numbers: valid area and exchange ranges stay;
+* telephone numbers (+1 plan) and social security numbers: valid area and exchange ranges stay valid;
 * IPv4 addresses: any valid address to a valid address;
 * dates from 1800 to 2199: a valid date in the same notation;
 * mail addresses: letters and digits of the local part, place by place; the domain stays.
@@ -32,9 +32,12 @@ ROUNDS = 10
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}"
 IPV4 = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])){3}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
-PHONE = r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}|\+1[ .-]?[2-9][0-9]{2}[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}"
+PHONE = (
+    r"(?:\+?1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|\+1[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+    r"|(?:1[ .-])?[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4}"
+)
 CARD = r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19}"
-MAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+MAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"  # bounded, so long texts need no deep stack
 KINDS = {"date": DATE, "ipv4": IPV4, "ssn": SSN, "phone": PHONE, "card": CARD}
 _CARD_HERE = CARD.replace("([ -])", "(?:[ -])").replace(r"\1", "[ -]")
 PATTERN = (
@@ -125,16 +128,28 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
+    """Numbers of valid area and exchange (both from 200 on) stay valid, the others stay others."""
+
     def with_digits(d: Column) -> Column:
         ten = F.substring(d, F.length(d) - 9, F.lit(10))
         area, exchange, line = (_number(F.substring(ten, *x)) for x in ((1, 3), (4, 3), (7, 4)))
-        a, b = area - 200, (exchange - 200) * 10000 + line
 
-        def joined(s: Column) -> Column:
-            new = F.concat((s["a"] + 200).cast("string"), (F.floor(s["b"] / 10000) + 200).cast("string"), _pad(s["b"] % 10000, 4))
-            return _put(m, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), new))
+        def written(area: Column, rest: Column) -> Column:
+            return _put(m, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), _pad(area, 3), _pad(rest, 7)))
+
+        good = permute("phone", area - 200, (exchange - 200) * 10000 + line, _lit(800), _lit(8_000_000), key)
+        # the others in a row: areas below 200 (2e9 numbers), then exchanges below 200 of other areas (1.6e9): 60000 squared
+        index = F.when(area < 200, area * 10_000_000 + exchange * 10000 + line).otherwise(_lit(2_000_000_000) + (area - 200) * 2_000_000 + exchange * 10000 + line)
+        other = permute("phone2", F.floor(index / 60000), index % 60000, _lit(60000), _lit(60000), key)
+
+        def other_written(s: Column) -> Column:
+            i = s["a"] * 60000 + s["b"]
+            late = i - 2_000_000_000
+            return F.when(i < 2_000_000_000, written(F.floor(i / 10_000_000), i % 10_000_000)).otherwise(written(F.floor(late / 2_000_000) + 200, late % 2_000_000))
 
-        return _once(permute("phone", a, b, _lit(800), _lit(8_000_000), key), joined)
+        return F.when(
+            (area >= 200) & (exchange >= 200), _once(good, lambda s: written(s["a"] + 200, s["b"] + 2_000_000))
+        ).otherwise(_once(other, other_written))
 
     return _once(_digits(m), with_digits)
 

@@ -192,7 +192,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
     """
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     fine = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)
-    rows = df.where(is_query.isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), is_query.alias("asks"))
+    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(fine)
     widths = rows.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").limit(1).collect()
     if not widths:

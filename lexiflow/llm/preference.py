@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiflow.llm.common import free_name
+
 #: The marks around a turn.
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 
@@ -83,14 +85,15 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
     first turn on an empty prompt; a null conversation counts as one without turns.
     """
     a, b = (F.coalesce(F.col(c), F.array().cast(_TURNS)) for c in (chosen, rejected))
-    mine = {c.lower() for c in (chosen, rejected, "prompt_turns", "prompt", "chosen_spans", "rejected_spans")}
+    mine = {c.lower() for c in (chosen, rejected, "prompt_turns", "prompt", "chosen", "rejected", "chosen_spans", "rejected_spans")}
     others = [F.col(c) for c in pairs.columns if c.lower() not in mine]
-    cut = pairs.select(*others, a.alias("_a"), b.alias("_b")).withColumn("_k", common_prefix(F.col("_a"), F.col("_b")))
-    rest = [F.slice(c, F.col("_k") + 1, F.greatest(F.size(c), F.lit(1))) for c in ("_a", "_b")]
+    left, right, size = (free_name(pairs, n) for n in ("_a", "_b", "_k"))
+    cut = pairs.select(*others, a.alias(left), b.alias(right)).withColumn(size, common_prefix(F.col(left), F.col(right)))
+    rest = [F.slice(c, F.col(size) + 1, F.greatest(F.size(c), F.lit(1))) for c in (left, right)]
     return cut.select(
         *others,
-        F.col("_k").alias("prompt_turns"),
-        render(F.slice("_a", F.lit(1), F.col("_k"))).alias("prompt"),
+        F.col(size).alias("prompt_turns"),
+        render(F.slice(left, F.lit(1), F.col(size))).alias("prompt"),
         render(rest[0]).alias("chosen"),
         loss_spans(rest[0]).alias("chosen_spans"),
         render(rest[1]).alias("rejected"),
