@@ -39,7 +39,7 @@ WS_RUN_JAVA: str = r"(?U)[\s\x{1C}-\x{1F}]+"
 #   3. period or comma followed by a non-digit is split off;
 #   4. dash preceded by a digit is split off.
 BLEU_13A_RULES: list[tuple[str, str]] = [
-    (r"([\x{7B}-\x{7E}\x{5B}-\x{60}\x{20}-\x{26}\x{28}-\x{2B}\x{3A}-\x{40}\x{2F}])", " $1 "),
+    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
     (r"([^0-9])([.,])", "$1 $2 "),
     (r"([.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),

@@ -120,6 +120,28 @@ def batch_loss(df: DataFrame, epsilon: float = 0.0, by: Sequence[str] = ("batch_
     return label_smoothed_nll(df, epsilon, by, ignore, scores, label).drop("nll_loss")
 
 
+def batch_loss_and_accuracy(df: DataFrame, epsilon: float = 0.0, by: Sequence[str] = ("batch_id",), ignore: int | None = 1, scores: str = "scores", label: str = "label") -> DataFrame:
+    """``batch_loss`` and ``token_accuracy`` (over all positions) from one grouping of the scores.
+
+    Rows of different widths in a batch fail (CHK-2 within the batch; the width itself
+    is checked by ``check_width`` where the vocabulary's is known)."""
+    keep = _keep(label, ignore)
+    lse = logsumexp_expr(scores)
+    width = F.size(scores)
+    smooth = width.cast("double") * lse - F.aggregate(scores, F.lit(0.0), lambda a, v: a + v)
+    g = df.groupBy(*by).agg(
+        F.sum(F.when(keep, lse - gather_expr(scores, label))).alias("_nll"),
+        F.sum(F.when(keep, smooth)).alias("_smooth"),
+        F.count(F.when(keep, F.lit(1))).cast("double").alias("_cnt"),
+        F.when(F.min(width) == F.max(width), F.max(width)).otherwise(F.raise_error(F.lit("score widths differ in a batch")).cast("int")).cast("double").alias("_v"),
+        F.avg((argmax_expr(scores) == F.col(label)).cast("double")).alias("accuracy"),
+    )
+    loss = F.when(F.col("_v").isNotNull(), F.try_divide(F.col("_nll"), F.col("_cnt")))
+    if epsilon:
+        loss = F.lit(1.0 - epsilon) * loss + F.try_divide(F.lit(float(epsilon)), F.col("_v")) * F.try_divide(F.col("_smooth"), F.col("_cnt"))
+    return g.select(*by, loss.alias("loss"), "accuracy")
+
+
 def mean_of_batches(per_batch: DataFrame, cols: Sequence[str], batch_col: str = "batch_id", by: Sequence[str] = (), rank_col: str | None = None, weighted: bool = False) -> DataFrame:
     """AGG-6 / AGG-7: unweighted mean of per-batch values (a short last batch
     weighs as much as a full one).  Rows may be finer than batches (e.g. one

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiflow.session import shuffle_partitions
+from lexiflow.session import ensure_checkpoint_dir, shuffle_partitions
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -101,3 +101,21 @@ def row_index(
     joined = ranked.join(F.broadcast(offsets), on=[*group_cols, "_b"], how="left")
     pos = F.col("_r") + F.coalesce(F.col("_off"), F.lit(0))
     return joined.withColumn(name, pos.cast("long")).drop("_b", "_r", "_off")
+
+
+def sorted_index(df: DataFrame, order: Sequence[Column], name: str = "pos") -> DataFrame:
+    """Add ``name``: 0-based position in the total order ``order`` (unique keys).
+
+    A range-partitioned sort, written once to the shared checkpoint folder with
+    each row's partition and place in it; the partitions' row counts, prefix-summed
+    (one row per partition), are the offsets.  Equal-width assumptions about the
+    keys are not needed: the range bounds follow their distribution."""
+    ensure_checkpoint_dir(df.sparkSession)
+    place = F.monotonically_increasing_id()  # partition number in the upper 31 bits, place in the lower 33
+    x = df.orderBy(*order).withColumn("_m", place).checkpoint(eager=True)
+    x = x.withColumn("_p", F.shiftright("_m", 33)).withColumn("_r", F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)))
+    counts = x.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # over one row per partition
+    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    out = x.join(F.broadcast(offsets), on="_p")
+    return out.withColumn(name, (F.col("_r") + F.col("_off")).cast("long")).drop("_m", "_p", "_r", "_off")

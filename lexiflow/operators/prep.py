@@ -4,8 +4,7 @@ length filter, side pairing and alignment check, decode, dataset size
 
 Encoding plan: rows are hash-partitioned once on their key; each text column
 is split into (position, token) rows by ``posexplode``; tokens meet the
-vocabulary in a broadcast hash join (the vocabulary is bounded by its size
-parameter); one ``collect_list`` per key — already clustered by the key
+vocabulary in a join (broadcast only if the counted vocabulary is small); one ``collect_list`` per key — already clustered by the key
 partitioning, so no second exchange — puts the ids back in order.  Several
 text columns are encoded in the same pass.  (A map literal would avoid the
 join, but Spark looks up map keys by linear scan, O(vocabulary) per token.)
@@ -21,19 +20,24 @@ from pyspark.sql import functions as F
 from lexiflow.functions.text import col_, split_ws, strip_text as strip_expr
 from lexiflow.sources.fixtures import BOS_ID, EOS_ID, PAD_ID, SPECIAL_IDS, UNK_ID
 
-VOCAB_BROADCAST_ROWS = 5_000_000  # largest vocabulary hinted for broadcast
+VOCAB_BROADCAST_ROWS = 1_000_000  # largest counted vocabulary that is broadcast
 
 
 def _ids_literal(ids: Sequence[int]) -> Column:
     return F.array(*[F.lit(int(i)) for i in ids]).cast("array<int>")
 
 
-def _vocab_side(vocab: DataFrame, vocab_rows: int | None, key: str, val: str, key_as: str, val_as: str) -> DataFrame:
-    v = vocab.select(F.col(key).alias(key_as), F.col(val).alias(val_as))
-    # Broadcast only behind a proven bound; otherwise AQE sizes it at run time.
-    if vocab_rows is not None and vocab_rows <= VOCAB_BROADCAST_ROWS:
-        return F.broadcast(v)
-    return v
+def _lookup(x: DataFrame, vocab: DataFrame, key: str, val: str, by: str, as_: str) -> DataFrame:
+    """Left join of ``x`` to the vocabulary on its column ``by``.
+
+    The vocabulary is counted first: a small one is broadcast.  Beyond that a
+    shuffle join, in which adaptive execution splits frequent tokens; rows without
+    a token (empty texts) never match and skip the shuffle's hot null key."""
+    v = vocab.select(F.col(key).alias(by), F.col(val).alias(as_))
+    if vocab.count() <= VOCAB_BROADCAST_ROWS:
+        return x.join(F.broadcast(v), on=by, how="left")
+    none = x.where(F.col(by).isNull()).withColumn(as_, F.lit(None).cast(v.schema[as_].dataType))
+    return x.where(F.col(by).isNotNull()).join(v, on=by, how="left").unionByName(none)
 
 
 # --- PRJ-1 ---------------------------------------------------------------------
@@ -54,7 +58,6 @@ def encode(
     prefix_ids: Sequence[int] = (BOS_ID,),
     suffix_ids: Sequence[int] = (EOS_ID,),
     unk_id: int = UNK_ID,
-    vocab_rows: int | None = None,
     strip: bool = False,
     max_lens: Mapping[str, int] | None = None,
     drop_over: Mapping[str, int] | None = None,
@@ -79,7 +82,9 @@ def encode(
     carry = list(carry)
     items = list(cols.items())
     n_special = len(prefix_ids) + len(suffix_ids)
-    keyed = df.repartition(*[F.col(k) for k in keys])
+    # rows that share a key stay apart: each carries a number of its own through the regrouping
+    keyed = df.withColumn("_row", F.monotonically_increasing_id()).repartition(*[F.col(k) for k in keys])
+    wanted, carry = carry, [*carry, "_row"]
     toks = [split_ws(strip_expr(c) if strip else F.col(c)).alias(f"_t{i}") for i, (c, _) in enumerate(items)]
     x = keyed.select(*keys, *carry, *toks)
     if drop_over:
@@ -97,8 +102,7 @@ def encode(
             if out in max_lens:
                 limit = F.when(F.col("_side") == i, F.lit(max(max_lens[out] - n_special, 0))).otherwise(limit)
         x = x.where(F.col("_p").isNull() | limit.isNull() | (F.col("_p") < limit))
-    v = _vocab_side(vocab, vocab_rows, "token", "id", "_tok", "_id")
-    x = x.join(v, on="_tok", how="left")
+    x = _lookup(x, vocab, "token", "id", "_tok", "_id")
     aggs = []
     for i, (_, out) in enumerate(items):
         entry = F.when((F.col("_side") == i) & F.col("_p").isNotNull(),
@@ -109,7 +113,7 @@ def encode(
     for i, (_, out) in enumerate(items):
         body = F.sort_array(F.col(f"_l{i}"))["_id"]  # field of an array of structs: native, no lambda
         outs.append(F.concat(_ids_literal(prefix_ids), body, _ids_literal(suffix_ids)).alias(out))
-    return g.select(*keys, *carry, *outs)
+    return g.select(*keys, *wanted, *outs)
 
 
 # --- PRJ-3 / PRJ-4 -------------------------------------------------------------------
@@ -214,7 +218,6 @@ def decode_columns(
     key_cols: Sequence[str] = ("row_id",),
     carry: Sequence[str] = (),
     specials: Sequence[int] = SPECIAL_IDS,
-    vocab_rows: int | None = None,
 ) -> DataFrame:
     """PRJ-8: id columns -> text columns (``cols``: ids -> text name), special
     ids skipped (FLT-3), tokens joined by a space.  One pass for all columns;
@@ -222,7 +225,8 @@ def decode_columns(
     keys = list(key_cols)
     carry = list(carry)
     items = list(cols.items())
-    keyed = df.repartition(*[F.col(k) for k in keys])
+    keyed = df.withColumn("_row", F.monotonically_increasing_id()).repartition(*[F.col(k) for k in keys])
+    wanted, carry = carry, [*carry, "_row"]
 
     def without_specials(c):
         out = F.col(c)
@@ -236,15 +240,14 @@ def decode_columns(
     ])
     x = keyed.select(*keys, *carry, F.inline(sides))
     x = x.select(*keys, *carry, "_side", F.posexplode_outer("_ids").alias("_p", "_id"))
-    v = _vocab_side(vocab, vocab_rows, "id", "token", "_id", "_tok")
-    x = x.join(v, on="_id", how="left")
+    x = _lookup(x, vocab, "id", "token", "_id", "_tok")
     aggs = [
         F.collect_list(F.when((F.col("_side") == i) & F.col("_tok").isNotNull(), F.struct("_p", "_tok"))).alias(f"_l{i}")
         for i in range(len(items))
     ]
     g = x.groupBy(*keys, *carry).agg(*aggs)
     outs = [F.array_join(F.sort_array(f"_l{i}")["_tok"], " ").alias(out) for i, (_, out) in enumerate(items)]
-    return g.select(*keys, *carry, *outs)
+    return g.select(*keys, *wanted, *outs)
 
 
 def decode(
@@ -254,11 +257,10 @@ def decode(
     key_cols: Sequence[str] = ("row_id",),
     out: str = "text",
     specials: Sequence[int] = SPECIAL_IDS,
-    vocab_rows: int | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """PRJ-8 for one column."""
-    return decode_columns(df, {col: out}, vocab, key_cols, carry, specials, vocab_rows)
+    return decode_columns(df, {col: out}, vocab, key_cols, carry, specials)
 
 
 # --- AGG-1 / AGG-2 ----------------------------------------------------------------

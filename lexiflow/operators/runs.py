@@ -39,11 +39,11 @@ def best_checkpoint(
     metric_col: str = "metric",
 ) -> DataFrame:
     """TOP-1: the ``k`` best epochs per run by ``metric`` (``max`` for a score,
-    ``min`` for a loss).  Ties go to the earliest epoch; null values never win.
+    ``min`` for a loss).  Ties go to the earliest epoch; null and NaN values (a diverged run) never win.
     Output: run, rank (1 = best), epoch, value."""
     if mode not in ("max", "min"):
         raise ValueError("mode must be 'max' or 'min'")
-    x = df.where((F.col(metric_col) == F.lit(metric)) & F.col(value_col).isNotNull())
+    x = df.where((F.col(metric_col) == F.lit(metric)) & F.col(value_col).isNotNull() & ~F.isnan(value_col))
     x = x.select(run_col, epoch_col, value_col)
     if k == 1:
         # order key: better value first, then the earlier epoch

@@ -67,8 +67,7 @@ def encoded_records(spark, sf_dir, truncate: bool = True, vocab: DataFrame | Non
     r = fx.records(spark, sf_dir)
     v = vocab if vocab is not None else fx.vocab(spark, sf_dir)
     limits = {"input_ids": SUM_MAX_IN, "output_ids": SUM_MAX_OUT} if truncate else None
-    e = prep.encode(r, {"document": "input_ids", "summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"],
-                    vocab_rows=fx.VOCAB_SIZE, max_lens=limits)
+    e = prep.encode(r, {"document": "input_ids", "summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], max_lens=limits)
     if truncate:  # PRJ-3 (already applied inside encode; idempotent here)
         e = prep.truncate_ids(e, "input_ids", SUM_MAX_IN)
         e = prep.truncate_ids(e, "output_ids", SUM_MAX_OUT)
@@ -86,7 +85,7 @@ def summarisation_batches(spark, sf_dir) -> DataFrame:
 def encoded_pairs(spark, sf_dir) -> DataFrame:
     p = fx.pairs(spark, sf_dir)
     v = fx.vocab(spark, sf_dir)
-    return prep.encode(p, {"src": "src_ids", "tgt": "tgt_ids"}, v, key_cols=["line_no"], carry=["split"], vocab_rows=fx.VOCAB_SIZE, strip=True,
+    return prep.encode(p, {"src": "src_ids", "tgt": "tgt_ids"}, v, key_cols=["line_no"], carry=["split"], strip=True,
                        drop_over={"src_ids": TR_MAX_SRC, "tgt_ids": TR_MAX_TGT})
 
 
@@ -192,7 +191,7 @@ def q_prepend_start(spark, sf_dir):
     """PRJ-4: a tokenizer without a begin id: truncate, then put the pad id in front (length may be max + 1)."""
     r = fx.records(spark, sf_dir)
     v = fx.vocab(spark, sf_dir)
-    e = prep.encode(r, {"summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], prefix_ids=(), vocab_rows=fx.VOCAB_SIZE,
+    e = prep.encode(r, {"summary": "output_ids"}, v, key_cols=["row_id"], carry=["split"], prefix_ids=(),
                     max_lens={"output_ids": SUM_MAX_OUT})
     e = prep.truncate_ids(e, "output_ids", SUM_MAX_OUT, n_prefix=0, n_suffix=1)
     e = prep.prepend_start(e, "output_ids", bos_id=None, pad_id=fx.PAD_ID)
@@ -239,7 +238,7 @@ def q_decode_text(spark, sf_dir):
     """PRJ-8 + FLT-3: encoded summaries back to text, special and unknown ids skipped."""
     v = fx.vocab(spark, sf_dir)
     e = encoded_records(spark, sf_dir, truncate=False, vocab=v)
-    return prep.decode(e, "output_ids", v, key_cols=["row_id"], out="text", vocab_rows=fx.VOCAB_SIZE, carry=["split"])
+    return prep.decode(e, "output_ids", v, key_cols=["row_id"], out="text", carry=["split"])
 
 
 # =============================================================================
@@ -382,9 +381,7 @@ def q_label_smoothed(spark, sf_dir):
 
 def _batch_table(spark, sf_dir) -> DataFrame:
     s = fx.scores(spark, sf_dir)
-    loss = ls.label_smoothed_nll(s, SMOOTHING, by=["batch_id", "rank"], ignore=fx.PAD_ID).drop("nll_loss")
-    acc = ls.token_accuracy(s, by=["batch_id", "rank"])
-    return loss.join(acc, on=["batch_id", "rank"])
+    return ls.batch_loss_and_accuracy(s, SMOOTHING, by=["batch_id", "rank"], ignore=fx.PAD_ID)
 
 
 @register("batch_mean_loss", f"""
@@ -511,14 +508,10 @@ def q_average_rouge(spark, sf_dir):
 
 @register("concat_outputs", f"SELECT split, line_no, tgt AS ref, src AS pred FROM ({o.PAIRS})")
 def q_concat_outputs(spark, sf_dir):
-    """SET-1 + JN-2: per split, references paired with predictions by id, then all splits appended."""
+    """SET-1 + JN-2: references paired with predictions by split and id, all splits in one table."""
     p = fx.pairs(spark, sf_dir)
-    parts = []
-    for split in ("train", "validation", "test"):
-        s = p.where(F.col("split") == split)
-        parts.append(ov.pair_predictions(s.select("split", "line_no", F.col("tgt").alias("ref")),
-                                         s.select("split", "line_no", F.col("src").alias("pred")), keys=["split", "line_no"]))
-    return ov.concat_outputs(*parts)
+    refs, preds = p.select("split", "line_no", F.col("tgt").alias("ref")), p.select("split", "line_no", F.col("src").alias("pred"))
+    return ov.pair_predictions(refs, preds, keys=["split", "line_no"])  # the split is a key: one join for all
 
 
 # =============================================================================
@@ -533,7 +526,7 @@ def _best_sql(metric: str, mode: str, k: int) -> str:
     return f"""
 SELECT run, CAST(rk AS INTEGER) AS rank, epoch, value FROM (
   SELECT run, epoch, value, row_number() OVER (PARTITION BY run ORDER BY {order}, epoch) AS rk
-  FROM ({o.RUN_METRICS}) WHERE metric = '{metric}' AND value IS NOT NULL) WHERE rk <= {k}"""
+  FROM ({o.RUN_METRICS}) WHERE metric = '{metric}' AND value IS NOT NULL AND NOT isnan(value)) WHERE rk <= {k}"""
 
 
 @register("best_checkpoint_max", _best_sql("purchase", "max", 1))
@@ -599,7 +592,7 @@ def q_infer_text(spark, sf_dir):
     v = fx.vocab(spark, sf_dir)
     r = fx.records(spark, sf_dir).select("row_id", "split", "document")
     return jobs.infer_text(r, "document", v, jobs.stub_factory(v), key_cols=["row_id"], carry=["split"],
-                           max_input=SUM_MAX_IN, max_len=SUM_MAX_OUT, vocab_rows=fx.VOCAB_SIZE).select("row_id", "split", "text")
+                           max_input=SUM_MAX_IN, max_len=SUM_MAX_OUT).select("row_id", "split", "text")
 
 
 _TR_KEPT = f"SELECT * FROM {ENC_PAIRS} WHERE len(src_ids) <= {TR_MAX_SRC} AND len(tgt_ids) <= {TR_MAX_TGT}"
@@ -616,7 +609,7 @@ def q_evaluate_translation(spark, sf_dir):
     predictions, corpus BLEU, with loss/accuracy means from the fixed class scores."""
     v = fx.vocab(spark, sf_dir)
     return jobs.evaluate_translation(fx.pairs(spark, sf_dir), v, jobs.stub_factory(v), fx.scores(spark, sf_dir),
-                                     max_src=TR_MAX_SRC, max_tgt=TR_MAX_TGT, epsilon=SMOOTHING, vocab_rows=fx.VOCAB_SIZE)
+                                     max_src=TR_MAX_SRC, max_tgt=TR_MAX_TGT, epsilon=SMOOTHING)
 
 
 @register("evaluate_summaries")
@@ -626,7 +619,7 @@ def q_evaluate_summaries(spark, sf_dir):
     (``evaluate_summaries_core`` repeats it without Lsum with a SQL twin)."""
     v = fx.vocab(spark, sf_dir)
     return jobs.evaluate_summaries(fx.records(spark, sf_dir), v, jobs.stub_factory(v), fx.scores(spark, sf_dir),
-                                   max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH, vocab_rows=fx.VOCAB_SIZE)
+                                   max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH)
 
 
 _SUM_BASE = f"SELECT row_id, split, pos // {SUM_BATCH} AS batch_id, input_ids, output_ids FROM ({SHUFFLED})"
@@ -655,7 +648,7 @@ def q_evaluate_summaries_core(spark, sf_dir):
     batch means per split, average ROUGE and the epoch cross-entropy."""
     v = fx.vocab(spark, sf_dir)
     return jobs.evaluate_summaries(fx.records(spark, sf_dir), v, jobs.stub_factory(v), fx.scores(spark, sf_dir),
-                                   max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH, vocab_rows=fx.VOCAB_SIZE,
+                                   max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH,
                                    kinds=("rouge1", "rouge2", "rougeL"))
 
 
@@ -676,6 +669,6 @@ FROM b"""
 def q_prepare_corpus(spark, sf_dir):
     """JOB-3: raw pairs -> strip -> encode -> length filter -> shuffle (train) -> batches of 8 -> padded ids and masks."""
     out = jobs.prepare_corpus(fx.pairs(spark, sf_dir), fx.vocab(spark, sf_dir), max_src=TR_MAX_SRC, max_tgt=TR_MAX_TGT,
-                              batch_size=TR_BATCH, shuffle_splits=["train"], vocab_rows=fx.VOCAB_SIZE)
+                              batch_size=TR_BATCH, shuffle_splits=["train"])
     return out.select("split", "batch_id", "line_no", *[ids_str(c).alias(c) for c in ("src_ids", "src_mask", "tgt_ids", "tgt_mask")])
 

@@ -41,24 +41,21 @@ def infer_text(
     max_len: int = 256,
     start_id: int = fx.BOS_ID,
     strip: bool = False,
-    vocab_rows: int | None = None,
 ) -> DataFrame:
     """UDF-2: strip (translation) or truncate (summarisation) -> encode -> mask ->
     generate -> decode.  Returns key, carry, ``text``."""
-    e = prep.encode(df, {text_col: "input_ids"}, vocab, key_cols=key_cols, carry=carry, strip=strip, vocab_rows=vocab_rows,
+    e = prep.encode(df, {text_col: "input_ids"}, vocab, key_cols=key_cols, carry=carry, strip=strip,
                     max_lens={"input_ids": max_input} if max_input is not None else None)
     if max_input is not None:
         e = prep.truncate_ids(e, "input_ids", max_input)
     e = prep.mask_from_length(e, "input_ids", "attention_mask")
     g = infer.generate_batches(e, make_model, "input_ids", "attention_mask", "generated_ids", max_len=max_len, start_id=start_id)
-    return prep.decode(g, "generated_ids", vocab, key_cols=key_cols, out="text", carry=carry, vocab_rows=vocab_rows)
+    return prep.decode(g, "generated_ids", vocab, key_cols=key_cols, out="text", carry=carry)
 
 
 def _loss_means(scores: DataFrame, epsilon: float, ignore: int | None, rank_col: str | None = None) -> DataFrame:
     by = ["batch_id"] + ([rank_col] if rank_col else [])
-    loss = ls.batch_loss(scores, epsilon, by=by, ignore=ignore)
-    acc = ls.token_accuracy(scores, by=by)
-    per_batch = loss.join(acc, on=by)
+    per_batch = ls.batch_loss_and_accuracy(scores, epsilon, by=by, ignore=ignore)
     return ls.mean_of_batches(per_batch, ["loss", "accuracy"], rank_col=rank_col)
 
 
@@ -72,20 +69,18 @@ def evaluate_translation(
     epsilon: float = 0.1,
     ignore: int | None = fx.PAD_ID,
     start_id: int = fx.BOS_ID,
-    vocab_rows: int | None = None,
     rank_col: str | None = None,
 ) -> DataFrame:
     """JOB-1: one metric row — corpus BLEU (with statistics) of generated against
     decoded reference ids, and the epoch loss/accuracy means of the class scores.
     BLEU is global, not rank-local (decision Q6)."""
     limits = {"src_ids": max_src, "tgt_ids": max_tgt}
-    e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True,
-                    vocab_rows=vocab_rows, drop_over=limits)
+    e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True, drop_over=limits)
     kept = prep.filter_by_length(e, limits)
     kept = prep.mask_from_length(kept, "src_ids", "src_mask")
     g = infer.generate_batches(kept, make_model, "src_ids", "src_mask", "gen_ids", max_len=max_tgt, start_id=start_id)
-    text = prep.decode_columns(g, {"gen_ids": "pred", "tgt_ids": "ref"}, vocab, key_cols=["line_no"], vocab_rows=vocab_rows)
-    bleu = ov.corpus_bleu(text, pred="pred", ref="ref", id_cols=["line_no"])
+    text = prep.decode_columns(g, {"gen_ids": "pred", "tgt_ids": "ref"}, vocab, key_cols=["split", "line_no"])
+    bleu = ov.corpus_bleu(text, pred="pred", ref="ref", id_cols=["split", "line_no"])
     means = _loss_means(scores, epsilon, ignore, rank_col)
     return bleu.select(
         "*",
@@ -105,21 +100,19 @@ def evaluate_summaries(
     epsilon: float = 0.0,
     ignore: int | None = fx.PAD_ID,
     start_id: int = fx.BOS_ID,
-    vocab_rows: int | None = None,
     kinds: Sequence[str] = ov.ROUGE_COLS,
 ) -> DataFrame:
     """JOB-2: per split — ROUGE-1/2/L/Lsum (``kinds``) as means of batch means
     (batches in the shuffled loader order), average ROUGE, and the epoch loss
     of the class scores.  References are the decoded truncated summaries."""
-    e = prep.encode(records, {"document": "input_ids", "summary": "output_ids"}, vocab, key_cols=["row_id"], carry=["split"],
-                    vocab_rows=vocab_rows, max_lens={"input_ids": max_in, "output_ids": max_out})
+    e = prep.encode(records, {"document": "input_ids", "summary": "output_ids"}, vocab, key_cols=["row_id"], carry=["split"], max_lens={"input_ids": max_in, "output_ids": max_out})
     e = prep.truncate_ids(e, "input_ids", max_in)
     e = prep.truncate_ids(e, "output_ids", max_out)
     e = materialize(e, "encoded")  # SNK-1: encode once; the position passes read the files
     e = bt.assign_batches(bt.shuffle_rows(e, key="row_id", group_cols=["split"]), batch_size)
     e = prep.mask_from_pad(e, "input_ids", "attention_mask")
     g = infer.generate_batches(e, make_model, "input_ids", "attention_mask", "gen_ids", max_len=max_out, start_id=start_id)
-    text = prep.decode_columns(g, {"gen_ids": "pred", "output_ids": "ref"}, vocab, key_cols=["row_id"], carry=["split", "batch_id"], vocab_rows=vocab_rows)
+    text = prep.decode_columns(g, {"gen_ids": "pred", "output_ids": "ref"}, vocab, key_cols=["row_id"], carry=["split", "batch_id"])
     kinds = list(kinds)
     per_pair = ov.rouge_pair_scores(text, pred="pred", ref="ref", id_cols=["row_id"], carry=["split", "batch_id"], kinds=kinds)
     epoch = ov.average_rouge(ov.rouge_epoch(per_pair, cols=kinds, by=["split"]), by=["split"])
@@ -138,15 +131,13 @@ def prepare_corpus(
     world: int | None = None,
     pad_id: int = fx.PAD_ID,
     seed: int = fx.SEED,
-    vocab_rows: int | None = None,
     out_path: str | None = None,
 ) -> DataFrame:
     """JOB-3: pairs (split, line_no, src, tgt) -> strip -> encode -> length filter ->
     shuffle -> (shard over ``world`` ranks) -> batches -> ids padded with the pad
     id, masks with 0.  With ``out_path`` the result is also written (SNK-1)."""
     limits = {"src_ids": max_src, "tgt_ids": max_tgt}
-    e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True,
-                    vocab_rows=vocab_rows, drop_over=limits)
+    e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True, drop_over=limits)
     e = prep.filter_by_length(e, limits)
     e = materialize(e, "encoded")  # SNK-1: encode once; the position passes read the files
     e = bt.shuffle_rows(e, key="line_no", seed=seed, group_cols=["split"], splits=list(shuffle_splits) if shuffle_splits is not None else None)

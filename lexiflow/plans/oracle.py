@@ -60,9 +60,8 @@ def split_of(id_expr: str) -> str:
 
 
 RECORDS = f"""
-SELECT {split_of('doc_id')} AS split, doc_id AS row_id, text AS document,
-       array_to_string({split_ws('text')}[1:{fx.SUMMARY_TOKENS}], ' ') AS summary
-FROM documents"""
+SELECT {split_of('d.doc_id')} AS split, d.doc_id AS row_id, d.text AS document, coalesce(n.text, '') AS summary
+FROM documents d LEFT JOIN documents n ON n.doc_id = d.doc_id + 1"""
 
 PAIRS = f"""
 SELECT {split_of('u.conv_id')} AS split, u.conv_id * 100 + u.turn AS line_no, u.text AS src, a.text AS tgt
@@ -77,7 +76,7 @@ FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1"""
 VOCAB = f"""
 SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token ASC) + {fx.FIRST_TOKEN_ID - 1} AS INTEGER) AS id
 FROM (SELECT token, count(*) AS n FROM (SELECT unnest({split_ws('text')}) AS token FROM documents)
-      GROUP BY token ORDER BY n DESC, token ASC LIMIT {fx.VOCAB_SIZE})"""
+      GROUP BY token ORDER BY n DESC, token ASC)"""
 
 SCORES = f"""
 SELECT CAST(vec_id // {fx.SCORE_BATCH} AS BIGINT) AS batch_id, vec_id AS example,

@@ -9,27 +9,24 @@ oracle live in ``lexiflow.plans.oracle``.
                     -> (split, line_no, src, tgt)
 * ``doc_pairs``     consecutive documents (doc i predicts doc i+1)
                     -> (split, pair_id, pred, ref)
-* ``vocab``         most frequent whitespace tokens of the documents -> (token, id)
+* ``vocab``         all whitespace tokens of the documents by frequency -> (token, id)
 * ``scores``        embeddings as class scores -> (batch_id, example, pos, rank, scores, label)
 * ``run_metrics``   events as a metric log -> (run, epoch, metric, value)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import split_ws
-from lexiflow.operators.ordering import row_index
-from lexiflow.session import ensure_checkpoint_dir
+from lexiflow.operators.ordering import row_index, sorted_index
 from lexiflow.sources.tables import table
 
 # Special ids of the stand-in vocabulary.
 BOS_ID, PAD_ID, EOS_ID, UNK_ID = 0, 1, 2, 3
 SPECIAL_IDS = (BOS_ID, PAD_ID, EOS_ID, UNK_ID)
 FIRST_TOKEN_ID = 4
-VOCAB_SIZE = 2000
-SUMMARY_TOKENS = 40
 SCORE_BATCH = 8
 SCORE_RANKS = 4
 SEED = 1234
@@ -42,12 +39,14 @@ def split_of(id_col) -> F.Column:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the whole text of the next one as its summary (empty for the last)."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select(
+    nxt = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("summary"))
+    return docs.select("doc_id", "text").join(nxt, on="doc_id", how="left").select(
         split_of("doc_id").alias("split"),
         F.col("doc_id").alias("row_id"),
         F.col("text").alias("document"),
-        F.array_join(F.slice(split_ws("text"), 1, SUMMARY_TOKENS), " ").alias("summary"),
+        F.coalesce("summary", F.lit("")).alias("summary"),
     )
 
 
@@ -79,24 +78,16 @@ def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, on="pair_id", how="inner").select(split_of("pair_id").alias("split"), "pair_id", "pred", "ref")
 
 
-def vocab(spark: SparkSession, sf_dir: str, size: int = VOCAB_SIZE, materialize: bool = True) -> DataFrame:
-    """``size`` most frequent whitespace tokens (count desc, token asc in binary
+def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whitespace token of the documents (count desc, token asc in binary
     order) with ids from FIRST_TOKEN_ID on.  The count is a map-side combined
-    aggregate; the ordering is a top-k (TakeOrderedAndProject), so the result
-    is bounded by ``size`` rows and safe to broadcast.
-
-    With ``materialize`` the (small, bounded) result is checkpointed once to
-    the session's shared checkpoint folder, so a job that encodes, generates
-    and decodes reads it instead of re-scanning the documents each time."""
+    aggregate; the ids are positions of a range-partitioned sort, written once to
+    the shared checkpoint folder, so a job that encodes, generates and decodes
+    reads them instead of counting the documents again."""
     docs = table(spark, sf_dir, "documents")
     counts = docs.select(F.explode(split_ws("text")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.col("n").desc(), F.col("token").asc()).limit(size)
-    w = Window.orderBy(F.col("n").desc(), F.col("token").asc())  # over <= size rows
-    out = top.select("token", (F.row_number().over(w) + F.lit(FIRST_TOKEN_ID - 1)).cast("int").alias("id"))
-    if materialize:
-        ensure_checkpoint_dir(spark)
-        out = out.checkpoint(eager=True)
-    return out
+    ranked = sorted_index(counts, [F.col("n").desc(), F.col("token").asc()], name="pos")
+    return ranked.select("token", (F.col("pos") + F.lit(FIRST_TOKEN_ID)).cast("int").alias("id"))
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:

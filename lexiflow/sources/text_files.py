@@ -2,11 +2,10 @@
 
 The reference pairs line i of ``<prefix>.<src>`` with line i of
 ``<prefix>.<tgt>``.  Spark rows carry no position, so each file is numbered
-separately: a single file is scanned in byte-offset order (its splits are
-packed into partitions in that order), ``monotonically_increasing_id`` orders
-rows inside the scan, and ``row_index`` turns that into consecutive line
-numbers with one bucket per scan partition.  Blank lines are kept, so the two
-sides stay aligned; LF, CR and CRLF all end a line.
+separately by (file path, byte offset of the scanned block, order inside the
+block): a folder or glob of part files counts through its files by name, however
+Spark packs them into partitions.  Blank lines are kept, so the two sides stay
+aligned; LF, CR and CRLF all end a line.
 """
 
 from __future__ import annotations
@@ -14,17 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.operators.ordering import row_index
+from lexiflow.operators.ordering import sorted_index
 from lexiflow.operators.prep import check_aligned, pair_sides
 
 
 def read_lines(spark: SparkSession, path: str, col: str = "text") -> DataFrame:
-    """(line_no, text) for one text file, 0-based line numbers in file order."""
+    """(line_no, text) of a text file, or of the files of a folder or glob by name;
+    0-based line numbers."""
     raw = spark.read.text(path).select(
-        F.col("value").alias(col), F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_mid")
+        F.col("value").alias(col),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_mid"),  # ascends inside a block
     )
-    out = row_index(raw, ["_mid"], name="line_no", bucket=F.col("_part"))
-    return out.select("line_no", col)
+    return sorted_index(raw, [F.col("_file"), F.col("_block"), F.col("_mid")], name="line_no").select("line_no", col)
 
 
 def read_parallel(spark: SparkSession, prefix: str, src: str, tgt: str, split: str, check: bool = True) -> DataFrame:

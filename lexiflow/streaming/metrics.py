@@ -39,7 +39,7 @@ def read_metric_stream(spark: SparkSession, path: str, schema: T.StructType = ME
 
 def running_best(stream: DataFrame, metric: str, mode: str = "max", run_col: str = "run", epoch_col: str = "epoch", value_col: str = "value") -> DataFrame:
     """Per run, the best (epoch, value) so far; ties keep the earliest epoch."""
-    x = stream.where((F.col("metric") == F.lit(metric)) & F.col(value_col).isNotNull())
+    x = stream.where((F.col("metric") == F.lit(metric)) & F.col(value_col).isNotNull() & ~F.isnan(value_col))
     if mode == "max":
         best = F.max_by(F.struct(epoch_col, value_col), F.struct(F.col(value_col), -F.col(epoch_col)))
     elif mode == "min":

@@ -15,7 +15,7 @@ def test_stub_generate(spark):
 def test_infer_text_one_row(spark):
     vocab = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6)], "token string, id int")
     df = spark.createDataFrame([(0, "  a b c z ")], "row_id long, text string")
-    out = jobs.infer_text(df, "text", vocab, infer.stub_model(6), strip=True, max_len=10, vocab_rows=3).first()
+    out = jobs.infer_text(df, "text", vocab, infer.stub_model(6), strip=True, max_len=10).first()
     assert out.text == "b c a"
 
 

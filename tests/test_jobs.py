@@ -12,7 +12,7 @@ def test_prepare_corpus_sharded_and_written(spark, tmp_path):
     vocab = fx.vocab(spark, SF_SMALL)
     out = str(tmp_path / "prepared")
     world, batch = 2, 4
-    df = jobs.prepare_corpus(pairs, vocab, max_src=170, max_tgt=170, batch_size=batch, world=world, vocab_rows=fx.VOCAB_SIZE, out_path=out)
+    df = jobs.prepare_corpus(pairs, vocab, max_src=170, max_tgt=170, batch_size=batch, world=world, out_path=out)
     rows = df.collect()
     kept = {}
     for r in rows:

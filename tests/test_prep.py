@@ -12,7 +12,7 @@ def vocab(spark):
 
 def _enc(spark, vocab, texts, **kw):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row_id long, text string")
-    out = prep.encode(df, {"text": "ids"}, vocab, vocab_rows=4, **kw)
+    out = prep.encode(df, {"text": "ids"}, vocab, **kw)
     return {r.row_id: list(r.ids) for r in out.collect()}
 
 
@@ -58,14 +58,14 @@ def test_masks_and_shift_on_padded_rows(spark):
 
 def test_decode_skips_specials_and_keeps_empty(spark, vocab):
     df = spark.createDataFrame([(0, [0, 4, 3, 5, 2, 1, 1]), (1, [0, 2]), (2, [99, 6])], "row_id long, ids array<int>")
-    got = {r.row_id: r.text for r in prep.decode(df, "ids", vocab, vocab_rows=4).collect()}
+    got = {r.row_id: r.text for r in prep.decode(df, "ids", vocab).collect()}
     assert got == {0: "a b", 1: "", 2: "c"}
 
 
 def test_roundtrip(spark, vocab):
     df = spark.createDataFrame([(0, " a  b\nc ")], "row_id long, text string")
-    enc = prep.encode(df, {"text": "ids"}, vocab, vocab_rows=4)
-    assert prep.decode(enc, "ids", vocab, vocab_rows=4).first().text == "a b c"
+    enc = prep.encode(df, {"text": "ids"}, vocab)
+    assert prep.decode(enc, "ids", vocab).first().text == "a b c"
 
 
 def test_dataset_size_and_steps(spark):
@@ -81,10 +81,10 @@ def test_dataset_size_and_steps(spark):
 def test_limits_inside_encode_equal_limits_after(spark, vocab):
     texts = ["a b c d a b", "a", "", "z z z z z z z"]
     df = spark.createDataFrame([(i, t, t[::-1]) for i, t in enumerate(texts)], "row_id long, s string, t string")
-    full = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab, vocab_rows=4)
-    cut = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab, vocab_rows=4, max_lens={"a_ids": 4})
+    full = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab)
+    cut = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab, max_lens={"a_ids": 4})
     exp = {r.row_id: (list(r.a_ids), list(r.b_ids)) for r in prep.truncate_ids(full, "a_ids", 4).collect()}
     assert {r.row_id: (list(r.a_ids), list(r.b_ids)) for r in cut.collect()} == exp
-    kept = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab, vocab_rows=4, drop_over={"a_ids": 4, "b_ids": 8})
+    kept = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab, drop_over={"a_ids": 4, "b_ids": 8})
     exp2 = {r.row_id for r in prep.filter_by_length(full, {"a_ids": 4, "b_ids": 8}).collect()}
     assert {r.row_id for r in kept.collect()} == exp2
