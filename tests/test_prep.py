@@ -88,3 +88,18 @@ def test_limits_inside_encode_equal_limits_after(spark, vocab):
     kept = prep.encode(df, {"s": "a_ids", "t": "b_ids"}, vocab, drop_over={"a_ids": 4, "b_ids": 8})
     exp2 = {r.row_id for r in prep.filter_by_length(full, {"a_ids": 4, "b_ids": 8}).collect()}
     assert {r.row_id for r in kept.collect()} == exp2
+
+
+def test_rows_that_share_a_key_stay_apart(spark):
+    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, id int")
+    df = spark.createDataFrame([(1, "a a"), (1, "b"), (1, "b")], "row_id long, text string")
+    enc = prep.encode(df, {"text": "ids"}, vocab)
+    assert sorted(r.ids for r in enc.collect()) == [[0, 4, 4, 2], [0, 5, 2], [0, 5, 2]]
+    assert sorted(r.text for r in prep.decode(enc, "ids", vocab).collect()) == ["a a", "b", "b"]
+
+
+def test_vocabulary_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(prep, "VOCAB_BROADCAST_ROWS", 1)
+    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, id int")
+    df = spark.createDataFrame([(1, "a b x"), (2, ""), (3, "b")], "row_id long, text string")
+    assert {r.row_id: r.ids for r in prep.encode(df, {"text": "ids"}, vocab).collect()} == {1: [0, 4, 5, 3, 2], 2: [0, 2], 3: [0, 5, 2]}

@@ -58,3 +58,12 @@ def test_append_metrics_roundtrip(spark, tmp_path):
     back = spark.read.parquet(path)
     assert back.count() == len(ROWS) + 2
     assert {r.version for r in back.select("version").distinct().collect()} == {0, 1}
+
+
+@pytest.mark.parametrize("mode,want", [("max", 30.0), ("min", 10.0)])
+@pytest.mark.parametrize("k", [1, 2])
+def test_nan_never_wins(spark, mode, want, k):
+    rows = [(1, 0, "m", 10.0), (1, 1, "m", float("nan")), (1, 2, "m", 30.0), (1, 3, "m", None), (2, 0, "m", float("nan"))]
+    df = spark.createDataFrame(rows, "run long, epoch int, metric string, value double")
+    best = {(r.run, r["rank"]): r.value for r in rn.best_checkpoint(df, "m", mode=mode, k=k).collect()}
+    assert best[1, 1] == want and len(best) == k

@@ -90,3 +90,16 @@ def test_read_records_json_with_schema(spark, tmp_path):
     assert back.count() == recs.count()
     assert sorted(r.row_id for r in back.where("split = 'validation'").collect()) == sorted(
         r.row_id for r in recs.where("split = 'validation'").collect())
+
+
+def test_lines_of_several_files_count_through_by_name(spark, tmp_path):
+    """Unequal part files (Spark packs the larger first): line i of one side meets line i of the other."""
+    for side, cuts in (("en", (3, 500, 7)), ("es", (400, 10, 100))):
+        folder = tmp_path / f"train.{side}"
+        folder.mkdir()
+        at = 0
+        for k, n in enumerate(cuts):
+            (folder / f"part-{k}.txt").write_text("".join(f"{side} {i}\n" for i in range(at, at + n)))
+            at += n
+    rows = read_parallel(spark, str(tmp_path / "train"), "en", "es", "train").collect()
+    assert sorted((r.line_no, r.src, r.tgt) for r in rows) == [(i, f"en {i}", f"es {i}") for i in range(510)]
