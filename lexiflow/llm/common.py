@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lexiflow.session import ensure_checkpoint_dir, ship_package
@@ -30,3 +30,17 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def bounded_sample(df: DataFrame, n: int, *by: Column) -> list[Row]:
+    """``n`` rows of ``df`` (all, if fewer), those of the smallest hashes of ``by``.
+
+    The n-th smallest hash is found first, so that tasks send hashes and not rows:
+    the rows that then come to the driver are ``n``, but for repeated ones at the bound.
+    """
+    hashed = df.withColumn(free_name(df, "_h"), F.xxhash64(*by))
+    h = hashed.columns[-1]
+    bound = hashed.select(h).orderBy(h).limit(n).agg(F.max(h)).first()[0]
+    if bound is None:
+        return []
+    return hashed.where(F.col(h) <= bound).orderBy(h).limit(n).drop(h).collect()

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.llm.boosting import BoostedTrees
-from lexiflow.llm.common import text_or_empty
+from lexiflow.llm.common import bounded_sample, text_or_empty
 
 #: The trees are trained on so many pages of at most so many characters (a bounded sample).
 SAMPLE_PAGES, SAMPLE_CHARS = 400, 100_000
@@ -367,8 +367,8 @@ def extract_text(pages: list[str], model: BoostedTrees) -> list[str]:
 def extractor(pages: DataFrame, html_col: str = "html") -> Column:
     """Column of main texts, by trees that are trained on a bounded sample of ``pages``."""
     text = text_or_empty(html_col)
-    sample = pages.select(text.alias("h")).where(F.length("h").between(1, SAMPLE_CHARS)).select("h", F.xxhash64("h").alias("k")).orderBy("k", "h").limit(SAMPLE_PAGES)
-    model = train([r.h for r in sample.collect()])
+    some = pages.select(text.alias("h")).where(F.length("h").between(1, SAMPLE_CHARS))
+    model = train(sorted(r.h for r in bounded_sample(some, SAMPLE_PAGES, F.col("h"))))
 
     @F.arrow_udf("string")
     def run(htmls: pa.Array) -> pa.Array:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lexiflow.llm.common import cut
+from lexiflow.llm.common import bounded_sample, cut
 
 #: The codes are learned on so many rows (a bounded sample by hash order), and its radius on so many queries of it.
 SAMPLE_ROWS, SAMPLE_QUERIES = 10_000, 500
@@ -198,7 +198,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
     if not widths:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = cut(rows.where(F.size("v") == widths[0].w).dropDuplicates())
-    sample = np.array([r.v for r in rows.select("v", F.xxhash64("vec_id", "v").alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()])
+    sample = np.array([r.v for r in bounded_sample(rows.select("vec_id", "v"), SAMPLE_ROWS, F.col("vec_id"), F.col("v"))])
     codes = Codes(sample, k)
     queries = rows.where("asks").select("vec_id", "v")
     n_rows, n_queries = rows.count(), queries.count()

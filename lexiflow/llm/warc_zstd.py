@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import cut, text_or_empty
+from lexiflow.llm.common import bounded_sample, cut, text_or_empty
 from lexiflow.session import ensure_checkpoint_dir
 
 #: Fixed values of the format: the skippable frame of the dictionary, frame magics, the revisit profile.
@@ -144,8 +144,8 @@ def frames(content: bytes) -> Iterator[tuple[int, bytes]]:
 
 def train_dictionary(pages: DataFrame, html_col: str = "html") -> bytes:
     """A dictionary from a bounded sample of pages; empty where the sample is too small to train on."""
-    sample = pages.select(F.substring(text_or_empty(html_col), 1, DICT_CHARS).alias("h"), F.xxhash64(html_col).alias("k")).where("h != ''").orderBy("k", "h").limit(DICT_PAGES)
-    texts = [r.h.encode("utf-8") for r in sample.collect()]
+    some = pages.select("page_id", F.substring(text_or_empty(html_col), 1, DICT_CHARS).alias("h")).where("h != ''")
+    texts = [r.h.encode("utf-8") for r in bounded_sample(some, DICT_PAGES, F.col("page_id"), F.col("h"))]
     try:
         return zstandard.train_dictionary(DICT_BYTES, texts).as_bytes()
     except zstandard.ZstdError:
