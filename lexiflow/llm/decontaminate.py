@@ -4,10 +4,12 @@ Numbers, names and units become typed placeholders, every other word its lower
 case; eight neighbouring template tokens with enough plain words among them are a
 window.  Windows of documents meet windows of benchmark items by hash.  Hits of
 one document and item on one diagonal (document position minus item position)
-are an alignment; if it covers enough words, its slots are compared: the values
-of the item must map one to one onto the values of the document.  So verbatim
-copies and re-parameterised questions (other numbers, names, units) are found,
-while texts that merely share a pattern with contradicting values are not.
+are an alignment.  One that holds enough words unchanged (windows of equal values) is
+a copy, whatever its other slots say.  In any other that covers enough words the
+slots are compared: most names and most units must map one to one, and different
+numbers may not become equal.  So verbatim copies, also slightly edited ones, and
+re-parameterised questions (other numbers, names, units) are found, while texts
+that merely share a pattern with contradicting values are not.
 
 The benchmark side of the join is broadcast only in blocks of ``BLOCK_TOKENS``
 tokens: its size is counted first, and a larger benchmark takes one pass over the
@@ -17,6 +19,7 @@ documents for each block.  The documents are never shuffled.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -119,6 +122,35 @@ def windows(template: np.ndarray, slot: np.ndarray, counts: np.ndarray, width: i
     return _mix(total + _U(width)), (owner[: n - width + 1] == owner[width - 1 :]) & (plain >= min(PLAIN, (width + 1) // 2))
 
 
+def unchanged(same: np.ndarray, width: int) -> int:
+    """Words in runs of at least ``width`` neighbours with equal values."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], same.astype(np.int8), [0]))))
+    runs = edges[1::2] - edges[::2]
+    return int(runs[runs >= width].sum())
+
+
+def slots_agree(its: np.ndarray, mine: np.ndarray, kind: np.ndarray) -> bool:
+    """Whether the values of an item and of a document at their common slots belong together.
+
+    More than half of the names, and of the units, must be the most frequent partners
+    of each other.  A number may become several, but different ones may not become one.
+    """
+    for k in (NUMBER, UNIT, TITLE):
+        count = Counter(zip(its[kind == k].tolist(), mine[kind == k].tolist()))
+        if k == NUMBER:
+            if len({b for _, b in count}) < len(count):
+                return False
+            continue
+        to, back = {}, {}
+        for (a, b), n in sorted(count.items()):
+            to[a] = max(to.get(a, (0, b)), (n, b))
+            back[b] = max(back.get(b, (0, a)), (n, a))
+        mutual = sum(n for (a, b), n in count.items() if to[a][1] == b and back[b][1] == a)
+        if count and 2 * mutual <= sum(count.values()):
+            return False
+    return True
+
+
 class Benchmark:
     """A block of items: their tokens, and their windows by width, sorted by hash."""
 
@@ -166,15 +198,16 @@ class Benchmark:
             enough = cover >= np.minimum(COVER, self.counts[item[begin]])
             best: dict[tuple[int, int], dict] = {}
             for g in np.flatnonzero(enough):
-                b, d, i = begin[g], int(doc[begin[g]]), int(item[begin[g]])
-                span = np.arange(place[b], place[last[g]] + width)
-                mine, its = first[d] + diagonal[b] + span, self.first[i] + span
+                h, d, i = begin[g], int(doc[begin[g]]), int(item[begin[g]])
+                span = np.arange(place[h], place[last[g]] + width)
+                mine, its = first[d] + diagonal[h] + span, self.first[i] + span
                 slots = (self.slot[its] > 0) & (self.slot[its] == slot[mine])
-                pairs = set(zip(self.values[its][slots].tolist(), values[mine][slots].tolist()))
-                one_to_one = len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs})
+                a, b = self.values[its], values[mine]
+                copy = unchanged(a == b, width) >= min(COVER, self.counts[i])
                 row = {
                     "item_id": self.ids[i], "words": int(cover[g]), "slots": int(slots.sum()),
-                    "changed": sum(a != b for a, b in pairs), "consistent": one_to_one,
+                    "changed": len({(x, y) for x, y in zip(a[slots].tolist(), b[slots].tolist()) if x != y}),
+                    "consistent": copy or slots_agree(a[slots], b[slots], slot[mine][slots]),
                 }
                 old = best.get((d, i))
                 if old is None or (row["consistent"], row["words"]) > (old["consistent"], old["words"]):

@@ -106,3 +106,25 @@ def test_query_finds_all_verbatim_items(spark):
     assert verbatim and verbatim <= got
     text, item = {r.doc_id: r.text for r in rows}, {i.item_id: i.text for i in items}
     assert all(plain(text[d], item[i]) for d, i in got)
+
+
+def found(spark, texts, items):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r.doc_id, r.item_id) for r in D.leaks(df, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+
+
+def test_a_changed_value_does_not_hide_a_copy(spark):
+    item = (
+        "the farmer put 5 sacks of corn on the cart and then drove along the river until he met Mary at the mill where the old miller weighed "
+        "all 6 bags and paid for 5 sacks while Mary wrote the sum into a long green book that lay open on the heavy table"
+    )
+    once = item.replace("paid for 5", "paid for 8")  # a value that occurs twice, changed in one place
+    other = item.replace("paid for 5", "paid for 6")  # it equals another value of the item
+    name = item.replace("while Mary", "while Paul")
+    pad = "quite another text stands here, and then "
+    assert found(spark, [pad + once, pad + other, pad + name, pad], [item]) == {(0, 0), (1, 0), (2, 0)}
+
+
+def test_one_number_may_become_several(spark):
+    item = "the boy has 5 red apples and the girl has 5 green pears so who of them has more fruit in the end"
+    assert found(spark, [item.replace("5 red", "4 red").replace("5 green", "7 green")], [item]) == {(0, 0)}
