@@ -113,13 +113,19 @@ def windows(template: np.ndarray, slot: np.ndarray, counts: np.ndarray, width: i
     n = len(template)
     if n < width:
         return np.zeros(0, _U), np.zeros(0, bool)
-    total = np.zeros(n - width + 1, _U)
-    plain = np.zeros(n - width + 1, np.int16)
-    for j in range(width):
-        total += template[j : n - width + 1 + j] * _MULT[j]
-        plain += slot[j : n - width + 1 + j] == 0
+    total, done, power, step = None, 0, template, 1  # by doubling: sums of 1, 2, 4, 8 neighbours
+    while True:
+        if width & step:
+            part = power[done : done + n - width + 1]
+            total = part if total is None else total + part * _MULT[8 + done]
+            done += step
+        if done == width:
+            break
+        power = power[:-step] + power[step:] * _MULT[step]
+        step *= 2
+    plain = np.concatenate(([0], np.cumsum(slot == 0)))
     owner = np.repeat(np.arange(len(counts)), counts)
-    return _mix(total + _U(width)), (owner[: n - width + 1] == owner[width - 1 :]) & (plain >= min(PLAIN, (width + 1) // 2))
+    return _mix(total + _U(width)), (owner[: n - width + 1] == owner[width - 1 :]) & (plain[width:] - plain[:-width] >= min(PLAIN, (width + 1) // 2))
 
 
 def unchanged(same: np.ndarray, width: int) -> int:
@@ -151,6 +157,16 @@ def slots_agree(its: np.ndarray, mine: np.ndarray, kind: np.ndarray) -> bool:
     return True
 
 
+def lookup(table: tuple[np.ndarray, ...], own: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Position, item and place in it for each good window that the table holds."""
+    hashes, items, places, seen = table
+    at = np.flatnonzero(good & seen[(own >> _U(44)).astype(np.int64)])
+    low, high = (np.searchsorted(hashes, own[at], side) for side in ("left", "right"))
+    times = high - low
+    entry = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return np.repeat(at, times), items[entry], places[entry]
+
+
 class Benchmark:
     """A block of items: their tokens, and their windows by width, sorted by hash."""
 
@@ -159,63 +175,75 @@ class Benchmark:
         self.values, self.template, self.slot, self.counts = templates([t for _, t in items], _Surfaces())
         self.first = np.cumsum(self.counts) - self.counts
         owner = np.repeat(np.arange(len(items)), self.counts)
-        self.tables = {}
+        self.tables, self.exact = {}, {}
+        no_slot = np.zeros(len(self.slot), np.int8)
         for width in sorted({min(WINDOW, int(c)) for c in self.counts if c >= 3}):
-            hashes, good = windows(self.template, self.slot, self.counts, width)
-            at = np.flatnonzero(good)
-            at = at[np.minimum(self.counts[owner[at]], WINDOW) == width]  # short items: one window, all of them
-            order = np.argsort(hashes[at], kind="stable")
-            seen = np.zeros(1 << 20, bool)
-            seen[(hashes[at] >> _U(44)).astype(np.int64)] = True
-            self.tables[width] = (hashes[at][order], owner[at][order], (at - self.first[owner[at]])[order], seen)
+            self.tables[width] = self._table(owner, width, *windows(self.template, self.slot, self.counts, width))
+            self.exact[width] = self._table(owner, width, *windows(self.values, no_slot, self.counts, width))
+
+    def _table(self, owner: np.ndarray, width: int, hashes: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, ...]:
+        at = np.flatnonzero(good)
+        at = at[np.minimum(self.counts[owner[at]], WINDOW) == width]  # short items: one window, all of them
+        order = np.argsort(hashes[at], kind="stable")
+        seen = np.zeros(1 << 20, bool)
+        seen[(hashes[at] >> _U(44)).astype(np.int64)] = True
+        return hashes[at][order], owner[at][order], (at - self.first[owner[at]])[order], seen
 
     def matches(self, texts: list[str], surfaces: _Surfaces) -> list[list[dict]]:
-        """The alignments of each text that cover enough words, best diagonal of each item."""
+        """The alignments of each text that cover enough words, best diagonal of each item.
+
+        Windows of equal values count too where windows of templates are not enough: they
+        need no plain words, and a word may be a name here and open a sentence there.
+        """
         values, template, slot, counts = templates(texts, surfaces)
         first = np.cumsum(counts) - counts
         owner = np.repeat(np.arange(len(counts)), counts)
+        no_slot = np.zeros(len(slot), np.int8)
         found: list[list[dict]] = [[] for _ in texts]
-        for width, (hashes, items, places, seen) in self.tables.items():
-            own, good = windows(template, slot, counts, width)
-            if not len(own):
-                continue
-            at = np.flatnonzero(good & seen[(own >> _U(44)).astype(np.int64)])
-            low, high = (np.searchsorted(hashes, own[at], side) for side in ("left", "right"))
-            times = high - low
-            at = np.repeat(at, times)
-            if not len(at):
-                continue
-            entry = np.repeat(low, times) + np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-            doc, item, place = owner[at], items[entry], places[entry]
-            diagonal = at - first[doc] - place
-            order = np.lexsort((place, diagonal, item, doc))
-            doc, item, place, diagonal = doc[order], item[order], place[order], diagonal[order]
-            new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1])))
-            begin = np.flatnonzero(new)
-            gain = np.where(new, width, np.minimum(np.diff(place, prepend=0), width))
-            cover = np.add.reduceat(gain, begin)
-            last = np.concatenate((begin[1:], [len(new)])) - 1
-            enough = cover >= np.minimum(COVER, self.counts[item[begin]])
+        for width, table in self.tables.items():
+            hits = lookup(table, *windows(template, slot, counts, width))
+            copies = lookup(self.exact[width], *windows(values, no_slot, counts, width))
             best: dict[tuple[int, int], dict] = {}
-            for g in np.flatnonzero(enough):
-                h, d, i = begin[g], int(doc[begin[g]]), int(item[begin[g]])
-                span = np.arange(place[h], place[last[g]] + width)
-                mine, its = first[d] + diagonal[h] + span, self.first[i] + span
-                slots = (self.slot[its] > 0) & (self.slot[its] == slot[mine])
-                a, b = self.values[its], values[mine]
-                copy = unchanged(a == b, width) >= min(COVER, self.counts[i])
-                row = {
-                    "item_id": self.ids[i], "words": int(cover[g]), "slots": int(slots.sum()),
-                    "changed": len({(x, y) for x, y in zip(a[slots].tolist(), b[slots].tolist()) if x != y}),
-                    "consistent": copy or slots_agree(a[slots], b[slots], slot[mine][slots]),
-                }
-                old = best.get((d, i))
-                if old is None or (row["consistent"], row["words"]) > (old["consistent"], old["words"]):
-                    best[d, i] = row
+            for at, item, place in (hits, tuple(map(np.concatenate, zip(hits, copies)))) if len(copies[0]) else (hits,):
+                for key, row in self._alignments(width, values, slot, first, owner[at], at, item, place).items():
+                    if not best.get(key, row)["consistent"]:
+                        best[key] = row
+                    best.setdefault(key, row)
             for (d, _), row in best.items():
                 found[d].append(row)
         return found
 
+    def _alignments(self, width, values, slot, first, doc, at, item, place) -> dict[tuple[int, int], dict]:
+        """The best alignment of each text and item among the diagonals of these hits that cover enough words."""
+        best: dict[tuple[int, int], dict] = {}
+        if not len(at):
+            return best
+        diagonal = at - first[doc] - place
+        order = np.lexsort((place, diagonal, item, doc))
+        doc, item, place, diagonal = doc[order], item[order], place[order], diagonal[order]
+        new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1])))
+        begin = np.flatnonzero(new)
+        gain = np.where(new, width, np.minimum(np.diff(place, prepend=0), width))
+        cover = np.add.reduceat(gain, begin)
+        last = np.concatenate((begin[1:], [len(new)])) - 1
+        enough = cover >= np.minimum(COVER, self.counts[item[begin]])
+        for g in np.flatnonzero(enough):
+            h, d, i = begin[g], int(doc[begin[g]]), int(item[begin[g]])
+            span = np.arange(place[h], place[last[g]] + width)
+            mine, its = first[d] + diagonal[h] + span, self.first[i] + span
+            slots = (self.slot[its] > 0) & (self.slot[its] == slot[mine])
+            a, b = self.values[its], values[mine]
+            copy = unchanged(a == b, width) >= min(COVER, self.counts[i])
+            row = {
+                "item_id": self.ids[i], "words": int(cover[g]), "slots": int(slots.sum()),
+                "changed": len({(x, y) for x, y in zip(a[slots].tolist(), b[slots].tolist()) if x != y}),
+                "consistent": copy or slots_agree(a[slots], b[slots], slot[mine][slots]),
+            }
+            old = best.get((d, i))
+            if old is None or (row["consistent"], row["words"]) > (old["consistent"], old["words"]):
+                best[d, i] = row
+        return best
+
 
 def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[object, str]]]:
     rows = items.select(F.col(item_col).alias("id"), text_or_empty(text_col).alias("text")).where("text != ''").distinct()

@@ -128,3 +128,15 @@ def test_a_changed_value_does_not_hide_a_copy(spark):
 def test_one_number_may_become_several(spark):
     item = "the boy has 5 red apples and the girl has 5 green pears so who of them has more fruit in the end"
     assert found(spark, [item.replace("5 red", "4 red").replace("5 green", "7 green")], [item]) == {(0, 0)}
+
+
+def test_items_of_few_plain_words_are_found_verbatim(spark):
+    items = [
+        "12 kg 5 m 30 km 7 seconds 18 hours 4 days 25 percent 9 miles",
+        "the towns are Paris London Rome Madrid Vienna Berlin Oslo",
+        "Paris is the capital of which country in Europe today",  # its first word is a name elsewhere
+        "3 4 5",
+    ]
+    texts = [f"we note {t} and go on" for t in items]
+    texts += ["we note 13 kg 6 m 31 km 8 seconds 19 hours 5 days 26 percent 8 miles and go on", "we note 3 5 5 and go on"]
+    assert found(spark, texts, items) == {(i, i) for i in range(4)}
