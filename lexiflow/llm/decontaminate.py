@@ -33,6 +33,10 @@ from lexiflow.llm.common import text_or_empty
 
 #: Words in a window, plain words it needs, words an alignment must cover (all of a shorter item).
 WINDOW, PLAIN, COVER = 8, 4, 13
+#: Names or numbers in a row that are one slot, tokens that the parts of one copy may be shifted against each other.
+RUN, SHIFT = 3, 8
+#: Shorter items are found whole only.
+EDITED = 6
 #: Template tokens of the benchmark that are broadcast at once.
 BLOCK_TOKENS = 2_000_000
 #: Documents' characters that a worker matches together, surfaces that it remembers (bound its memory).
@@ -128,11 +132,44 @@ def windows(template: np.ndarray, slot: np.ndarray, counts: np.ndarray, width: i
     return _mix(total + _U(width)), (owner[: n - width + 1] == owner[width - 1 :]) & (plain[width:] - plain[:-width] >= min(PLAIN, (width + 1) // 2))
 
 
-def unchanged(same: np.ndarray, width: int) -> int:
-    """Words in runs of at least ``width`` neighbours with equal values."""
+def collapse(values: np.ndarray, slot: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First token and length of each token or run of two to ``RUN`` names or numbers (longer ones are lists and
+    stay apart), and pieces per text."""
+    if not len(slot):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), counts
+    owner = np.repeat(np.arange(len(counts)), counts)
+    same = (slot[1:] == slot[:-1]) & ((slot[1:] == NUMBER) | (slot[1:] == TITLE)) & (owner[1:] == owner[:-1])
+    head = np.concatenate(([True], ~same))
+    begin = np.flatnonzero(head)
+    run = np.diff(begin, append=len(slot))
+    at = np.flatnonzero(head | np.repeat(run > RUN, run))
+    return at, np.diff(at, append=len(slot)), np.bincount(owner[at], minlength=len(counts))
+
+
+class Pieces:
+    """Texts as pieces (``collapse``) or as single tokens: first token, length, value, template and slot of each piece."""
+
+    def __init__(self, values, template, slot, counts, collapsed: bool):
+        self.tokens = np.cumsum(counts) - counts
+        if collapsed:
+            self.at, self.size, self.counts = collapse(values, slot, counts)
+            place = np.arange(len(values)) - np.repeat(self.at, self.size)
+            self.values = np.add.reduceat(values * _MULT[np.minimum(place, RUN)], self.at) if len(values) else values
+        else:
+            self.at, self.size, self.counts, self.values = np.arange(len(values)), np.ones(len(values), np.int64), counts, values
+        self.template, self.slot = template[self.at], slot[self.at]
+        self.first = np.cumsum(self.counts) - self.counts
+        self.owner = np.repeat(np.arange(len(counts)), self.counts)
+
+
+def unchanged(same: np.ndarray, width: int) -> np.ndarray:
+    """Whether each word stands in a run of at least ``width`` neighbours with equal values."""
     edges = np.flatnonzero(np.diff(np.concatenate(([0], same.astype(np.int8), [0]))))
-    runs = edges[1::2] - edges[::2]
-    return int(runs[runs >= width].sum())
+    kept = np.zeros(len(same) + 1, np.int8)
+    long = edges[1::2] - edges[::2] >= width
+    kept[edges[::2][long]] = 1
+    kept[edges[1::2][long]] = -1
+    return np.cumsum(kept)[:-1] > 0
 
 
 def slots_agree(its: np.ndarray, mine: np.ndarray, kind: np.ndarray) -> bool:
@@ -180,37 +217,53 @@ class Benchmark:
         for width in sorted({min(WINDOW, int(c)) for c in self.counts if c >= 3}):
             self.tables[width] = self._table(owner, width, *windows(self.template, self.slot, self.counts, width))
             self.exact[width] = self._table(owner, width, *windows(self.values, no_slot, self.counts, width))
-
-    def _table(self, owner: np.ndarray, width: int, hashes: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, ...]:
+        parts = (self.values, self.template, self.slot, self.counts)
+        self.single, self.pieces, self.loose = Pieces(*parts, False), Pieces(*parts, True), {}
+        p = self.pieces
+        half = np.where(p.counts < EDITED, p.counts, np.minimum((p.counts + 1) // 2, WINDOW))  # one insertion leaves a half whole
+        for width in sorted({int(c) for c in half if c >= 3}):
+            self.loose[width] = self._table(p.owner, width, *windows(p.template, p.slot, p.counts, width), p, half)
+
+    def _table(self, owner: np.ndarray, width: int, hashes: np.ndarray, good: np.ndarray, of=None, widths=None) -> tuple[np.ndarray, ...]:
+        of, widths = of or self, np.minimum(self.counts, WINDOW) if widths is None else widths
         at = np.flatnonzero(good)
-        at = at[np.minimum(self.counts[owner[at]], WINDOW) == width]  # short items: one window, all of them
+        at = at[widths[owner[at]] == width]  # short items: one window, all of them
         order = np.argsort(hashes[at], kind="stable")
         seen = np.zeros(1 << 20, bool)
         seen[(hashes[at] >> _U(44)).astype(np.int64)] = True
-        return hashes[at][order], owner[at][order], (at - self.first[owner[at]])[order], seen
+        return hashes[at][order], owner[at][order], (at - of.first[owner[at]])[order], seen
 
     def matches(self, texts: list[str], surfaces: _Surfaces) -> list[list[dict]]:
         """The alignments of each text that cover enough words, best diagonal of each item.
 
         Windows of equal values count too where windows of templates are not enough: they
-        need no plain words, and a word may be a name here and open a sentence there.
+        need no plain words, and a word may be a name here and open a sentence there.  What no
+        single diagonal decides is judged by chains over neighbouring ones (``_chains``).
         """
         values, template, slot, counts = templates(texts, surfaces)
         first = np.cumsum(counts) - counts
         owner = np.repeat(np.arange(len(counts)), counts)
         no_slot = np.zeros(len(slot), np.int8)
+        single, pieces = (Pieces(values, template, slot, counts, c) for c in (False, True))
+        best: dict[tuple[int, int], dict] = {}
+        segments: list[np.ndarray] = []
         found: list[list[dict]] = [[] for _ in texts]
         for width, table in self.tables.items():
             hits = lookup(table, *windows(template, slot, counts, width))
             copies = lookup(self.exact[width], *windows(values, no_slot, counts, width))
-            best: dict[tuple[int, int], dict] = {}
+            segments.append(self._segments(0, single, width, *map(np.concatenate, zip(hits, copies))))
             for at, item, place in (hits, tuple(map(np.concatenate, zip(hits, copies)))) if len(copies[0]) else (hits,):
                 for key, row in self._alignments(width, values, slot, first, owner[at], at, item, place).items():
                     if not best.get(key, row)["consistent"]:
                         best[key] = row
                     best.setdefault(key, row)
-            for (d, _), row in best.items():
-                found[d].append(row)
+        for width, table in self.loose.items():
+            segments.append(self._segments(1, pieces, width, *lookup(table, *windows(pieces.template, pieces.slot, pieces.counts, width))))
+        if segments:
+            for key, row in self._chains(np.concatenate(segments), (single, pieces), best).items():
+                best[key] = row
+        for (d, _), row in sorted(best.items()):
+            found[d].append(row)
         return found
 
     def _alignments(self, width, values, slot, first, doc, at, item, place) -> dict[tuple[int, int], dict]:
@@ -233,7 +286,7 @@ class Benchmark:
             mine, its = first[d] + diagonal[h] + span, self.first[i] + span
             slots = (self.slot[its] > 0) & (self.slot[its] == slot[mine])
             a, b = self.values[its], values[mine]
-            copy = unchanged(a == b, width) >= min(COVER, self.counts[i])
+            copy = unchanged(a == b, width).sum() >= min(COVER, self.counts[i])
             row = {
                 "item_id": self.ids[i], "words": int(cover[g]), "slots": int(slots.sum()),
                 "changed": len({(x, y) for x, y in zip(a[slots].tolist(), b[slots].tolist()) if x != y}),
@@ -244,6 +297,126 @@ class Benchmark:
                 best[d, i] = row
         return best
 
+    def _segments(self, kind: int, own: Pieces, width: int, at, item, place) -> np.ndarray:
+        """Hits without a gap on one diagonal, joined: text, item, kind, first piece in the texts and in the items, pieces,
+        and from the start of the text or item the first token and the token after the last, in the text and in the item."""
+        if not len(at):
+            return np.zeros((0, 10), np.int64)
+        its = (self.single, self.pieces)[kind]
+        doc = own.owner[at]
+        start = its.first[item] + place
+        order = np.lexsort((start, at - start, item, doc))
+        doc, item, at, start = doc[order], item[order], at[order], start[order]
+        far = np.diff(start) > width
+        new = np.concatenate(([True], (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(at - start) != 0) | far))
+        begin = np.flatnonzero(new)
+        last = np.concatenate((begin[1:], [len(new)])) - 1
+        doc, item, at, n, start = doc[begin], item[begin], at[begin], start[last] - start[begin] + width, start[begin]
+        spans = [t for s, side, text in ((at, own, doc), (start, its, item)) for t in (side.at[s] - side.tokens[text], side.at[s + n - 1] + side.size[s + n - 1] - side.tokens[text])]
+        return np.stack([doc, item, np.full(len(doc), kind), at, start, n, *spans], axis=1)
+
+    def _chains(self, seg: np.ndarray, own: tuple[Pieces, Pieces], best: dict) -> dict[tuple[int, int], dict]:
+        """For texts and items without a consistent alignment the chain of segments that covers most words, if enough."""
+        out = {}
+        if not len(seg):
+            return out
+        seg = seg[np.lexsort((seg[:, 8], seg[:, 1], seg[:, 0]))]
+        new = np.concatenate(([True], (np.diff(seg[:, 0]) != 0) | (np.diff(seg[:, 1]) != 0)))
+        begin = np.flatnonzero(new)
+        far = (np.cumsum(new) - 1) * (int(self.counts.max()) + 1)  # words covered by any segment bound those of a chain
+        reach = np.maximum.accumulate(seg[:, 9] + far)
+        before = np.concatenate(([0], reach[:-1]))
+        cover = np.add.reduceat(np.maximum(0, seg[:, 9] + far - np.maximum(before, seg[:, 8] + far)), begin)
+        need = np.minimum(COVER, self.counts[seg[begin, 1]])
+        short = (self.pieces.counts < 2 * WINDOW) & (self.pieces.counts >= EDITED)
+        for g in np.flatnonzero((cover >= need) | short[seg[begin, 1]]):
+            key = int(seg[begin[g], 0]), int(seg[begin[g], 1])
+            if not best.get(key, {"consistent": False})["consistent"]:
+                part = seg[begin[g] : begin[g + 1] if g + 1 < len(begin) else len(seg)].tolist()
+                row = self._chain(part, own, int(need[g])) if cover[g] >= need[g] else None
+                if not row and short[key[1]]:
+                    row = next(filter(None, (self._stretch(x, own) for x in part if x[2])), None)
+                if row:
+                    out[key] = row
+        return out
+
+    def _chain(self, segments: list[list[int]], own: tuple[Pieces, Pieces], need: int) -> dict | None:
+        """The first consistent chain of enough words, those of most words first: a segment may follow one that starts before
+        it in text and item and ends within ``SHIFT`` diagonals of it."""
+        ends: dict[int, list[int]] = {}  # segments by the diagonal of their end
+        cover, back = [], []
+        for k, (_, _, _, _, _, _, p, pe, q, qe) in enumerate(segments):
+            top, prev = qe - q, -1
+            for diagonal in range(p - q - SHIFT, p - q + SHIFT + 1):
+                for j in ends.get(diagonal, ()):
+                    jp, jpe, jq, jqe = segments[j][6:]
+                    gain = qe - q - max(0, jqe - q, jpe - p)
+                    if jp < p and jq < q and gain > 0 and cover[j] + gain > top:
+                        top, prev = cover[j] + gain, j
+            cover.append(top)
+            back.append(prev)
+            ends.setdefault(pe - qe, []).append(k)
+        seen: set[int] = set()
+        for k in sorted(range(len(segments)), key=lambda k: -cover[k]):
+            if cover[k] < need:
+                return None
+            if k in seen:
+                continue
+            words, chain = cover[k], []
+            while k >= 0:
+                seen.add(k)
+                chain.append(segments[k])
+                k = back[k]
+            row = self._judge([(x[2], np.arange(x[4], x[4] + x[5]), np.arange(x[3], x[3] + x[5])) for x in chain[::-1]], own, chain[0][1], words, need)
+            if row["consistent"]:
+                return row
+        return None
+
+    def _stretch(self, segment: list[int], own: tuple[Pieces, Pieces]) -> dict | None:
+        """A short item around one of its halves: all its pieces in order, with one inserted for every four of them at most,
+        or one inside left out."""
+        d, i, _, at, start, n = segment[:6]
+        its, mine = self.pieces, own[1]
+        low, count = int(its.first[i]), int(its.counts[i])
+        begin, x, y, inserted, missing = int(mine.first[d]), list(range(start, start + n)), list(range(at, at + n)), 0, []
+        for step, k, j, end, stop in ((1, start + n, at + n, low + count, begin + int(mine.counts[d])), (-1, start - 1, at - 1, low - 1, begin - 1)):
+            for k in range(k, end, step):
+                places = range(j, stop, step)[: count // 4 - inserted + 1]
+                skip = next((s for s, place in enumerate(places) if its.template[k] == mine.template[place]), None)
+                if skip is None:
+                    missing.append(k)
+                    if len(missing) > 1 or inserted or k in (low, low + count - 1):
+                        return None
+                    continue
+                x.append(k), y.append(places[skip])
+                inserted, j = inserted + skip, places[skip] + step
+        if missing and (inserted or count < WINDOW):
+            return None
+        x, y = np.sort(x), np.sort(y)
+        words = int(its.size[x].sum())
+        row = self._judge([(1, x, y)], own, i, words, words)
+        return row if row["consistent"] else None
+
+    def _judge(self, chain: list[tuple[int, np.ndarray, np.ndarray]], own: tuple[Pieces, Pieces], i: int, words: int, need: int) -> dict:
+        """The row of the aligned pieces (kind, those of the item, those of the text) of a chain."""
+        a, b, kinds, done = [], [], [], -1
+        copied = np.zeros(int(self.counts[i]) + 1, bool)
+        for kind, x, y in chain:
+            its, mine = (self.single, self.pieces)[kind], own[kind]
+            place = its.at[x] - its.tokens[i]
+            same = its.values[x] == mine.values[y]
+            spots = np.repeat(place - np.cumsum(its.size[x]) + its.size[x], its.size[x]) + np.arange(its.size[x].sum())
+            copied[spots[unchanged(np.repeat(same, its.size[x]), min(WINDOW, need))]] = True
+            slots = (place > done) & (its.slot[x] > 0) & (its.slot[x] == mine.slot[y])
+            a.append(its.values[x][slots]), b.append(mine.values[y][slots]), kinds.append(its.slot[x][slots])
+            done = max(done, int(place[-1] + its.size[x[-1]] - 1))
+        a, b, kinds = np.concatenate(a), np.concatenate(b), np.concatenate(kinds)
+        return {
+            "item_id": self.ids[i], "words": int(words), "slots": len(a),
+            "changed": len({(x, y) for x, y in zip(a.tolist(), b.tolist()) if x != y}),
+            "consistent": bool(copied.sum() >= need or slots_agree(a, b, kinds)),
+        }
+
 
 def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[object, str]]]:
     rows = items.select(F.col(item_col).alias("id"), text_or_empty(text_col).alias("text")).where("text != ''").distinct()

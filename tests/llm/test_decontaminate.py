@@ -140,3 +140,22 @@ def test_items_of_few_plain_words_are_found_verbatim(spark):
     texts = [f"we note {t} and go on" for t in items]
     texts += ["we note 13 kg 6 m 31 km 8 seconds 19 hours 5 days 26 percent 8 miles and go on", "we note 3 5 5 and go on"]
     assert found(spark, texts, items) == {(i, i) for i in range(4)}
+
+
+def test_inserted_and_deleted_words_do_not_hide_an_item(spark):
+    long = "the boy who lived by the river had never seen a ship until his uncle took him down to the harbour one morning in the spring"
+    words, nine = long.split(), "which of these birds can fly the very farthest"
+    names = "when our friend Mary had paid 25 coins for the bread she asked Paul to carry it up the hill"
+    items = [long, nine, names]
+    texts = [
+        " ".join(words[:12] + ["really"] + words[12:24]),
+        " ".join(words[:9] + ["really"] + words[9:18] + ["so"] + words[18:]),
+        " ".join(words[:12] + words[13:]),
+        nine.replace("birds", "big birds"),
+        nine.replace("these ", ""),
+        names.replace("Mary", "Anna Maria").replace("25", "twenty five").replace("Paul", "Peter John"),
+        "which of these birds has blue wings and can not fly the very long way",
+        " ".join(words[:7] + ["quite", "other", "words", "stand", "between"] * 3 + words[9:16]),
+    ]
+    pad = "we read it there and then we wrote: "
+    assert found(spark, [pad + t + " and so on" for t in texts], items) == {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 2)}
