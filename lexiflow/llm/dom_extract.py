@@ -67,6 +67,8 @@ BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dia
 MAIN_ROLES = frozenset("main article".split())
 TAGS = "article main section div p h1 h2 h3 h4 ul ol li dl table tr td blockquote pre figure header footer nav aside form".split()
 BUCKETS = 16
+#: Elements of the page itself, always open; a run of loose text in them is a block of its own.
+FRAME = frozenset(("#root", "html", "body"))
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|([^<]+)|(<)", re.S
@@ -76,10 +78,10 @@ _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "words", "role", "hidden", "depth", "pieces", "linked", "index")
+    __slots__ = ("tag", "parent", "children", "words", "role", "hidden", "depth", "pieces", "linked", "index", "loose")
 
-    def __init__(self, tag: str, parent: Node | None, attrs: str):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: Node | None, attrs: str, loose: bool = False):
+        self.tag, self.parent, self.loose = tag, parent, loose
         self.depth = parent.depth + 1 if parent else 0
         self.children: list[Node] = []
         self.pieces: list[str | Node] = []  # own inline text and child nodes, in page order
@@ -96,7 +98,8 @@ class Node:
 def parse(page: str) -> list[Node]:
     """The block nodes of a page in document order; the first is the root.
 
-    Inline elements are text of the block around them.  Missing end tags are implied
+    Inline elements are text of the block around them; a run of text that stands directly
+    in the page's own elements is a paragraph without a tag (``loose``).  Missing end tags are implied
     as browsers do for paragraphs, list items, cells; what is still open at the end ends there.
     """
     root = Node("#root", None, "")
@@ -105,6 +108,19 @@ def parse(page: str) -> list[Node]:
     links = silent = 0
     at, size = 0, len(page)
     match = _TOKEN.match
+
+    def block(text: str) -> Node:
+        if here.tag not in FRAME:
+            return here
+        if not (here.pieces and here.pieces[-1].loose):
+            if not text.strip():
+                return Node("p", here, "")  # space between blocks belongs to none
+            node = Node("p", here, "", True)
+            here.children.append(node)
+            here.pieces.append(node)
+            nodes.append(node)
+        return here.pieces[-1]
+
     while at < size:
         m = match(page, at)
         if m is None:  # no token starts here: one character of text
@@ -114,9 +130,10 @@ def parse(page: str) -> list[Node]:
         text = m[7] or m[8]
         if text is not None:
             if not silent:
-                here.pieces.append(text)
+                to = block(text)
+                to.pieces.append(text)
                 if links:
-                    here.linked += len(text)
+                    to.linked += len(text)
             continue
         tag = m[2] or m[5]
         if tag is None:
@@ -134,7 +151,7 @@ def parse(page: str) -> list[Node]:
             continue
         if tag in VOID:
             if not silent and tag in ("br", "wbr", "hr", "img"):
-                here.pieces.append(" " if tag != "wbr" else "")
+                block("").pieces.append(" " if tag != "wbr" else "")
             continue
         ends, limit = IMPLIED.get(tag, ((), ()))
         if tag in CLOSES_P:
@@ -174,7 +191,7 @@ def parse(page: str) -> list[Node]:
 
 
 def _boiler(node: Node) -> bool:
-    if node.tag in ("html", "body", "#root") or node.tag in MAIN_TAGS:
+    if node.tag in FRAME or node.tag in MAIN_TAGS:
         return node.hidden
     return node.hidden or node.tag in BOILER_TAGS or node.role in BOILER_ROLES or any(w in BOILER_WORDS for w in node.words)
 
@@ -236,13 +253,15 @@ def node_features(nodes: list[Node]) -> np.ndarray:
 def weak_labels(nodes: list[Node], x: np.ndarray) -> np.ndarray:
     """1 article, 0 not, -1 unknown: by tags, roles and attribute words of a node and its ancestors.
 
-    On a page that names no article, all that nothing marks as something else is one.
+    On a page that names no article, all that nothing marks as something else is one,
+    but for loose runs of links.
     """
     main, boiler, inside_main, inside_boiler, header = (x[:, k] > 0 for k in range(13, 18))
-    frame = np.array([n.tag in ("#root", "html", "body") for n in nodes])
+    frame = np.array([n.tag in FRAME for n in nodes])
     y = np.full(len(nodes), -1)
     y[(main | inside_main | (x[:, 20] == 0)) & ~frame] = 1
     y[(boiler | inside_boiler | header) & ~frame] = 0
+    y[np.array([n.loose for n in nodes]) & (x[:, 4] > 0.5)] = 0  # a loose run of links
     return y
 
 
@@ -273,6 +292,9 @@ def seed_pages() -> list[str]:
             head = f"<header><p>{said(k, 3)}</p></header>" if k % 2 else ""
             page = f"{main[0]}<h1>{said(k, 4)}</h1>{inside if k % 2 else ''}{body}{'' if k % 2 else inside}{main[1]}"
             out.append(f"<html><body>{head}{outside if k % 3 else ''}{page}{'' if k % 3 else outside}</body></html>")
+        links = " | ".join(f"<a href=x>{said(k + i, 1 + (k + i) % 3)}</a>" for i in range(2 + k % 5))
+        told = f"<h2>{said(k, 3)}</h2>{said(k, 9 + 8 * (k % 6))}<br><br>{said(k + 2, 12)}" + (block("p", k, 20) if k % 2 else "")
+        out.append(f"<html><body>{links if k % 2 else ''}{page if k % 3 else told}{'' if k % 2 else links}</body></html>")
     return out
 
 
@@ -292,7 +314,7 @@ def decode(nodes: list[Node], p: np.ndarray) -> np.ndarray:
     p = np.clip(p, 1e-6, 1 - 1e-6)
     keep, drop = -np.log(p), -np.log1p(-p)
     for i, node in enumerate(nodes):
-        if node.tag in ("#root", "html", "body"):
+        if node.tag in FRAME:
             keep[i] = drop[i] = 0
     for i in range(len(nodes) - 1, 0, -1):  # children come after their parent
         j = nodes[i].parent.index
@@ -300,7 +322,7 @@ def decode(nodes: list[Node], p: np.ndarray) -> np.ndarray:
         drop[j] += drop[i]
     kept = np.zeros(len(nodes), bool)
     for i, node in enumerate(nodes):
-        if node.tag in ("#root", "html", "body"):
+        if node.tag in FRAME:
             kept[i] = True
         else:
             kept[i] = kept[node.parent.index] and keep[i] < drop[i]
@@ -308,30 +330,22 @@ def decode(nodes: list[Node], p: np.ndarray) -> np.ndarray:
 
 
 def main_text(nodes: list[Node], kept: np.ndarray, p: np.ndarray) -> str:
-    """The blocks of the kept nodes in page order; loose text of the page's own elements needs no article around it
-    only where no node is kept."""
+    """The blocks of the kept nodes in page order; where no node is kept, all loose text."""
     blocks: list[str] = []
 
     def walk(top: Node) -> None:
         stack = [(top, iter(top.pieces), [])]
         while stack:
             node, pieces, run = stack[-1]
-            own = node.tag not in ("#root", "html", "body") or loose
             for piece in pieces:
                 if type(piece) is str:
                     run.append(piece)
-                elif own and run:
-                    flush(run)
-                    stack.append((piece, iter(piece.pieces), []))
-                    break
                 else:
-                    run.clear()
+                    flush(run)
                     stack.append((piece, iter(piece.pieces), []))
                     break
-                continue
             else:
-                if own:
-                    flush(run)
+                flush(run)
                 stack.pop()
                 continue
             if not kept[stack[-1][0].index]:
@@ -346,7 +360,8 @@ def main_text(nodes: list[Node], kept: np.ndarray, p: np.ndarray) -> str:
         if text:
             blocks.append(text)
 
-    loose = not any(k and n.tag not in ("#root", "html", "body") for k, n in zip(kept, nodes))
+    if not any(k and n.tag not in FRAME for k, n in zip(kept, nodes)):
+        kept = kept | np.array([n.loose for n in nodes])
     walk(nodes[0])
     return "\n".join(blocks)
 

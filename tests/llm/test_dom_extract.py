@@ -93,3 +93,17 @@ def test_boosted_trees_learn():
     m = BoostedTrees().fit(x[:2000], y[:2000])
     assert ((m.probability(x[2000:]) >= 0.5) == y[2000:]).mean() > 0.95
     assert (BoostedTrees().fit(x, np.ones(len(x))).probability(x) > 0.99).all()
+
+
+def test_loose_text_beside_kept_blocks_is_a_block(model):
+    long = "The long article text stands right in the body of the page, as old pages have it. It goes on for some time, with <b>marks</b> and all."
+    plain = long.replace("<b>", "").replace("</b>", "")
+    page = f"<html><body>\n<h1>Title</h1>{long}<br><br>And more of it, which is told here.\n<p>The last part of the text, said in a paragraph.</p> {long}</body></html>"
+    assert D.extract_text([page], model) == [
+        f"Title\n{plain} And more of it, which is told here.\nThe last part of the text, said in a paragraph.\n{plain}"
+    ]
+    nodes = D.parse(page)
+    assert [n.tag for n in nodes] == ["#root", "html", "body", "h1", "p", "p", "p"] and [n.loose for n in nodes] == [False] * 4 + [True, False, True]
+    links = "<a href=x>Home</a> <a href=y>News</a> <a href=z>Sport</a>"
+    inside = D.extract_text([f"<body>{links}<article><h1>T</h1><p>{long}</p></article></body>"], model)[0]
+    assert inside == f"T\n{plain}"
