@@ -19,6 +19,7 @@ import html as entities
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
@@ -225,6 +226,7 @@ def node_features(nodes: list[Node]) -> np.ndarray:
     before = np.concatenate(([0.0], np.cumsum(chars)[:-1]))
     slots = {t: BASE + k for k, t in enumerate(TAGS)}
     any_main = any(map(_main, nodes))
+    same = [Counter(c.tag for c in node.children) for node in nodes]
     for i, node in enumerate(nodes):
         parent = node.parent
         j = parent.index if parent else 0
@@ -240,7 +242,7 @@ def node_features(nodes: list[Node]) -> np.ndarray:
         row[:BASE] = (
             math.log1p(chars[i]), math.log1p(texts[i]), texts[i] / tags[i], links[i] / max(texts[i], 1.0), linked[i] / max(chars[i], 1.0),
             marks[i] / max(texts[i], 1.0), texts[i] / whole, before[i] / whole, node.depth, len(siblings), tags[i],
-            sum(s.tag == node.tag for s in siblings) / len(siblings) if len(siblings) < 200 else 1.0, len(node.children),
+            same[j][node.tag] / len(siblings) if parent else 1.0, len(node.children),
             main, boiler, inside_main[i], inside_boiler[i], header_outside[i], node.hidden, texts[j] / whole, any_main,
         )
         if node.tag in slots:

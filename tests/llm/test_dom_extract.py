@@ -107,3 +107,11 @@ def test_loose_text_beside_kept_blocks_is_a_block(model):
     links = "<a href=x>Home</a> <a href=y>News</a> <a href=z>Sport</a>"
     inside = D.extract_text([f"<body>{links}<article><h1>T</h1><p>{long}</p></article></body>"], model)[0]
     assert inside == f"T\n{plain}"
+
+
+def test_share_of_equal_siblings_at_every_size():
+    for n in (5, 198, 199, 200, 1000):
+        nodes = D.parse("<body><nav>x</nav>" + "<p>text</p>" * n + "</body>")
+        x = D.node_features(nodes)
+        share = {node.tag: row[11] for node, row in zip(nodes, x)}
+        assert share["nav"] == 1 / (n + 1) and share["p"] == n / (n + 1)
