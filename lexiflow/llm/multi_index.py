@@ -13,7 +13,9 @@ inner product of the original vectors in double precision.
 
 The radius is learned on the sample: the Hamming distance within which the asked
 share of true neighbours lies.  A query that finds fewer than k rows is asked
-again without a radius, so all get k, or all candidates there are.
+again without a radius, so all get k, or all candidates there are.  Rows longer than
+any of the sample (about one of ``SAMPLE_ROWS``) can't be lifted, so their angle says
+little: they are reranked for every query, whatever their code.
 
 Index rows are dealt to blocks, queries to groups; each (block, group) is one
 bounded task that builds the substring tables of its block and keeps k rows per
@@ -70,7 +72,7 @@ class Codes:
         self.radius = self._radius(sample, k, random)
 
     def lift(self, x: np.ndarray) -> np.ndarray:
-        """Index vectors with a last component that gives all the same length (longer ones than in the sample get 0)."""
+        """Index vectors with a last component that gives all the same length (longer ones than in the sample get 0, and are reranked anyway)."""
         rest = np.sqrt(np.maximum(self.norm**2 - (x * x).sum(1), 0))
         return np.hstack([x, rest[:, None]])
 
@@ -127,30 +129,35 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.array(vectors.to_list(), dtype=np.float64).reshape(len(vectors), -1)
 
 
-_FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
+_FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("near", T.LongType())])
 
 
 def _searcher(codes: Codes, k: int, radius: int | None) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     def search(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "near": []})
         rows = rows.sort_values("vec_id", kind="stable")
         x, ids = _matrix(rows["v"]), rows["vec_id"].to_numpy()
         asked, q = queries["vec_id"].to_numpy(), _matrix(queries["v"])
         index = SubstringIndex(codes.encode(x, False)) if radius is not None else None
         own = codes.encode(q, True)
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        long = np.flatnonzero(np.linalg.norm(x, axis=1) > codes.norm)
+        out: list[tuple[np.ndarray, ...]] = []
         for i in range(len(q)):
             at = index.within(own[i], radius) if index else np.arange(len(x))
             at = at[ids[at] != asked[i]]
+            near = len(at)
+            if index and len(long):
+                at = np.union1d(at, long[ids[long] != asked[i]])
             score = inner(x[at], q[i])
             if len(at) > k:  # keep all ties of the k-th, then the smaller ids
                 at_least = np.partition(score, len(score) - k)[len(score) - k]
                 chosen = np.flatnonzero(score >= at_least)
                 at, score = at[chosen], score[chosen]
             order = np.lexsort((ids[at], -score))[:k]
-            out.append((np.full(len(order), asked[i]), ids[at][order], score[order]))
-        return pd.DataFrame({name: np.concatenate([o[c] for o in out]) for c, name in enumerate(("query_id", "vec_id", "score"))})
+            # the rows within the radius are counted on the first
+            out.append((np.full(len(order), asked[i]), ids[at][order], score[order], np.where(np.arange(len(order)) == 0, near, 0)))
+        return pd.DataFrame({name: np.concatenate([o[c] for o in out]) for c, name in enumerate(("query_id", "vec_id", "score", "near"))})
 
     return search
 
@@ -165,7 +172,8 @@ def inner(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    near = F.sum("near").over(Window.partitionBy("query_id"))
+    return found.withColumn("near", near).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def _search(queries: DataFrame, rows: DataFrame, n_queries: int, n_rows: int, codes: Codes, k: int, radius: int | None) -> DataFrame:
@@ -203,11 +211,11 @@ def nearest(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id",
     queries = rows.where("asks").select("vec_id", "v")
     n_rows, n_queries = rows.count(), queries.count()
     found = cut(_search(queries, rows.select("vec_id", "v"), n_queries, n_rows, codes, k, codes.radius))
-    many = found.groupBy("query_id").count()
-    short = queries.join(many.where(F.col("count") >= k), queries.vec_id == many.query_id, "left_anti")
+    many = found.where(F.col("near") >= k).select("query_id").distinct()
+    short = queries.join(many, queries.vec_id == many.query_id, "left_anti")
     short = cut(short)
     n_short = short.count()
     if n_short:
-        again = _search(short, rows.select("vec_id", "v"), n_short, n_rows, codes, k, None)
+        again = cut(_search(short, rows.select("vec_id", "v"), n_short, n_rows, codes, k, None))
         found = found.join(short.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(again)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -78,3 +78,19 @@ def test_small_tables(spark, n):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(n)], "vec_id long, embedding array<double>")
     got = results(M.nearest(df, F.col("vec_id") % 2 == 0))
     assert {q: len(v) for q, v in got.items()} == {q: n - 1 for q in range(0, n, 2) if n > 1}
+
+
+def test_the_longest_rows_are_found_though_no_sample_holds_them(spark, monkeypatch):
+    sample = M.bounded_sample
+    monkeypatch.setattr(M, "bounded_sample", lambda df, n, *by: sample(df.where("vec_id < 600"), n, *by))
+    random = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    centre = unit(random.normal(size=(1, 32)))
+    x = unit(centre + 0.03 * random.normal(size=(600, 32)))  # near each other
+    away = random.normal(size=(10, 32))
+    away = unit(away - away @ centre.T * centre)
+    far = 10 * unit(0.3 * centre + math.sqrt(1 - 0.09) * away)  # cosine 0.3, ten times as long: the best of all
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, far]))]
+    got = results(M.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") < 20))
+    hits = sum(len({i for i, _ in found} & set(range(600, 610))) for found in got.values())
+    assert len(got) == 20 and hits == 200  # exact, they need no code
