@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.llm import credentials, decontaminate, dom_extract, feistel, multi_index, order_minhash, prefix_bpe, preference, pu_quality, warc_zstd
+from lexiflow.llm import credentials, decontaminate, dom_extract, feistel, fp_search, lang_id, merkle, multi_index, order_minhash, prefix_bpe, preference, pu_quality, warc_zstd
 from lexiflow.llm.common import table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -62,6 +62,19 @@ def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel.pseudonymise(docs, PSEUDONYM_KEY)
 
 
+def op11_fp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.verify(merkle.manifest(docs, altered={"text": merkle.without_newlines()}))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_credentials": op2_credentials,
@@ -73,9 +86,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_dom_trees": op8_dom_trees,
     "op9_warc_zstd": op9_warc_zstd,
     "op10_feistel": op10_feistel,
+    "op11_fp_search": op11_fp_search,
+    "op12_word_backoff": op12_word_backoff,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE: dict[str, str] = {
     "op7_preference": preference.ORACLE,
     "op9_warc_zstd": warc_zstd.ORACLE,
+    "op11_fp_search": fp_search.ORACLE,
+    "op13_merkle": merkle.ORACLE,
 }
