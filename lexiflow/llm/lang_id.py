@@ -15,6 +15,7 @@ the rows: rarer words are exactly the case for the n-grams.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,11 +27,11 @@ from pyspark.sql import functions as F
 from lexiflow.llm.common import cut
 
 #: Longest n-gram; numbers that the words and that the n-grams of a model may hold; smoothing count.
-LONGEST, CELLS, SMOOTH = 5, 800_000, 0.5
+LONGEST, CELLS, SMOOTH = 5, 400_000, 0.5
 #: Fewest training occurrences of a known word or n-gram: what occurs once is as good as unseen.
 LEAST = 2
-#: Training words that a task counts together before it hands the counts on (bounds its memory).
-COUNTED = 200_000
+#: Different words or n-grams that a task counts before it hands the counts on (bounds its memory).
+COUNTED = 300_000
 UNKNOWN = "und"
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -52,79 +53,85 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-_COUNTS = "lang string, n int, item string, times bigint"
+_COUNTS = "n int, lang string, item string, times bigint"
 
 
-def _rows(found: dict[tuple[str, int], Counter]) -> pa.RecordBatch:
-    kinds = [(lang, n, len(c)) for (lang, n), c in found.items()]
-    flat = [list(x) for x in zip(*[(i, t) for c in found.values() for i, t in c.items()])] or [[], []]
-    return pa.record_batch(
-        {
-            "lang": pa.array([x for lang, _, k in kinds for x in [lang] * k], pa.string()),
-            "n": pa.array([x for _, n, k in kinds for x in [n] * k], pa.int32()),
-            "item": pa.array(flat[0], pa.string()),
-            "times": pa.array(flat[1], pa.int64()),
-        }
-    )
+def _rows(found: dict[tuple[int, str], Counter]) -> Iterator[pa.RecordBatch]:
+    for (n, lang), counts in found.items():
+        columns = [pa.repeat(pa.scalar(n, pa.int32()), len(counts)), pa.repeat(pa.scalar(lang, pa.string()), len(counts))]
+        yield pa.record_batch([*columns, pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["n", "lang", "item", "times"])
+    found.clear()
 
 
-def _count(batches):
-    """Word counts (n = 0) by language, handed on whenever there are many."""
-    found: dict[tuple[str, int], Counter] = defaultdict(Counter)
+def _count_words(batches):
+    """Counts of the words (n = 0) of texts by language, handed on whenever there are many."""
+    found: dict[tuple[int, str], Counter] = defaultdict(Counter)
     for batch in batches:
-        for text, lang in zip(batch["text"], batch["lang"]):
-            found[lang.as_py(), 0].update(words(text.as_py()))
+        for text, lang in zip(batch["text"], batch["lang"].to_pylist()):
+            found[0, lang].update(words(text.as_py()))
             if sum(map(len, found.values())) > COUNTED:
-                yield _rows(found)
-                found.clear()
-    yield _rows(found)
-
-
-def _gram_count(batches):
-    """N-gram counts (n = 1 ...) of counted words."""
-    found: dict[tuple[str, int], Counter] = defaultdict(Counter)
-    for batch in batches:
-        for lang, word, times in zip(*[batch[c].to_pylist() for c in ("lang", "item", "times")]):
-            for n in range(1, LONGEST + 1):
-                counter = found[lang, n]
-                for gram in grams(word, n):
-                    counter[gram] += times
+                yield from _rows(found)
+    yield from _rows(found)
+
+
+def _count_grams(langs: list[str]):
+    """Counts of the n-grams (n = 1 ...) of counted words (item, times by language): each as often as its word."""
+
+    def run(batches):
+        found: dict[tuple[int, str], Counter] = defaultdict(Counter)
+        for batch in batches:
+            items = batch["item"].to_pylist()
+            for k, lang in enumerate(langs):
+                times = batch[f"t{k}"].to_numpy()
+                once = [items[i] for i in np.flatnonzero(times == 1)]
+                often = [(items[i], int(times[i])) for i in np.flatnonzero(times > 1)]
+                for n in range(1, LONGEST + 1):
+                    counts = found[n, lang]
+                    counts.update([g for w in once for g in grams(w, n)])
+                    for w, t in often:
+                        for g in grams(w, n):
+                            counts[g] += t
             if sum(map(len, found.values())) > COUNTED:
-                yield _rows(found)
-                found.clear()
-    yield _rows(found)
+                yield from _rows(found)
+        yield from _rows(found)
+
+    return run
 
 
 @dataclass
 class Model:
-    """``langs`` in order; for each n (0: words) the row of every known item and the log frequencies."""
+    """``langs`` in order, the log shares of their documents; for each n (0: words) the row of every known
+    item in ``logs``, the log frequencies by language."""
 
     langs: list[str]
     share: np.ndarray
     rows: list[dict[str, int]]
-    logs: list[np.ndarray]
+    logs: np.ndarray
 
-    def word(self, word: str) -> np.ndarray | None:
-        """Log frequencies by language: the word's own, else those of its longest known n-grams."""
-        at = self.rows[0].get(word)
-        if at is not None:
-            return self.logs[0][at]
+    def backoff(self, word: str) -> list[int]:
+        """The rows of the longest known n-grams of an unseen word; their mean counts."""
         for n in range(LONGEST, 0, -1):
-            known = [r for g in grams(word, n) if (r := self.rows[n].get(g)) is not None]
-            if known:
-                return self.logs[n][known].mean(0)
-        return None
+            table = self.rows[n]
+            if known := [table[g] for g in grams(word, n) if g in table]:
+                return known
+        return []
 
     def predict(self, text: str | None, memory: dict) -> tuple[str, float]:
+        """Language and score; ``memory`` keeps the rows of unseen words."""
         counts = Counter(words(text)) if text else None
         if not counts or not self.langs:
             return UNKNOWN, 0.0
-        total = self.share.copy()
-        for word, times in counts.items():
-            if word not in memory:
-                memory[word] = self.word(word)
-            if (found := memory[word]) is not None:
-                total += times * found
+        known, at, times = self.rows[0], [], []
+        for word, k in counts.items():
+            if (row := known.get(word)) is not None:
+                at.append(row)
+                times.append(k)
+                continue
+            if (rows := memory.get(word)) is None:
+                rows = memory[word] = self.backoff(word)
+            at += rows
+            times += [k / len(rows)] * len(rows) if rows else ()
+        total = self.share + np.array(times, float) @ self.logs[at] if at else self.share
         best = int(np.argmax(total))  # ties: the language that is first in order
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
@@ -132,33 +139,28 @@ class Model:
 def fit(rows: DataFrame) -> Model:
     """A model from (text, lang), both not null.  Counts cover all rows; the model's size is bounded."""
     known = rows.where("text is not null and lang is not null")
-    docs = dict(known.groupBy("lang").agg(F.count("*")).orderBy("lang").collect())
+    docs = dict(known.groupBy("lang").agg(F.count("*")).collect())  # one row a language
     if not docs:
-        return Model([], np.zeros(0), [{}] * (LONGEST + 1), [np.zeros((0, 0))] * (LONGEST + 1))
+        return Model([], np.zeros(0), [{}] * (LONGEST + 1), np.zeros((0, 0)))
     langs = sorted(docs)
     share = np.log(np.array([docs[x] for x in langs], float) / sum(docs.values()))
-    total = F.sum("times").alias("times")
-    found = cut(known.mapInArrow(_count, _COUNTS).groupBy("lang", "n", "item").agg(total))
-    # a word's n-grams count as often as the word, so they come from the word counts
-    cells = cut(found.unionByName(found.mapInArrow(_gram_count, _COUNTS).groupBy("lang", "n", "item").agg(total)))
-    sums = {(r.n, r.lang): (r.total, r.kinds) for r in cells.groupBy("n", "lang").agg(F.sum("times").alias("total"), F.count("*").alias("kinds")).collect()}
-    most = max(CELLS // len(langs), 1)
-    kept = []
-    for words_only in (True, False):
-        part = cells.where("n = 0" if words_only else "n > 0").groupBy("n", "item").agg(F.sum("times").alias("all"), F.collect_list(F.struct("lang", "times")).alias("by"))
-        kept += part.where(F.col("all") >= LEAST).orderBy(F.desc("all"), "n", "item").limit(most).collect()
-    model = Model(langs, share, [{} for _ in range(LONGEST + 1)], [])
-    column = {x: i for i, x in enumerate(langs)}
-    for n in range(LONGEST + 1):
-        items = [r for r in kept if r.n == n]
-        model.rows[n] = {r["item"]: i for i, r in enumerate(items)}
-        times = np.zeros((len(items), len(langs)))
-        for i, r in enumerate(items):
-            for b in r["by"]:
-                times[i, column[b["lang"]]] = b["times"]
-        kinds = max([k for (m, _), (_, k) in sums.items() if m == n], default=0)
-        seen = np.array([sums.get((n, x), (0, 0))[0] for x in langs], float)
-        model.logs.append(np.log((times + SMOOTH) / (seen + SMOOTH * (kinds + 1))))
+    names = [f"t{k}" for k in range(len(langs))]
+    by_lang = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("times"))), F.lit(0)).alias(t) for x, t in zip(langs, names)]
+    per_word = cut(known.mapInArrow(_count_words, _COUNTS).groupBy("n", "item").agg(*by_lang))
+    per_gram = cut(per_word.mapInArrow(_count_grams(langs), _COUNTS).groupBy("n", "item").agg(*by_lang))
+    model, logs = Model(langs, share, [{} for _ in range(LONGEST + 1)], np.zeros((0, len(langs)))), []
+    for counts in (per_word, per_gram):
+        sums = [x for t in names for x in (F.sum(t), F.sum((F.col(t) > 0).cast("int")))]
+        totals = {r[0]: np.array(r[1:], float).reshape(-1, 2) for r in counts.groupBy("n").agg(*sums).collect()}
+        every = sum(map(F.col, names))
+        kept = counts.withColumn("all", every).where(F.col("all") >= LEAST).orderBy(F.desc("all"), "n", "item").limit(max(CELLS // len(langs), 1)).toArrow()
+        n_of, times = kept["n"].to_numpy(), np.stack([kept[t].to_numpy() for t in names], 1)
+        for n, total in totals.items():
+            at = np.flatnonzero(n_of == n)
+            first = sum(map(len, logs))
+            model.rows[n] = {x: first + i for i, x in enumerate(kept["item"].take(pa.array(at)).to_pylist())}
+            logs.append(np.log((times[at] + SMOOTH) / (total[:, 0] + SMOOTH * (total[:, 1].max() + 1))))
+    model.logs = np.concatenate([model.logs, *logs])
     return model
 
 
