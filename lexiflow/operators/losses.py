@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import col_
@@ -53,6 +53,18 @@ def log_softmax(df: DataFrame, scores: str = "scores", label: str = "label") ->
     )
 
 
+def width_report(df: DataFrame, vocab_size: int, by: Sequence[str] = ("batch_id",), scores: str = "scores") -> DataFrame:
+    """CHK-2 as a table: per batch its rows, those whose scores aren't ``vocab_size`` wide, and the extreme widths."""
+    width = F.size(scores)
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(width != vocab_size, 1)).alias("n_wrong"),
+                               F.min(width).alias("least_width"), F.max(width).alias("greatest_width"))
+
+
+def observe_width(df: DataFrame, vocab_size: int, observation: Observation, scores: str = "scores") -> DataFrame:
+    """CHK-2 in the pass that uses the rows: all of them go on, ``observation`` counts n_rows and n_wrong."""
+    return df.observe(observation, F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.size(scores) != vocab_size, 1)).alias("n_wrong"))
+
+
 def check_width(df: DataFrame, vocab_size: int, scores: str = "scores") -> DataFrame:
     """CHK-2: fail when a score row is not as wide as the vocabulary."""
     bad = F.size(scores) != F.lit(vocab_size)

@@ -2,44 +2,28 @@
 length filter, side pairing and alignment check, decode, dataset size
 (PRJ-1..8, FLT-1, FLT-3, JN-1, JN-3, CHK-1, AGG-1, AGG-2).
 
-Encoding plan: rows are hash-partitioned once on their key; each text column
-is split into (position, token) rows by ``posexplode``; tokens meet the
-vocabulary in a join (broadcast only if the counted vocabulary is small); one ``collect_list`` per key — already clustered by the key
-partitioning, so no second exchange — puts the ids back in order.  Several
-text columns are encoded in the same pass.  (A map literal would avoid the
-join, but Spark looks up map keys by linear scan, O(vocabulary) per token.)
+Encoding and decoding look all elements of a row's token (id) arrays up in the
+vocabulary by ``lookup.resolve``: frequent ones in a broadcast head inside the
+row's partition, the rest by an equi-join, at any vocabulary size.  Several
+columns go in the same pass.  (A map literal would avoid the join, but Spark
+looks up map keys by linear scan, O(vocabulary) per token.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import col_, split_ws, strip_text as strip_expr
+from lexiflow.operators.lookup import resolve
 from lexiflow.sources.fixtures import BOS_ID, EOS_ID, PAD_ID, SPECIAL_IDS, UNK_ID
 
-VOCAB_BROADCAST_ROWS = 1_000_000  # largest counted vocabulary that is broadcast
-
-
 def _ids_literal(ids: Sequence[int]) -> Column:
     return F.array(*[F.lit(int(i)) for i in ids]).cast("array<int>")
 
 
-def _lookup(x: DataFrame, vocab: DataFrame, key: str, val: str, by: str, as_: str) -> DataFrame:
-    """Left join of ``x`` to the vocabulary on its column ``by``.
-
-    The vocabulary is counted first: a small one is broadcast.  Beyond that a
-    shuffle join, in which adaptive execution splits frequent tokens; rows without
-    a token (empty texts) never match and skip the shuffle's hot null key."""
-    v = vocab.select(F.col(key).alias(by), F.col(val).alias(as_))
-    if vocab.count() <= VOCAB_BROADCAST_ROWS:
-        return x.join(F.broadcast(v), on=by, how="left")
-    none = x.where(F.col(by).isNull()).withColumn(as_, F.lit(None).cast(v.schema[as_].dataType))
-    return x.where(F.col(by).isNotNull()).join(v, on=by, how="left").unionByName(none)
-
-
 # --- PRJ-1 ---------------------------------------------------------------------
 
 def strip_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -61,13 +45,16 @@ def encode(
     strip: bool = False,
     max_lens: Mapping[str, int] | None = None,
     drop_over: Mapping[str, int] | None = None,
+    specials: Mapping[str, tuple[Sequence[int], Sequence[int]]] | None = None,
+    head: int | None = None,
 ) -> DataFrame:
     """PRJ-2: text columns -> ``array<int>`` id columns (``cols``: text -> ids name).
 
     Whitespace tokens are looked up in ``vocab(token, id)``; unknown tokens
     get ``unk_id``; ``prefix_ids``/``suffix_ids`` wrap the body (begin/end ids
-    or a language code).  Returns ``key_cols + carry + ids`` columns; carried
-    columns must be constant per key (e.g. the split).
+    or a language code); ``specials`` {ids column: (prefix, suffix)} gives a side its
+    own.  Returns ``key_cols + carry + ids`` columns.  A null text counts as empty.  The
+    vocabulary may have any size: see ``lookup.resolve``, whose ``head`` this is.
 
     The encoded length is the token count plus the special ids, known before
     any lookup, so both limits act before the regrouping:
@@ -78,41 +65,19 @@ def encode(
     * ``drop_over`` {ids column: limit} — FLT-1: rows whose encoded length
       exceeds the limit are dropped before the explode.
     """
-    keys = list(key_cols)
-    carry = list(carry)
-    items = list(cols.items())
-    n_special = len(prefix_ids) + len(suffix_ids)
+    keys, wanted, items = list(key_cols), list(carry), list(cols.items())
+    wraps = {out: (specials or {}).get(out, (prefix_ids, suffix_ids)) for _, out in items}
     # rows that share a key stay apart: each carries a number of its own through the regrouping
-    keyed = df.withColumn("_row", F.monotonically_increasing_id()).repartition(*[F.col(k) for k in keys])
-    wanted, carry = carry, [*carry, "_row"]
-    toks = [split_ws(strip_expr(c) if strip else F.col(c)).alias(f"_t{i}") for i, (c, _) in enumerate(items)]
-    x = keyed.select(*keys, *carry, *toks)
-    if drop_over:
-        cond = F.lit(True)
-        for i, (_, out) in enumerate(items):
-            if out in drop_over:
-                cond = cond & (F.size(f"_t{i}") + F.lit(n_special) <= F.lit(drop_over[out]))
-        x = x.where(cond)
-    sides = F.array(*[F.struct(F.lit(i).alias("_side"), F.col(f"_t{i}").alias("_toks")) for i in range(len(items))])
-    x = x.select(*keys, *carry, F.inline(sides))
-    x = x.select(*keys, *carry, "_side", F.posexplode_outer("_toks").alias("_p", "_tok"))
-    if max_lens:
-        limit = F.lit(None).cast("int")
-        for i, (_, out) in enumerate(items):
-            if out in max_lens:
-                limit = F.when(F.col("_side") == i, F.lit(max(max_lens[out] - n_special, 0))).otherwise(limit)
-        x = x.where(F.col("_p").isNull() | limit.isNull() | (F.col("_p") < limit))
-    x = _lookup(x, vocab, "token", "id", "_tok", "_id")
-    aggs = []
-    for i, (_, out) in enumerate(items):
-        entry = F.when((F.col("_side") == i) & F.col("_p").isNotNull(),
-                       F.struct(F.col("_p"), F.coalesce(F.col("_id"), F.lit(unk_id)).alias("_id")))
-        aggs.append(F.collect_list(entry).alias(f"_l{i}"))
-    g = x.groupBy(*keys, *carry).agg(*aggs)
-    outs = []
-    for i, (_, out) in enumerate(items):
-        body = F.sort_array(F.col(f"_l{i}"))["_id"]  # field of an array of structs: native, no lambda
-        outs.append(F.concat(_ids_literal(prefix_ids), body, _ids_literal(suffix_ids)).alias(out))
+    x = df.withColumn("_row", F.monotonically_increasing_id())
+    x = x.select(*keys, *wanted, "_row", *[split_ws(strip_expr(c) if strip else F.col(c)).alias(out) for c, out in items])
+    for _, out in items:
+        n_special = sum(map(len, wraps[out]))
+        if drop_over and out in drop_over:
+            x = x.where(F.size(out) + F.lit(n_special) <= F.lit(drop_over[out]))
+        if max_lens and out in max_lens:
+            x = x.withColumn(out, F.slice(out, 1, max(max_lens[out] - n_special, 0)))
+    g = resolve(x, [*keys, *wanted, "_row"], keys, [out for _, out in items], vocab, "token", "id", missing=F.lit(unk_id), head=head)
+    outs = [F.concat(_ids_literal(wraps[out][0]), F.col(out).cast("array<int>"), _ids_literal(wraps[out][1])).alias(out) for _, out in items]
     return g.select(*keys, *wanted, *outs)
 
 
@@ -185,6 +150,50 @@ def filter_by_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
 
 # --- JN-1 / CHK-1 ---------------------------------------------------------------
 
+def pair_aligned(
+    src: DataFrame,
+    tgt: DataFrame,
+    keys: Sequence[str] = ("split", "line_no"),
+    src_col: str = "src",
+    tgt_col: str = "tgt",
+    observation: Observation | None = None,
+) -> DataFrame:
+    """JN-1 + CHK-1 in one pass: every line paired by ``keys``; a line that only one side has is a fault.
+
+    Without ``observation`` the query fails at the first such line, in the join that pairs
+    the lines: nothing is scanned twice.  With one the lines without a partner go, and the
+    observation counts, as the pairs are used: n_src, n_tgt, only_src, only_tgt and
+    first_bad, the smallest last key among them (read them from it after an action)."""
+    keys = list(keys)
+    left = src.select(*keys, src_col, F.lit(True).alias("_s"))
+    right = tgt.select(*keys, tgt_col, F.lit(True).alias("_t"))
+    both = left.join(right, on=keys, how="full_outer")
+    lone = F.col("_s").isNull() | F.col("_t").isNull()
+    if observation is None:
+        names = F.concat_ws(", ", *[F.concat(F.lit(f"{k} "), F.coalesce(F.col(k).cast("string"), F.lit("null"))) for k in keys])
+        told = F.raise_error(F.concat(F.lit("sides not aligned: only the "), F.when(F.col("_s").isNull(), F.lit("target")).otherwise(F.lit("source")), F.lit(" has "), names))
+        both = both.where(F.when(lone, told).otherwise(F.lit(True)))
+    else:
+        both = both.observe(
+            observation, F.count("_s").alias("n_src"), F.count("_t").alias("n_tgt"), F.count(F.when(F.col("_t").isNull(), 1)).alias("only_src"),
+            F.count(F.when(F.col("_s").isNull(), 1)).alias("only_tgt"), F.min(F.when(lone, F.col(keys[-1]))).alias("first_bad"),
+        ).where(~lone)
+    return both.select(*keys, src_col, tgt_col)
+
+
+def alignment_report(src: DataFrame, tgt: DataFrame, keys: Sequence[str] = ("split", "line_no")) -> DataFrame:
+    """CHK-1 as a table: per group (all keys but the last) n_src, n_tgt, only_src, only_tgt, first_bad.
+
+    Both sides go through one grouping (no join), so a line that a side has twice is counted twice."""
+    keys = list(keys)
+    marked = src.select(*keys, F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(tgt.select(*keys, F.lit(0).alias("_s"), F.lit(1).alias("_t")))
+    lines = marked.groupBy(*keys).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
+    return lines.groupBy(*keys[:-1]).agg(
+        F.sum("_s").alias("n_src"), F.sum("_t").alias("n_tgt"), F.sum(F.greatest(F.col("_s") - F.col("_t"), F.lit(0))).alias("only_src"),
+        F.sum(F.greatest(F.col("_t") - F.col("_s"), F.lit(0))).alias("only_tgt"), F.min(F.when(F.col("_s") != F.col("_t"), F.col(keys[-1]))).alias("first_bad"),
+    )
+
+
 def check_aligned(src: DataFrame, tgt: DataFrame, keys: Sequence[str] = ("split", "line_no")) -> DataFrame:
     """CHK-1: one report row per split (n_src, n_tgt, first_bad, aligned); the
     ``aligned`` column raises when the two sides do not have the same lines
@@ -218,15 +227,12 @@ def decode_columns(
     key_cols: Sequence[str] = ("row_id",),
     carry: Sequence[str] = (),
     specials: Sequence[int] = SPECIAL_IDS,
+    head: int | None = None,
 ) -> DataFrame:
     """PRJ-8: id columns -> text columns (``cols``: ids -> text name), special
     ids skipped (FLT-3), tokens joined by a space.  One pass for all columns;
     every input row yields a row (empty text when nothing is left)."""
-    keys = list(key_cols)
-    carry = list(carry)
-    items = list(cols.items())
-    keyed = df.withColumn("_row", F.monotonically_increasing_id()).repartition(*[F.col(k) for k in keys])
-    wanted, carry = carry, [*carry, "_row"]
+    keys, wanted, items = list(key_cols), list(carry), list(cols.items())
 
     def without_specials(c):
         out = F.col(c)
@@ -234,20 +240,10 @@ def decode_columns(
             out = F.array_remove(out, int(sp))
         return out
 
-    sides = F.array(*[
-        F.struct(F.lit(i).alias("_side"), without_specials(c).alias("_ids"))
-        for i, (c, _) in enumerate(items)
-    ])
-    x = keyed.select(*keys, *carry, F.inline(sides))
-    x = x.select(*keys, *carry, "_side", F.posexplode_outer("_ids").alias("_p", "_id"))
-    x = _lookup(x, vocab, "id", "token", "_id", "_tok")
-    aggs = [
-        F.collect_list(F.when((F.col("_side") == i) & F.col("_tok").isNotNull(), F.struct("_p", "_tok"))).alias(f"_l{i}")
-        for i in range(len(items))
-    ]
-    g = x.groupBy(*keys, *carry).agg(*aggs)
-    outs = [F.array_join(F.sort_array(f"_l{i}")["_tok"], " ").alias(out) for i, (_, out) in enumerate(items)]
-    return g.select(*keys, *wanted, *outs)
+    x = df.withColumn("_row", F.monotonically_increasing_id())
+    x = x.select(*keys, *wanted, "_row", *[without_specials(c).alias(out) for c, out in items])
+    g = resolve(x, [*keys, *wanted, "_row"], keys, [out for _, out in items], vocab, "id", "token", head=head)
+    return g.select(*keys, *wanted, *[F.array_join(out, " ").alias(out) for _, out in items])
 
 
 def decode(

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexiflow.operators import prep
+from lexiflow.operators.lookup import heavy_items
 from lexiflow.sources.fixtures import EOS_ID, PAD_ID, UNK_ID
 
 
@@ -98,8 +99,26 @@ def test_rows_that_share_a_key_stay_apart(spark):
     assert sorted(r.text for r in prep.decode(enc, "ids", vocab).collect()) == ["a a", "b", "b"]
 
 
-def test_vocabulary_beyond_the_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr(prep, "VOCAB_BROADCAST_ROWS", 1)
-    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, id int")
-    df = spark.createDataFrame([(1, "a b x"), (2, ""), (3, "b")], "row_id long, text string")
-    assert {r.row_id: r.ids for r in prep.encode(df, {"text": "ids"}, vocab).collect()} == {1: [0, 4, 5, 3, 2], 2: [0, 2], 3: [0, 5, 2]}
+@pytest.mark.parametrize("head", [0, 1, 100, 10_000])
+def test_lookup_is_the_same_whatever_the_head_holds(spark, head):
+    vocab = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6)], "token string, id int")
+    df = spark.createDataFrame([(1, "a b x", "c"), (2, "", None), (3, "b " * 50 + "x", "y x a"), (None, "c a", "b")], "row_id long, s string, t string")
+    enc = prep.encode(df, {"s": "s_ids", "t": "t_ids"}, vocab, head=head, specials={"t_ids": ((), (2, 77))})
+    got = {r.row_id: (r.s_ids, r.t_ids) for r in enc.collect()}
+    assert got == {1: ([0, 4, 5, 3, 2], [6, 2, 77]), 2: ([0, 2], [2, 77]), 3: ([0, *[5] * 50, 3, 2], [3, 3, 4, 2, 77]), None: ([0, 6, 4, 2], [5, 2, 77])}
+    dec = prep.decode_columns(enc, {"s_ids": "s", "t_ids": "t"}, vocab, specials=(0, 2, 3, 77), head=head)
+    assert {r.row_id: (r.s, r.t) for r in dec.collect()} == {1: ("a b", "c"), 2: ("", ""), 3: (" ".join(["b"] * 50), "a"), None: ("c a", "b")}
+
+
+def test_heavy_items_are_the_frequent_ones(spark):
+    df = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("t"))
+    got = [r.t for r in heavy_items(df.repartition(9), "t", head=5, tracked=100).collect()]
+    assert "hot" in got and len(got) <= 5
+
+
+def test_one_plan_and_one_read(spark, tmp_path):
+    """The rows are scanned once, and once by the sketch; rare tokens meet the table in a shuffle join."""
+    vocab = spark.createDataFrame([("a", 4)], "token string, id int")
+    spark.createDataFrame([(1, "a b")], "row_id long, text string").write.parquet(str(tmp_path / "t"))
+    plan = prep.encode(spark.read.parquet(str(tmp_path / "t")), {"text": "ids"}, vocab, head=7)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 4 and "Union" not in plan
