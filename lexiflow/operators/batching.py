@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiflow.operators.ordering import md5_bucket, range_bucket, row_index
+from lexiflow.operators.ordering import md5_bucket, row_index
 from lexiflow.session import shuffle_partitions
 from lexiflow.sources.fixtures import SEED
 
@@ -38,15 +38,13 @@ def shuffle_rows(
     """
     o = shuffle_key(key, seed)
     nb = 4 * shuffle_partitions(df.sparkSession)
-    bucket = md5_bucket(F.col("_ord"), nb)
     if splits is not None and "split" in df.columns:
         o = F.when(F.col("split").isin(list(splits)), o)
-        # unshuffled splits keep key order: bucket by the key's range instead
-        bucket = F.when(F.col("_ord").isNull(), range_bucket(df, key, nb)).otherwise(bucket)
     tmp = df.withColumn("_ord", o)
     few = list(group_cols) == ["split"]  # train / validation / test: a fixed enumeration
-    return row_index(tmp, ["_ord", key], group_cols=group_cols, name=out, bucket=bucket, num_buckets=nb,
-                     enumerated_groups=few).drop("_ord")
+    # rows of unshuffled splits have no md5: their buckets are quantile ranges of the key
+    return row_index(tmp, ["_ord", key], group_cols=group_cols, name=out, bucket=md5_bucket(F.col("_ord"), nb), num_buckets=nb,
+                     enumerated_groups=few, range_col=key if splits is not None else None).drop("_ord")
 
 
 def assign_batches(df: DataFrame, batch_size: int, pos_col: str = "pos", out: str = "batch_id") -> DataFrame:
@@ -75,14 +73,14 @@ def shard_rows(df: DataFrame, world: int, pos_col: str = "pos", group_cols: Sequ
     ).drop("_n")
 
 
-def pad_batch(df: DataFrame, cols: Mapping[str, int], batch_cols: Sequence[str] = ("split", "batch_id"), suffix: str = "") -> DataFrame:
+def pad_batch(df: DataFrame, cols: Mapping[str, int | Column], batch_cols: Sequence[str] = ("split", "batch_id"), suffix: str = "") -> DataFrame:
     """WIN-2: right-pad each array column to the longest row of its batch with
-    its own pad value (ids: pad id, masks: 0), each column separately."""
+    its own pad value (ids: pad id, a number or a column; masks: 0), each column separately."""
     w = Window.partitionBy(*batch_cols)
     out = df
     for c, pad in cols.items():
         m = F.max(F.size(c)).over(w)
-        out = out.withColumn(c + suffix, F.concat(F.col(c), F.array_repeat(F.lit(int(pad)), m - F.size(c))))
+        out = out.withColumn(c + suffix, F.concat(F.col(c), F.array_repeat(pad if isinstance(pad, Column) else F.lit(int(pad)), m - F.size(c))))
     return out
 
 
@@ -90,9 +88,18 @@ def infer_pad_id(df: DataFrame, col: str = "input_ids", batch_cols: Sequence[str
     """CHK-3: the last input id of the first row of each batch decides the pad
     id: 2 -> 1, 1 -> 0, anything else fails."""
     first = df.groupBy(*batch_cols).agg(F.min_by(F.element_at(col, -1), F.col(pos_col)).alias("_last"))
-    pad = (F.when(F.col("_last") == 2, F.lit(1)).when(F.col("_last") == 1, F.lit(0))
-           .otherwise(F.raise_error(F.concat(F.lit("cannot infer pad id from last id "), F.col("_last").cast("string")))))
-    return first.select(*batch_cols, pad.cast("int").alias("pad_id"))
+    return first.select(*batch_cols, pad_of_last(F.col("_last")).alias("pad_id"))
+
+
+def pad_of_last(last: Column) -> Column:
+    told = F.raise_error(F.concat(F.lit("cannot infer pad id from last id "), F.coalesce(last.cast("string"), F.lit("null"))))
+    return F.when(last == 2, F.lit(1)).when(last == 1, F.lit(0)).otherwise(told.cast("int"))
+
+
+def with_pad_id(df: DataFrame, col: str = "input_ids", batch_cols: Sequence[str] = ("split", "batch_id"), pos_col: str = "pos", out: str = "pad_id") -> DataFrame:
+    """CHK-3 beside the rows: ``infer_pad_id`` of each row's batch as a column, without a join."""
+    first = F.min_by(F.element_at(col, -1), F.col(pos_col)).over(Window.partitionBy(*batch_cols))
+    return df.withColumn(out, pad_of_last(first))
 
 
 def batch_volume(df: DataFrame, cols: Sequence[str], batch_cols: Sequence[str] = ("split", "batch_id")) -> DataFrame:

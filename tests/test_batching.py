@@ -3,7 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexiflow.operators import batching as bt
-from lexiflow.operators.ordering import row_index
+from lexiflow.operators.ordering import bounds_below, equi_depth_bounds, row_index
 from tests import plain
 
 
@@ -18,6 +18,22 @@ def test_row_index_equals_window(spark, parts):
     assert sorted(map(tuple, got.select("g", "k", "pos").collect())) == sorted(map(tuple, exp.select("g", "k", "pos").collect()))
 
 
+def test_an_outlier_leaves_no_crowded_bucket(spark):
+    keys = spark.range(0, 4000).select(F.when(F.col("id") == 0, F.lit(10**15)).otherwise(F.col("id") ** 2).cast("long").alias("k"))
+    b = F.array(*map(F.lit, keys.agg(equi_depth_bounds("k", 16)).first()[0]))
+    sizes = [r["count"] for r in keys.select(bounds_below(b, F.col("k"), 16).alias("bucket")).groupBy("bucket").count().collect()]
+    assert len(sizes) == 16 and max(sizes) <= 2 * 4000 / 16
+    got = {r.k: r.pos for r in row_index(keys, ["k"], num_buckets=16).collect()}
+    assert got == {k: i for i, k in enumerate(sorted(got))}
+
+
+def test_row_index_with_null_groups_and_keys(spark):
+    rows = [(None, i if i else None) for i in range(300)] + [("a", i) for i in range(7)]
+    df = spark.createDataFrame(rows, "g string, k int")
+    got = sorted((r.g or "", r.k or -1, r.pos) for r in row_index(df, ["k"], group_cols=["g"], num_partitions=3).collect())
+    assert got == sorted([("", i or -1, i) for i in range(300)] + [("a", i or -1, i) for i in range(7)])
+
+
 def test_shuffle_is_partition_independent(spark):
     base = spark.range(0, 500).select(F.col("id").alias("row_id"), F.lit("train").alias("split"))
     a = {r.row_id: r.pos for r in bt.shuffle_rows(base.repartition(1)).collect()}
