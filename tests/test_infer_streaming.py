@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,34 @@ def test_stub_generate(spark):
     assert list(g.generated_ids) == [0, 5, 4, 2]  # 4->5, unknown dropped, 9 wraps to 4, cut at max_len
 
 
+@pytest.mark.parametrize("batch_size,buffer", [(1, 1), (3, 10), (8, 40), (100, 10_000)])
+def test_the_model_sees_padded_matrices(spark, batch_size, buffer):
+    rows = [(i, [4 + (i * k) % 5 for k in range(i % 13)]) for i in range(60)] + [(99, None)]
+    df = spark.createDataFrame(rows, "row_id long, input_ids array<int>").repartition(2)
+
+    def make():
+        def model(ids, masks, start_id, max_len):
+            assert ids.shape == masks.shape and ids.dtype == np.int64 and 1 <= len(ids) <= batch_size
+            lengths = masks.sum(1)
+            assert ids.shape[1] == lengths.max(initial=0)  # padded to the longest, not further
+            assert (ids[masks == 0] == 1).all() and all((m[:n] == 1).all() for m, n in zip(masks, lengths))
+            return [[start_id, *row[:n][::-1].tolist(), len(ids)][:max_len] for row, n in zip(ids, lengths)]
+
+        return model
+
+    got = {r.row_id: r.generated_ids[:-1] for r in infer.generate_batches(df, make, mask_col=None, batch_size=batch_size, buffer_tokens=buffer, start_id=7).collect()}
+    assert got == {i: [7, *(ids or [])[::-1]] for i, ids in rows}
+
+
+def test_length_buckets_bound_the_matrix():
+    lengths = np.array([5, 0, 700, 3, 3, 9, 400, 400])
+    found = infer.length_buckets(lengths, batch_size=4, cells=800)
+    assert sorted(i for b in found for i in b) == list(range(8))
+    assert all(len(b) <= 4 and (len(b) == 1 or len(b) * lengths[b].max() <= 800) for b in found)
+    assert found[0].tolist() == [1, 3, 4, 0]  # neighbours in length share a matrix
+    assert infer.length_buckets(np.zeros(0, int), 4) == []
+
+
 def test_infer_text_one_row(spark):
     vocab = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6)], "token string, id int")
     df = spark.createDataFrame([(0, "  a b c z ")], "row_id long, text string")
