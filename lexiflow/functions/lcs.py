@@ -42,14 +42,14 @@ def lcs_len(a, b) -> int:
     return len(b) - v.bit_count()
 
 
-def lcs_indices(r, c) -> list[int]:
-    """Indices into ``r`` of one LCS of ``r`` and ``c``, backtracking from the
-    end: a match is taken, else move left in ``c`` when that keeps a strictly
-    longer prefix LCS, else move up in ``r`` (the scorer's tie rule)."""
+def lcs_indices(r, c, masks: dict | None = None) -> list[int]:
+    """Indices into ``r`` of one LCS of ``r`` and ``c`` (``masks``: the match masks of
+    ``c``), backtracking from the end: a match is taken, else move left in ``c`` when that
+    keeps a strictly longer prefix LCS, else move up in ``r`` (the scorer's tie rule)."""
     nr, nc = len(r), len(c)
     if nr == 0 or nc == 0:
         return []
-    masks = _match_masks(c)
+    masks = _match_masks(c) if masks is None else masks
     full = (1 << nc) - 1
     rows = [full]  # rows[i]: bit j set <=> T(i, j+1) == T(i, j)
     v = full
@@ -89,13 +89,14 @@ def summary_hits(ref_sents, pred_sents) -> int:
     cnt_r = Counter(t for s in ref_sents for t in s)
     cnt_c = Counter(t for s in pred_sents for t in s)
     hits = 0
+    pred_masks = [_match_masks(c) for c in pred_sents]  # once, not for each reference sentence
     for r in ref_sents:
         union: set[int] = set()
         rset = set(r)
-        for c in pred_sents:
-            if rset.isdisjoint(c):
+        for c, masks in zip(pred_sents, pred_masks):
+            if rset.isdisjoint(masks):
                 continue
-            union.update(lcs_indices(r, c))
+            union.update(lcs_indices(r, c, masks))
         for i in sorted(union):
             tok = r[i]
             if cnt_c[tok] > 0 and cnt_r[tok] > 0:

@@ -55,6 +55,7 @@ def gram_counts(
     carry: Sequence[str] = (),
     sentinel: bool = False,
     hashed: bool = False,
+    dealt: bool = False,
 ) -> DataFrame:
     """Per (id, n, gram): ``ch`` hypothesis count, ``cr`` reference count
     (``hashed``: grams keyed by a 64-bit hash, see ``ngram_structs``).
@@ -62,9 +63,10 @@ def gram_counts(
     JN-4: the multiset intersection needs no join — both sides meet in one
     grouping and ``least(ch, cr)`` is the clipped match.  ``carry`` columns
     (constant per id, e.g. per-pair scores computed before the explode) ride
-    along as grouping keys, so nothing needs a join back.
+    along as grouping keys, so nothing needs a join back.  ``dealt``: the rows are
+    hash-partitioned on the id already.
     """
-    part = df.repartition(*[F.col(c) for c in id_cols])
+    part = df if dealt else df.repartition(*[F.col(c) for c in id_cols])
     sel = part.select(*carry, *id_cols, hyp.alias("_hyp"), ref.alias("_ref"))
     keys = [c for c in sel.columns if c not in ("_hyp", "_ref")]
     grams = _side_grams(sel, keys, F.col("_hyp"), F.col("_ref"), max_n, sentinel, hashed)
@@ -143,16 +145,16 @@ def rouge_pair_scores(
     kinds: Sequence[str] = ("rouge1", "rouge2", "rougeL", "rougeLsum"),
     hashed: bool = False,
 ) -> DataFrame:
-    """Per pair, the requested ROUGE F-measures in one linear pass: the
-    LCS-based scores (Arrow UDF) are computed per row, the rows are
-    hash-partitioned on the id once, and the scores ride as grouping keys
-    through the n-gram aggregate — nothing is joined back and the input is
-    read once."""
+    """Per pair, the requested ROUGE F-measures in one linear pass: the rows are
+    hash-partitioned on the id once, which spreads the LCS work (Arrow UDF) over
+    all tasks however the input was split; the LCS-based scores ride as grouping
+    keys through the n-gram aggregate, which that partitioning serves too — nothing
+    is joined back and the input is read once."""
     kinds = list(kinds)
     orders = sorted(int(k[len("rouge"):]) for k in kinds if k[len("rouge"):].isdigit())
     pt, rt = rouge_tokens(col_(pred)), rouge_tokens(col_(ref))
-    # per-row work (tokens, LCS) first; ``gram_counts`` then hash-partitions once on the id
-    x = df.select(*carry, *id_cols, pt.alias("_p"), rt.alias("_r"), col_(pred).alias("_pt"), col_(ref).alias("_rt"))
+    x = df.select(*carry, *id_cols, *dict.fromkeys(c for c in (pred, ref) if c not in id_cols)).repartition(*[F.col(c) for c in id_cols])
+    x = x.select(*carry, *id_cols, pt.alias("_p"), rt.alias("_r"), col_(pred).alias("_pt"), col_(ref).alias("_rt"))
     lcs_cols = []
     if "rougeL" in kinds:
         lcs_cols.append(_f(lcs.lcs_length(F.col("_p"), F.col("_r")), F.size("_p"), F.size("_r")).alias("rougeL"))
@@ -169,7 +171,7 @@ def rouge_pair_scores(
     lcs_names = [c for c in ("rougeL", "rougeLsum") if c in kinds]
     if not orders:
         return x.select(*carry, *id_cols, *lcs_names)
-    counts = gram_counts(x, id_cols, F.col("_p"), F.col("_r"), max(orders), carry=[*carry, *lcs_names], sentinel=True, hashed=hashed)
+    counts = gram_counts(x, id_cols, F.col("_p"), F.col("_r"), max(orders), carry=[*carry, *lcs_names], sentinel=True, hashed=hashed, dealt=True)
     aggs = []
     for n in orders:
         m = F.sum(F.when(F.col("n") == n, F.least("ch", "cr")))

@@ -10,8 +10,10 @@ keeps a hot run from landing in one task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TOPK_SALT_BUCKETS = 64
@@ -28,6 +30,44 @@ def append_metrics(df: DataFrame, path: str, run: str | None = None, version: in
     out.write.mode("append").partitionBy(*parts).parquet(path)
 
 
+def claim_version(spark: SparkSession, path: str, run: str) -> int:
+    """SNK-2: the next free version of a run's log, claimed by a marker file that only one writer can create.
+
+    Markers lie under ``path/_versions`` (names with an underscore are no data).  Creation
+    without overwriting is atomic on the cluster's file systems; a local folder is asked
+    for an exclusive file directly."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_versions/run={quote(run, safe='')}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    version = max([int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()], default=-1) + 1
+    while True:
+        marker = jvm.org.apache.hadoop.fs.Path(folder, str(version))
+        try:
+            if fs.getScheme() == "file":
+                plain = spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0)
+                jvm.java.nio.file.Files.createDirectory(jvm.java.io.File(fs.makeQualified(marker).toUri().getPath()).toPath(), plain)
+            else:
+                fs.create(marker, False).close()
+            return version
+        except Py4JJavaError as e:  # another writer was faster
+            if "AlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            version += 1
+
+
+def append_batch(df: DataFrame, path: str, run: str, version: int, batch_id: int) -> None:
+    """SNK-2, idempotent: append one batch of long metric rows; the same batch id again replaces its own
+    rows, so a retried batch adds nothing.  Each batch is a partition of the log."""
+    out = df.withColumn("run", F.lit(run)).withColumn("version", F.lit(int(version))).withColumn("batch", F.lit(int(batch_id)))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "version", "batch").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str, schema: str = "epoch int, metric string, value double") -> DataFrame:
+    """The rows of a metric log with run, version and batch."""
+    return spark.read.schema(f"{schema}, run string, version int, batch long").parquet(path)
+
+
 def best_checkpoint(
     df: DataFrame,
     metric: str,
@@ -62,11 +102,42 @@ def best_checkpoint(
     return top.select(run_col, "rank", epoch_col, value_col)
 
 
-def compare_runs(df: DataFrame, metrics: Sequence[str], run_col: str = "run", metric_col: str = "metric", value_col: str = "value") -> DataFrame:
+def compare_runs(
+    df: DataFrame,
+    metrics: Sequence[str],
+    run_col: str = "run",
+    metric_col: str = "metric",
+    value_col: str = "value",
+    best: str | None = None,
+    mode: str = "max",
+    examples: Sequence[str] = (),
+    totals: Mapping[str, Column] | None = None,
+    epoch_col: str = "epoch",
+) -> DataFrame:
     """AGG-15: one row per run (model) with one column per metric (its best,
-    i.e. maximum, value) — a pivot with an explicit value list, so no extra
-    pass finds the metric names."""
-    return df.groupBy(run_col).pivot(metric_col, list(metrics)).agg(F.max(value_col))
+    i.e. maximum, value) — one grouping with a condition per listed metric, so no
+    extra pass finds the metric names.
+
+    ``best`` names the metric that chooses a run's checkpoint (``mode`` as in TOP-1, the
+    earliest epoch of equal values; null and NaN never win): its epoch, as best_epoch, and
+    the columns ``examples`` of its row (an input and what the model made of it) stand
+    beside the metrics, carried by the aggregate itself, not joined back.  Equal epochs
+    are decided by the examples' own order.  ``totals`` adds aggregates of the run's rows
+    (parameters, seconds)."""
+    if mode not in ("max", "min"):
+        raise ValueError("mode must be 'max' or 'min'")
+    aggs = [F.max(F.when(F.col(metric_col) == m, F.col(value_col))).alias(m) for m in metrics]
+    if best is not None:
+        value = F.col(value_col)
+        fits = (F.col(metric_col) == best) & value.isNotNull() & ~F.isnan(value.cast("double"))
+        place = F.struct((-value if mode == "max" else value).alias("v"), F.col(epoch_col), *examples)
+        aggs.append(F.min(F.when(fits, place)).alias("_best"))
+    aggs += [c.alias(name) for name, c in (totals or {}).items()]
+    out = df.groupBy(run_col).agg(*aggs)
+    if best is None:
+        return out
+    kept = [F.col(f"_best.{epoch_col}").alias("best_epoch"), *[F.col(f"_best.{c}").alias(c) for c in examples]]
+    return out.select(run_col, *metrics, *kept, *(totals or {}))
 
 
 def scale_units(df: DataFrame, factors: Mapping[str, tuple[str, float]]) -> DataFrame:

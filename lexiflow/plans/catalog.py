@@ -7,21 +7,26 @@ rounded to 6 decimals so both engines print the same values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lexiflow.functions.lattice import SPACE
 from lexiflow.operators import batching as bt
 from lexiflow.operators import losses as ls
 from lexiflow.operators import overlap as ov
-from lexiflow.operators import prep
+from lexiflow.operators import permutation as pm
+from lexiflow.operators import prep, subword
 from lexiflow.operators import runs as rn
 from lexiflow.operators.ordering import row_index
 from lexiflow.plans import jobs
 from lexiflow.plans import oracle as o
-from lexiflow.session import materialize
+from lexiflow.session import ensure_checkpoint_dir, materialize
 from lexiflow.sources import fixtures as fx
+from lexiflow.sources.tables import keep_encoded, read_records, read_split, write_encoded
+from lexiflow.sources.text_files import read_parallel, write_lines
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -50,6 +55,9 @@ def n_(c) -> Column:
     return F.size(c).cast("long")
 
 
+#: Language codes of the two sides, one code mode each
+PIECE_SIDES = {"src_ids": subword.side_ids("suffix_code", 250004), "tgt_ids": subword.side_ids("prefix_code", 250005)}
+
 # Run configurations (fixed values of the two reference runs)
 SUM_MAX_IN, SUM_MAX_OUT, SUM_BATCH = 512, 256, 4       # summarisation
 TR_MAX_SRC, TR_MAX_TGT, TR_BATCH = 170, 170, 8        # translation
@@ -149,16 +157,108 @@ def q_strip_text(spark, sf_dir):
 
 
 @register("pair_sides", f"""
-SELECT u.split, u.line_no, u.src, a.tgt
-FROM (SELECT {o.split_of('conv_id')} AS split, conv_id * 100 + turn AS line_no, text AS src FROM conversations WHERE role = 'user') u
-JOIN (SELECT {o.split_of('conv_id')} AS split, conv_id * 100 + turn - 1 AS line_no, text AS tgt FROM conversations WHERE role = 'assistant') a
-  ON a.split = u.split AND a.line_no = u.line_no""")
+SELECT u.split, u.line_no, u.src, a.tgt FROM ({o.SRC_SIDE}) u JOIN ({o.TGT_SIDE}) a ON a.split = u.split AND a.line_no = u.line_no""")
 def q_pair_sides(spark, sf_dir):
-    """JN-1: source lines and target lines keyed by (split, line_no), paired by an equi join."""
-    conv = fx.table(spark, sf_dir, "conversations")
-    src = conv.where(F.col("role") == "user").select(fx.split_of("conv_id").alias("split"), (F.col("conv_id") * 100 + F.col("turn")).alias("line_no"), F.col("text").alias("src"))
-    tgt = conv.where(F.col("role") == "assistant").select(fx.split_of("conv_id").alias("split"), (F.col("conv_id") * 100 + F.col("turn") - 1).alias("line_no"), F.col("text").alias("tgt"))
-    return prep.pair_sides(src, tgt)
+    """JN-1: source lines and target lines keyed by (split, line_no), paired by an equi join
+    (lines without a partner are counted in ``alignment_report``)."""
+    return prep.pair_sides(*fx.sides(spark, sf_dir))
+
+
+@register("alignment_report", f"""
+SELECT split, CAST(sum(s) AS BIGINT) AS n_src, CAST(sum(t) AS BIGINT) AS n_tgt, CAST(sum(greatest(s - t, 0)) AS BIGINT) AS only_src,
+       CAST(sum(greatest(t - s, 0)) AS BIGINT) AS only_tgt, min(CASE WHEN s <> t THEN line_no END) AS first_bad
+FROM (SELECT split, line_no, count(src) AS s, count(tgt) AS t FROM (
+        SELECT split, line_no, 1 AS src, NULL AS tgt FROM ({o.SRC_SIDE}) UNION ALL SELECT split, line_no, NULL, 1 FROM ({o.TGT_SIDE}))
+      GROUP BY ALL) GROUP BY split""")
+def q_alignment_report(spark, sf_dir):
+    """CHK-1: per split, lines of either side and those without a partner (user turns without an answer)."""
+    return prep.alignment_report(*fx.sides(spark, sf_dir))
+
+
+@register("pair_aligned", f"""
+SELECT u.split, u.line_no, md5(u.src) AS src_md5, md5(a.tgt) AS tgt_md5,
+       (SELECT count(*) FROM ({o.SRC_SIDE})) AS n_src, (SELECT count(*) FROM ({o.TGT_SIDE})) AS n_tgt
+FROM ({o.SRC_SIDE}) u JOIN ({o.TGT_SIDE}) a ON a.split = u.split AND a.line_no = u.line_no""")
+def q_pair_aligned(spark, sf_dir):
+    """JN-1 + CHK-1 in one pass: the pairs are written, and what ``observe`` counted in that pass stands beside them."""
+    seen = Observation()
+    pairs = prep.pair_aligned(*fx.sides(spark, sf_dir), observation=seen)
+    kept = materialize(pairs.select("split", "line_no", F.md5("src").alias("src_md5"), F.md5("tgt").alias("tgt_md5")), "aligned")
+    return kept.withColumns({c: F.lit(seen.get[c]).cast("long") for c in ("n_src", "n_tgt")})
+
+
+@register("width_report", f"""
+SELECT batch_id, count(*) AS n_rows, count(*) FILTER (WHERE len(scores) <> 32) AS n_wrong,
+       CAST(min(len(scores)) AS INTEGER) AS least_width, CAST(max(len(scores)) AS INTEGER) AS greatest_width FROM ({o.SCORES}) GROUP BY batch_id""")
+def q_width_report(spark, sf_dir):
+    """CHK-2: per batch, score rows that are not as wide as a vocabulary of 32."""
+    return ls.width_report(fx.scores(spark, sf_dir), 32)
+
+
+def _folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lexiflow-{name}-{uuid.uuid4().hex}"
+
+
+@register("line_files", f"SELECT row_number() OVER (ORDER BY line_no) - 1 AS line_no, src, tgt FROM ({o.PAIRS})")
+def q_line_files(spark, sf_dir):
+    """SRC-1: pairs written as two line files (line ends escaped) and read back by position."""
+    p, folder = fx.pairs(spark, sf_dir), _folder(spark, "lines")
+    for side in ("src", "tgt"):
+        write_lines(p, side, ["line_no"], f"{folder}/all.{side}")
+    return read_parallel(spark, f"{folder}/all", "src", "tgt", "all", escaped=True).select("line_no", "src", "tgt")
+
+
+@register("kept_records", f"SELECT split, row_id, md5(document) AS document_md5, md5(summary) AS summary_md5 FROM ({o.RECORDS})")
+def q_kept_records(spark, sf_dir):
+    """SRC-2: records written by split and read back with their schema."""
+    folder = _folder(spark, "records")
+    write_encoded(fx.records(spark, sf_dir), folder)
+    return read_records(spark, folder).select("split", "row_id", F.md5("document").alias("document_md5"), F.md5("summary").alias("summary_md5"))
+
+
+@register("test_split", f"SELECT row_id, CAST(length(document) AS BIGINT) AS n_chars FROM ({o.RECORDS}) WHERE split = 'test'")
+def q_test_split(spark, sf_dir):
+    """SRC-3: one split of the written records; only its files are read."""
+    folder = _folder(spark, "records")
+    write_encoded(fx.records(spark, sf_dir), folder)
+    return read_split(read_records(spark, folder), "test").select("row_id", F.length("document").cast("long").alias("n_chars"))
+
+
+@register("kept_encoded", f"SELECT row_id, split, {o.ids_str('input_ids')} AS input_ids, TRUE AS reused FROM ({ENC_RECORDS_T})")
+def q_kept_encoded(spark, sf_dir):
+    """SNK-1: the encoded set is kept under the fingerprint of its inputs; asked for again, it is read and not converted."""
+    vocab, folder = fx.vocab(spark, sf_dir), _folder(spark, "kept")
+
+    def ask():
+        return keep_encoded(spark, folder, lambda: encoded_records(spark, sf_dir, vocab=vocab), [f"{sf_dir}/documents.parquet"], [vocab], {"max_in": SUM_MAX_IN, "max_out": SUM_MAX_OUT})
+
+    ask()
+    kept, found = ask()
+    return kept.select("row_id", "split", ids_str("input_ids").alias("input_ids"), F.lit(found).alias("reused"))
+
+
+@register("encode_pieces", f"""
+SELECT p.split, p.line_no, {o.ids_str(f"list_concat(s.ids, [{fx.EOS_ID}, 250004]::INTEGER[])")} AS src_ids,
+       {o.ids_str(f"list_concat([250005]::INTEGER[], t.ids, [{fx.EOS_ID}]::INTEGER[])")} AS tgt_ids
+FROM ({o.PAIRS}) p JOIN {o.piece_lists(o.PAIRS, 'line_no', 'src')} s ON s.line_no = p.line_no
+  JOIN {o.piece_lists(o.PAIRS, 'line_no', 'tgt')} t ON t.line_no = p.line_no""")
+def q_encode_pieces(spark, sf_dir):
+    """PRJ-2 with subword pieces: best paths over a scored piece table, the source with its language code behind
+    the end id, the target with its code in front."""
+    e = subword.encode_pieces(fx.pairs(spark, sf_dir), {"src": "src_ids", "tgt": "tgt_ids"}, fx.pieces(spark, sf_dir), PIECE_SIDES)
+    return e.select("split", "line_no", ids_str("src_ids").alias("src_ids"), ids_str("tgt_ids").alias("tgt_ids"))
+
+
+@register("decode_pieces", f"""
+SELECT s.line_no, trim(replace(coalesce(string_agg(pc.piece, '' ORDER BY s.at), ''), {o.q(SPACE)}, ' '), {o.WS}) AS text
+FROM (SELECT line_no, unnest(CASE WHEN len(ids) = 0 THEN [NULL] ELSE ids END) AS id, unnest(generate_series(1, greatest(len(ids), 1))) AS at
+      FROM {o.piece_lists(o.PAIRS, 'line_no', 'tgt')}) s
+LEFT JOIN ({o.PIECES}) pc ON pc.id = s.id GROUP BY s.line_no""")
+def q_decode_pieces(spark, sf_dir):
+    """PRJ-8 with subword pieces: encoded targets back to text, special, code and unknown ids skipped."""
+    pieces = fx.pieces(spark, sf_dir)
+    e = subword.encode_pieces(fx.pairs(spark, sf_dir), {"tgt": "tgt_ids"}, pieces, PIECE_SIDES)
+    return subword.decode_pieces(e, {"tgt_ids": "text"}, pieces, key_cols=["line_no"], specials=[*fx.SPECIAL_IDS, 250004, 250005])
 
 
 @register("encode_ids", f"""
@@ -277,6 +377,45 @@ def q_rank_shards(spark, sf_dir):
     return s.select("split", "line_no", "copy", "rank", "local_pos")
 
 
+_EPOCHS = (0, 1)
+
+
+def _draw_sql(turn: int, value: str) -> str:
+    return f"CAST('0x' || substr(md5('{fx.SEED}:' || epoch || ':{turn}:' || {value}), 1, 15) AS BIGINT)"
+
+
+def _network_sql(rel: str) -> str:
+    """One step of the keyed permutation on x, over (split, epoch, p, n, a, b, x)."""
+    x0 = f"SELECT split, epoch, p, n, a, b, x // b AS l, x % b AS r FROM ({rel})"
+    x1 = f"SELECT * REPLACE ((r + {_draw_sql(0, 'l')} % b) % b AS r) FROM ({x0})"
+    x2 = f"SELECT * REPLACE ((l + {_draw_sql(1, 'r')} % a) % a AS l) FROM ({x1})"
+    x3 = f"SELECT * REPLACE ((r + {_draw_sql(2, 'l')} % b) % b AS r) FROM ({x2})"
+    x4 = f"SELECT * REPLACE ((l + {_draw_sql(3, 'r')} % a) % a AS l) FROM ({x3})"
+    return f"SELECT split, epoch, p, n, a, b, l * b + r AS x FROM ({x4})"
+
+
+_ROW_NO = f"SELECT split, line_no, row_number() OVER (PARTITION BY split ORDER BY line_no) - 1 AS row_no FROM ({o.PAIRS})"
+
+
+@register("epoch_shards", f"""
+WITH RECURSIVE rn AS ({_ROW_NO}), sz AS (SELECT split, count(*) AS n FROM rn GROUP BY split),
+ab AS (SELECT split, n, CAST(ceil(sqrt(n::DOUBLE)) AS BIGINT) AS a FROM sz),
+ps AS (SELECT rn.split, epoch, rn.row_no AS p, n, a, (n + a - 1) // a AS b, rn.row_no AS x
+       FROM rn JOIN ab ON ab.split = rn.split, (SELECT unnest({list(_EPOCHS)}) AS epoch)),
+walk AS ({_network_sql('SELECT * FROM ps')} UNION ALL {_network_sql('SELECT * FROM walk WHERE x >= n')}),
+ord AS (SELECT split, epoch, n, p AS pos, CASE WHEN split = 'train' THEN x ELSE p END AS row_no FROM walk WHERE x < n),
+cp AS (SELECT *, unnest(generate_series(0, (CAST(ceil(n / {WORLD}.0) AS BIGINT) * {WORLD} - 1 - pos) // n)) AS copy FROM ord)
+SELECT CAST(epoch AS INTEGER) AS epoch, cp.split, rn.line_no, copy, CAST((pos + copy * n) % {WORLD} AS INTEGER) AS rank, (pos + copy * n) // {WORLD} AS local_pos
+FROM cp JOIN rn ON rn.split = cp.split AND rn.row_no = cp.row_no""")
+def q_epoch_shards(spark, sf_dir):
+    """WIN-3/4 + SET-2 without a sort per epoch: keyed permutations of numbered rows, two epochs over 4 ranks (train shuffled)."""
+    rows = materialize(pm.number_rows(fx.pairs(spark, sf_dir).select("split", "line_no"), ["line_no"]), "numbered")
+    sizes = rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    every = rows.withColumn("epoch", F.explode(F.array(*map(F.lit, _EPOCHS))))
+    s = pm.epoch_shards(every, F.col("epoch"), WORLD, sizes=sizes, shuffled=F.col("split") == "train")
+    return s.select("epoch", "split", "line_no", "copy", "rank", "local_pos")
+
+
 @register("padded_batches", f"""
 SELECT split, row_id, batch_id, {o.ids_str('input_ids')} AS input_ids, {o.ids_str('output_ids')} AS output_ids,
        {o.ids_str('input_mask')} AS input_mask FROM ({PADDED})""")
@@ -467,18 +606,25 @@ def q_rouge_l_docs(spark, sf_dir):
     return r.select("pair_id", r6("rougeL").alias("rougeL"))
 
 
-@register("rouge_lsum")
+_LSUM = o.lsum_sql(o.PAIRS, "line_no", "src", "tgt")
+
+
+@register("rouge_lsum", f"SELECT line_no, round(rougeLsum, 6) AS rougeLsum FROM {_LSUM}")
 def q_rouge_lsum(spark, sf_dir):
     """AGG-11: summary-level ROUGE-L (newline sentences, union LCS) per pair; pytest-checked."""
     r = ov.rouge_lsum(fx.pairs(spark, sf_dir), pred="src", ref="tgt", id_cols=["line_no"])
     return r.select("line_no", r6("rougeLsum").alias("rougeLsum"))
 
 
-@register("rouge_epoch")
+@register("rouge_epoch", f"""
+WITH b AS (SELECT line_no, (row_number() OVER (ORDER BY line_no) - 1) // {SUM_BATCH} AS batch_id FROM ({o.PAIRS})),
+s AS (SELECT b.batch_id, r.rouge1, r.rouge2, {o.f_measure('l.lcs', 'l.na', 'l.nb')} AS rougeL, u.rougeLsum
+      FROM b JOIN {o.rouge_n_sql(o.PAIRS, "line_no", "src", "tgt")} r ON r.line_no = b.line_no JOIN {_LCS_PAIRS} l ON l.line_no = b.line_no JOIN {_LSUM} u ON u.line_no = b.line_no)
+SELECT round(avg(rouge1), 6) AS rouge1, round(avg(rouge2), 6) AS rouge2, round(avg(rougeL), 6) AS rougeL, round(avg(rougeLsum), 6) AS rougeLsum
+FROM (SELECT batch_id, avg(rouge1) AS rouge1, avg(rouge2) AS rouge2, avg(rougeL) AS rougeL, avg(rougeLsum) AS rougeLsum FROM s GROUP BY batch_id)""")
 def q_rouge_epoch(spark, sf_dir):
     """AGG-12: batch means (4 pairs per batch, line order) of the four ROUGE scores, then their mean
-    (per-pair scores and the mean of batch means are pytest-checked; the Lsum-free
-    epoch means have a SQL twin in ``average_rouge``)."""
+    (``average_rouge`` has the Lsum-free means)."""
     p = pair_rank_order(spark, sf_dir)
     per = ov.rouge_all(p, pred="src", ref="tgt", id_cols=["line_no"], carry=["batch_id"])
     e = ov.rouge_epoch(per)
@@ -561,6 +707,29 @@ def q_compare_runs(spark, sf_dir):
     return w.select("run", *METRICS, "view_minutes", "click_millions", "purchase_pct")  # exact IEEE products, no rounding
 
 
+_EXAMPLES = f"SELECT *, row_number() OVER (PARTITION BY run ORDER BY value DESC, epoch, props) AS rk FROM ({o.RUN_METRICS}) WHERE metric = 'purchase' AND value IS NOT NULL AND NOT isnan(value)"
+
+
+@register("compare_examples", f"""
+SELECT c.run, c.purchase, c.error, e.epoch AS best_epoch, e.props, c.n_rows
+FROM (SELECT run, max(value) FILTER (WHERE metric = 'purchase') AS purchase, max(value) FILTER (WHERE metric = 'error') AS error, count(*) AS n_rows
+      FROM ({o.RUN_METRICS}) GROUP BY run) c LEFT JOIN (SELECT * FROM ({_EXAMPLES}) WHERE rk = 1) e ON e.run = c.run""")
+def q_compare_examples(spark, sf_dir):
+    """AGG-15 with the best checkpoint's epoch and example text, and totals of the run, in one grouping."""
+    return rn.compare_runs(fx.run_metrics(spark, sf_dir, examples=True), ["purchase", "error"], best="purchase", examples=["props"], totals={"n_rows": F.count(F.lit(1))})
+
+
+@register("metric_log", f"SELECT run AS user_id, epoch, metric, value, CAST(0 AS INTEGER) AS version, CAST(epoch % 2 AS BIGINT) AS batch FROM ({o.RUN_METRICS})")
+def q_metric_log(spark, sf_dir):
+    """SNK-2: the metric log appended in two batches under a claimed version, one of them twice (a retry), and read back."""
+    rows, folder = fx.run_metrics(spark, sf_dir).withColumnRenamed("run", "user_id"), _folder(spark, "log")
+    version = rn.claim_version(spark, folder, "events")
+    for batch in (0, 1, 1):
+        rn.append_batch(rows.where(F.col("epoch") % 2 == batch), folder, "events", version, batch)
+    log = rn.read_log(spark, folder, "user_id long, epoch int, metric string, value double")
+    return log.select("user_id", "epoch", "metric", "value", "version", "batch")
+
+
 @register("metric_long", f"""
 SELECT run, metric, value FROM (
   SELECT run, unnest(['click', 'error', 'purchase', 'signup', 'view']) AS metric,
@@ -612,16 +781,6 @@ def q_evaluate_translation(spark, sf_dir):
                                      max_src=TR_MAX_SRC, max_tgt=TR_MAX_TGT, epsilon=SMOOTHING)
 
 
-@register("evaluate_summaries")
-def q_evaluate_summaries(spark, sf_dir):
-    """JOB-2: summarisation evaluation — truncated documents, stub generation, four ROUGE
-    scores per pair against the decoded summaries, batch means, average ROUGE, loss
-    (``evaluate_summaries_core`` repeats it without Lsum with a SQL twin)."""
-    v = fx.vocab(spark, sf_dir)
-    return jobs.evaluate_summaries(fx.records(spark, sf_dir), v, jobs.stub_factory(v), fx.scores(spark, sf_dir),
-                                   max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH)
-
-
 _SUM_BASE = f"SELECT row_id, split, pos // {SUM_BATCH} AS batch_id, input_ids, output_ids FROM ({SHUFFLED})"
 _SUM_TEXT = f"""SELECT p.row_id, p.split, p.batch_id, p.text AS pred, r.text AS ref
 FROM {_stub_text_sql(_SUM_BASE, 'row_id', 'input_ids', SUM_MAX_OUT, ('split', 'batch_id'))} p
@@ -641,6 +800,20 @@ SELECT split, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, round(roug
        round((rouge1 + rouge2 + rougeL) / 3.0, 6) AS average_rouge, round(vloss, 6) AS vloss FROM e, v"""
 
 
+# a decoded text is one sentence, and the union of one common subsequence is itself: Lsum equals L
+_EVAL_SUM = f"SELECT split, rouge1, rouge2, rougeL, rougeL AS rougeLsum, average_rouge, vloss FROM ({_EVAL_SUM_CORE})"
+
+
+@register("evaluate_summaries", _EVAL_SUM)
+def q_evaluate_summaries(spark, sf_dir):
+    """JOB-2: summarisation evaluation — truncated documents, stub generation, four ROUGE
+    scores per pair against the decoded summaries, batch means, average ROUGE, loss.
+    (Decoded texts have no line ends, so their summary-level score is that of one sentence.)"""
+    v = fx.vocab(spark, sf_dir)
+    return jobs.evaluate_summaries(fx.records(spark, sf_dir), v, jobs.stub_factory(v), fx.scores(spark, sf_dir),
+                                   max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT, batch_size=SUM_BATCH)
+
+
 @register("evaluate_summaries_core", _EVAL_SUM_CORE)
 def q_evaluate_summaries_core(spark, sf_dir):
     """JOB-2 without ROUGE-Lsum, so SQL can repeat every step: truncated documents,
@@ -672,3 +845,25 @@ def q_prepare_corpus(spark, sf_dir):
                               batch_size=TR_BATCH, shuffle_splits=["train"])
     return out.select("split", "batch_id", "line_no", *[ids_str(c).alias(c) for c in ("src_ids", "src_mask", "tgt_ids", "tgt_mask")])
 
+
+
+_P_EOS, _P_PAD = 1, 0  # a family without begin id: end id 1, pad id 0
+_ENC_P = o.encode_sql(o.RECORDS, "row_id", ["split"], {"document": "input_ids", "summary": "output_ids"}, prefix=(), suffix=(_P_EOS,))
+_PREP_SUM = f"""
+WITH e AS (SELECT row_id, split, {o.truncate_sql('input_ids', SUM_MAX_IN, 0, 1)} AS input_ids,
+                  list_concat([{_P_PAD}]::INTEGER[], {o.truncate_sql('output_ids', SUM_MAX_OUT, 0, 1)}) AS output_ids FROM {_ENC_P}),
+s AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('{fx.SEED}:' || CAST(row_id AS VARCHAR)), row_id) - 1 AS pos FROM e),
+b AS (SELECT *, pos // {SUM_BATCH} AS batch_id FROM s)
+SELECT split, row_id, batch_id, CAST({_P_PAD} AS INTEGER) AS pad_id,
+  {o.ids_str(f"list_resize(input_ids, max(len(input_ids)) OVER (PARTITION BY split, batch_id), {_P_PAD})")} AS input_ids,
+  {o.ids_str(f"list_resize(output_ids, max(len(output_ids)) OVER (PARTITION BY split, batch_id), {_P_PAD})")} AS output_ids
+FROM b"""
+
+
+@register("prepare_summaries", _PREP_SUM)
+def q_prepare_summaries(spark, sf_dir):
+    """JOB-3, summarisation, for a tokenizer family without begin id: truncate -> start pad -> shuffle ->
+    batches of 4 -> padded with the pad id told from the ids."""
+    out = jobs.prepare_summaries(fx.records(spark, sf_dir), fx.vocab(spark, sf_dir), max_in=SUM_MAX_IN, max_out=SUM_MAX_OUT,
+                                 batch_size=SUM_BATCH, bos_id=None, eos_id=_P_EOS)
+    return out.select("split", "row_id", "batch_id", "pad_id", *[ids_str(c).alias(c) for c in ("input_ids", "output_ids")])

@@ -9,19 +9,21 @@ passes as lazy DataFrame plans.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiflow.operators import batching as bt
 from lexiflow.operators import infer
 from lexiflow.operators import losses as ls
 from lexiflow.operators import overlap as ov
-from lexiflow.operators import prep
+from lexiflow.operators import prep, subword
 from lexiflow.sources import fixtures as fx
 from lexiflow.session import materialize
 from lexiflow.sources.tables import write_encoded
+from lexiflow.sources.text_files import read_parallel
 
 
 def stub_factory(vocab: DataFrame) -> Callable[[], infer.Model]:
@@ -121,6 +123,55 @@ def evaluate_summaries(
     return epoch.select("split", *[F.round(c, 6).alias(c) for c in cols], F.round(means.select("loss").scalar(), 6).alias("vloss"))
 
 
+def prepare_translation(
+    spark: SparkSession,
+    prefixes: Mapping[str, str],
+    src: str,
+    tgt: str,
+    vocab: DataFrame,
+    escaped: bool = False,
+    **options,
+) -> DataFrame:
+    """JOB-3 from the files on: ``prefixes`` {split: path prefix} names the line files of each split
+    (``<prefix>.<src>`` and ``<prefix>.<tgt>``), whose lines must match (CHK-1, before any filter);
+    then ``prepare_corpus`` with ``options``."""
+    pairs = reduce(DataFrame.unionByName, [read_parallel(spark, p, src, tgt, split, escaped=escaped) for split, p in prefixes.items()])
+    return prepare_corpus(pairs, vocab, key_cols=["split", "line_no"], **options)
+
+
+def prepare_summaries(
+    records: DataFrame,
+    vocab: DataFrame,
+    max_in: int = 512,
+    max_out: int = 256,
+    batch_size: int = 4,
+    bos_id: int | None = fx.BOS_ID,
+    eos_id: int = fx.EOS_ID,
+    shuffle_splits: Sequence[str] | None = None,
+    world: int | None = None,
+    seed: int = fx.SEED,
+    out_path: str | None = None,
+) -> DataFrame:
+    """JOB-3, summarisation: records (split, row_id, document, summary) -> encode both sides truncated to
+    their limits (PRJ-3) -> a start pad in front of the target where the tokenizer has no begin id
+    (PRJ-4, after truncation) -> shuffle (every split by default) -> (shards) -> batches -> ids padded
+    with the pad id of the tokenizer's family, told from each batch's last input id (CHK-3)."""
+    e = prep.encode(records, {"document": "input_ids", "summary": "output_ids"}, vocab, key_cols=["row_id"], carry=["split"],
+                    prefix_ids=() if bos_id is None else (bos_id,), suffix_ids=(eos_id,), max_lens={"input_ids": max_in, "output_ids": max_out})
+    if bos_id is None:
+        e = e.withColumn("output_ids", F.concat(F.array(bt.pad_of_last(F.element_at("output_ids", -1))), "output_ids"))
+    e = materialize(e, "encoded")  # SNK-1: encode once; the position passes read the files
+    e = bt.shuffle_rows(e, key="row_id", seed=seed, group_cols=["split"], splits=list(shuffle_splits) if shuffle_splits is not None else None)
+    batch_cols, pos = ["split", "batch_id"], "pos"
+    if world:
+        e, batch_cols, pos = bt.shard_rows(e, world), ["split", "rank", "batch_id"], "local_pos"
+    e = bt.with_pad_id(bt.assign_batches(e, batch_size, pos_col=pos), "input_ids", batch_cols, pos)
+    e = bt.pad_batch(e, {"input_ids": F.col("pad_id"), "output_ids": F.col("pad_id")}, batch_cols=batch_cols)
+    if out_path is not None:
+        write_encoded(e, out_path)
+    return e
+
+
 def prepare_corpus(
     pairs: DataFrame,
     vocab: DataFrame,
@@ -132,12 +183,20 @@ def prepare_corpus(
     pad_id: int = fx.PAD_ID,
     seed: int = fx.SEED,
     out_path: str | None = None,
+    key_cols: Sequence[str] = ("line_no",),
+    specials: Mapping[str, tuple[Sequence[int], Sequence[int]]] | None = None,
+    pieces: DataFrame | None = None,
 ) -> DataFrame:
     """JOB-3: pairs (split, line_no, src, tgt) -> strip -> encode -> length filter ->
     shuffle -> (shard over ``world`` ranks) -> batches -> ids padded with the pad
-    id, masks with 0.  With ``out_path`` the result is also written (SNK-1)."""
-    limits = {"src_ids": max_src, "tgt_ids": max_tgt}
-    e = prep.encode(pairs, {"src": "src_ids", "tgt": "tgt_ids"}, vocab, key_cols=["line_no"], carry=["split"], strip=True, drop_over=limits)
+    id, masks with 0.  With ``out_path`` the result is also written (SNK-1).  ``specials``
+    gives each side special ids of its own (``subword.side_ids``); with ``pieces`` the
+    encoding is that of a piece table in place of ``vocab``."""
+    limits, cols = {"src_ids": max_src, "tgt_ids": max_tgt}, {"src": "src_ids", "tgt": "tgt_ids"}
+    if pieces is not None:
+        e = subword.encode_pieces(pairs, cols, pieces, specials, drop_over=limits).select("line_no", "split", "src_ids", "tgt_ids")
+    else:
+        e = prep.encode(pairs, cols, vocab, key_cols=key_cols, carry=[c for c in ("line_no", "split") if c not in key_cols], strip=True, drop_over=limits, specials=specials)
     e = prep.filter_by_length(e, limits)
     e = materialize(e, "encoded")  # SNK-1: encode once; the position passes read the files
     e = bt.shuffle_rows(e, key="line_no", seed=seed, group_cols=["split"], splits=list(shuffle_splits) if shuffle_splits is not None else None)

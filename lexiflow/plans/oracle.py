@@ -8,6 +8,7 @@ only the back-reference syntax of replacements differs (``$1`` vs ``\\1``).
 
 from __future__ import annotations
 
+from lexiflow.functions.lattice import SPACE, UNKNOWN_PENALTY
 from lexiflow.functions.text import BLEU_13A_REPLACE, BLEU_13A_RULES, PY_WHITESPACE, ROUGE_TOKEN, WS_RUN
 from lexiflow.sources import fixtures as fx
 
@@ -64,11 +65,23 @@ SELECT {split_of('d.doc_id')} AS split, d.doc_id AS row_id, d.text AS document,
 FROM documents d LEFT JOIN documents n ON n.doc_id = d.doc_id + 1"""
 
 PAIRS = f"""
-SELECT {split_of('u.conv_id')} AS split, u.conv_id * 100 + u.turn AS line_no, u.text AS src, a.text AS tgt
+SELECT {split_of('u.conv_id')} AS split, u.conv_id * {fx.TURNS} + u.turn AS line_no, u.text AS src, a.text AS tgt
 FROM conversations u JOIN conversations a
   ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
 WHERE u.role = 'user' AND a.role = 'assistant'"""
 
+SRC_SIDE = f"SELECT {split_of('conv_id')} AS split, conv_id * {fx.TURNS} + turn AS line_no, text AS src FROM conversations WHERE role = 'user'"
+TGT_SIDE = f"SELECT {split_of('conv_id')} AS split, conv_id * {fx.TURNS} + turn - 1 AS line_no, text AS tgt FROM conversations WHERE role = 'assistant' AND turn > 0"
+
+PIECES = f"""
+SELECT piece, CAST(row_number() OVER (ORDER BY n DESC, piece ASC) + {fx.FIRST_TOKEN_ID - 1} AS INTEGER) AS id,
+       floor(ln(n / (sum(n) OVER ())) * 1000) AS score
+FROM (SELECT w[i:i + k - 1] AS piece, count(*) AS n
+      FROM (SELECT w, i, unnest(generate_series(1, least(4, length(w) - i + 1))) AS k
+            FROM (SELECT w, unnest(generate_series(1, length(w))) AS i
+                  FROM (SELECT {q(SPACE)} || unnest({split_ws('text')}) AS w FROM benchmark)))
+      GROUP BY ALL)"""
+
 DOC_PAIRS = f"""
 SELECT {split_of('a.doc_id')} AS split, a.doc_id AS pair_id, a.text AS pred, b.text AS ref
 FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1"""
@@ -88,7 +101,7 @@ FROM embeddings"""
 RUN_METRICS = """
 SELECT user_id AS run,
        CAST(row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) - 1 AS INTEGER) AS epoch,
-       event_type AS metric, value
+       event_type AS metric, value, props
 FROM events"""
 
 
@@ -165,6 +178,33 @@ lists AS (SELECT {key}, side, list(id ORDER BY pos) AS body FROM ids GROUP BY {k
 SELECT src.{key}, {carry_sel}{outs} FROM src {joins})"""
 
 
+def piece_lists(rel: str, key: str, col: str) -> str:
+    """Relation (key, ids): best paths of the words of ``col`` over PIECES, word by word.
+
+    The recursion walks a word's end positions; ``best`` lists (sum, ids, unknown last) of all ends so far,
+    and edges are tried from the longest piece on, so that a later one must be better to win."""
+    return f"""(WITH RECURSIVE src AS ({rel}), pc AS ({PIECES}),
+toks AS (SELECT {key}, unnest(t) AS tok, unnest(generate_series(1, len(t))) AS pos FROM (SELECT {key}, {split_ws(col)} AS t FROM src)),
+w AS (SELECT DISTINCT tok, {q(SPACE)} || tok AS w FROM toks),
+ends AS (SELECT tok, w, unnest(generate_series(1, length(w))) AS e FROM w),
+spans AS (SELECT tok, e, unnest(generate_series(greatest(0, e - 4), e - 1)) AS s, w FROM ends),
+edges AS (SELECT tok, e, s, coalesce(pc.id, {fx.UNK_ID}) AS id, coalesce(pc.score, (SELECT min(score) FROM pc) - {UNKNOWN_PENALTY}) AS score
+  FROM spans LEFT JOIN pc ON pc.piece = w[s + 1:e] WHERE pc.id IS NOT NULL OR s = e - 1),
+lat AS (SELECT tok, e, list(struct_pack(s := s, id := id, score := score) ORDER BY s) AS el FROM edges GROUP BY tok, e),
+walk(tok, e, best) AS (
+  SELECT tok, 0::BIGINT, [struct_pack(total := 0.0::DOUBLE, ids := []::INTEGER[])] FROM w
+  UNION ALL
+  SELECT walk.tok, walk.e + 1, list_append(best, list_reduce(
+      list_transform(el, lambda x: struct_pack(total := best[x.s + 1].total + x.score,
+        ids := CASE WHEN x.id = {fx.UNK_ID} AND list_last(best[x.s + 1].ids) = {fx.UNK_ID} THEN best[x.s + 1].ids
+                    ELSE list_append(best[x.s + 1].ids, x.id) END)),
+      lambda a, b: CASE WHEN b.total > a.total THEN b ELSE a END))
+  FROM walk JOIN lat ON lat.tok = walk.tok AND lat.e = walk.e + 1),
+done AS (SELECT tok, arg_max(best, e)[-1].ids AS ids FROM walk GROUP BY tok),
+g AS (SELECT toks.{key}, flatten(list(done.ids ORDER BY pos)) AS ids FROM toks JOIN done ON done.tok = toks.tok GROUP BY toks.{key})
+SELECT src.{key}, coalesce(g.ids, []::INTEGER[]) AS ids FROM src LEFT JOIN g ON g.{key} = src.{key})"""
+
+
 def truncate_sql(x: str, max_len: int, n_prefix: int = 1, n_suffix: int = 1) -> str:
     keep = max(max_len - n_prefix - n_suffix, 0)
     head = f"{x}[1:{n_prefix}]" if n_prefix else "[]::INTEGER[]"
@@ -205,6 +245,32 @@ SELECT p.{key}, len(p.a) AS na, len(p.b) AS nb, d.v AS lcs
 FROM p JOIN dp d ON d.{key} = p.{key} AND d.i = len(p.a) AND d.j = len(p.b))"""
 
 
+def lsum_sql(rel: str, key: str, pred: str, ref: str) -> str:
+    """Relation (key, rougeLsum): summary-level ROUGE-L.  For every reference and prediction sentence a recursion
+    over the reference words keeps, for each prefix of the prediction, the hits that a walk back from there
+    would find (so their number is the LCS length); the united hits of a reference sentence are clipped per
+    token by the prediction's counts."""
+    def sents(x: str) -> str:
+        return f"list_transform(list_filter(string_split({x}, chr(10)), lambda s: s <> ''), lambda s: {rouge_tok('s')})"
+    return f"""(WITH RECURSIVE p AS (SELECT {key}, {sents(ref)} AS rs, {sents(pred)} AS cs FROM ({rel})),
+r AS (SELECT {key}, unnest(rs) AS r, unnest(generate_series(1, len(rs))) AS ri FROM p),
+c AS (SELECT {key}, unnest(cs) AS c, unnest(generate_series(1, len(cs))) AS ci FROM p),
+sp AS (SELECT row_number() OVER () AS id, r.{key}, ri, r, c FROM r JOIN c ON c.{key} = r.{key} WHERE list_has_any(r, c)),
+dp(id, i, r, c, held) AS (
+  SELECT id, 0::BIGINT, r, c, list_transform(generate_series(0, len(c)), lambda x: []::BIGINT[]) FROM sp
+  UNION ALL
+  SELECT id, i + 1, r, c, list_reduce(list_concat([[[]::BIGINT[]]], list_transform(generate_series(1, len(c)), lambda j: [[j]])),
+    lambda done, x: list_append(done, CASE WHEN r[i + 1] = c[x[1][1]] THEN list_append(held[x[1][1]], i + 1)
+      WHEN len(done[-1]) > len(held[x[1][1] + 1]) THEN done[-1] ELSE held[x[1][1] + 1] END))
+  FROM dp WHERE i < len(r)),
+ends AS (SELECT id, held[-1] AS hits FROM dp WHERE i = len(r)),
+un AS (SELECT {key}, ri, any_value(r) AS r, list_distinct(flatten(list(hits))) AS hits FROM ends JOIN sp ON sp.id = ends.id GROUP BY {key}, ri),
+ut AS (SELECT {key}, tok, count(*) AS n FROM (SELECT {key}, unnest(list_transform(hits, lambda k: r[k])) AS tok FROM un) GROUP BY {key}, tok),
+ct AS (SELECT {key}, tok, count(*) AS n FROM (SELECT {key}, unnest(c) AS tok FROM c) GROUP BY {key}, tok),
+h AS (SELECT ut.{key}, sum(least(ut.n, ct.n)) AS hits FROM ut JOIN ct ON ct.{key} = ut.{key} AND ct.tok = ut.tok GROUP BY ut.{key})
+SELECT p.{key}, {f_measure('coalesce(h.hits, 0)', 'len(flatten(rs))', 'len(flatten(cs))')} AS rougeLsum FROM p LEFT JOIN h ON h.{key} = p.{key})"""
+
+
 def f_measure(m: str, p: str, r: str) -> str:
     return f"CASE WHEN {m} > 0 THEN 2.0 * {m} / ({p} + {r}) ELSE 0.0 END"
 

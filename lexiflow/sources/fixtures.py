@@ -16,9 +16,10 @@ oracle live in ``lexiflow.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexiflow.functions.lattice import SPACE
 from lexiflow.functions.text import split_ws
 from lexiflow.operators.ordering import row_index, sorted_index
 from lexiflow.sources.tables import table
@@ -30,6 +31,7 @@ FIRST_TOKEN_ID = 4
 SCORE_BATCH = 8
 SCORE_RANKS = 4
 SEED = 1234
+TURNS = 1 << 20  # line keys leave room for so many turns of a conversation; more are an error
 
 
 def split_of(id_col) -> F.Column:
@@ -50,6 +52,14 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_key(conv_id: str, turn: Column | str) -> Column:
+    """The number of a conversation's turn among all lines: unique, in (conversation, turn) order."""
+    turn = F.col(turn) if isinstance(turn, str) else turn
+    fits = (turn >= 0) & (turn < TURNS)
+    told = F.raise_error(F.concat(F.lit("no line key for turn "), turn.cast("string")))
+    return F.col(conv_id) * F.lit(TURNS).cast("long") + F.when(fits, turn.cast("long")).otherwise(told)
+
+
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turn t joined to the assistant turn t+1 of the same conversation.
 
@@ -64,12 +74,36 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = user.join(bot, on=["conv_id", "turn"], how="inner")
     return joined.select(
         split_of("conv_id").alias("split"),
-        (F.col("conv_id") * 100 + F.col("turn")).alias("line_no"),
+        line_key("conv_id", "turn").alias("line_no"),
         "src",
         "tgt",
     )
 
 
+def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two line tables that ``pairs`` pairs: every user turn (split, line_no, src), and every assistant
+    turn (split, line_no, tgt) under the number of the turn before it.  Turns without a partner are in them."""
+    conv = table(spark, sf_dir, "conversations")
+    user, bot = conv.where(F.col("role") == "user"), conv.where((F.col("role") == "assistant") & (F.col("turn") > 0))
+    src = user.select(split_of("conv_id").alias("split"), line_key("conv_id", "turn").alias("line_no"), F.col("text").alias("src"))
+    tgt = bot.select(split_of("conv_id").alias("split"), line_key("conv_id", F.col("turn") - 1).alias("line_no"), F.col("text").alias("tgt"))
+    return src, tgt
+
+
+def pieces(spark: SparkSession, sf_dir: str, longest: int = 4) -> DataFrame:
+    """Stand-in piece table (piece, id, score): every substring of up to ``longest`` characters of the benchmark's
+    words (behind the space mark) that doesn't span it, most frequent first; the score is a whole number of
+    thousandths of the log share.  Real tables are a tokenizer's published vocabulary."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(split_ws("text")).alias("w")).select(F.concat(F.lit(SPACE), "w").alias("w"))
+    starts = words.select("w", F.explode(F.sequence(F.lit(1), F.length("w"))).alias("i"))
+    parts = starts.select("w", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("w") - F.col("i") + 1))).alias("k"))
+    counts = parts.groupBy(F.substr("w", "i", "k").alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    ranked = sorted_index(counts.withColumn("total", total), [F.col("n").desc(), F.col("piece").asc()], name="pos")
+    score = F.floor(F.log(F.col("n") / F.col("total")) * 1000).cast("double")
+    return ranked.select("piece", (F.col("pos") + F.lit(FIRST_TOKEN_ID)).cast("int").alias("id"), score.alias("score"))
+
+
 def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole document i as the prediction for whole document i+1."""
     docs = table(spark, sf_dir, "documents")
@@ -103,11 +137,11 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """run = user_id, metric = event_type, epoch = 0-based order of event_id
+def run_metrics(spark: SparkSession, sf_dir: str, examples: bool = False) -> DataFrame:
+    """(run, epoch, metric, value), with ``examples`` also props: run = user_id, metric = event_type, epoch = 0-based order of event_id
     inside (run, metric) — positions from the skew-safe ``row_index``."""
     ev = table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("run"), F.col("event_type").alias("metric"), "event_id", "value"
+        F.col("user_id").alias("run"), F.col("event_type").alias("metric"), "event_id", "value", "props"
     )
     out = row_index(ev, ["event_id"], group_cols=["run", "metric"], name="epoch")
-    return out.select("run", F.col("epoch").cast("int").alias("epoch"), "metric", "value")
+    return out.select("run", F.col("epoch").cast("int").alias("epoch"), "metric", "value", *(["props"] if examples else []))

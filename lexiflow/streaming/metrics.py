@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiflow.operators.runs import append_batch
 from lexiflow.session import ensure_checkpoint_dir
 
 METRIC_SCHEMA = T.StructType(
@@ -50,6 +51,14 @@ def running_best(stream: DataFrame, metric: str, mode: str = "max", run_col: str
     return g.select(run_col, F.col("_b")[epoch_col].alias(epoch_col), F.col("_b")[value_col].alias(value_col))
 
 
+def start_versioned_log(stream: DataFrame, path: str, run: str, version: int, name: str = "versioned_log", trigger_once: bool = False):
+    """Streaming SNK-2 through ``runs.append_batch``: every micro-batch is a partition of its own id, so a
+    batch that Spark runs again after a failure replaces its rows instead of adding them twice."""
+    ckpt = os.path.join(ensure_checkpoint_dir(stream.sparkSession), name)
+    w = stream.writeStream.option("checkpointLocation", ckpt).foreachBatch(lambda df, i: append_batch(df, path, run, version, i))
+    return (w.trigger(availableNow=True) if trigger_once else w).start()
+
+
 def start_metric_log(stream: DataFrame, path: str, name: str = "metric_log", trigger_once: bool = False):
     """Streaming SNK-2: append incoming metric rows to ``path`` (partitioned by
     run), with the query checkpoint under the session's shared checkpoint dir."""
