@@ -9,7 +9,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+
+from lexiflow.session import path_exists
 
 RECORD_SCHEMA = T.StructType(
     [
@@ -88,11 +89,8 @@ def keep_encoded(
     said = {"files": files_fingerprint(spark, inputs), "tables": [rows_fingerprint(t) for t in tables], "options": {k: str(v) for k, v in (options or {}).items()}}
     key = hashlib.sha256(json.dumps(said, sort_keys=True).encode()).hexdigest()[:32]
     data, manifest = f"{path.rstrip('/')}/{key}/data", f"{path.rstrip('/')}/{key}/manifest"
-    try:
-        if not spark.read.schema("key string").parquet(manifest).where(F.col("key") == key).isEmpty():
-            return spark.read.parquet(data), True
-    except AnalysisException:  # no such path
-        pass
+    if path_exists(spark, manifest) and not spark.read.parquet(manifest).where(F.col("key") == key).isEmpty():
+        return spark.read.parquet(data), True
     write_encoded(make(), data, partition_col)
     spark.createDataFrame([(key, json.dumps(said, sort_keys=True))], "key string, made_of string").coalesce(1).write.mode("overwrite").parquet(manifest)
     return spark.read.parquet(data), False
