@@ -93,3 +93,22 @@ def test_running_best_min_mode(spark, tmp_path):
     finally:
         q.stop()
     assert got == [(1, 1.0)]  # tie keeps the earlier epoch; null never wins
+
+
+def test_stream_log_adds_a_retried_batch_once(spark, tmp_path):
+    log, source = str(tmp_path / "log"), str(tmp_path / "source")
+    rows = [(e, "bleu", float(e)) for e in range(6)]
+    spark.createDataFrame(rows[:4], "epoch int, metric string, value double").write.parquet(source)
+    stream = spark.readStream.schema("epoch int, metric string, value double").parquet(source)
+
+    def run(name):
+        q = sm.start_versioned_log(stream, log, "r", 0, name=name, trigger_once=True)
+        assert q.awaitTermination(60)
+
+    name = f"ckpt-{tmp_path.name}"
+    run(name)
+    spark.createDataFrame(rows[4:], "epoch int, metric string, value double").write.mode("append").parquet(source)
+    run(name)
+    assert sorted(r.epoch for r in runs.read_log(spark, log).collect()) == [0, 1, 2, 3, 4, 5]
+    run(name + "-lost")  # the progress was lost: batch 0 comes again, with all rows, and replaces the first one
+    assert [(r.batch, r["count"]) for r in runs.read_log(spark, log).groupBy("batch").count().orderBy("batch").collect()] == [(0, 6), (1, 2)]

@@ -1,9 +1,12 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
+from lexiflow.operators import overlap
 from lexiflow.plans import jobs
 from lexiflow.sources import fixtures as fx
+from tests import plain
 from tests.conftest import SF_SMALL
 
 
@@ -34,3 +37,47 @@ def test_prepare_corpus_sharded_and_written(spark, tmp_path):
     back = spark.read.parquet(out)
     assert back.count() == len(rows)
     assert back.where(F.col("split") == "train").count() == sum(1 for r in rows if r.split == "train")
+
+
+def test_translation_from_files_on(spark, tmp_path):
+    for split, n in (("train", 5), ("test", 2)):
+        for side, mark in (("en", "a"), ("es", "b")):
+            (tmp_path / f"{split}.{side}").write_text("".join(f" {mark} {'c ' * i}\n" for i in range(n)))
+    vocab = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6)], "token string, id int")
+    prefixes = {s: str(tmp_path / s) for s in ("train", "test")}
+    out = jobs.prepare_translation(spark, prefixes, "en", "es", vocab, max_src=6, max_tgt=6, batch_size=2, specials={"tgt_ids": ((), (2, 99))})
+    rows = {(r.split, r.line_no): r for r in out.collect()}
+    assert sorted(rows) == [("test", 0), ("test", 1), ("train", 0), ("train", 1), ("train", 2), ("train", 3)]  # both sides within 6 ids
+    for (split, line), r in rows.items():
+        n = line + 1
+        assert [i for i, m in zip(r.src_ids, r.src_mask) if m] == [0, 4, *[6] * line, 2]
+        assert [i for i, m in zip(r.tgt_ids, r.tgt_mask) if m] == [5, *[6] * line, 2, 99]
+        mates = [x for (s, _), x in rows.items() if s == split and x.batch_id == r.batch_id]
+        assert len(r.src_ids) == max(sum(x.src_mask) for x in mates) and set(r.src_ids[n + 2 :]) <= {1}
+    (tmp_path / "test.es").write_text("b\n")
+    with pytest.raises(Exception, match="not aligned"):
+        jobs.prepare_translation(spark, prefixes, "en", "es", vocab).collect()
+
+
+@pytest.mark.parametrize("bos,eos,pad", [(0, 2, 1), (None, 1, 0)])
+def test_summaries_of_two_families(spark, bos, eos, pad):
+    vocab = spark.createDataFrame([(f"w{i}", 10 + i) for i in range(9)], "token string, id int")
+    rows = [("train", i, " ".join(f"w{k}" for k in range(i)), "w1 w2 w3 w4 w5") for i in range(9)]
+    df = spark.createDataFrame(rows, "split string, row_id long, document string, summary string")
+    out = jobs.prepare_summaries(df, vocab, max_in=6, max_out=4, batch_size=4, bos_id=bos, eos_id=eos).collect()
+    first = [] if bos is None else [bos]
+    for r in out:
+        body = [10 + k for k in range(r.row_id)][: 6 - 1 - len(first)]
+        ids = [*first, *body, eos]
+        width = max(len([*first, *range(x.row_id)][: 6 - 1]) + 1 for x in out if x.batch_id == r.batch_id)
+        assert r.pad_id == pad and r.input_ids == ids + [pad] * (width - len(ids))
+        assert r.output_ids == ([pad] if bos is None else []) + [*first, *[11, 12, 13][: 3 - len(first)], eos]
+    assert sorted(len([x for x in out if x.batch_id == b]) for b in {x.batch_id for x in out}) == [1, 4, 4]
+
+
+def test_rouge_l_of_the_longest_documents(spark):
+    pairs = fx.doc_pairs(spark, SF_SMALL)
+    longest = pairs.orderBy(F.desc(F.length("pred") + F.length("ref"))).limit(6).collect()
+    got = {r.pair_id: r.rougeL for r in overlap.rouge_l(pairs, id_cols=["pair_id"]).collect()}
+    for r in longest:
+        assert got[r.pair_id] == pytest.approx(plain.rouge_l(r.ref, r.pred), abs=1e-9)

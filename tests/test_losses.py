@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 
 from lexiflow.operators import losses as ls
 
@@ -83,3 +84,12 @@ def test_rank_mean_with_an_empty_rank(spark):
     # world of 3 ranks, rank 2 produced no batch: the mean runs over the ranks that report
     per = spark.createDataFrame([(0, 0, 1.0), (1, 1, 3.0)], "batch_id long, rank int, loss double")
     assert ls.mean_of_batches(per, ["loss"], rank_col="rank").first().loss == pytest.approx(2.0)
+
+
+def test_width_report_and_observation(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (0, [1.0]), (1, [3.0, 4.0])], "batch_id int, scores array<double>")
+    got = {r.batch_id: tuple(r)[1:] for r in ls.width_report(df, 2).collect()}
+    assert got == {0: (2, 1, 1, 2), 1: (1, 0, 2, 2)}
+    seen = Observation()
+    assert ls.observe_width(df, 2, seen).count() == 3
+    assert seen.get == {"n_rows": 3, "n_wrong": 1}

@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +69,27 @@ def test_nan_never_wins(spark, mode, want, k):
     df = spark.createDataFrame(rows, "run long, epoch int, metric string, value double")
     best = {(r.run, r["rank"]): r.value for r in rn.best_checkpoint(df, "m", mode=mode, k=k).collect()}
     assert best[1, 1] == want and len(best) == k
+
+
+def test_compare_with_the_best_checkpoints_example(spark):
+    rows = [("a", 0, "bleu", 1.0, "one"), ("a", 1, "bleu", 3.0, "two"), ("a", 2, "bleu", 3.0, "three"), ("a", 2, "loss", 9.0, "no"),
+            ("a", 3, "bleu", float("nan"), "nan"), ("a", 4, "bleu", None, "null"), ("b", 0, "loss", 1.0, "x"), ("a", 1, "bleu", 3.0, "tie")]
+    df = spark.createDataFrame(rows, "run string, epoch int, metric string, value double, text string")
+    got = {r.run: (r.loss, r.best_epoch, r.text, r.n) for r in rn.compare_runs(df, ["loss"], best="bleu", examples=["text"], totals={"n": F.count("*")}).collect()}
+    assert got == {"a": (9.0, 1, "tie", 7), "b": (1.0, None, None, 1)}  # equal values: earliest epoch, then the smaller example
+    low = {r.run: (r.best_epoch, r.text) for r in rn.compare_runs(df, [], best="bleu", mode="min", examples=["text"]).collect()}
+    assert low == {"a": (0, "one"), "b": (None, None)}
+
+
+def test_versions_are_claimed_once_and_batches_replace_themselves(spark, tmp_path):
+    path = str(tmp_path / "log")
+    with ThreadPoolExecutor(8) as pool:
+        claimed = list(pool.map(lambda _: rn.claim_version(spark, path, "r/1"), range(16)))
+    assert sorted(claimed) == list(range(16))
+    assert rn.claim_version(spark, path, "other") == 0
+    rows = _log(spark, ROWS).drop("run")
+    for version, batch, n in ((0, 0, 3), (0, 1, 2), (0, 1, 2), (1, 0, 5), (0, 0, 3)):
+        rn.append_batch(rows.limit(n), path, "r/1", version, batch)
+    log = rn.read_log(spark, path)
+    assert {(r.version, r.batch): r["count"] for r in log.groupBy("version", "batch").count().collect()} == {(0, 0): 3, (0, 1): 2, (1, 0): 5}
+    assert {r.run for r in log.collect()} == {"r/1"}

@@ -1,9 +1,11 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from lexiflow.operators import prep
 from lexiflow.sources import fixtures as fx
-from lexiflow.sources.tables import read_records, read_split, write_encoded
-from lexiflow.sources.text_files import read_lines, read_parallel
+from lexiflow.sources.tables import keep_encoded, read_records, read_split, write_encoded
+from lexiflow.sources.text_files import read_lines, read_parallel, write_lines
 from tests.conftest import SF_SMALL
 
 
@@ -103,3 +105,66 @@ def test_lines_of_several_files_count_through_by_name(spark, tmp_path):
             at += n
     rows = read_parallel(spark, str(tmp_path / "train"), "en", "es", "train").collect()
     assert sorted((r.line_no, r.src, r.tgt) for r in rows) == [(i, f"en {i}", f"es {i}") for i in range(510)]
+
+
+def _sides(spark, src, tgt):
+    return (spark.createDataFrame(src, "split string, line_no long, src string"), spark.createDataFrame(tgt, "split string, line_no long, tgt string"))
+
+
+def test_pair_aligned_fails_in_the_join_or_counts(spark):
+    src, tgt = _sides(spark, [("a", 0, "x"), ("a", 1, "y"), ("b", 0, "z")], [("a", 0, "X"), ("b", 0, "Z"), ("b", 5, "W")])
+    with pytest.raises(Exception, match="not aligned"):
+        prep.pair_aligned(src, tgt).collect()
+    seen = Observation()
+    got = sorted(map(tuple, prep.pair_aligned(src, tgt, observation=seen).collect()))
+    assert got == [("a", 0, "x", "X"), ("b", 0, "z", "Z")]
+    assert seen.get == {"n_src": 3, "n_tgt": 3, "only_src": 1, "only_tgt": 1, "first_bad": 1}
+    report = {r.split: tuple(r)[1:] for r in prep.alignment_report(src, tgt).collect()}
+    assert report == {"a": (2, 1, 1, 0, 1), "b": (1, 2, 0, 1, 5)}
+    same, _ = _sides(spark, [("a", 0, "x"), ("a", 1, None)], [])
+    assert prep.pair_aligned(same, same.withColumnRenamed("src", "tgt")).count() == 2  # a null text is a line
+
+
+def test_escaped_lines_round_trip(spark, tmp_path):
+    texts = ["plain", "", "two\nlines", "\r\n", "back\\slash \\n not a line end", "\\b\\\n", "\\", "ends with \\\r", "é\u2028x"] * 40
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(7)
+    for parts in (1, 5):
+        write_lines(df.coalesce(parts), "t", ["i"], str(tmp_path / f"l{parts}"))
+        got = sorted((r.line_no, r.text) for r in read_lines(spark, str(tmp_path / f"l{parts}"), escaped=True).collect())
+        assert got == list(enumerate(texts))
+
+
+def test_kept_set_hit_miss_change_and_crash(spark, tmp_path):
+    source, kept = tmp_path / "in", str(tmp_path / "kept")
+    source.mkdir()
+    _write(source / "a.txt", b"a\nb\n")
+    vocab = spark.createDataFrame([("a", 1)], "token string, id int")
+    calls = []
+
+    def ask(fail=False, options=None, vocab=vocab):
+        def make():
+            calls.append(1)
+            df = spark.read.text(str(source)).withColumn("split", F.lit("s"))
+            return df.where(F.raise_error(F.lit("broken off")).cast("boolean")) if fail else df
+
+        df, found = keep_encoded(spark, kept, make, [str(source)], [vocab], options or {"max": 4})
+        return df.count(), found
+
+    assert ask() == (2, False) and ask() == (2, True) and len(calls) == 1
+    assert ask(options={"max": 5}) == (2, False)
+    assert ask(vocab=spark.createDataFrame([("a", 2)], "token string, id int")) == (2, False)
+    assert ask(vocab=spark.createDataFrame([("a", 1)], "token string, id int").repartition(3)) == (2, True)
+    _write(source / "b.txt", b"c\n")
+    with pytest.raises(Exception, match="broken off"):
+        ask(fail=True)
+    assert ask() == (3, False) and ask() == (3, True)  # a broken run is never taken
+
+
+def test_line_keys_of_long_conversations(spark):
+    turns = spark.range(3 * 150).select((F.col("id") % 3).alias("conv_id"), F.floor(F.col("id") / 3).cast("int").alias("turn"))
+    keys = [r.k for r in turns.select(fx.line_key("conv_id", "turn").alias("k")).collect()]
+    assert len(set(keys)) == 450
+    ordered = [(r.conv_id, r.turn) for r in turns.orderBy(fx.line_key("conv_id", "turn")).collect()]
+    assert ordered == sorted(ordered)
+    with pytest.raises(Exception, match="no line key"):
+        spark.createDataFrame([(1, 1 << 20)], "conv_id long, turn int").select(fx.line_key("conv_id", "turn")).collect()
