@@ -16,6 +16,8 @@ are separated, and different values different ones.
 Documents need no shuffle: text between the finds and the finds themselves come
 from one pattern (``split`` and ``regexp_extract_all``), the finds are transformed
 in place.  Texts without a digit or an at sign are passed through untouched.
+A number is left alone only within a longer one of its own kind (``1.2.3.4.5``) or a
+word (``v1.2.3.4``); commas, times, prefix lengths and intervals beside it don't hide it.
 """
 
 from __future__ import annotations
@@ -40,10 +42,19 @@ CARD = r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9
 MAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}"  # bounded, so long texts need no deep stack
 KINDS = {"date": DATE, "ipv4": IPV4, "ssn": SSN, "phone": PHONE, "card": CARD}
 _CARD_HERE = CARD.replace("([ -])", "(?:[ -])").replace(r"\1", "[ -]")
-PATTERN = (
-    rf"(?<![A-Za-z0-9._%+-]){MAIL}"
-    rf"|(?<![A-Za-z0-9])(?<![0-9][.,/-])(?:{'|'.join([DATE, IPV4, SSN, PHONE, _CARD_HERE])})(?![A-Za-z0-9])(?![.,/-][0-9])"
-)
+
+
+def _alone(pattern: str, marks: str, after: str = "[A-Za-z0-9]") -> str:
+    """``pattern`` where no digit goes on beyond one of ``marks``, the separators within its own kind:
+    other neighbours (a comma, a slash before a prefix length, a time) don't make it part of a longer number."""
+    return rf"(?<![0-9][{marks}])(?:{pattern})(?!{after})(?![{marks}][0-9])"
+
+
+_ISO, _SLASHED, _DOTTED = DATE.split("|")
+_TIME_FOLLOWS = r"(?!T[0-9]|Z(?![A-Za-z0-9]))[A-Za-z0-9]"  # what may not follow: letters and digits but a time or zone
+PATTERN = rf"(?<![A-Za-z0-9._%+-]){MAIL}|(?<![A-Za-z0-9])(?=[0-9+(])(?:" + "|".join(
+    [_alone(_ISO, "-", _TIME_FOLLOWS), _alone(_SLASHED, "/"), _alone(_DOTTED, "."), _alone(IPV4, "."), _alone(SSN, "-"), _alone(PHONE, ".-"), _alone(_CARD_HERE, ".-")]
+) + ")"
 
 _INT = "bigint"
 
@@ -249,7 +260,8 @@ def pseudonymise(df: DataFrame, key: str, text_col: str = "text", count_col: str
     """``df`` with the text's finds replaced by pseudonyms, and the number of finds that changed.
 
     A null text stays null and an empty one empty (0 replaced); repeated rows repeat;
-    all other columns stay, ``count_col`` replaces a column of that name.
+    all other columns stay, ``count_col`` replaces a column of that name.  Whole texts are
+    searched, however long; an empty table stays empty.
     """
     text = F.col(text_col)
     found, gaps, new = (free_name(df, n) for n in ("_found", "_gaps", "_new"))

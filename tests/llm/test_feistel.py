@@ -115,6 +115,26 @@ def test_mail_keeps_shape_and_domain(spark):
     assert got[2] == first[1] and got[1].endswith("@b.example.org")
 
 
+def test_neighbours_do_not_hide_a_value(spark):
+    card_, tel = "4537960215852590", "863-555-0950"
+    iso = lambda y, m, d: f"{day(dt.date(y, m, d)):%Y-%m-%d}"
+    cases = {
+        f"{card_},12/2025": f"{card(card_)},12/2025",
+        f"7,{card_},8": f"7,{card(card_)},8",
+        f"{tel},{tel}": f"{phone(tel)},{phone(tel)}",
+        f"{tel}/{tel}": f"{phone(tel)}/{phone(tel)}",
+        "2024-01-05T10:00:00": f"{iso(2024, 1, 5)}T10:00:00",
+        "2024-01-05Z": f"{iso(2024, 1, 5)}Z",
+        "2019-01-01/2019-12-31": f"{iso(2019, 1, 1)}/{iso(2019, 12, 31)}",
+        "10.0.0.1/24": f"{ip('10.0.0.1')}/24",
+        "10.0.0.1:8080,10.0.0.2": f"{ip('10.0.0.1')}:8080,{ip('10.0.0.2')}",
+        "1,2024-01-05,2": f"1,{iso(2024, 1, 5)},2",
+    }
+    assert dict(zip(cases, run(spark, list(cases)))) == cases
+    parts = ["1.2.3.4.5", "0.4537960215852590", "4537960215852590.5", "x2024-01-05", "2024-01-05x", "2024-01-05-7", "1/02/29/2020", "2024-01-05Tea", "1-863-555-0950-7", "45379602158525904537960215852590"]
+    assert run(spark, parts) == parts
+
+
 def test_edges(spark):
     long = ("a." * 20000) + " x@" + "a." * 5000 + "com " + "1" * 30000 + " 1.2.3.4.5 v1.2.3.4x " + "4537960215852590 27.65.93.188 " * 200
     texts = [None, "", "no digits", long, "4537960215852590 " * 2]
