@@ -1,26 +1,32 @@
 """Main text of web pages by boosted trees over DOM nodes (operator 8).
 
 A page becomes a tree of block elements.  Gradient-boosted trees give each node a
-probability of belonging to the article from its features: tag, attribute tokens,
-depth, sibling statistics, text and link density of its subtree, and what its
-ancestors are.  Hierarchical decoding then picks the most probable consistent
-labels: below a dropped node everything is dropped, below a kept node each child
-is decided by its own subtree (a bottom-up minimum of summed log costs).
+probability of belonging to the article from its features: text, link and mark
+densities of its subtree, place and weight among its siblings, depth, its tag and its
+ancestors' tags, and its own and its ancestors' attribute tokens (class, id, role),
+by what such tokens said in training.  No list of words takes part in that.  Hierarchical decoding then picks the
+most probable consistent labels: below a dropped node everything is dropped, below a
+kept node each child is decided by its own subtree (a bottom-up minimum of summed log
+costs).
 
 The trees learn from weak labels: on a bounded sample of the pages, and on a small
 set of seed pages made from the word lists below, nodes whose tag or attribute
-tokens say what they are teach the rest.  Every page is then scored by Spark
-tasks, each on its own.
+tokens say what they are teach the rest.  Each page is learnt from as it is, with its
+attribute tokens replaced by meaningless ones, and with its telling tags taken away as
+well, so that the trees know articles by their build where nothing names them.  Every
+page is then scored by Spark tasks, each on its own.
 """
 
 from __future__ import annotations
 
 import html as entities
 import math
+import random
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +42,9 @@ SAMPLE_PAGES, SAMPLE_CHARS = 400, 100_000
 #: Elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noframes xmp".split())
-NO_TEXT = RAW | frozenset("head svg math object select button canvas audio video datalist".split())
+NO_TEXT = RAW | frozenset("head svg object select button canvas audio video datalist".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a math mrow mi mo mn msup msub mfrac msqrt mtext abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
@@ -67,7 +73,10 @@ MAIN_WORDS = frozenset("article articlebody content entry main post story text b
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 MAIN_ROLES = frozenset("main article".split())
 TAGS = "article main section div p h1 h2 h3 h4 ul ol li dl table tr td blockquote pre figure header footer nav aside form".split()
-BUCKETS = 16
+#: Buckets of hashed attribute tokens; a token is known from so many training nodes on.
+BUCKETS, KNOWN_FROM = 1 << 20, 3
+#: Weight of what is learnt from a page without its names, against the page as it is.
+UNNAMED = 0.03
 #: Elements of the page itself, always open; a run of loose text in them is a block of its own.
 FRAME = frozenset(("#root", "html", "body"))
 
@@ -201,114 +210,217 @@ def _main(node: Node) -> bool:
     return node.tag in MAIN_TAGS or node.role in MAIN_ROLES or any(w in MAIN_WORDS for w in node.words)
 
 
-BASE = 21
-FEATURES = BASE + len(TAGS) + BUCKETS
+NUMBERS = (
+    "own_text text text_per_tag link_density own_link_density mark_density depth siblings tags equal_siblings children hidden "
+    "order largest_sibling parent_links mean_child named loose text_per_mark own_low own_high above_low above_high"
+).split()
+OWN_TAG = len(NUMBERS)
+ABOVE_TAG = OWN_TAG + len(TAGS)
+FEATURES = ABOVE_TAG + len(TAGS)
+_SLOT = {t: k for k, t in enumerate(TAGS)}
 
 
-def node_features(nodes: list[Node]) -> np.ndarray:
-    """A row per node: densities of its subtree, place among its siblings, tag, attribute tokens, ancestors."""
+def tokens(node: Node) -> list[int]:
+    """Buckets of a node's tag and attribute tokens."""
+    said = [f"<{node.tag}", *node.words, *([f"role={node.role}"] if node.role else [])]
+    return [zlib.crc32(w.encode()) % BUCKETS for w in said]
+
+
+def token_scores(pages: Iterable[tuple[list[Node], np.ndarray]]) -> dict[int, float]:
+    """What a token (its bucket) says: the log odds of the labels of the training nodes that bear it."""
+    counts: dict[int, list[int]] = {}
+    for nodes, labels in pages:
+        for node, y in zip(nodes, labels):
+            if y >= 0 and not (_main(node) and _boiler(node)):  # of one named both ways it isn't known which name says it
+                for t in set(tokens(node)):
+                    counts.setdefault(t, [0, 0])[int(y)] += 1
+    return {t: math.log((yes + 0.5) / (no + 0.5)) for t, (no, yes) in counts.items() if yes + no >= KNOWN_FROM}
+
+
+def _totals(nodes: list[Node]) -> np.ndarray:
+    """(characters, linked characters, marks, tags) of every subtree."""
+    own = np.array([(sum(len(p) for p in n.pieces if type(p) is str), n.linked, sum(p.count(".") + p.count(",") for p in n.pieces if type(p) is str), 1) for n in nodes], float)
+    for i in range(len(nodes) - 1, 0, -1):
+        own[nodes[i].parent.index] += own[i]
+    return own
+
+
+def node_features(nodes: list[Node], scores: dict[int, float]) -> np.ndarray:
+    """A row per node.  Numbers are densities of its subtree, its place and weight among its siblings, and
+    the least and greatest of its own and of its ancestors' token scores; flags are its tag and its ancestors'."""
     n = len(nodes)
-    own = [[p for p in node.pieces if type(p) is str] for node in nodes]
-    chars = np.array([sum(map(len, p)) for p in own], float)
-    linked = np.array([node.linked for node in nodes], float)
-    stops = np.array([sum(t.count(".") + t.count(",") for t in p) for p in own], float)
-    tags = np.ones(n)
-    texts, links, marks = chars.copy(), linked.copy(), stops.copy()
-    for i in range(n - 1, 0, -1):
-        j = nodes[i].parent.index
-        texts[j] += texts[i]
-        links[j] += links[i]
-        marks[j] += marks[i]
-        tags[j] += tags[i]
-    x = np.zeros((n, FEATURES))
-    whole = max(texts[0], 1.0)
-    inside_main, inside_boiler, header_outside = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, bool)
-    before = np.concatenate(([0.0], np.cumsum(chars)[:-1]))
-    slots = {t: BASE + k for k, t in enumerate(TAGS)}
-    any_main = any(map(_main, nodes))
+    x = np.zeros((n, FEATURES), np.float32)
+    total = _totals(nodes)
+    texts, links, marks, tags = total.T
+    own = total[:, 0].copy()
+    for node in nodes[1:]:
+        own[node.parent.index] -= texts[node.index]
     same = [Counter(c.tag for c in node.children) for node in nodes]
+    largest = [max((texts[c.index] for c in node.children), default=0.0) for node in nodes]
+    order = np.zeros(n)
+    for node in nodes:
+        for k, c in enumerate(node.children):
+            order[c.index] = k / len(node.children)
+    named = any(node.tag in MAIN_TAGS for node in nodes)
+    over = [(0.0, 0.0)] * n  # least and greatest token score above a node
     for i, node in enumerate(nodes):
-        parent = node.parent
-        j = parent.index if parent else 0
-        main, boiler = _main(node), _boiler(node)
+        parent, row = node.parent, x[i]
+        own_said = [scores[t] for t in tokens(node) if t in scores]
+        least, most = min(own_said, default=0.0), max(own_said, default=0.0)
+        j, siblings = 0, 1
         if parent:
-            inside_main[i] = inside_main[j] or _main(parent)
-            inside_boiler[i] = inside_boiler[j] or _boiler(parent)
-            header_outside[i] = header_outside[j]
-        if node.tag == "header" and not inside_main[i]:
-            header_outside[i] = True
-        siblings = parent.children if parent else [node]
-        row = x[i]
-        row[:BASE] = (
-            math.log1p(chars[i]), math.log1p(texts[i]), texts[i] / tags[i], links[i] / max(texts[i], 1.0), linked[i] / max(chars[i], 1.0),
-            marks[i] / max(texts[i], 1.0), texts[i] / whole, before[i] / whole, node.depth, len(siblings), tags[i],
-            same[j][node.tag] / len(siblings) if parent else 1.0, len(node.children),
-            main, boiler, inside_main[i], inside_boiler[i], header_outside[i], node.hidden, texts[j] / whole, any_main,
+            j, siblings = parent.index, len(parent.children)
+            over[i] = over[j]
+            row[ABOVE_TAG:] = x[j, ABOVE_TAG:]
+            if parent.tag in _SLOT:
+                row[ABOVE_TAG + _SLOT[parent.tag]] = 1
+            before = [scores[t] for t in tokens(parent) if t in scores]
+            if before:
+                over[i] = min(over[j][0], *before), max(over[j][1], *before)
+        if node.tag in _SLOT:
+            row[OWN_TAG + _SLOT[node.tag]] = 1
+        t = max(texts[i], 1.0)
+        row[:OWN_TAG] = (
+            math.log1p(own[i]), math.log1p(texts[i]), texts[i] / tags[i], links[i] / t, node.linked / max(own[i], 1.0), marks[i] / t,
+            node.depth, siblings, tags[i], same[j][node.tag] / siblings if parent else 1.0, len(node.children), node.hidden,
+            order[i], texts[i] / max(largest[j], 1.0), links[j] / max(texts[j], 1.0), math.log1p(texts[i] / max(len(node.children), 1)),
+            named, node.loose, math.log1p(texts[i] / (marks[i] + 1)), least, most, *over[i],
         )
-        if node.tag in slots:
-            row[slots[node.tag]] = 1
-        for w in node.words:
-            row[BASE + len(TAGS) + zlib.crc32(w.encode()) % BUCKETS] = 1
     return x
 
 
-def weak_labels(nodes: list[Node], x: np.ndarray) -> np.ndarray:
+def weak_labels(nodes: list[Node]) -> np.ndarray:
     """1 article, 0 not, -1 unknown: by tags, roles and attribute words of a node and its ancestors.
 
-    On a page that names no article, all that nothing marks as something else is one,
-    but for loose runs of links.
-    """
-    main, boiler, inside_main, inside_boiler, header = (x[:, k] > 0 for k in range(13, 18))
-    frame = np.array([n.tag in FRAME for n in nodes])
+    A node that is named both ways is what its build says: prose or not.  On a page that
+    names no article, all that nothing marks as something else is one, but for loose runs
+    of links."""
+    texts, links, _, _ = _totals(nodes).T
+    any_main = any(map(_main, nodes))
     y = np.full(len(nodes), -1)
-    y[(main | inside_main | (x[:, 20] == 0)) & ~frame] = 1
-    y[(boiler | inside_boiler | header) & ~frame] = 0
-    y[np.array([n.loose for n in nodes]) & (x[:, 4] > 0.5)] = 0  # a loose run of links
+    state = np.zeros(len(nodes), int)  # what holds below: 1 article, 2 something else, 3 a header outside
+    for i, node in enumerate(nodes):
+        above = state[node.parent.index] if node.parent else 0
+        main, boiler = _main(node), _boiler(node)
+        if main and boiler and not node.hidden and node.tag not in BOILER_TAGS and node.tag not in MAIN_TAGS:
+            main = texts[i] >= 120 and links[i] < 0.3 * texts[i]
+            boiler = not main
+        if above == 2 or boiler:
+            state[i] = 2
+        elif main:
+            state[i] = 1
+        else:
+            state[i] = 3 if node.tag == "header" and above != 1 else above
+        if node.tag not in FRAME:
+            if state[i] in (2, 3):
+                y[i] = 0
+            elif state[i] == 1 or not any_main:
+                y[i] = 1
+            if node.loose and node.linked > 0.5 * max(sum(len(p) for p in node.pieces if type(p) is str), 1):
+                y[i] = 0  # a loose run of links
     return y
 
 
-def seed_pages() -> list[str]:
-    """Pages made from the word lists, so that every listed word and element occurs in training."""
+def seed_pages(each: int = 8) -> list[str]:
+    """Pages made from the word lists, so that every listed word and element occurs in training.
+
+    Articles and what stands around them are alike in length and build, but for links and
+    single words: it is their names that tell them apart."""
+    draw = random.Random(20)
     words = "stone river over garden while seven paper under light, morning between other winter. second little harbour could follow".split()
-    said = lambda k, n: " ".join(words[(k + i * (k % 5 + 1)) % len(words)] for i in range(n)) + "."
-    out = []
-    tags, mains, shapes = sorted(BOILER_TAGS), sorted(MAIN_WORDS), ("p", "li", "td", "blockquote", "pre", "h2", "h3", "dd", "div", "figcaption", "section")
+    tags, mains = sorted(BOILER_TAGS), sorted(MAIN_WORDS)
+    shapes = ("p", "p", "p", "li", "td", "blockquote", "pre", "h2", "h3", "dd", "div", "figcaption", "section")
     around = {"li": "ul", "td": "table", "dd": "dl", "figcaption": "figure"}
 
-    def block(shape: str, k: int, n: int) -> str:
-        one = f"<{shape}>{said(k, n)}</{shape}>"
-        one = f"<tr>{one}{one}</tr>" if shape == "td" else one
+    def said(n: int, ends: bool = True) -> str:
+        return " ".join(draw.choice(words) for _ in range(n)) + ("." if ends and draw.random() < 0.7 else "")
+
+    def block(sizes: tuple[int, ...], link: float) -> str:
+        shape = draw.choice(shapes)
+        one = "".join(f"<{shape}>{f'<a href=x>{text}</a>' if draw.random() < link else text}</{shape}>" for text in (said(draw.choice(sizes)) for _ in range(draw.choice((1, 1, 2, 4)))))
+        one = f"<tr>{one}</tr>" if shape == "td" else one
         return f"<{around[shape]}>{one}</{around[shape]}>" if shape in around else one
 
-    for k, word in enumerate(sorted(BOILER_WORDS)):
-        for v in range(3):
-            inner = block("p", k, 3 + 7 * ((k + v) % 6)) if (k + v) % 3 else f"<ul><li><a href=x>{said(k, 2)}</a></li><li>{said(k + 1, 3)}</li></ul>"
-            shell = ("<div id='%s'>" % word if (k + v) % 2 else "<section class='x-%s'>" % word, "</div>" if (k + v) % 2 else "</section>")
-            tag = tags[(k + v) % len(tags)]
-            marked = shell[0] + (said(k, 2) if v == 2 else inner) + shell[1]
-            extra = f"<{tag}>{block(shapes[(k + v) % 6], k + 3, 4 + 5 * (k % 4))}</{tag}>"
-            main = [("<article>", "</article>"), ("<main>", "</main>"), (f"<div class='{mains[k % len(mains)]}'>", "</div>"), ("", "")][(k + v) % 4]
-            body = "".join(block(shapes[(k + 3 * i + v) % len(shapes)] if i % 2 else "p", k + i, 1 + 9 * ((k + i) % 5)) for i in range(2 + k % 5))
-            inside = (marked, extra, "")[v]
-            outside = (extra, marked, marked + extra)[v]
-            head = f"<header><p>{said(k, 3)}</p></header>" if k % 2 else ""
-            page = f"{main[0]}<h1>{said(k, 4)}</h1>{inside if k % 2 else ''}{body}{'' if k % 2 else inside}{main[1]}"
-            out.append(f"<html><body>{head}{outside if k % 3 else ''}{page}{'' if k % 3 else outside}</body></html>")
-        links = " | ".join(f"<a href=x>{said(k + i, 1 + (k + i) % 3)}</a>" for i in range(2 + k % 5))
-        told = f"<h2>{said(k, 3)}</h2>{said(k, 9 + 8 * (k % 6))}<br><br>{said(k + 2, 12)}" + (block("p", k, 20) if k % 2 else "")
-        out.append(f"<html><body>{links if k % 2 else ''}{page if k % 3 else told}{'' if k % 2 else links}</body></html>")
+    def article() -> str:
+        head = f"<h1>{said(draw.randint(1, 6), False)}</h1>" if draw.random() < 0.6 else ""
+        parts = [block((1, 3, 6, 12, 25, 50), 0.05) for _ in range(draw.randint(1, 6))]
+        part = draw.choice(("section", "div", "div class=x"))
+        return head + "".join(f"<{part}>{x}</{part.split()[0]}>" if draw.random() < 0.25 else x for x in parts)
+
+    def other() -> str:
+        return said(draw.randint(1, 9)) if draw.random() < 0.3 else "".join(block((1, 2, 3, 6, 12, 25), 0.4) for _ in range(draw.randint(1, 3)))
+
+    def shell(word: str) -> tuple[str, str]:
+        tag = draw.choice(("div", "div", "section", "ul", "p", "span div"))
+        if tag == "span div":
+            return f"<div role=region class='x {word}'>", "</div>"
+        return f"<{tag} {draw.choice(('id', 'class'))}='{draw.choice(('', 'x-', 'site-'))}{word}'>", f"</{tag}>"
+
+    def spread(parts: list[str]) -> str:
+        draw.shuffle(parts)
+        return "".join(parts)
+
+    out = []
+    for word in sorted(BOILER_WORDS) * each:
+        opens, closes = shell(word)
+        marked = opens + other() + closes
+        tag, role = draw.choice(tags), draw.choice(sorted(BOILER_ROLES))
+        extra = f"<{tag}>{other()}</{tag}>" if draw.random() < 0.7 else f"<div role={role}>{other()}</div>"
+        begin, end = draw.choice((("<article>", "</article>"), ("<main>", "</main>"), (f"<div class='{draw.choice(mains)}'>", "</div>"), (f"<section id='{draw.choice(mains)}'>", "</section>"), ("", "")))
+        head = f"<header>{other()}</header>" if draw.random() < 0.4 else ""
+        inside = spread([x for x in (marked, extra) if draw.random() < 0.4] + [article(), article()] if draw.random() < 0.5 else [article()])
+        top = f"<header><h1>{said(3, False)}</h1></header>" if begin and draw.random() < 0.2 else ""
+        out.append(f"<html><body>{head}{spread([marked, extra, begin + top + inside + end])}</body></html>")
+        kind = draw.random()
+        if kind < 0.3:  # loose text and loose links beside blocks
+            links = " | ".join(f"<a href=x>{said(draw.randint(1, 3), False)}</a>" for _ in range(draw.randint(2, 6)))
+            told = f"<h2>{said(3, False)}</h2>{said(draw.randint(9, 60))}<br><br>{said(12)}" + (block((12, 25, 50), 0.05) if draw.random() < 0.5 else "")
+            out.append(f"<html><body>{links if draw.random() < 0.5 else ''}{told}{links if draw.random() < 0.5 else ''}</body></html>")
+        elif kind < 0.6:  # named both ways: what it holds decides
+            both = draw.choice((f"{draw.choice(mains)} {word}", f"{draw.choice(mains)}-{word}-on"))
+            prose = "".join(f"<p>{said(draw.randint(20, 60))}</p>" for _ in range(draw.randint(1, 4)))
+            listed = "<ul>" + "".join(f"<li><a href=x>{said(draw.randint(1, 3), False)}</a></li>" for _ in range(draw.randint(2, 5))) + "</ul>"
+            out.append(f"<html><body><nav>{other()}</nav><div class='{both}'>{prose if draw.random() < 0.7 else said(40)}</div>{marked}</body></html>")
+            out.append(f"<html><body><article>{article()}</article><div class='{both}'>{listed}</div></body></html>")
+            out.append(f"<html><body><div class='{both}'><article>{article()}</article></div><footer>{other()}</footer></body></html>")
+        elif kind < 0.8:  # nothing but an article that nothing names
+            one = "".join(f"<p>{said(draw.choice((8, 16, 30, 60)))}</p>" for _ in range(draw.randint(1, 3))) if draw.random() < 0.5 else article()
+            out.append(draw.choice(("<html><body>{}</body></html>", "<div>{}</div>", "<body><div><div>{}</div></div></body>")).format(one))
     return out
 
 
-def train(pages: Iterable[str]) -> BoostedTrees:
-    rows, labels = [], []
-    for page in [*pages, *seed_pages()]:
-        nodes = parse(page)
-        x = node_features(nodes)
-        y = weak_labels(nodes, x)
-        rows.append(x[y >= 0])
-        labels.append(y[y >= 0])
-    return BoostedTrees().fit(np.concatenate(rows), np.concatenate(labels).astype(float))
+@dataclass
+class Extractor:
+    """The trees and what attribute tokens say."""
+
+    trees: BoostedTrees
+    scores: dict[int, float]
+
+    def probability(self, pages: list[list[Node]]) -> np.ndarray:
+        return self.trees.probability(np.concatenate([node_features(nodes, self.scores) for nodes in pages]))
+
+
+def _unnamed(nodes: list[Node], tags: bool) -> None:
+    """Take the attribute tokens of a page away, and with ``tags`` its telling tags."""
+    for node in nodes:
+        node.words, node.role = (), ""
+        if tags and (node.tag in BOILER_TAGS or node.tag in MAIN_TAGS or node.tag in ("header", "section")):
+            node.tag = "div"
+
+
+def train(pages: Iterable[str]) -> Extractor:
+    parsed = [(nodes, weak_labels(nodes)) for nodes in map(parse, [*pages, *seed_pages()])]
+    scores = token_scores(parsed)
+    rows, labels, weights = [], [], []
+    for nodes, y in parsed:
+        some = y >= 0
+        for weight, tags in ((1.0, None), (UNNAMED, False), (UNNAMED, True)):
+            if tags is not None:
+                _unnamed(nodes, tags)
+            rows.append(node_features(nodes, scores)[some])
+            labels.append(y[some])
+            weights.append(np.full(some.sum(), weight))
+    return Extractor(BoostedTrees(trees=120, depth=5, binary_from=OWN_TAG).fit(np.concatenate(rows), np.concatenate(labels).astype(float), np.concatenate(weights)), scores)
 
 
 def decode(nodes: list[Node], p: np.ndarray) -> np.ndarray:
@@ -368,11 +480,11 @@ def main_text(nodes: list[Node], kept: np.ndarray, p: np.ndarray) -> str:
     return "\n".join(blocks)
 
 
-def extract_text(pages: list[str], model: BoostedTrees) -> list[str]:
+def extract_text(pages: list[str], model: Extractor) -> list[str]:
     trees = [parse(page) for page in pages]
     if not trees:
         return []
-    p = model.probability(np.concatenate([node_features(nodes) for nodes in trees]))
+    p = model.probability(trees)
     out, at = [], 0
     for nodes in trees:
         mine = p[at : at + len(nodes)]
