@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,57 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let go of the files of finished steps.
+
+    Spark deletes shuffle files and checkpoints once the driver's collector finds that nothing
+    refers to them, which on a driver with little to do can take longer than a loop of many
+    steps; such a loop asks for it now and then."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+#: Rows of long values (texts, sequences) that a Python worker gets together.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """From now on the session hands Python workers ``rows`` rows at once: for applications over long texts."""
+    spark.conf.set(_BATCH_CONF, str(rows))
+
+
+def cut_in_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """``cut``, with ``rows`` rows at once for the Python workers of this pass: bounds their memory."""
+    spark = df.sparkSession
+    before = spark.conf.get(_BATCH_CONF)
+    small_batches(spark, rows)
+    try:
+        return cut(df)
+    finally:
+        spark.conf.set(_BATCH_CONF, before)
+
+
+#: Bits of a sieve; it is broadcast as at most ``SIEVE_BITS`` / 64 rows, whatever the number of keys.
+SIEVE_BITS = 1 << 24
+
+
+def sift(df: DataFrame, col: str, keys: DataFrame, key_col: str) -> DataFrame:
+    """``df`` without most of the rows whose ``col`` isn't among the ``key_col`` of ``keys``.
+
+    A set of hashed bits of bounded size is broadcast in place of the keys: no row that
+    belongs is lost, a share of the others (keys / ``SIEVE_BITS``) passes.  For use in front
+    of a join on the column, which then moves little more than it needs.  Null is a key like others.
+    """
+    bit = F.pmod(F.xxhash64(F.col(key_col)), F.lit(SIEVE_BITS))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))
+    words = keys.select(F.floor(bit / 64).cast("int").alias("_word"), one.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    own = F.pmod(F.xxhash64(F.col(col)), F.lit(SIEVE_BITS))
+    marked = df.withColumn("_word", F.floor(own / 64).cast("int")).withColumn("_at", (own % 64).cast("int"))
+    held = marked.join(F.broadcast(words), "_word")
+    return held.where(F.call_function("shiftright", F.col("_bits"), F.col("_at")).bitwiseAND(F.lit(1)) == 1).select(*df.columns)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or a variant of it that no column of ``df`` has (names compare without case)."""
     taken = {c.lower() for c in df.columns}
