@@ -6,12 +6,14 @@ its response record, equal payloads of 100 bytes or more revisit it.
 
 Spark deals the records to archives of bounded size; an archive is a row (path,
 length, content), the columns of Spark's ``binaryFile`` source, so the reader
-takes rows that were written as Parquet and real ``.warc.zst`` files alike.  The
-reader decodes frame by frame and checks every header, length and digest.
+takes rows that were written as Parquet and ``.warc.zst`` files of other writers alike.
+The reader decodes frame by frame, passes over skippable ones, knows all record types,
+undoes chunked transfer coding, and checks every header, length and named digest.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import struct
@@ -29,7 +31,13 @@ from lexiflow.session import ensure_checkpoint_dir
 
 #: Fixed values of the format: the skippable frame of the dictionary, frame magics, the revisit profile.
 DICT_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
+SKIPPABLE = 0x184D2A50  # the first of 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+PROFILES = re.compile(r"http://netpreserve\.org/warc/1\.[01]/revisit/(identical-payload-digest|server-not-modified|uri-agnostic-identical-payload-digest)$")
+TYPES = frozenset("warcinfo response resource request metadata revisit conversion continuation".split())
+#: Headers that a record may have several times.
+REPEATED = frozenset({"warc-concurrent-to"})
+DIGESTS = frozenset("md5 sha1 sha224 sha256 sha384 sha512".split())
 #: Payloads under so many bytes are never revisits.
 LEAST = 100
 #: Bytes of an archive after which the next one begins.
@@ -41,12 +49,12 @@ DATE = "1970-01-01T00:00:00Z"
 
 _ARCHIVES = "path string, length bigint, content binary"
 _RECORDS = (
-    "path string, offset bigint, page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, "
+    "path string, offset bigint, record_id string, page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, "
     "refers_to bigint, payload binary, problem string"
 )
 _RECORD_TYPE = pa.schema(
     [
-        ("path", pa.string()), ("offset", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
+        ("path", pa.string()), ("offset", pa.int64()), ("record_id", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("problem", pa.string()),
     ]
 )
@@ -78,37 +86,99 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return "\r\n".join(head).encode() + block + b"\r\n\r\n"
 
 
-def parse_record(data: bytes) -> dict:
-    """The fields of one record; raises ValueError where a header, length or digest is wrong."""
-    head, gap, rest = data.partition(b"\r\n\r\n")
+def _header(head: bytes) -> dict[str, list[str]]:
+    """The header fields of a record, names in lower case; folded lines are put together."""
     lines = head.decode("utf-8").split("\r\n")
-    if not gap or lines[0] not in ("WARC/1.0", "WARC/1.1"):
+    if lines[0] not in ("WARC/1.0", "WARC/1.1"):
         raise ValueError("not a WARC record")
-    fields = {}
+    fields: dict[str, list[str]] = {}
+    name = ""
     for line in lines[1:]:
+        if line[:1] in (" ", "\t") and name:
+            fields[name][-1] += " " + line.strip()
+            continue
         name, colon, value = line.partition(":")
-        if not colon or name.lower() in fields:
+        name = name.lower()
+        if not colon or name in fields and name not in REPEATED:
             raise ValueError(f"bad or repeated header: {line[:60]}")
-        fields[name.lower()] = value.strip()
-    for name in ("warc-type", "warc-record-id", "warc-date", "content-length", "warc-payload-digest"):
+        fields.setdefault(name, []).append(value.strip())
+    return fields
+
+
+def _fits(told: str | None, *contents: bytes) -> bool:
+    """Whether a digest (``algorithm:value``, hex or base32) is that of one of ``contents``; of an unknown
+    algorithm nothing can be said."""
+    algorithm, colon, value = (told or "").partition(":")
+    algorithm = algorithm.lower().replace("-", "")
+    if not colon or algorithm not in DIGESTS:
+        return True
+    found = [hashlib.new(algorithm, c).digest() for c in contents]
+    return any(value.lower() == d.hex() or value.upper().rstrip("=") == base64.b32encode(d).decode().rstrip("=") for d in found)
+
+
+def dechunk(body: bytes) -> bytes:
+    """The content of a body in chunked transfer coding."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = re.match(rb"[0-9A-Fa-f]+", body[at:end]) if end >= 0 else None
+        if not size:
+            raise ValueError("a chunk has no size")
+        at, n = end + 2, int(size[0], 16)
+        if not n:
+            return b"".join(parts)
+        if at + n > len(body):
+            raise ValueError("a chunk is cut off")
+        parts.append(body[at : at + n])
+        at += n + 2
+
+
+def parse_record(data: bytes) -> dict:
+    """The fields of one record of any type; raises ValueError where a header, length or digest is wrong.
+
+    The payload is what the block holds behind its HTTP header, if it has one, without
+    transfer coding, else the block.  A revisit has none; its length and digest are those
+    that it names."""
+    head, gap, rest = data.partition(b"\r\n\r\n")
+    if not gap:
+        raise ValueError("not a WARC record")
+    fields = _header(head)
+    only = lambda name: fields[name][0] if name in fields else None
+    for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in fields:
             raise ValueError(f"no {name}")
-    if not fields["content-length"].isdecimal() or len(rest) != int(fields["content-length"]) + 4 or rest[-4:] != b"\r\n\r\n":
+    kind = only("warc-type")
+    if kind not in TYPES:
+        raise ValueError(f"unknown record type: {kind[:40]}")
+    if not only("content-length").isdecimal() or len(rest) != int(only("content-length")) + 4 or rest[-4:] != b"\r\n\r\n":
         raise ValueError("the block's length is not Content-Length")
-    http, gap, payload = rest[:-4].partition(b"\r\n\r\n")
-    told = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", http)
-    if not gap or not http.startswith(b"HTTP/") or not told:
-        raise ValueError("no HTTP header")
-    kind, digest = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha256:")
-    if kind == "response":
-        if len(payload) != int(told[1]) or hashlib.sha256(payload).hexdigest() != digest:
-            raise ValueError("the payload is not as long as or other than its header says")
-    elif kind != "revisit" or payload or "warc-refers-to" not in fields or fields.get("warc-profile") != PROFILE:
-        raise ValueError("neither a response nor a revisit of an identical payload")
-    number = lambda name: int(fields[name]) if name in fields else None
+    block = rest[:-4]
+    if not _fits(only("warc-block-digest"), block):
+        raise ValueError("the block is other than its digest says")
+    payload = body = block
+    told = None
+    if kind in ("request", "response", "revisit") and (block or kind != "revisit") and (only("content-type") or "application/http").lower().startswith("application/http"):
+        http, gap, body = block.partition(b"\r\n\r\n")
+        if not gap or not (http.startswith(b"HTTP/") or kind == "request"):
+            raise ValueError("no HTTP header")
+        told = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", http)
+        chunked = kind == "response" and re.search(rb"(?i)\r\ntransfer-encoding:[^\r]*chunked", http)
+        payload = dechunk(body) if chunked and "warc-truncated" not in fields else body
+        if kind == "response" and told and not chunked and "warc-truncated" not in fields and len(body) != int(told[1]):
+            raise ValueError("the payload is not as long as its header says")
+    digest = only("warc-payload-digest")
+    named = digest.partition(":")[2].lower() if digest and digest.lower().startswith("sha256:") else None
+    if kind == "revisit":
+        if body != b"" and told is not None or not PROFILES.match(only("warc-profile") or ""):
+            raise ValueError("no revisit of an identical payload")
+    elif "warc-truncated" not in fields and not _fits(digest, payload, body):  # writers differ on transfer coding
+        raise ValueError("the payload is other than its digest says")
+    number = lambda name: int(only(name)) if name in fields else None
     return {
-        "page_id": number("page-id"), "url": fields.get("warc-target-uri"), "record_type": kind, "payload_bytes": int(told[1]),
-        "payload_digest": digest, "refers_to": number("refers-to-page-id"), "payload": payload if kind == "response" else None,
+        "record_id": only("warc-record-id"), "page_id": number("page-id"), "url": only("warc-target-uri"), "record_type": kind,
+        "payload_bytes": (int(told[1]) if told else None) if kind == "revisit" else len(payload),
+        "payload_digest": named if kind == "revisit" else hashlib.sha256(payload).hexdigest(),
+        "refers_to": number("refers-to-page-id"), "payload": None if kind == "revisit" else payload,
     }
 
 
@@ -117,7 +187,8 @@ def dictionary_frame(dictionary: bytes) -> bytes:
 
 
 def frames(content: bytes) -> Iterator[tuple[int, bytes]]:
-    """(offset, decoded record) of each frame, with the dictionary of the leading skippable frame."""
+    """(offset, decoded record) of each frame, with the dictionary of the leading skippable frame;
+    later skippable frames are passed over."""
     at, dictionary = 0, None
     if len(content) >= 8:
         magic, size = struct.unpack_from("<II", content)
@@ -131,6 +202,13 @@ def frames(content: bytes) -> Iterator[tuple[int, bytes]]:
     decoder = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
     view = memoryview(content)
     while at < len(content):
+        if len(content) - at >= 8:
+            magic, size = struct.unpack_from("<II", content, at)
+            if SKIPPABLE <= magic < SKIPPABLE + 16:  # a skippable frame between records
+                if at + 8 + size > len(content):
+                    raise ValueError("a skippable frame is cut off")
+                at += 8 + size
+                continue
         one, fed, parts = decoder.decompressobj(), at, []
         while not one.eof:
             piece = view[fed : fed + 65536]
@@ -233,7 +311,8 @@ def round_trip(spark: SparkSession, pages: DataFrame, payloads: bool = True) ->
     A null html is an empty payload; payloads under 100 bytes are all responses;
     of rows that share the smallest page_id of a payload each is a response; a null
     page_id comes after all others; a null url has no target header; an empty table
-    gives no archives and no rows; other columns are not read.
+    gives no archives and no rows; very long pages are records like others; other columns
+    are not read.
     """
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     archives = write_archives(plan_records(pages.select("page_id", "url", "html")), train_dictionary(pages))

@@ -1,6 +1,8 @@
 """Operator 9: round trips, revisits, real files, and broken archives."""
 
+import base64
 import hashlib
+import struct
 
 import pytest
 import zstandard
@@ -96,6 +98,60 @@ def test_broken_archives(spark):
         W.read_archives(df.where(F.col("path") == "cut")).collect()
 
 
+def made(kind, block, *headers):
+    head = [b"WARC/1.0", b"WARC-Type: " + kind, b"WARC-Record-ID: <urn:x:%d>" % len(block), b"WARC-Date: 2020-01-01T00:00:00Z", *headers, b"Content-Length: %d" % len(block)]
+    return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+BODY = "<p>été</p>".encode()
+HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n"
+CHUNKED = b"4;x=y\r\n" + BODY[:4] + b"\r\n%x\r\n" % len(BODY[4:]) + BODY[4:] + b"\r\n0\r\n\r\n"
+SHA1 = b"sha1:" + base64.b32encode(hashlib.sha1(BODY).digest())
+FOREIGN = [
+    ("warcinfo", made(b"warcinfo", b"software: some writer\r\n", b"Content-Type: application/warc-fields"), b"software: some writer\r\n"),
+    ("request", made(b"request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", b"WARC-Concurrent-To: <urn:a>", b"WARC-Concurrent-To: <urn:b>", b"Content-Type: application/http; msgtype=request"), b""),
+    ("response", made(b"response", HTTP + b"\r\n" + BODY, b"WARC-Target-URI: http://x/", b"WARC-Payload-Digest: " + SHA1, b"Content-Type: application/http;\r\n msgtype=response"), BODY),
+    ("response", made(b"response", HTTP + b"Transfer-Encoding: chunked\r\n\r\n" + CHUNKED, b"WARC-Payload-Digest: " + SHA1), BODY),
+    ("response", made(b"response", HTTP + b"Transfer-Encoding: chunked\r\n\r\n" + CHUNKED, b"WARC-Payload-Digest: md5:" + hashlib.md5(CHUNKED).hexdigest().encode()), BODY),
+    ("response", made(b"response", HTTP + b"\r\n" + BODY, b"WARC-Payload-Digest: blake3:00"), BODY),  # unknown: not checked
+    ("response", made(b"response", HTTP + b"Content-Length: 999\r\n\r\n" + BODY, b"WARC-Truncated: length"), BODY),
+    ("response", made(b"response", b"20200101000000\n127.0.0.1\n", b"WARC-Target-URI: dns:x", b"Content-Type: text/dns"), b"20200101000000\n127.0.0.1\n"),
+    ("resource", made(b"resource", BODY, b"WARC-Block-Digest: SHA-256:" + hashlib.sha256(BODY).hexdigest().upper().encode(), b"Content-Type: text/html"), BODY),
+    ("metadata", made(b"metadata", b"fetchTimeMs: 3\r\n", b"Content-Type: application/warc-fields"), b"fetchTimeMs: 3\r\n"),
+    ("conversion", made(b"conversion", b"text", b"Content-Type: text/plain"), b"text"),
+    ("revisit", made(b"revisit", HTTP + b"\r\n", b"WARC-Payload-Digest: " + SHA1, b"WARC-Profile: http://netpreserve.org/warc/1.0/revisit/server-not-modified"), None),
+    ("revisit", made(b"revisit", b"", b"WARC-Profile: " + W.PROFILE.encode()), None),
+]
+
+
+def test_archives_of_other_writers(spark):
+    words = [b"some words of page %d " % i * 20 for i in range(500)]
+    trained = zstandard.train_dictionary(2000, words)
+    coder = zstandard.ZstdCompressor(dict_data=trained)
+    skipped = struct.pack("<II", 0x184D2A5F, 5) + b"index"
+    content = W.dictionary_frame(trained.as_bytes()) + b"".join(x for _, r, _ in FOREIGN for x in (coder.compress(r), skipped))
+    rows = W.read_archives(spark.createDataFrame([("other.warc.zst", content)], "path string, content binary")).orderBy("offset").collect()
+    assert [(r.record_type, None if r.payload is None else bytes(r.payload)) for r in rows] == [(k, p) for k, _, p in FOREIGN]
+    assert all(r.payload_digest == hashlib.sha256(p).hexdigest() and r.payload_bytes == len(p) for r, (_, _, p) in zip(rows, FOREIGN) if p is not None)
+    assert rows[2].url == "http://x/" and all(r.record_id.startswith("<urn:x:") for r in rows)
+    with pytest.raises(ValueError, match="cut off"):
+        list(W.frames(content + skipped[:-1]))
+
+
+@pytest.mark.parametrize("data", [
+    made(b"response", HTTP + b"\r\n" + BODY, b"WARC-Payload-Digest: sha1:" + b"A" * 32),
+    made(b"response", HTTP + b"Transfer-Encoding: chunked\r\n\r\n" + CHUNKED[:-9]),
+    made(b"resource", BODY, b"WARC-Block-Digest: md5:00"),
+    made(b"strange", BODY),
+    made(b"resource", BODY, b"WARC-Target-URI: a", b"WARC-Target-URI: b"),
+    made(b"revisit", HTTP + b"\r\n", b"WARC-Profile: http://other"),
+    made(b"response", b"no header"),
+])
+def test_faults_of_other_writers_are_told(data):
+    with pytest.raises(ValueError):
+        W.parse_record(data)
+
+
 def test_query(spark):
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
     assert fields(op9_warc_zstd(spark, SF_SMALL)) == plain(rows)
