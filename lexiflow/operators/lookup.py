@@ -3,18 +3,19 @@
 Rows bring arrays of parts ``(side, p, tok)``; every token has to meet its entry of a
 table that may be too large to broadcast, and a few tokens make up much of any text.
 
-1. *Head.*  ``approx_top_k`` (a mergeable frequent-items sketch) finds the most frequent
-   tokens of the rows themselves.  They are at most ``HEAD``, so the head, with its table
-   entries (or the knowledge that there is none), is broadcast, and the bulk of the
-   occurrences is resolved in place, without leaving the row's partition.
+1. *Head.*  A table of at most ``WHOLE`` rows is the head itself.  Of a larger one
+   ``approx_top_k`` (a mergeable frequent-items sketch) finds the most frequent
+   tokens of the rows, at most ``HEAD``.  The head, with its table entries (or the
+   knowledge that there is none), is broadcast, and the bulk of the occurrences is
+   resolved in place, without leaving the row's partition.
 2. *Tail.*  What is left of a row -- its resolved part in one piece, and one piece for
    each rare token -- is dealt by token to an ordinary equi-join.  The sketch leaves no
    token there that has more than about ``n / HEAD`` occurrences, so no task is hot; the
    resolved pieces, which match nothing, are dealt by their own hash.
 3. One grouping by row puts the pieces together.
 
-It is one plan whatever the sizes: the rows are read once (and once by the sketch),
-nothing is counted first, and the result doesn't depend on what the head holds.
+The rows are read once (and once by the sketch), and the result doesn't depend on what
+the head holds; with a whole table in it no tail is left and the steps 2 and 3 fall away.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Tokens in the broadcast head at most; items that the sketch tracks.
-HEAD, TRACKED = 50_000, 100_000
+#: Rows of a table that is broadcast whole; tokens in the head of a larger one; items that the sketch tracks.
+WHOLE, HEAD, TRACKED = 1_000_000, 50_000, 100_000
 
 
 def heavy_items(tokens: DataFrame, col: str, head: int | None = None, tracked: int | None = None) -> DataFrame:
@@ -58,22 +59,33 @@ def resolve(
     ``keys`` identify a row and are dealt by the columns ``deal_by`` of them; ``by`` values
     are unique.  Returns ``keys`` and, under the names of ``tokens``, the arrays of the
     found values in order.  Elements without an entry become ``missing``, or go if that is
-    None.  A null array counts as empty, a null element as one without an entry."""
+    None.  A null array counts as empty, a null element as one without an entry.
+    ``head`` sets the bound of the head, for tables broadcast whole too."""
     keys = list(keys)
     kind = table.schema[value].dataType
     entries = table.select(F.col(by).alias("_tok"), F.col(value).alias("_val"))
     sides = F.array(*[F.struct(F.lit(i).alias("_side"), F.col(c).alias("_all")) for i, c in enumerate(tokens)])
+    whole_table = table.count() <= (WHOLE if head is None else head)
     every = rows.select(F.explode(F.flatten(F.array(*[F.coalesce(F.col(c), F.array().cast(rows.schema[c].dataType)) for c in tokens]))).alias("_tok"))
-    heavy = heavy_items(every, "_tok", head, tracked)
-    listed = entries.join(F.broadcast(heavy), "_tok")  # the table is only read through, not shuffled
-    hot = heavy.join(F.broadcast(listed), "_tok", "left").withColumn("_hot", F.lit(True))
+    if whole_table:
+        hot = entries.withColumn("_hot", F.lit(True))
+    else:
+        heavy = heavy_items(every, "_tok", head, tracked)
+        listed = entries.join(F.broadcast(heavy), "_tok")  # the table is only read through, not shuffled
+        hot = heavy.join(F.broadcast(listed), "_tok", "left").withColumn("_hot", F.lit(True))
 
     # the head: a row's partition keeps all its tokens, so the grouping needs no exchange
     x = rows.repartition(*[F.col(c) for c in deal_by]).select(*keys, F.inline(sides)).select(*keys, "_side", F.posexplode_outer("_all").alias("_p", "_tok"))
     x = x.join(F.broadcast(hot), "_tok", "left")
-    known = F.col("_hot") | (F.col("_p").isNotNull() & F.col("_tok").isNull())
+    # without a tail a token that isn't in the head has no entry
+    known = F.col("_p").isNotNull() & (F.lit(True) if whole_table else F.coalesce(F.col("_hot"), F.lit(False)) | F.col("_tok").isNull())
     found = F.when(known, F.struct("_side", "_p", "_val"))
-    rare = F.when(F.col("_p").isNotNull() & ~F.coalesce(known, F.lit(False)), F.struct("_side", "_p", "_tok"))
+    if whole_table:  # native array functions only: this is the path of most tables
+        value = F.col("_val") if missing is None else F.coalesce(F.col("_val"), missing.cast(kind))
+        kept = F.col("_p").isNotNull() & value.isNotNull()
+        sides = [F.collect_list(F.when((F.col("_side") == i) & kept, F.struct("_p", value.alias("_val")))).alias(f"_l{i}") for i in range(len(tokens))]
+        return x.groupBy(*keys).agg(*sides).select(*keys, *[F.sort_array(f"_l{i}")["_val"].alias(c) for i, c in enumerate(tokens)])
+    rare = F.when(F.col("_p").isNotNull() & ~known, F.struct("_side", "_p", "_tok"))
     g = x.groupBy(*keys).agg(F.collect_list(found).alias("_found"), F.collect_list(rare).alias("_rare"))
 
     # the tail: one piece for what is resolved (dealt by a hash that no entry has), one for each rare token
@@ -86,7 +98,11 @@ def resolve(
     late = F.when(F.col("_p").isNotNull(), F.struct("_side", "_p", "_val"))
     g = j.groupBy(*keys).agg(F.collect_list("_found").alias("_found"), F.collect_list(late).alias("_late"))
     parts = F.sort_array(F.concat(F.flatten("_found"), F.col("_late")))
-    g = g.select(*keys, parts.alias("_parts"))
+    return _arrays(g.select(*keys, parts.alias("_parts")), keys, tokens, missing, kind)
+
+
+def _arrays(g: DataFrame, keys: list[str], tokens: Sequence[str], missing: Column | None, kind) -> DataFrame:
+    """The sorted parts (side, place, value) of a row as one array for each side."""
     outs = []
     for i, c in enumerate(tokens):
         side = F.lit(i)
