@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +21,13 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the shared folder (survives lost executors)."""
+def cut(df: DataFrame, few: bool = False) -> DataFrame:
+    """Cut the lineage by a reliable checkpoint in the shared folder (survives lost executors).
+
+    ``few``: in four files a core at most, for the many small tables of a loop, which
+    otherwise write a file for every shuffle partition each time."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    return (df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism) if few else df).checkpoint()
 
 
 def sweep(spark: SparkSession) -> None:
@@ -35,25 +40,40 @@ def sweep(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-#: Rows of long values (texts, sequences) that a Python worker gets together.
-BATCH_ROWS = 1000
-_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
+
+def give_back() -> None:
+    """Return what a batch has freed to the system: Python workers live on from stage to stage, and what
+    their allocators keep adds up beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+#: Rows and bytes of long values (texts, sequences) that a Python worker gets together.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """From now on the session hands Python workers ``rows`` rows at once: for applications over long texts."""
-    spark.conf.set(_BATCH_CONF, str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session hands Python workers few rows at once: for applications over long texts."""
+    for name, value in _BATCH.items():
+        spark.conf.set(name, value)
 
 
-def cut_in_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
-    """``cut``, with ``rows`` rows at once for the Python workers of this pass: bounds their memory."""
+def cut_in_batches(df: DataFrame, few: bool = False) -> DataFrame:
+    """``cut``, with few rows at once for the Python workers of this pass: bounds their memory."""
     spark = df.sparkSession
-    before = spark.conf.get(_BATCH_CONF)
-    small_batches(spark, rows)
+    before = {name: spark.conf.get(name, None) for name in _BATCH}
+    small_batches(spark)
     try:
-        return cut(df)
+        return cut(df, few)
     finally:
-        spark.conf.set(_BATCH_CONF, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 #: Bits of a sieve; it is broadcast as at most ``SIEVE_BITS`` / 64 rows, whatever the number of keys.

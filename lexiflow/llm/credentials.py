@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import cut, free_name, text_or_empty
+from lexiflow.llm.common import cut, free_name, give_back, text_or_empty
 
 #: The kinds in the order of the span listing, and their patterns.
 KINDS = ["assign", "access", "hex", "opaque", "user", "endpoint"]
@@ -74,7 +74,10 @@ def _scan(text: Column, weak: bool) -> Column:
             if weak:
                 spans += weak_parts(t, spans)
             out.append([{"kind": k, "start": a, "end": b} for k, a, b in sorted(spans, key=lambda x: (x[1], x[0], x[2]))])
-        return pa.array(out, type=_SPAN_TYPE)
+        done = pa.array(out, type=_SPAN_TYPE)
+        del out
+        give_back()
+        return done
 
     return scan(text_or_empty(text))
 

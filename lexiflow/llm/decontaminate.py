@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import text_or_empty
+from lexiflow.llm.common import give_back, text_or_empty
 
 #: Words in a window, plain words it needs, words an alignment must cover (all of a shorter item).
 WINDOW, PLAIN, COVER = 8, 4, 13
@@ -40,7 +40,7 @@ EDITED = 6
 #: Template tokens of the benchmark that are broadcast at once.
 BLOCK_TOKENS = 2_000_000
 #: Documents' characters that a worker matches together, surfaces that it remembers (bound its memory).
-CHUNK_CHARS, SURFACES = 2_000_000, 400_000
+CHUNK_CHARS, SURFACES = 1_000_000, 200_000
 
 #: Words that stand for a number, and units of measure.
 NUMBER_WORDS = frozenset(
@@ -446,7 +446,10 @@ def matchers(items: DataFrame, item_col: str = "item_id", item_text_col: str = "
                     out += bench.matches(chunk, surfaces)
                     chunk, chars = [], 0
                     surfaces = surfaces if len(surfaces) < SURFACES else _Surfaces()
-            return pa.array(out + bench.matches(chunk, surfaces), hit)
+            out += bench.matches(chunk, surfaces)
+            del surfaces, chunk
+            give_back()
+            return pa.array(out, hit)
 
         return lambda text: run(text_or_empty(text))
 

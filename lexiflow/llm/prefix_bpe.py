@@ -33,14 +33,14 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import text_or_empty
+from lexiflow.llm.common import give_back, text_or_empty
 
 SPACE = "▁"
 #: Text units and token pairs that a worker remembers (then it starts afresh), and
 #: characters whose new units it encodes together: they bound its memory, not the results.
-UNIT_MEMORY = 600_000
-PAIR_MEMORY = 600_000
-CHUNK_CHARS = 2_000_000
+UNIT_MEMORY = 200_000
+PAIR_MEMORY = 200_000
+CHUNK_CHARS = 1_000_000
 
 
 class PrefixTable:
@@ -241,7 +241,10 @@ def encode_decode(text: Column, model_file: str, emit: Iterable[str] = ("ids", "
                     out["decoded"].append(decoded)
                 if "decoded_sha256" in out:
                     out["decoded_sha256"].append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
-        return pa.StructArray.from_arrays([pa.array(out[f], type=FIELDS[f]) for f in fields], names=fields)
+        done = pa.StructArray.from_arrays([pa.array(out[f], type=FIELDS[f]) for f in fields], names=fields)
+        del out
+        give_back()
+        return done
 
     return run(text_or_empty(text))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import cut, free_name, text_or_empty
+from lexiflow.llm.common import cut, free_name, give_back, text_or_empty
 
 FEATURES = [
     "log_words", "mean_word", "distinct_words", "top_word", "repeated_neighbours", "upper_words",
@@ -85,7 +85,9 @@ def text_features(text: str) -> list[float]:
 def _features(text: Column) -> Column:
     @F.arrow_udf("array<double>")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([text_features(t.as_py()) for t in texts], pa.list_(pa.float64()))
+        out = pa.array([text_features(t.as_py()) for t in texts], pa.list_(pa.float64()))
+        give_back()
+        return out
 
     return run(text_or_empty(text))
 
