@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import give_back, text_or_empty
+from lexiflow.llm.common import cut, give_back, text_or_empty
 
 #: Words in a window, plain words it needs, words an alignment must cover (all of a shorter item).
 WINDOW, PLAIN, COVER = 8, 4, 13
@@ -418,18 +418,20 @@ class Benchmark:
         }
 
 
-def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[object, str]]]:
+def _blocks(items: DataFrame, item_col: str, text_col: str) -> Iterator[tuple[list[tuple[object, str]], bool]]:
+    """Blocks of (id, text), and whether it is the only one."""
     rows = items.select(F.col(item_col).alias("id"), text_or_empty(text_col).alias("text")).where("text != ''").distinct()
     tokens = rows.agg(F.sum(F.length("text")) / 2).first()[0] or 0  # a token takes two characters at least
     n = int(tokens // BLOCK_TOKENS) + 1
     for k in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
-        yield [(r.id, r.text) for r in part.orderBy("id", "text").collect()]
+        yield [(r.id, r.text) for r in part.orderBy("id", "text").collect()], n == 1
 
 
-def matchers(items: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> list[Callable[[Column], Column]]:
+def matchers(items: DataFrame, item_col: str = "item_id", item_text_col: str = "text") -> Iterator[tuple[Callable[[Column], Column], Callable[[DataFrame], DataFrame]]]:
     """For each block of the benchmark a function from a text column to the array of its hits
-    (item_id, words covered, slots, slots changed, consistent)."""
+    (item_id, words covered, slots, slots changed, consistent), and what is done to a table made with it:
+    of several blocks one is in the workers at a time, its result is written before the next."""
     kind = items.schema[item_col].dataType.simpleString()
     fields = f"array<struct<item_id: {kind}, words: int, slots: int, changed: int, consistent: boolean>>"
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
@@ -454,7 +456,11 @@ def matchers(items: DataFrame, item_col: str = "item_id", item_text_col: str = "
         return lambda text: run(text_or_empty(text))
 
     sc = items.sparkSession.sparkContext
-    return [matcher(sc.broadcast(Benchmark(block))) for block in _blocks(items, item_col, item_text_col)]
+    for block, alone in _blocks(items, item_col, item_text_col):
+        shared = sc.broadcast(Benchmark(block))
+        yield matcher(shared), (lambda df: df) if alone else cut
+        if not alone:
+            shared.unpersist()
 
 
 def leaks(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -466,14 +472,18 @@ def leaks(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str
     ids match each on its own; an empty table on either side gives no rows.
     """
     found = [
-        df.select(F.col(id_col), hits(F.col(text_col)).alias("_hits")).select(F.col(id_col), F.inline("_hits")).where("consistent").drop("consistent")
-        for hits in matchers(items)
+        done(df.select(F.col(id_col), hits(F.col(text_col)).alias("_hits")).select(F.col(id_col), F.inline("_hits")).where("consistent").drop("consistent"))
+        for hits, done in matchers(items)
     ]
     return reduce(DataFrame.unionByName, found)
 
 
 def drop_leaking(df: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` without a consistent alignment; columns as before."""
-    for hits in matchers(items):
-        df = df.where(~F.exists(hits(F.col(text_col)), lambda h: h["consistent"]))
+    """The rows of ``df`` without a consistent alignment; columns as before.
+
+    Null and empty texts hold nothing and stay, repeated rows stay or go together, whole
+    texts count however long, an empty benchmark lets everything stay.
+    """
+    for hits, done in matchers(items):
+        df = done(df.where(~F.exists(hits(F.col(text_col)), lambda h: h["consistent"])))
     return df
