@@ -24,8 +24,8 @@ def text_or_empty(col: str | Column) -> Column:
 def cut(df: DataFrame, few: bool = False) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder (survives lost executors).
 
-    ``few``: in two files a core at most, for the many small tables of a loop, which
-    otherwise write a file for every shuffle partition each time."""
+    ``few``: in two files a core at most, for the small tables of a loop (ids, no texts),
+    which otherwise write a file for every shuffle partition each time."""
     ensure_checkpoint_dir(df.sparkSession)
     return (df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism) if few else df).checkpoint()
 
