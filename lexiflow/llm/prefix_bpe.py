@@ -38,8 +38,8 @@ from lexiflow.llm.common import give_back, text_or_empty
 SPACE = "▁"
 #: Text units and token pairs that a worker remembers (then it starts afresh), and
 #: characters whose new units it encodes together: they bound its memory, not the results.
-UNIT_MEMORY = 300_000
-PAIR_MEMORY = 300_000
+UNIT_MEMORY = 80_000
+PAIR_MEMORY = 200_000
 CHUNK_CHARS = 1_000_000
 
 
