@@ -140,3 +140,21 @@ def test_hashed_grams_equal_exact(spark):
     e = sorted(map(tuple, ov.rouge_pair_scores(d, id_cols=["pair_id"], kinds=["rouge1", "rouge2"]).collect()))
     h = sorted(map(tuple, ov.rouge_pair_scores(d, id_cols=["pair_id"], kinds=["rouge1", "rouge2"], hashed=True).collect()))
     assert e == h
+
+
+def test_grams_never_become_rows(spark):
+    df = spark.createDataFrame([(1, "a b", "a b")], "pair_id long, pred string, ref string")
+    for out in (ov.rouge_n(df), ov.corpus_bleu(df), ov.rouge_all(df)):
+        assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_one_id_count_together(spark):
+    """The lines of an id that comes twice make one multiset of grams (none spans two lines); null texts have none."""
+    rows = [(1, "a b a", "b a"), (1, "a", "a b"), (2, None, "x"), (3, "", None), (None, "c d", "c d"), (None, "c", None)]
+    df = spark.createDataFrame(rows, "pair_id long, pred string, ref string")
+    got = {r.pair_id: (r.rouge1, r.rouge2) for r in ov.rouge_n(df).collect()}
+    assert got == {1: (3 / 4, 1.0), 2: (0.0, 0.0), 3: (0.0, 0.0), None: (4 / 5, 1.0)}
+    b = ov.bleu_stats(df).first()
+    assert (b.m1, b.m2, b.t1, b.t2, b.sys_len, b.ref_len) == (5, 3, 7, 3, 7, 7)
+    only_empty = df.where("pair_id = 3").withColumn("split", F.lit("test"))
+    assert ov.corpus_bleu(only_empty, by=["split"]).count() == 0 and ov.corpus_bleu(only_empty).first().bleu == 0.0
