@@ -118,9 +118,8 @@ def decode_pieces(
 ) -> DataFrame:
     """PRJ-8: id columns -> text columns (``cols``: ids -> text name): special (FLT-3) and unknown ids are
     skipped, pieces are joined, space marks become spaces, and the text is stripped."""
-    keys = [*key_cols, *carry, "_row"]
-    x = df.withColumn("_row", F.monotonically_increasing_id())
+    keys = [*key_cols, *carry]
     kept = [F.filter(c, lambda i: ~i.isin([int(s) for s in specials])).alias(out) for c, out in cols.items()]
-    g = resolve(x.select(*keys, *kept), keys, list(key_cols), list(cols.values()), pieces, "id", "piece", head=head)
+    g = resolve(df.select(*keys, *kept), keys, list(cols.values()), pieces, "id", "piece", head=head)
     texts = [F.trim(F.replace(F.array_join(out, ""), F.lit(SPACE), F.lit(" ")), F.lit(PY_WHITESPACE)).alias(out) for out in cols.values()]
     return g.select(*key_cols, *carry, *texts)

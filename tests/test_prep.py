@@ -122,3 +122,33 @@ def test_one_plan_and_one_read(spark, tmp_path):
     spark.createDataFrame([(1, "a b")], "row_id long, text string").write.parquet(str(tmp_path / "t"))
     plan = prep.encode(spark.read.parquet(str(tmp_path / "t")), {"text": "ids"}, vocab, head=7)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") <= 4 and "Union" not in plan
+
+
+def test_tokens_do_not_become_rows(spark):
+    """With the table in the head rows stay where they are; with a tail each row's different rare tokens are
+    the only ones that are dealt."""
+    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, id int")
+    df = spark.createDataFrame([(1, "a b a")], "row_id long, text string")
+    enc = prep.encode(df, {"text": "ids"}, vocab)
+    for out in (enc, prep.decode(enc, "ids", vocab)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "Aggregate" not in plan and "Repartition" not in plan
+    tail = prep.encode(df, {"text": "ids"}, vocab, head=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert tail.count("Generate") == 1 and "array_distinct" in tail and "Aggregate" not in tail
+
+
+def test_tail_over_many_blocks(spark, monkeypatch):
+    """Rare tokens in and out of the table, in few blocks, both ways, whatever the values' type."""
+    from lexiflow.operators import lookup
+
+    monkeypatch.setattr(lookup, "BLOCKS", 3)
+    words = [f"w{i}" for i in range(300)]
+    vocab = spark.createDataFrame([(w, i + 4) for i, w in enumerate(words) if i % 7], "token string, id int")
+    texts = [" ".join(["w1"] * (k % 5) + [words[(k * j) % 300] for j in range(k % 11)]) for k in range(120)]
+    df = spark.createDataFrame([(k // 2, t) for k, t in enumerate(texts)], "row_id long, s string").repartition(5)
+    enc = prep.encode(df, {"s": "ids"}, vocab, head=5)
+    ids = {w: i + 4 if i % 7 else 3 for i, w in enumerate(words)}
+    assert sorted((r.row_id, r.ids) for r in enc.collect()) == sorted((k // 2, [0, *[ids[w] for w in t.split()], 2]) for k, t in enumerate(texts))
+    dec = prep.decode_columns(enc, {"ids": "s"}, vocab, head=5)
+    want = sorted((k // 2, " ".join(w for w in t.split() if ids[w] != 3)) for k, t in enumerate(texts))
+    assert sorted((r.row_id, r.s) for r in dec.collect()) == want
