@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexiflow.operators.ordering import md5_bucket, row_index
 from lexiflow.session import shuffle_partitions
@@ -104,10 +105,12 @@ def with_pad_id(df: DataFrame, col: str = "input_ids", batch_cols: Sequence[str]
 
 def batch_volume(df: DataFrame, cols: Sequence[str], batch_cols: Sequence[str] = ("split", "batch_id")) -> DataFrame:
     """AGG-14: per batch and column, elements of the padded matrix
-    (rows × longest row) and the share of them that is padding."""
+    (rows × longest row) and the share of them that is padding.  A column holds
+    the arrays, or their lengths alone: no more needs to move to its batch."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in cols:
-        aggs += [F.max(F.size(c)).alias(f"_m_{c}"), F.sum(F.size(c)).alias(f"_s_{c}")]
+        n = F.size(c) if isinstance(df.schema[c].dataType, T.ArrayType) else F.col(c)
+        aggs += [F.max(n).alias(f"_m_{c}"), F.sum(n).alias(f"_s_{c}")]
     g = df.groupBy(*batch_cols).agg(*aggs)
     sel = [*batch_cols, "n_rows"]
     for c in cols:

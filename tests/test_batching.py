@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from lexiflow.operators import batching as bt
 from lexiflow.operators.ordering import bounds_below, equi_depth_bounds, row_index
+from lexiflow.plans.catalog import QUERIES
 from tests import plain
+from tests.conftest import SF_SMALL
 
 
 @pytest.mark.parametrize("parts", [1, 4, 16])
@@ -88,3 +90,26 @@ def test_row_index_enumerated_groups(spark):
     got = row_index(df, ["k"], group_cols=["split"], enumerated_groups=True, num_buckets=8)
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("split").orderBy("k")) - 1)
     assert sorted(map(tuple, got.select("split", "k", "pos").collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_batch_volume_takes_lengths_for_arrays(spark):
+    rows = [("a", 0, [1, 2, 3], [9]), ("a", 0, [4], [9, 9]), ("a", 1, [], [5]), ("b", 0, [7, 7], [8])]
+    df = spark.createDataFrame(rows, "split string, batch_id long, x array<int>, y array<int>")
+    lengths = df.select("split", "batch_id", F.size("x").alias("x"), F.size("y").alias("y"))
+    got, exp = bt.batch_volume(lengths, ["x", "y"]), bt.batch_volume(df, ["x", "y"])
+    assert got.schema == exp.schema and sorted(map(str, got.collect())) == sorted(map(str, exp.collect()))
+
+
+@pytest.mark.parametrize(("query", "most"), [("batch_volume", 0), ("pad_id_inferred", 1)])
+def test_only_what_a_batch_is_judged_by_is_shuffled(spark, monkeypatch, query, most):
+    """Elements of a row's arrays that move to its batch."""
+    shuffle, seen = bt.shuffle_rows, []
+
+    def counted(df, **options):
+        arrays = [F.size(c) for c, kind in df.dtypes if kind.startswith("array")]
+        seen.append(df.agg(F.max(sum(arrays, F.lit(0)))).first()[0])
+        return shuffle(df, **options)
+
+    monkeypatch.setattr(bt, "shuffle_rows", counted)
+    assert QUERIES[query](spark, SF_SMALL).count() > 0
+    assert seen == [most]
