@@ -81,3 +81,17 @@ def test_rouge_l_of_the_longest_documents(spark):
     got = {r.pair_id: r.rougeL for r in overlap.rouge_l(pairs, id_cols=["pair_id"]).collect()}
     for r in longest:
         assert got[r.pair_id] == pytest.approx(plain.rouge_l(r.ref, r.pred), abs=1e-9)
+
+
+def test_summary_texts_move_once_to_their_scores(spark):
+    """Decoded texts are spread over the tasks already: only the grouping of their n-gram counts moves them."""
+    vocab = spark.createDataFrame([(f"w{i}", 4 + i) for i in range(9)], "token string, id int")
+    rows = [("train", i, " ".join(f"w{k % 9}" for k in range(i + 2)), " ".join(f"w{(k + i) % 9}" for k in range(6))) for i in range(9)]
+    df = spark.createDataFrame(rows, "split string, row_id long, document string, summary string")
+    scores = spark.createDataFrame([(0, 0, 0, 0, [0.1, 0.9], 1)], "batch_id long, example long, pos int, rank int, scores array<double>, label int")
+    out = jobs.evaluate_summaries(df, vocab, jobs.stub_factory(vocab), scores)
+    assert "RepartitionByExpression" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.split for r in out.collect()] == ["train"]
+    texts = df.select("row_id", F.col("document").alias("pred"), F.col("summary").alias("ref"))
+    got, want = ({r.row_id: r for r in overlap.rouge_pair_scores(texts, id_cols=["row_id"], dealt=d).collect()} for d in (True, False))
+    assert got == want and len(got) == 9
